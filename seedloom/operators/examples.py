@@ -42,34 +42,38 @@ def expand_enriched(enriched: DataFrame, key: str = "ex_id") -> DataFrame:
 
     The row itself with its reasoning, the harder version on the same schema, and
     the version on a new schema; rejected rows (negative score) give none. One
-    narrow pass: the candidates are an array that is filtered and inlined.
+    narrow pass: the candidates are inlined from an array and the void ones dropped.
+    The quality test is part of ``keep``: as a filter it would be pushed below the
+    projection that computes the score and compute it twice.
     """
     quality = default("quality_score", fixed.DEFAULT_QUALITY)
+    accepted = quality >= 0
     mocked = lambda name: text(name).startswith(fixed.MOCK_PREFIX)
     candidates = F.array(
         _example(
-            fixed.WITH_REASONING, _some("question", "sql"),
+            fixed.WITH_REASONING, accepted & _some("question", "sql"),
             "question", "schema", "sql", text("reasoning_trace"), "complexity",
         ),
         _example(
-            fixed.UPGRADED, _some("upgraded_question", "upgraded_sql") & ~mocked("upgraded_sql"),
+            fixed.UPGRADED,
+            accepted & _some("upgraded_question", "upgraded_sql") & ~mocked("upgraded_sql"),
             "upgraded_question", "schema", "upgraded_sql", F.lit(""), "upgraded_complexity",
         ),
         _example(
             fixed.VARIANT,
-            _some("variant_question", "variant_sql", "variant_schema") & ~mocked("variant_sql"),
+            accepted
+            & _some("variant_question", "variant_sql", "variant_schema")
+            & ~mocked("variant_sql"),
             "variant_question", "variant_schema", "variant_sql", F.lit(""), "complexity",
         ),
     )
     keys = [F.col(key).cast("string")]
     if "choice_idx" in enriched.columns:
         keys.append(F.col("choice_idx").cast("string"))
-    expanded = enriched.where(quality >= 0).select(
-        F.concat_ws("/", *keys).alias("_row"),
-        quality.alias("quality_score"),
-        F.inline(F.filter(candidates, lambda candidate: candidate["keep"])),
+    expanded = enriched.select(
+        F.concat_ws("/", *keys).alias("_row"), quality.alias("quality_score"), F.inline(candidates)
     )
-    return expanded.withColumn("example_id", F.concat_ws("/", "source", "_row")).select(*COLUMNS)
+    return expanded.where("keep").withColumn("example_id", F.concat_ws("/", "source", "_row")).select(*COLUMNS)
 
 
 def seed_examples(seed_rows: DataFrame, key: str = "ex_id") -> DataFrame:

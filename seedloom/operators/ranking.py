@@ -136,7 +136,7 @@ def _keys_at(keyed: DataFrame, searches: list[_Search]) -> list[str]:
     return [keys[f"{s.prefix}|{s.rank}|{s.level}"] for s in searches]
 
 
-def within_cut(df: DataFrame, key: Column, cuts: Cuts, by: Column, slot: int = 0) -> Column:
+def within_cut(key: Column, cuts: Cuts, by: Column, slot: int = 0) -> Column:
     """Condition: the row is at or before its level's cut.
 
     The cuts come as a literal map of at most ``MAX_LEVELS`` entries, so the

@@ -144,7 +144,7 @@ DERIVED = {
                     WHEN '2-HIGH' THEN 'SELECT COUNT(*) FROM orders'
                     WHEN '3-MEDIUM' THEN 'SELECT o_orderkey FROM orders WHERE o_custkey < 0'
                     WHEN '4-NOT SPECIFIED' THEN 'SELECT o_custkey FROM orders UNION ALL SELECT o_custkey FROM orders'
-                    ELSE 'SELECT nothing FROM orders' END AS gold_sql,
+                    ELSE 'SELECT missing FROM orders' END AS gold_sql,
                CASE status WHEN 'F' THEN 'SELECT o_orderkey, o_orderpriority FROM orders'
                     WHEN 'O' THEN 'SELECT o_custkey FROM orders' ELSE '' END AS pred_sql
         FROM {cases}""",
