@@ -1,10 +1,10 @@
 """Positions in a hash order without sorting the data in one place.
 
 A sample, a split or a per-level quota only asks which rows come before the k-th
-one. :func:`cut_points` finds the k-th key itself: it counts rows per key prefix,
+one. :class:`KeyOrder` finds the k-th key itself: it counts rows per key prefix,
 walks into the prefix that holds position k, and repeats with longer prefixes
 until few enough rows are left to rank. Every pass reads two narrow columns and
-returns a bounded number of rows, and the final sample is a plain filter
+returns a bounded number of rows, and the sample is then a plain filter
 ``key <= cut``: the data are not shuffled at all.
 
 :func:`global_rank` numbers every row, where the numbers themselves are wanted.
@@ -12,15 +12,12 @@ returns a bounded number of rows, and the final sample is a plain filter
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from typing import NamedTuple
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# At most this many levels are handled through the driver and broadcast tables;
-# beyond it the callers rank in the cluster.
+# At most this many levels pass through the driver and a broadcast table; beyond
+# it the callers rank in the cluster (see level_rank).
 MAX_LEVELS = 1000
 # A prefix with at most this many rows is ranked in one window partition.
 EDGE_ROWS = 100_000
@@ -37,11 +34,6 @@ class TooManyLevels(Exception):
     """There are more levels than the driver should hold."""
 
 
-class Cuts(NamedTuple):
-    sizes: dict[str, int]
-    cuts: dict[str, list[str]]
-
-
 class _Search:
     """The search for one position: the rows it lies among and how many come before."""
 
@@ -58,102 +50,132 @@ class _Search:
         raise AssertionError("position beyond the counted rows")
 
 
-def cut_points(
-    df: DataFrame,
-    key: Column,
-    ranks: Callable[[dict[str, int]], dict[str, list[int]]],
-    by: Column | None = None,
-) -> Cuts:
-    """Keys at given positions of each level's hash order.
+class KeyOrder:
+    """The rows of each level in the order of their keys.
 
-    ``ranks`` gets the number of rows per level and returns the positions wanted
-    (1 is first). A position of 0 gives a cut below all rows, one at or past the
-    end a cut above all rows. ``by`` must not be null; without it there is the
-    single level ``""``.
+    ``key`` is an md5 text (see ``order_key``), ``by`` a level that is not null;
+    without it there is the single level ``""``. Making one counts the rows.
     """
-    level = F.lit("") if by is None else by.cast("string")
-    keyed = df.select(level.alias("level"), key.alias("key"))
-    rows = _prefix_counts(keyed, PREFIX_STEP).limit(MAX_LEVELS * FANOUT + 1).collect()
-    histogram: dict[str, dict[str, int]] = {} if by is not None else {"": {}}
-    for row in rows:
-        histogram.setdefault(row.level, {})[row.prefix] = row.n
-    if len(histogram) > MAX_LEVELS or len(rows) > MAX_LEVELS * FANOUT:
-        raise TooManyLevels
-    sizes = {name: sum(counts.values()) for name, counts in histogram.items()}
-
-    cuts: dict[str, list[str]] = {}
-    open_searches: list[_Search] = []
-    for name, wanted in ranks(sizes).items():
-        cuts[name] = [NONE if rank <= 0 else ALL for rank in wanted]
-        for slot, rank in enumerate(wanted):
-            if 0 < rank < sizes.get(name, 0):
-                open_searches.append(_Search(name, slot, rank))
-
-    found = {(name, ""): counts for name, counts in histogram.items()}
-    width = PREFIX_STEP
-    while open_searches:
-        narrow, wide = [], []
-        for search in open_searches:
-            left = search.enter(found[(search.level, search.prefix)])
-            (wide if left > EDGE_ROWS and width < KEY_LENGTH else narrow).append(search)
-        for search, cut in zip(narrow, _keys_at(keyed, narrow)):
-            cuts[search.level][search.slot] = cut
-        open_searches, found = wide, {}
-        if wide:
-            width += PREFIX_STEP
-            for row in _prefix_counts(_within(keyed, wide), width).collect():
-                place = (row.level, row.prefix[:-PREFIX_STEP])
-                found.setdefault(place, {})[row.prefix] = row.n
-    return Cuts(sizes, cuts)
-
-
-def _prefix_counts(keyed: DataFrame, width: int) -> DataFrame:
-    prefix = F.substring("key", 1, width).alias("prefix")
-    return keyed.groupBy("level", prefix).agg(F.count(F.lit(1)).alias("n"))
-
-
-def _within(keyed: DataFrame, searches: list[_Search]) -> DataFrame:
-    """Rows in the prefixes the searches stand at (all of one width)."""
-    places = {f"{search.prefix}|{search.level}" for search in searches}
-    prefix = F.substring("key", 1, len(searches[0].prefix))
-    return keyed.where(F.concat_ws("|", prefix, "level").isin(*sorted(places)))
-
-
-def _keys_at(keyed: DataFrame, searches: list[_Search]) -> list[str]:
-    """The keys the searches end at: ranks among at most ``EDGE_ROWS`` rows each."""
-    if not searches:
-        return []
-    targets = {f"{search.prefix}|{search.rank}|{search.level}" for search in searches}
-    prefix = F.substring("key", 1, len(searches[0].prefix)).alias("prefix")
-    order = Window.partitionBy("level", "prefix").orderBy("key")
-    edge = _within(keyed, searches).select("level", "key", prefix)
-    hits = (
-        edge.withColumn("position", F.row_number().over(order))
-        .withColumn("place", F.concat_ws("|", "prefix", F.col("position").cast("string"), "level"))
-        .where(F.col("place").isin(*sorted(targets)))
-    )
-    keys = {row.place: row.key for row in hits.select("place", "key").collect()}
-    return [keys[f"{s.prefix}|{s.rank}|{s.level}"] for s in searches]
-
-
-def within_cut(key: Column, cuts: Cuts, by: Column, slot: int = 0) -> Column:
-    """Condition: the row is at or before its level's cut.
 
-    The cuts come as a literal map of at most ``MAX_LEVELS`` entries, so the
-    condition stays a narrow filter.
-    """
-    entries = [F.lit(value) for name, cut in sorted(cuts.cuts.items()) for value in (name, cut[slot])]
-    if not entries:
-        return F.lit(False)
-    return key <= F.try_element_at(F.create_map(*entries), by.cast("string"))
+    def __init__(self, df: DataFrame, key: Column, by: Column | None = None) -> None:
+        level = F.lit("") if by is None else by.cast("string")
+        self._keyed = df.select(level.alias("level"), key.alias("key"))
+        rows = self._prefix_counts(self._keyed, PREFIX_STEP).limit(MAX_LEVELS * FANOUT + 1).collect()
+        self._counts: dict[str, dict[str, int]] = {} if by is not None else {"": {}}
+        for row in rows:
+            self._counts.setdefault(row.level, {})[row.prefix] = row.n
+        if len(self._counts) > MAX_LEVELS or len(rows) > MAX_LEVELS * FANOUT:
+            raise TooManyLevels
+        self.sizes = {name: sum(counts.values()) for name, counts in self._counts.items()}
+
+    @property
+    def size(self) -> int:
+        return sum(self.sizes.values())
+
+    def cut(self, rank: int) -> str:
+        """Key of the row at ``rank`` where there is a single level."""
+        return self.cuts({"": [rank]})[""][0]
+
+    def cuts(self, ranks: dict[str, list[int]]) -> dict[str, list[str]]:
+        """Keys at the wanted positions (1 is first) of each level.
+
+        A position of 0 gives a cut below all rows, one at or past the end a cut
+        above all rows.
+        """
+        cuts: dict[str, list[str]] = {}
+        searches: list[_Search] = []
+        for name, wanted in ranks.items():
+            cuts[name] = [NONE if rank <= 0 else ALL for rank in wanted]
+            for slot, rank in enumerate(wanted):
+                if 0 < rank < self.sizes.get(name, 0):
+                    searches.append(_Search(name, slot, rank))
+
+        found = {(name, ""): counts for name, counts in self._counts.items()}
+        width = PREFIX_STEP
+        while searches:
+            narrow, wide = [], []
+            for search in searches:
+                left = search.enter(found[(search.level, search.prefix)])
+                (wide if left > EDGE_ROWS and width < KEY_LENGTH else narrow).append(search)
+            for search, cut in zip(narrow, self._keys_at(narrow)):
+                cuts[search.level][search.slot] = cut
+            searches, found = wide, {}
+            if wide:
+                width += PREFIX_STEP
+                for row in self._prefix_counts(self._within(wide), width).collect():
+                    place = (row.level, row.prefix[:-PREFIX_STEP])
+                    found.setdefault(place, {})[row.prefix] = row.n
+        return cuts
+
+    @staticmethod
+    def _prefix_counts(keyed: DataFrame, width: int) -> DataFrame:
+        prefix = F.substring("key", 1, width).alias("prefix")
+        return keyed.groupBy("level", prefix).agg(F.count(F.lit(1)).alias("n"))
+
+    def _within(self, searches: list[_Search]) -> DataFrame:
+        """Rows in the prefixes the searches stand at (all of one width)."""
+        places = {f"{search.prefix}|{search.level}" for search in searches}
+        prefix = F.substring("key", 1, len(searches[0].prefix))
+        return self._keyed.where(F.concat_ws("|", prefix, "level").isin(*sorted(places)))
+
+    def _keys_at(self, searches: list[_Search]) -> list[str]:
+        """The keys the searches end at: ranks among at most ``EDGE_ROWS`` rows each."""
+        if not searches:
+            return []
+        targets = {f"{search.prefix}|{search.rank}|{search.level}" for search in searches}
+        prefix = F.substring("key", 1, len(searches[0].prefix)).alias("prefix")
+        order = Window.partitionBy("level", "prefix").orderBy("key")
+        edge = self._within(searches).select("level", "key", prefix)
+        place = F.concat_ws("|", "prefix", F.row_number().over(order).cast("string"), "level")
+        hits = edge.select("key", place.alias("place")).where(F.col("place").isin(*sorted(targets)))
+        keys = {row.place: row.key for row in hits.collect()}
+        return [keys[f"{s.prefix}|{s.rank}|{s.level}"] for s in searches]
+
+
+def up_to(key: Column, cut: str) -> Column:
+    """Condition: the row is at or before the cut."""
+    if cut in (ALL, NONE):
+        return F.lit(cut == ALL)
+    return key <= F.lit(cut)
+
+
+def with_cut(df: DataFrame, cuts: dict[str, list[str]], by: Column, name: str = "_cut") -> DataFrame:
+    """Adds each row's first cut of its level, from a table of at most ``MAX_LEVELS`` rows."""
+    rows = [(level, cut[0]) for level, cut in sorted(cuts.items())]
+    if len(rows) > MAX_LEVELS:
+        raise TooManyLevels
+    table = df.sparkSession.createDataFrame(rows, f"_level string, {name} string")
+    return df.join(F.broadcast(table), by.cast("string") == F.col("_level"), "left").drop("_level")
 
 
 def bucket_digits(rows: int) -> int:
-    """Key digits that give buckets of about a million rows (at most 65,536 buckets)."""
-    digits = 1
+    """Key digits that give buckets of about a million rows (256 to 65,536 buckets)."""
+    digits = 2
     while digits < 4 and rows > BUCKET_ROWS * 16**digits:
         digits += 1
-    return max(digits, 2)
+    return digits
+
+
+def _numbered(df: DataFrame, key: Column, levels: list[Column], digits: int, name: str, bounded: bool) -> DataFrame:
+    """Rank inside ``(levels, key prefix)`` buckets plus the rows of the buckets before."""
+    level_names = [f"_level{at}" for at in range(len(levels))]
+    keyed = df.withColumns(dict(zip(level_names, levels)) | {"_key": key})
+    keyed = keyed.withColumn("_bucket", F.substring("_key", 1, digits))
+    bucket = [*level_names, "_bucket"]
+    counts = keyed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n"))
+    before = (
+        Window.partitionBy(*level_names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = counts.select(*bucket, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    if bounded:
+        offsets = F.broadcast(offsets)
+    inside = F.row_number().over(Window.partitionBy(*bucket).orderBy("_key"))
+    return (
+        keyed.withColumn("_position", inside)
+        .join(offsets, bucket)
+        .withColumn(name, F.col("_offset") + F.col("_position"))
+        .drop(*bucket, "_key", "_position", "_offset")
+    )
 
 
 def global_rank(df: DataFrame, key: Column, name: str = "rank", rows: int | None = None) -> DataFrame:
@@ -163,43 +185,13 @@ def global_rank(df: DataFrame, key: Column, name: str = "rank", rows: int | None
     and each bucket's offset comes from the bucket counts (at most 65,536 rows).
     """
     digits = bucket_digits(df.count() if rows is None else rows)
-    keyed = df.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, digits))
-    counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-    order = Window.partitionBy("_bucket").orderBy("_key")
-    return (
-        keyed.withColumn("_position", F.row_number().over(order))
-        .join(F.broadcast(offsets), "_bucket")
-        .withColumn(name, F.col("_offset") + F.col("_position"))
-        .drop("_key", "_bucket", "_position", "_offset")
-    )
+    return _numbered(df, key, [], digits, name, bounded=True)
 
 
 def level_rank(df: DataFrame, key: Column, by: Column, name: str = "rank") -> DataFrame:
     """Number rows 1, 2, … within each level, for any number and size of levels.
 
-    A level is ranked in 256 hash buckets, so one that holds a third of all rows
-    is spread like the others.
+    Levels are cut into hash buckets as well, so one that holds a third of all
+    rows is spread like the others.
     """
-    keyed = (
-        df.withColumn("_key", key)
-        .withColumn("_level", by.cast("string"))
-        .withColumn("_bucket", F.substring("_key", 1, PREFIX_STEP))
-    )
-    counts = keyed.groupBy("_level", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = (
-        Window.partitionBy("_level").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = counts.select(
-        "_level", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-    order = Window.partitionBy("_level", "_bucket").orderBy("_key")
-    return (
-        keyed.withColumn("_position", F.row_number().over(order))
-        .join(offsets, ["_level", "_bucket"])
-        .withColumn(name, F.col("_offset") + F.col("_position"))
-        .drop("_key", "_level", "_bucket", "_position", "_offset")
-    )
+    return _numbered(df, key, [by.cast("string")], 3, name, bounded=False)

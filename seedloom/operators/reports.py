@@ -36,7 +36,7 @@ def stratum_report(df: DataFrame, n: int, level: str = "complexity") -> DataFram
     counted = df.groupBy(default(level, fixed.UNKNOWN).alias("level")).agg(
         F.count(F.lit(1)).alias("available")
     )
-    levels = df.agg(F.count_distinct(default(level, fixed.UNKNOWN))).scalar()
+    levels = counted.agg(F.count(F.lit(1))).scalar()
     quota = F.greatest(F.lit(1), F.floor(F.lit(n) / levels)).cast("long")
     return counted.select("level", F.least(quota, F.col("available")).alias("sampled"), "available")
 
@@ -89,8 +89,9 @@ def split_sizes(split_df: DataFrame) -> DataFrame:
 
 def source_shares(train: DataFrame) -> DataFrame:
     """Rows and percentage per source."""
-    total = train.agg(F.count(F.lit(1))).scalar()
-    return train.groupBy("source").agg(F.count(F.lit(1)).alias("n")).withColumn(
+    counted = train.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    total = counted.agg(F.sum("n")).scalar()
+    return counted.withColumn(
         "pct", F.col("n").cast("double") / total.cast("double") * F.lit(100.0)
     )
 

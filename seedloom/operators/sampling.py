@@ -15,27 +15,22 @@ from seedloom import fixed
 from seedloom.functions.keys import order_key, value_key
 from seedloom.functions.text import default
 from seedloom.operators.ranking import (
-    ALL,
-    NONE,
+    KeyOrder,
     TooManyLevels,
-    cut_points,
     global_rank,
     level_rank,
-    within_cut,
+    up_to,
+    with_cut,
 )
 
-
-def _up_to(key: Column, cut: str) -> Column:
-    if cut in (ALL, NONE):
-        return F.lit(cut == ALL)
-    return key <= F.lit(cut)
+# A table of this many hashes (about 20 MB) may be broadcast; a longer one is not.
+BROADCAST_ROWS = 200_000
 
 
 def exact_sample(df: DataFrame, n: int, key: str = "ex_id", seed: int = 42, purpose: str = "sample") -> DataFrame:
     """``min(n, rows)`` rows, uniformly, without replacement."""
     order = order_key(key, seed, purpose)
-    cuts = cut_points(df, order, lambda sizes: {"": [n]})
-    return df.where(_up_to(order, cuts.cuts[""][0]))
+    return df.where(up_to(order, KeyOrder(df, order).cut(n)))
 
 
 def shuffled(df: DataFrame, key: str = "ex_id", seed: int = 42) -> DataFrame:
@@ -49,17 +44,21 @@ def exclude(
     key: str = "ex_id",
     by: str = "key",
     columns: list[str] | None = None,
+    drawn_rows: int | None = None,
 ) -> DataFrame:
     """Rows of ``pool`` that were not drawn.
 
     ``by="value"`` also takes away copies: rows equal to a drawn one in
     ``columns``, by default all but the key. The drawn side is reduced to
-    distinct hashes first.
+    distinct hashes first, and broadcast only if ``drawn_rows`` says it is small.
     """
+    small = drawn_rows is not None and drawn_rows <= BROADCAST_ROWS
     if by == "key":
-        return pool.join(drawn.select(key), key, "left_anti")
+        keys = drawn.select(key)
+        return pool.join(F.broadcast(keys) if small else keys, key, "left_anti")
     columns = columns or [name for name in pool.columns if name != key]
     values = drawn.select(value_key(*columns).alias("_value")).distinct()
+    values = F.broadcast(values) if small else values
     return pool.withColumn("_value", value_key(*columns)).join(values, "_value", "left_anti").drop("_value")
 
 
@@ -81,18 +80,16 @@ def stratified_sample(
     """
     by = default(level, fixed.UNKNOWN)
     first = order_key(key, seed, "level")
-
-    def quotas(sizes: dict[str, int]) -> dict[str, list[int]]:
-        return {name: [max(1, n // len(sizes))] for name in sizes}
-
     try:
-        cuts = cut_points(df, first, quotas, by)
-        base, taken = df, within_cut(first, cuts, by)
-        drawn = sum(min(max(1, n // len(cuts.sizes)), size) for size in cuts.sizes.values())
+        order = KeyOrder(df, first, by)
+        quota = max(1, n // max(1, len(order.sizes)))
+        base = with_cut(df, order.cuts({name: [quota] for name in order.sizes}), by)
+        taken = first <= F.col("_cut")
+        drawn = sum(min(quota, size) for size in order.sizes.values())
     except TooManyLevels:
-        levels = df.agg(F.count_distinct(by)).first()[0]
+        quota = max(1, n // df.agg(F.count_distinct(by)).first()[0])
         base = level_rank(df, first, by, "_rank")
-        taken = F.col("_rank") <= max(1, n // levels)
+        taken = F.col("_rank") <= quota
         drawn = base.where(taken).count()
     sampled = base.where(taken)
     if drawn > n:
@@ -101,12 +98,10 @@ def stratified_sample(
         second = order_key(key, seed, "top up")
         rest = base.where(~taken)
         if top_up_by == "value":
-            rest = exclude(rest, sampled, key, "value", [c for c in df.columns if c != key])
-        cut = cut_points(rest, second, lambda sizes: {"": [n - drawn]}).cuts[""][0]
-        if top_up_by == "value":
-            sampled = sampled.unionByName(rest.where(_up_to(second, cut)))
-        else:
-            sampled = base.where(taken | _up_to(second, cut))
+            columns = [name for name in df.columns if name != key]
+            rest = exclude(rest, sampled, key, "value", columns, drawn)
+        extra = up_to(second, KeyOrder(rest, second).cut(n - drawn))
+        sampled = base.where(taken | extra) if top_up_by == "key" else sampled.unionByName(rest.where(extra))
     return sampled.select(*df.columns)
 
 
@@ -123,19 +118,15 @@ def mix(
     The cap can skew the ratio: 2,000 seed and 2,250 synthetic rows give 1,700
     and 2,250. Without synthetic rows all seed rows are kept.
     """
-    synthetic_count = synthetic_rows.count()
-    if synthetic_count == 0:
-        return seed_rows
     order = order_key(key, seed, "mix")
-    seed_cuts = cut_points(
-        seed_rows, order, lambda sizes: {"": [int((sizes[""] + synthetic_count) * seed_ratio)]}
-    )
-    total = seed_cuts.sizes[""] + synthetic_count
-    synthetic_cuts = cut_points(
-        synthetic_rows, order, lambda sizes: {"": [int(total * synthetic_ratio)]}
-    )
-    return seed_rows.where(_up_to(order, seed_cuts.cuts[""][0])).unionByName(
-        synthetic_rows.where(_up_to(order, synthetic_cuts.cuts[""][0])), allowMissingColumns=True
+    synthetic = KeyOrder(synthetic_rows, order)
+    if synthetic.size == 0:
+        return seed_rows
+    seeds = KeyOrder(seed_rows, order)
+    total = seeds.size + synthetic.size
+    return seed_rows.where(up_to(order, seeds.cut(int(total * seed_ratio)))).unionByName(
+        synthetic_rows.where(up_to(order, synthetic.cut(int(total * synthetic_ratio)))),
+        allowMissingColumns=True,
     )
 
 
@@ -144,20 +135,16 @@ def union_all(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _split_label(order: Column, cuts: list[str]) -> Column:
-    return (
-        F.when(_up_to(order, cuts[0]), F.lit("train"))
-        .when(_up_to(order, cuts[1]), F.lit("eval"))
+def _split(df: DataFrame, order: Column, counted: KeyOrder, train_ratio: float, eval_ratio: float) -> DataFrame:
+    train = int(counted.size * train_ratio)
+    evals = int(counted.size * eval_ratio)
+    last_train, last_eval = counted.cuts({"": [train, train + evals]})[""]
+    label = (
+        F.when(up_to(order, last_train), F.lit("train"))
+        .when(up_to(order, last_eval), F.lit("eval"))
         .otherwise(F.lit("test"))
     )
-
-
-def _split_ranks(train_ratio: float, eval_ratio: float):
-    def ranks(sizes: dict[str, int]) -> dict[str, list[int]]:
-        train = int(sizes[""] * train_ratio)
-        return {"": [train, train + int(sizes[""] * eval_ratio)]}
-
-    return ranks
+    return df.withColumn("split", label)
 
 
 def split_rows(
@@ -169,8 +156,7 @@ def split_rows(
 ) -> DataFrame:
     """A ``split`` column: the first share of the shuffled rows is train, then eval, then test."""
     order = order_key(key, seed, "split")
-    cuts = cut_points(df, order, _split_ranks(train_ratio, eval_ratio)).cuts[""]
-    return df.withColumn("split", _split_label(order, cuts))
+    return _split(df, order, KeyOrder(df, order), train_ratio, eval_ratio)
 
 
 def split_groups(
@@ -186,9 +172,8 @@ def split_groups(
     group's key alone, so there is no join and a hot group does no harm.
     """
     order = order_key(F.coalesce(F.col(group).cast("string"), F.lit("")), seed, "split")
-    groups = df.select(F.coalesce(F.col(group).cast("string"), F.lit("")).alias(group)).distinct()
-    cuts = cut_points(groups, order, _split_ranks(train_ratio, eval_ratio)).cuts[""]
-    return df.withColumn("split", _split_label(order, cuts))
+    counted = KeyOrder(df.select(group).distinct(), order)
+    return _split(df, order, counted, train_ratio, eval_ratio)
 
 
 def assign_batches(
@@ -200,4 +185,4 @@ def assign_batches(
 ) -> DataFrame:
     """A ``batch_idx`` column: shuffled rows in consecutive batches of ``size``."""
     ranked = global_rank(df, order_key(key, seed, "batch"), "_rank", rows)
-    return ranked.withColumn("batch_idx", F.floor((F.col("_rank") - 1) / F.lit(size))).drop("_rank")
+    return ranked.withColumn("batch_idx", F.expr(f"(_rank - 1) div {int(size)}")).drop("_rank")
