@@ -29,7 +29,7 @@ from seedloom.operators import (  # noqa: E402
 from seedloom.session import scratch  # noqa: E402
 from seedloom.sources import files  # noqa: E402
 from seedloom.streaming.batches import file_stream, run_batches  # noqa: E402
-from workload import DERIVED, table  # noqa: E402
+from workload import derive, table  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -155,8 +155,8 @@ def stream_score(spark, sf):
     orders = file_stream(
         spark, sf, table(spark, sf, "orders").schema, file_format="parquet", name_filter="orders.parquet"
     )
-    cases = spark.sql(DERIVED["cases"], orders=orders, customer=table(spark, sf, "customer"))
-    rows = spark.sql(DERIVED["enriched"], cases=cases)
+    cases = derive(spark, "cases", {"orders": orders, "customer": table(spark, sf, "customer")})
+    rows = derive(spark, "enriched", {"cases": cases})
     out = scratch(spark, "stream-score")
     run_batches(
         rows,

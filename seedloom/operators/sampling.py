@@ -22,6 +22,8 @@ from seedloom.operators.ranking import (
     up_to,
     with_cut,
 )
+from seedloom.session import scratch
+from seedloom.sources.files import store
 
 # A table of this many hashes (about 20 MB) may be broadcast; a longer one is not.
 BROADCAST_ROWS = 200_000
@@ -97,11 +99,17 @@ def stratified_sample(
     elif drawn < n:
         second = order_key(key, seed, "top up")
         rest = base.where(~taken)
-        if top_up_by == "value":
+        if top_up_by == "key":
+            extra = up_to(second, KeyOrder(rest, second).cut(n - drawn))
+            sampled = base.where(taken | extra)
+        else:
+            # All columns are read and hashed once; what follows needs the keys only.
             columns = [name for name in df.columns if name != key]
-            rest = exclude(rest, sampled, key, "value", columns, drawn)
-        extra = up_to(second, KeyOrder(rest, second).cut(n - drawn))
-        sampled = base.where(taken | extra) if top_up_by == "key" else sampled.unionByName(rest.where(extra))
+            rest = exclude(rest, sampled, key, "value", columns, drawn).select(key)
+            rest = store(rest, scratch(df.sparkSession, "rest"))
+            extra = rest.where(up_to(second, KeyOrder(rest, second).cut(n - drawn)))
+            extra = F.broadcast(extra) if n - drawn <= BROADCAST_ROWS else extra
+            sampled = sampled.unionByName(base.join(extra, key, "left_semi"))
     return sampled.select(*df.columns)
 
 

@@ -81,14 +81,28 @@ def load_table(spark: SparkSession, path: str, split: str | None = None, schema:
     return df if split is None else df.where(F.col("split") == split)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores where the input has fewer parts than that.
+
+    A large input has more parts than cores and comes back as it is, unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def store(df: DataFrame, path: str) -> DataFrame:
+    """The rows as a Parquet table at ``path``, read back: cuts the lineage and survives executors."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def with_row_keys(df: DataFrame, path: str) -> DataFrame:
     """The rows with a unique ``ex_id``, written to ``path`` once and read back.
 
     The number depends on the partitions of this one run, so it must not be
     computed again later; the written table keeps it fixed.
     """
-    df.withColumn("ex_id", F.monotonically_increasing_id()).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return store(df.withColumn("ex_id", F.monotonically_increasing_id()), path)
 
 
 def read_tests(spark: SparkSession, path: str) -> DataFrame:

@@ -3,6 +3,9 @@
 Each is one SELECT that Spark and DuckDB both run, so both sides of a comparison
 start from the same rows; ``{name}`` stands for a given or a derived table. Every
 rule reads whole tables: each order, document or line item takes part.
+
+Spark stores a derived table once per session in the scratch folder, as a user
+would store the input of these operators, so the queries measure the operators.
 """
 
 from __future__ import annotations
@@ -11,6 +14,10 @@ import re
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from seedloom.session import scratch
+from seedloom.sources.files import spread, store
 
 GIVEN = frozenset(
     "region nation customer supplier part orders lineitem events documents "
@@ -171,11 +178,30 @@ def needs(name: str) -> tuple[str, ...]:
     return tuple(sorted(set(_SLOT.findall(DERIVED[name]))))
 
 
+_stored: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+
+
+def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def derive(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """A derived table's plan over the tables it needs."""
+    return spark.sql(DERIVED[name], **{need: tables[need] for need in needs(name)})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given or derived table as a DataFrame."""
     if name in GIVEN:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spark.sql(DERIVED[name], **{need: table(spark, sf_dir, need) for need in needs(name)})
+        return given(spark, sf_dir, name)
+    place = (spark.conf.get("spark.app.id", ""), sf_dir, name)
+    if place not in _stored:
+        plan = derive(spark, name, {need: table(spark, sf_dir, need) for need in needs(name)})
+        path = scratch(spark, name)
+        store(spread(plan), path)
+        _stored[place] = path, plan.schema
+    path, schema = _stored[place]
+    return spark.read.schema(schema).parquet(path)
 
 
 def with_tables(body: str, *names: str) -> str:
