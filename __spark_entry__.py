@@ -29,7 +29,7 @@ from seedloom.operators import (  # noqa: E402
 from seedloom.session import scratch  # noqa: E402
 from seedloom.sources import files  # noqa: E402
 from seedloom.streaming.batches import file_stream, run_batches  # noqa: E402
-from workload import derive, table  # noqa: E402
+from workload import stored_path, table  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -151,12 +151,11 @@ def quality_mark_drop(spark, sf):
 
 @query
 def stream_score(spark, sf):
-    """The marked scores again, with the orders read as a stream of files."""
-    orders = file_stream(
-        spark, sf, table(spark, sf, "orders").schema, file_format="parquet", name_filter="orders.parquet"
+    """The marked scores again, with the table read as a stream of files."""
+    schema = table(spark, sf, "enriched").schema
+    rows = file_stream(
+        spark, stored_path(spark, sf, "enriched"), schema, files_per_batch=4, file_format="parquet"
     )
-    cases = derive(spark, "cases", {"orders": orders, "customer": table(spark, sf, "customer")})
-    rows = derive(spark, "enriched", {"cases": cases})
     out = scratch(spark, "stream-score")
     run_batches(
         rows,

@@ -12,15 +12,18 @@ from seedloom import fixed
 from seedloom.functions.numbers import round_exactly
 from seedloom.functions.text import as_column, strip, text
 
-# Python's \b and \d spelled out, so that the result does not depend on the Java version.
+# Python's \b and \d spelled out, so that the result does not depend on the Java
+# version. The look ahead at the first letter is for speed only; ſ is what
+# case-insensitive matching takes for an s as well.
 _WORD = r"[\p{L}\p{N}_]"
-_FREE_BEFORE, _FREE_AFTER = rf"(?<!{_WORD})", rf"(?!{_WORD})"
-KEYWORD_PATTERN = (
-    rf"(?iu){_FREE_BEFORE}(?:{'|'.join(fixed.TRACE_KEYWORDS)}){_FREE_AFTER}"
-)
-STEP_PATTERN = (
-    rf"(?iu){_FREE_BEFORE}(?:{'|'.join(fixed.TRACE_STEPS)}){_FREE_AFTER}|\p{{Nd}}+\."
-)
+
+
+def _whole_words(words: tuple[str, ...]) -> str:
+    return rf"(?<!{_WORD})(?iu:{'|'.join(words)})(?!{_WORD})"
+
+
+KEYWORD_PATTERN = rf"(?=[SsſWwJjGgHhOo]){_whole_words(fixed.TRACE_KEYWORDS)}"
+STEP_PATTERN = rf"(?=[SsſFfNnTt\p{{Nd}}])(?:{_whole_words(fixed.TRACE_STEPS)}|\p{{Nd}}++\.)"
 
 
 def any_of(tests: list[Column]) -> Column:
@@ -29,7 +32,11 @@ def any_of(tests: list[Column]) -> Column:
 
 def feature_count(sql: Column | str) -> Column:
     """How many SQL feature groups leave a mark in the text (0 to 6)."""
-    upper = F.upper(text(sql))
+    return upper_feature_count(F.upper(text(sql)))
+
+
+def upper_feature_count(upper: Column) -> Column:
+    """The same of a text in upper case; the tests name it once per mark."""
     groups = [marks for marks in fixed.SQL_MARKS.values() if marks]
     return reduce(
         operator.add,
@@ -74,7 +81,7 @@ def trace_score(trace: Column | str) -> Column:
     return F.when(_long_enough(trace), F.least(F.lit(1.0), total)).otherwise(F.lit(0.0))
 
 
-def _upgrade_part(ok: Column, gain: Column) -> Column:
+def upgrade_part(ok: Column, gain: Column) -> Column:
     return (
         F.when(~ok, F.lit(fixed.IMPLAUSIBLE))
         .when(gain > 0, F.lit(fixed.HARDER))
@@ -99,7 +106,7 @@ def score_parts(
     """The four parts of the overall score: upgrade, variant, questions, trace."""
     gain = feature_count(upgraded_sql) - feature_count(sql)
     return (
-        _upgrade_part(plausible_sql(upgraded_sql), gain),
+        upgrade_part(plausible_sql(upgraded_sql), gain),
         F.when(plausible_sql(variant_sql), F.lit(fixed.VARIANT_OK)).otherwise(F.lit(fixed.VARIANT_BAD)),
         _question_part(upgraded_question) + _question_part(variant_question),
         trace_score(reasoning_trace),

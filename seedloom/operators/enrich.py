@@ -92,8 +92,18 @@ def required_fields(rows: DataFrame, fields: tuple[str, ...] = fixed.REQUIRED_FI
 def score_enriched(rows: DataFrame, threshold: float | None = fixed.MIN_SCORE) -> DataFrame:
     """Adds ``quality_score``; scores below the threshold become the reject mark."""
     names = ["_upgrade", "_variant", "_questions", "_trace"]
-    parts = rows.select("*", *[part.alias(n) for n, part in zip(names, score.score_parts())])
-    scored = parts.withColumn("_score", score.weigh(tuple(F.col(n) for n in names)))
+    _, *parts = score.score_parts()
+    # In stages, because each of these columns is named several times by the next.
+    staged = rows.withColumns({"_old": F.upper(text("sql")), "_new": F.upper(text("upgraded_sql"))})
+    staged = staged.withColumn(
+        "_gain",
+        score.upper_feature_count(F.col("_new")) - score.upper_feature_count(F.col("_old")),
+    )
+    upgrade = score.upgrade_part(score.plausible_sql("upgraded_sql"), F.col("_gain"))
+    staged = staged.select(
+        *rows.columns, *[part.alias(n) for n, part in zip(names, [upgrade, *parts])]
+    )
+    scored = staged.withColumn("_score", score.weigh(tuple(F.col(n) for n in names)))
     marked = F.col("_score") if threshold is None else score.mark_rejected(F.col("_score"), threshold)
     return scored.withColumn("quality_score", marked).drop(*names, "_score")
 

@@ -182,12 +182,7 @@ _stored: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def derive(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFrame:
-    """A derived table's plan over the tables it needs."""
-    return spark.sql(DERIVED[name], **{need: tables[need] for need in needs(name)})
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -196,14 +191,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return given(spark, sf_dir, name)
     place = (spark.conf.get("spark.app.id", ""), sf_dir, name)
     if place not in _stored:
-        plan = derive(spark, name, {need: table(spark, sf_dir, need) for need in needs(name)})
+        plan = spark.sql(DERIVED[name], **{need: table(spark, sf_dir, need) for need in needs(name)})
         path = scratch(spark, name)
-        store(spread(plan), path)
+        store(plan, path)
         _stored[place] = path, plan.schema
     path, schema = _stored[place]
     return spark.read.schema(schema).parquet(path)
 
 
+def stored_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Folder of a stored derived table, for queries that read files themselves."""
+    table(spark, sf_dir, name)
+    return _stored[(spark.conf.get("spark.app.id", ""), sf_dir, name)][0]
+
+
 def with_tables(body: str, *names: str) -> str:
     """DuckDB text: the derived tables the body reads as CTEs, then the body.
 
