@@ -135,7 +135,8 @@ def quality_score(spark, sf):
 
 @query
 def quality_score_exact(spark, sf):
-    return table(spark, sf, "enriched").select("ex_id", score.quality_score_exact().alias("quality_score"))
+    scored = enrich.score_enriched(table(spark, sf, "enriched"), threshold=None, exact=True)
+    return scored.select("ex_id", "quality_score")
 
 
 @query

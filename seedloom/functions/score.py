@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from seedloom import fixed
 from seedloom.functions.numbers import round_exactly
-from seedloom.functions.text import as_column, strip, text
+from seedloom.functions.text import strip, text
 
 # Python's \b and \d spelled out, so that the result does not depend on the Java
 # version. The look ahead at the first letter is for speed only; ſ is what
@@ -66,19 +66,25 @@ def step_count(trace: Column | str) -> Column:
     return F.regexp_count(text(trace), F.lit(STEP_PATTERN))
 
 
-def _long_enough(trace: Column | str) -> Column:
+def long_enough(trace: Column | str) -> Column:
     return F.length(strip(trace)) >= fixed.TRACE_MIN_LEN
 
 
 def trace_score(trace: Column | str) -> Column:
     """Length, SQL words and step words of a trace, each capped; 0 to 1."""
-    length = F.length(text(trace)).cast("double")
+    return trace_points(
+        long_enough(trace), F.length(text(trace)), keyword_count(trace), step_count(trace)
+    )
+
+
+def trace_points(long_enough: Column, length: Column, keywords: Column, steps: Column) -> Column:
+    """The trace score out of its counts."""
     total = (
-        F.least(F.lit(fixed.LENGTH_CAP), length / F.lit(float(fixed.LENGTH_DIVISOR)))
-        + F.least(F.lit(fixed.KEYWORD_CAP), keyword_count(trace).cast("double") * F.lit(fixed.KEYWORD_GAIN))
-        + F.least(F.lit(fixed.STEP_CAP), step_count(trace).cast("double") * F.lit(fixed.STEP_GAIN))
+        F.least(F.lit(fixed.LENGTH_CAP), length.cast("double") / F.lit(float(fixed.LENGTH_DIVISOR)))
+        + F.least(F.lit(fixed.KEYWORD_CAP), keywords.cast("double") * F.lit(fixed.KEYWORD_GAIN))
+        + F.least(F.lit(fixed.STEP_CAP), steps.cast("double") * F.lit(fixed.STEP_GAIN))
     )
-    return F.when(_long_enough(trace), F.least(F.lit(1.0), total)).otherwise(F.lit(0.0))
+    return F.when(long_enough, F.least(F.lit(1.0), total)).otherwise(F.lit(0.0))
 
 
 def upgrade_part(ok: Column, gain: Column) -> Column:
@@ -128,15 +134,17 @@ def _thousandths(value: float) -> int:
     return round(value * 1000)
 
 
-def weigh_exactly(parts: tuple[Column, ...], length: Column, keywords: Column, steps: Column) -> Column:
+def weigh_exactly(
+    parts: tuple[Column, ...], long_enough: Column, length: Column, keywords: Column, steps: Column
+) -> Column:
     """The same score in whole thousandths, halves up: free of double arithmetic.
 
-    It differs from :func:`weigh` by 0.001, and only on ties.
+    ``parts`` are those before the trace, which is given by its counts. It
+    differs from :func:`weigh` by 0.001, and only on ties.
     """
-    upgrade, variant, questions, trace = parts
-    milli = [F.rint(part * F.lit(1000.0)).cast("long") for part in (upgrade, variant, questions)]
+    milli = [F.rint(part * F.lit(1000.0)).cast("long") for part in parts]
     trace_milli = F.when(
-        trace > 0,
+        long_enough,
         F.least(F.lit(_thousandths(fixed.LENGTH_CAP)), length)
         + F.least(F.lit(_thousandths(fixed.KEYWORD_CAP)), keywords * F.lit(_thousandths(fixed.KEYWORD_GAIN)))
         + F.least(F.lit(_thousandths(fixed.STEP_CAP)), steps * F.lit(_thousandths(fixed.STEP_GAIN))),
@@ -149,14 +157,6 @@ def weigh_exactly(parts: tuple[Column, ...], length: Column, keywords: Column, s
     return F.floor((total + F.lit(50)) / F.lit(100)) / F.lit(1000.0)
 
 
-def quality_score_exact(**columns: Column | str) -> Column:
-    """Half-up variant of :func:`quality_score`."""
-    trace = as_column(columns.get("reasoning_trace", "reasoning_trace"))
-    return weigh_exactly(
-        score_parts(**columns), F.length(text(trace)), keyword_count(trace), step_count(trace)
-    )
-
-
 def mark_rejected(score: Column, threshold: float = fixed.MIN_SCORE) -> Column:
     """Scores below the threshold become the reject mark; the row stays."""
     return F.when(score < F.lit(threshold), F.lit(fixed.REJECTED)).otherwise(score)

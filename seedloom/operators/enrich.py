@@ -89,23 +89,44 @@ def required_fields(rows: DataFrame, fields: tuple[str, ...] = fixed.REQUIRED_FI
     return rows
 
 
-def score_enriched(rows: DataFrame, threshold: float | None = fixed.MIN_SCORE) -> DataFrame:
-    """Adds ``quality_score``; scores below the threshold become the reject mark."""
-    names = ["_upgrade", "_variant", "_questions", "_trace"]
-    _, *parts = score.score_parts()
-    # In stages, because each of these columns is named several times by the next.
-    staged = rows.withColumns({"_old": F.upper(text("sql")), "_new": F.upper(text("upgraded_sql"))})
-    staged = staged.withColumn(
-        "_gain",
-        score.upper_feature_count(F.col("_new")) - score.upper_feature_count(F.col("_old")),
+def score_enriched(
+    rows: DataFrame, threshold: float | None = fixed.MIN_SCORE, exact: bool = False
+) -> DataFrame:
+    """Adds ``quality_score``; scores below the threshold become the reject mark.
+
+    ``exact=True`` rounds halves up in whole numbers and not as doubles do. The
+    columns are made in stages, because each stage names those of the one before
+    several times.
+    """
+    trace = "reasoning_trace"
+    _, variant, questions, _ = score.score_parts()
+    staged = rows.withColumns(
+        {
+            "_old": F.upper(text("sql")),
+            "_new": F.upper(text("upgraded_sql")),
+            "_variant": variant,
+            "_questions": questions,
+            "_long": score.long_enough(trace),
+            "_length": F.length(text(trace)),
+            "_keywords": score.keyword_count(trace),
+            "_steps": score.step_count(trace),
+        }
     )
-    upgrade = score.upgrade_part(score.plausible_sql("upgraded_sql"), F.col("_gain"))
-    staged = staged.select(
-        *rows.columns, *[part.alias(n) for n, part in zip(names, [upgrade, *parts])]
+    gain = score.upper_feature_count(F.col("_new")) - score.upper_feature_count(F.col("_old"))
+    staged = staged.withColumn("_gain", gain)
+    staged = staged.withColumn(
+        "_upgrade", score.upgrade_part(score.plausible_sql("upgraded_sql"), F.col("_gain"))
     )
-    scored = staged.withColumn("_score", score.weigh(tuple(F.col(n) for n in names)))
+    parts = (F.col("_upgrade"), F.col("_variant"), F.col("_questions"))
+    counts = [F.col(name) for name in ("_long", "_length", "_keywords", "_steps")]
+    if exact:
+        whole = score.weigh_exactly(parts, *counts)
+    else:
+        whole = score.weigh((*parts, score.trace_points(*counts)))
+    scored = staged.withColumn("_score", whole)
     marked = F.col("_score") if threshold is None else score.mark_rejected(F.col("_score"), threshold)
-    return scored.withColumn("quality_score", marked).drop(*names, "_score")
+    kept = [name for name in rows.columns if name != "quality_score"]
+    return scored.select(*kept, marked.alias("quality_score"))
 
 
 def dry_run(rows: DataFrame, key: str = "ex_id", n: int = fixed.MOCK_ROWS) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from seedloom.sources.files import small_table
+
 # At most this many levels pass through the driver and a broadcast table; beyond
 # it the callers rank in the cluster (see level_rank).
 MAX_LEVELS = 1000
@@ -144,7 +146,9 @@ def with_cut(df: DataFrame, cuts: dict[str, list[str]], by: Column, name: str =
     rows = [(level, cut[0]) for level, cut in sorted(cuts.items())]
     if len(rows) > MAX_LEVELS:
         raise TooManyLevels
-    table = df.sparkSession.createDataFrame(rows, f"_level string, {name} string")
+    if not rows:
+        return df.withColumn(name, F.lit(NONE))
+    table = small_table(df.sparkSession, rows, ("_level", name))
     return df.join(F.broadcast(table), by.cast("string") == F.col("_level"), "left").drop("_level")
 
 

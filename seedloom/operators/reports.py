@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from seedloom import fixed
 from seedloom.functions.numbers import share
 from seedloom.functions.text import default, text
+from seedloom.sources.files import small_table
 
 BLOCK = "█"
 
 
 def levels_table(like: DataFrame, levels: tuple[str, ...] = fixed.LEVELS) -> DataFrame:
     """The fixed levels with their order (a handful of rows)."""
-    return like.sparkSession.createDataFrame(
-        [(name, at) for at, name in enumerate(levels)], "level string, ord int"
-    )
+    rows = [(name, at) for at, name in enumerate(levels)]
+    return small_table(like.sparkSession, rows, ("level", "ord"))
 
 
 def kept_ratio(df: DataFrame, condition: Column) -> DataFrame:

@@ -18,6 +18,8 @@ def build_session(app: str = "seedloom", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Call sites of column functions in error messages cost more than the functions.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update(conf)
     builder = SparkSession.builder.appName(app)

@@ -81,6 +81,12 @@ def load_table(spark: SparkSession, path: str, split: str | None = None, schema:
     return df if split is None else df.where(F.col("split") == split)
 
 
+def small_table(spark: SparkSession, rows: list[tuple], names: tuple[str, ...]) -> DataFrame:
+    """A few literal rows as a frame, without a Python worker."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The rows over all cores where the input has fewer parts than that.
 
