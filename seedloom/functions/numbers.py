@@ -1,4 +1,4 @@
-"""Rounding that agrees with Python's ``round`` on doubles of at most 999."""
+"""Rounding that agrees with Python's ``round`` on doubles between 0 and 999."""
 
 from __future__ import annotations
 
@@ -11,12 +11,19 @@ def round_exactly(value: Column, digits: int) -> Column:
 
     Spark's ``round`` decides on the shortest decimal text of a double, Python on
     the double itself: the double written 0.7105 is a hair below it and goes down.
-    ``format_number`` looks at the exact value as Python does. It also names
-    ``value`` only once, which keeps the generated code small.
+    ``format_number`` looks at the exact value as Python does, but only for values
+    of at least one unit in the last place. It names ``value`` only once, which
+    keeps the generated code small.
     """
     return F.format_number(value, digits).cast("double")
 
 
 def share(part: Column, whole: Column, digits: int = 4) -> Column:
     """``part / whole`` rounded; null where there is nothing to divide by."""
-    return F.when(whole > 0, round_exactly(part.cast("double") / whole.cast("double"), digits))
+    value = part.cast("double") / whole.cast("double")
+    unit = 10.0**-digits
+    half = unit / 2
+    up = value >= half if round(half, digits) > 0 else value > half
+    tiny = F.when(up, F.lit(unit)).otherwise(F.lit(0.0))
+    rounded = F.when(value < unit, tiny).otherwise(round_exactly(value, digits))
+    return F.when(whole > 0, rounded)

@@ -1,0 +1,99 @@
+import sys
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from seedloom.functions import text
+
+
+def one(values, column, *args):
+    names = [chr(ord("a") + at) for at in range(len(args))]
+    df = values(", ".join(f"{name} string" for name in names), [args])
+    return df.select(column(*names)).first()[0]
+
+
+def test_white_space_is_what_python_strips():
+    assert sorted(text.WHITESPACE) == [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace()]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet=text.WHITESPACE + "ab;é​", max_size=12), min_size=20, max_size=40))
+def test_strip_agrees_with_python(values, samples):
+    df = values("a string", [(s,) for s in samples])
+    for raw, stripped in df.select("a", text.strip("a")).collect():
+        assert stripped == raw.strip()
+
+
+@pytest.mark.parametrize(
+    "raw, expected",
+    [
+        ("  SELECT  1 ;; ", "select 1 "),
+        ("SELECT a\n\tFROM t", "select a from t"),
+        ("Select  x;", "select x"),
+        (";", ""),
+        (None, ""),
+        ("a;b;", "a;b"),
+    ],
+)
+def test_canonical_sql(values, raw, expected):
+    assert one(values, text.canonical_sql, raw) == expected
+
+
+@pytest.mark.parametrize(
+    "predicted, gold, same",
+    [
+        ("select 1", "SELECT  1;", True),
+        ("select 1 ;", "select 1", False),
+        (None, "", True),
+        ("select 1", "select 2", False),
+    ],
+)
+def test_exact_match(values, predicted, gold, same):
+    assert one(values, text.exact_match, predicted, gold) is same
+
+
+@pytest.mark.parametrize(
+    "raw, expected",
+    [
+        ("a<think>x\ny</think>b", "ab"),
+        ("<think>1</think> a <think>2</think>", "a"),
+        ("<think>open end", "<think>open end"),
+        ("</think> a", "</think> a"),
+        (None, ""),
+    ],
+)
+def test_drop_reasoning(values, raw, expected):
+    assert one(values, text.drop_reasoning, raw) == expected
+
+
+@pytest.mark.parametrize(
+    "raw, first, found",
+    [
+        ("x [SQL]\nselect 1\n[/SQL] [SQL]b[/SQL]", "select 1", ["select 1", "b"]),
+        ("[SQL]no end", "", []),
+        ("[SQL][/SQL]", "", [""]),
+        ("[sql]a[/sql]", "", []),
+        ("[SQL]a[SQL]b[/SQL]", "a[SQL]b", ["a[SQL]b"]),
+        (None, "", []),
+    ],
+)
+def test_tags(values, raw, first, found):
+    assert one(values, lambda c: text.tagged(c, "SQL"), raw) == first
+    assert one(values, lambda c: text.tagged_all(c, "SQL"), raw) == found
+
+
+def test_ddl_statements(values):
+    ddl = "CREATE TABLE a (x INT);\n ;INSERT INTO a VALUES (';');"
+    assert one(values, text.ddl_statements, ddl) == ["CREATE TABLE a (x INT)", "INSERT INTO a VALUES ('", "')"]
+
+
+def test_templates_do_not_fill_in_values(values):
+    df = values("sql string, domain string", [("{{ domain }} {sql}", "d")])
+    assert df.select(text.fill_prompt("a {{ sql }} b {{domain}}", sql="sql", domain="domain")).first()[0] == (
+        "a {{ domain }} {sql} b d"
+    )
+    assert df.select(text.fill_template("{sql}-{domain}", sql="sql", domain=F.lit(None))).first()[0] == (
+        "{{ domain }} {sql}-"
+    )
