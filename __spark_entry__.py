@@ -26,6 +26,7 @@ from seedloom.operators import (  # noqa: E402
     reports,
     sampling,
 )
+from seedloom.plans import steps  # noqa: E402
 from seedloom.session import scratch  # noqa: E402
 from seedloom.sources import files  # noqa: E402
 from seedloom.streaming.batches import file_stream, run_batches  # noqa: E402
@@ -300,6 +301,24 @@ def stage_requests(spark, sf):
     )
 
 
+@query
+def stream_requests(spark, sf):
+    """The prompts again, seed rows coming in as a stream of files and going out as JSON lines."""
+    schema = table(spark, sf, "doc_rows").schema
+    rows = file_stream(
+        spark, stored_path(spark, sf, "doc_rows"), schema, files_per_batch=4, file_format="parquet"
+    )
+    out = scratch(spark, "stream-requests")
+    run_batches(
+        rows, enrich.stage_requests, out, scratch(spark, "stream-requests-checkpoint"),
+        pause_seconds=None, file_format="json",
+    ).awaitTermination()
+    requests = files.read_jsonl(spark, out, enrich.stage_requests(table(spark, sf, "doc_rows")).schema)
+    return requests.select(
+        "ex_id", "stage", "max_tokens", "temperature", F.col("messages")[1]["content"].alias("user_text")
+    )
+
+
 @query
 def contract_check(spark, sf):
     return prepare.check_contract(table(spark, sf, "doc_rows")).groupBy("complexity").agg(
@@ -352,6 +371,14 @@ def required_fields(spark, sf):
     return enrich.required_fields(attached)
 
 
+@query
+def enrichment_chain(spark, sf):
+    parts = steps.answer_chain(_completions(spark, sf), score=True)
+    scored = steps.chain(table(spark, sf, "doc_rows"), *parts)
+    row = F.concat_ws("/", F.col("ex_id").cast("string"), F.col("choice_idx").cast("string"))
+    return scored.select(row.alias("ex_id"), "quality_score")
+
+
 @query
 def generation_summary(spark, sf):
     return reports.generation_summary(required_fields(spark, sf))

@@ -372,6 +372,7 @@ def build() -> dict[str, str]:
             f"""SELECT ex_id, {q(stage)} AS stage, {tokens} AS max_tokens, {dbl(heat)} AS temperature,
             {fill(fixed.PROMPTS[stage][1][1], r'{{ (\w+) }}')} AS user_text FROM doc_rows"""
             for stage, (tokens, heat, _, _) in fixed.STAGES.items()), "doc_rows")
+    o["stream_requests"] = o["stage_requests"]
     o["contract_check"] = with_tables("SELECT complexity, count(*) AS n FROM doc_rows GROUP BY complexity", "doc_rows")
     o["explode_choices"] = with_tables(CHOICES, "answers")
     o["parse_tags"] = with_tables(PARSED + " SELECT * FROM parsed", "answers")
@@ -382,6 +383,10 @@ def build() -> dict[str, str]:
         SELECT ex_id, stage, choice_idx, pos, {strip('found[pos + 1]')} AS sql FROM numbered""", "answers")
     o["attach_completions"] = with_tables(ATTACHED + " SELECT * FROM attached", "doc_rows", "answers")
     o["required_fields"] = with_tables(USEFUL + " SELECT * FROM useful", "doc_rows", "answers")
+    o["enrichment_chain"] = with_tables(
+        USEFUL + f""", enriched AS (SELECT * REPLACE (ex_id || '/' || choice_idx AS ex_id) FROM useful)
+        SELECT ex_id, CASE WHEN s < {dbl(0.7)} THEN {dbl(-1)} ELSE s END AS quality_score
+        FROM (SELECT ex_id, {SCORE} AS s FROM ({PARTS}))""", "doc_rows", "answers")
     o["generation_summary"] = with_tables(
         USEFUL + """ SELECT 'total' AS section, 'all' AS label, count(*) AS n FROM useful
         UNION ALL SELECT 'domain', domain, n FROM (

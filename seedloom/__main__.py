@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from seedloom import fixed
 from seedloom.operators import enrich
@@ -59,9 +59,8 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
-def _raw(spark: SparkSession, path: str, split: str | None) -> DataFrame:
-    raw = files.load_table(spark, path, split)
-    return raw if "ex_id" in raw.columns else files.with_row_keys(raw, scratch(spark, "raw"))
+def _keyed(df: DataFrame, name: str) -> DataFrame:
+    return files.ensure_row_keys(df, scratch(df.sparkSession, name))
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -69,7 +68,8 @@ def main(arguments: list[str] | None = None) -> None:
     spark = build_session()
 
     if args.step == "prepare":
-        done = steps.prepare_seed(_raw(spark, args.raw, args.split), args.n_samples, args.out, args.seed)
+        raw = _keyed(files.load_table(spark, args.raw, args.split), "raw")
+        done = steps.prepare_seed(raw, args.n_samples, args.out, args.seed)
         reports = [done.kept, done.levels]
     elif args.step == "request":
         rows = files.read_jsonl(spark, args.seed_rows, files.SEED)
@@ -86,8 +86,10 @@ def main(arguments: list[str] | None = None) -> None:
         done = steps.collect_completions(rows, completions, args.out, args.score)
         reports = [done.kept, done.summary]
     elif args.step == "mix":
-        rows = files.read_jsonl(spark, args.seed_rows, files.SEED)
-        made = files.read_jsonl(spark, args.enriched, files.ENRICHED) if args.enriched else None
+        rows = _keyed(files.read_jsonl(spark, args.seed_rows, files.SEED), "seed")
+        made = None
+        if args.enriched:
+            made = _keyed(files.read_jsonl(spark, args.enriched, files.ENRICHED), "enriched")
         done = steps.build_examples(
             rows, made, args.out, args.seed_ratio, args.synthetic_ratio, args.seed, args.split_by
         )

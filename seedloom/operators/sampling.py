@@ -113,6 +113,11 @@ def stratified_sample(
     return sampled.select(*df.columns)
 
 
+def union_all(*parts: DataFrame) -> DataFrame:
+    """Bag union by column name; absent columns read as null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def mix(
     seed_rows: DataFrame,
     synthetic_rows: DataFrame,
@@ -132,17 +137,12 @@ def mix(
         return seed_rows
     seeds = KeyOrder(seed_rows, order)
     total = seeds.size + synthetic.size
-    return seed_rows.where(up_to(order, seeds.cut(int(total * seed_ratio)))).unionByName(
+    return union_all(
+        seed_rows.where(up_to(order, seeds.cut(int(total * seed_ratio)))),
         synthetic_rows.where(up_to(order, synthetic.cut(int(total * synthetic_ratio)))),
-        allowMissingColumns=True,
     )
 
 
-def union_all(*parts: DataFrame) -> DataFrame:
-    """Bag union by column name; absent columns read as null."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
 def _split(df: DataFrame, order: Column, counted: KeyOrder, train_ratio: float, eval_ratio: float) -> DataFrame:
     train = int(counted.size * train_ratio)
     evals = int(counted.size * eval_ratio)

@@ -7,6 +7,8 @@ read single columns of that table and not the step's whole lineage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial, reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -19,6 +21,25 @@ from seedloom.session import scratch
 from seedloom.sources import files
 
 
+def chain(df: DataFrame, *parts: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The frame after every part in turn; parts with arguments come as ``partial``."""
+    return reduce(DataFrame.transform, parts, df)
+
+
+def answer_chain(
+    completions: DataFrame, score: bool = False, threshold: float = fixed.MIN_SCORE
+) -> list[Callable[[DataFrame], DataFrame]]:
+    """What happens to seed rows once their answers are there, as parts for :func:`chain`."""
+    parts = [
+        prepare.check_contract,
+        partial(enrich.attach_completions, completions=completions, keep_missing=False),
+        enrich.required_fields,
+    ]
+    if score:
+        parts.append(partial(enrich.score_enriched, threshold=threshold))
+    return parts
+
+
 class Prepared(NamedTuple):
     full: DataFrame
     sample: DataFrame

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -30,16 +29,21 @@ def build_session(app: str = "seedloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_local_roots: dict[str, str] = {}
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
 
     Only a local session, as in tests, may go without that setting; it then
-    gets a temporary folder, which is remembered in the session.
+    gets one temporary folder of its own.
     """
     root = spark.conf.get(SCRATCH_CONF, None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {SCRATCH_CONF} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set(SCRATCH_CONF, root)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+        app = spark.conf.get("spark.app.id", "")
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        root = _local_roots[app]
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -87,15 +87,6 @@ def small_table(spark: SparkSession, rows: list[tuple], names: tuple[str, ...])
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The rows over all cores where the input has fewer parts than that.
-
-    A large input has more parts than cores and comes back as it is, unshuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def store(df: DataFrame, path: str) -> DataFrame:
     """The rows as a Parquet table at ``path``, read back: cuts the lineage and survives executors."""
     df.write.mode("overwrite").parquet(path)
@@ -111,6 +102,13 @@ def with_row_keys(df: DataFrame, path: str) -> DataFrame:
     return store(df.withColumn("ex_id", F.monotonically_increasing_id()), path)
 
 
+def ensure_row_keys(df: DataFrame, path: str, key: str = "ex_id") -> DataFrame:
+    """The rows as they are where all have a key, else with new ones stored at ``path``."""
+    if key in df.columns and df.where(F.col(key).isNull()).isEmpty():
+        return df
+    return with_row_keys(df.drop(key), path)
+
+
 def read_tests(spark: SparkSession, path: str) -> DataFrame:
     """Test examples; rows that are in chat form already are left out."""
     both = T.StructType(EXAMPLE.fields + [T.StructField("messages", MESSAGES)])

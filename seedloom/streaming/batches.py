@@ -38,14 +38,15 @@ def run_batches(
     out: str,
     checkpoint: str,
     pause_seconds: int | None = fixed.BATCH_PAUSE_SECONDS,
+    file_format: str = "parquet",
 ) -> StreamingQuery:
-    """Apply ``step`` to every batch and append to a Parquet folder, each row once.
+    """Apply ``step`` to every batch and append to a folder of files, each row once.
 
     Batches start ``pause_seconds`` apart; with ``None`` all files there are now
     are worked off without a pause and the query ends.
     """
     writer = (
-        step(rows).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        step(rows).writeStream.format(file_format).option("path", out).option("checkpointLocation", checkpoint)
     )
     if pause_seconds is None:
         return writer.trigger(availableNow=True).start()
