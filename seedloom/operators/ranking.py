@@ -62,7 +62,8 @@ class KeyOrder:
     def __init__(self, df: DataFrame, key: Column, by: Column | None = None) -> None:
         level = F.lit("") if by is None else by.cast("string")
         self._keyed = df.select(level.alias("level"), key.alias("key"))
-        rows = self._prefix_counts(self._keyed, PREFIX_STEP).limit(MAX_LEVELS * FANOUT + 1).collect()
+        counts = self._prefix_counts(self._keyed, PREFIX_STEP).orderBy("level", "prefix")
+        rows = counts.limit(MAX_LEVELS * FANOUT + 1).collect()
         self._counts: dict[str, dict[str, int]] = {} if by is not None else {"": {}}
         for row in rows:
             self._counts.setdefault(row.level, {})[row.prefix] = row.n

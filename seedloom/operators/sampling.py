@@ -176,11 +176,12 @@ def split_groups(
 ) -> DataFrame:
     """The same over distinct group values: rows of one group never part.
 
-    The cuts are found on the distinct values; the rows are labelled by their
-    group's key alone, so there is no join and a hot group does no harm.
+    The cuts are found on the distinct values, stored once; the rows are labelled
+    by their group's key alone, so there is no join and a hot group does no harm.
     """
     order = order_key(F.coalesce(F.col(group).cast("string"), F.lit("")), seed, "split")
-    counted = KeyOrder(df.select(group).distinct(), order)
+    groups = store(df.select(group).distinct(), scratch(df.sparkSession, "groups"))
+    counted = KeyOrder(groups, order)
     return _split(df, order, counted, train_ratio, eval_ratio)
 
 

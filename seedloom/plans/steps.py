@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from seedloom import fixed
 from seedloom.functions.chat import inference_messages
+from seedloom.functions.text import filled
 from seedloom.operators import compare, enrich, examples, execute, prepare, reports, sampling
 from seedloom.session import scratch
 from seedloom.sources import files
@@ -70,6 +71,7 @@ def request_completions(
     """Prompts of all stages for ``n`` (or all) seed rows, for an inference service to answer."""
     rows = prepare.check_contract(seed_rows)
     if n:
+        rows = files.store(rows, scratch(rows.sparkSession, "seed-rows"))
         rows = sampling.exact_sample(rows, n, seed=seed, purpose="enrich")
     requests = enrich.stage_requests(rows)
     if out:
@@ -104,7 +106,7 @@ def collect_completions(
         files.write_jsonl(rows, out)
     complete = F.lit(True)
     for name in fixed.REQUIRED_FIELDS:
-        complete = complete & enrich.filled(name)
+        complete = complete & filled(name)
     return Enriched(rows, reports.kept_ratio(attached, complete), reports.generation_summary(rows))
 
 
@@ -199,6 +201,7 @@ def evaluate(
     """
     spark = tests.sparkSession
     if n:
+        tests = files.store(tests, scratch(spark, "tests"))
         tests = sampling.exact_sample(tests, n, key, seed, "evaluate")
     aligned = compare.with_exact_match(compare.align_predictions(tests, predictions, key))
     executions = files.store(execute.execute_pairs(aligned, key), scratch(spark, "executions"))

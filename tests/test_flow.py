@@ -100,6 +100,35 @@ def test_attach(values):
     assert enrich.required_fields(attached).count() == 1
 
 
+def test_hot_row_is_split(spark):
+    """A third of all answers belong to one seed row: the join spreads them over tasks."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {name: spark.conf.get(name) for name in changed}
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        base = spark.range(20000).selectExpr(
+            "id AS ex_id", "'q' AS question", "'s' AS schema", "'x' AS sql", "'c' AS complexity", "'d' AS domain"
+        )
+        done = spark.range(20000).selectExpr(
+            "CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS ex_id", "'trace' AS stage",
+            "CASE WHEN id % 3 = 0 THEN cast(id AS int) ELSE 0 END AS choice_idx",
+            "concat('[REASONING]', sha2(string(id), 512), '[/REASONING]') AS content",
+        )
+        total = enrich.attach_completions(base, done).agg(F.count("ex_id"), F.count_distinct("reasoning_trace"))
+        assert tuple(total.first()) == (26666, 20000)  # two answers share choice 0 of row 7
+        assert "skew=true" in plan_of(total)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_required_fields_ignore_white_space(values):
     df = values("upgraded_sql string, upgraded_question string, reasoning_trace string",
                 [("a", "b", "c"), ("a", " \n", "c"), ("a", "b", None), (" ", "b", "c")])
