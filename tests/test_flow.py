@@ -122,7 +122,7 @@ def test_hot_row_is_split(spark):
             "concat('[REASONING]', sha2(string(id), 512), '[/REASONING]') AS content",
         )
         total = enrich.attach_completions(base, done).agg(F.count("ex_id"), F.count_distinct("reasoning_trace"))
-        assert tuple(total.first()) == (26666, 20000)  # two answers share choice 0 of row 7
+        assert tuple(total.collect()[0]) == (26666, 20000)  # two answers share choice 0 of row 7
         assert "skew=true" in plan_of(total)
     finally:
         for name, value in before.items():
