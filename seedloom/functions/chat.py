@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from seedloom import fixed
-from seedloom.functions.text import as_column, default, fill_prompt, fill_template, strip, text
+from seedloom.functions.text import as_column, default, fill_prompt, fill_template, strip
 
 
 def message(role: str, content: Column) -> Column:

@@ -123,6 +123,8 @@ def test_evaluate(values, tmp_path):
                     (3, "q", DDL, "SELECT b FROM t", "CTEs")])
     predictions = values("ex_id long, pred_sql string",
                          [(1, "<think>hm</think>\nselect  a from t"), (2, "SELECT b FROM t ORDER BY a")])
+    asked = steps.inference_requests(tests).first().messages
+    assert [m.role for m in asked] == ["system", "user"] and asked[1].content.endswith("\n\nQuestion: q")
     done = steps.evaluate(tests, predictions, str(tmp_path / "eval"))
     assert rows_of(done.results.select("ex_id", "pred_sql", "exact_match", "execution_match")) == [
         (1, "select  a from t", True, True), (2, "SELECT b FROM t ORDER BY a", False, True), (3, "", False, False),
