@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
+from types import ModuleType
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -46,12 +48,37 @@ def entry(spark: SparkSession) -> DataFrame:
     return seed_level_report(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def _optional(name: str) -> ModuleType | None:
+    """A module of the optional subpackage ``llm``; None only where the module itself is absent."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as absent:
+        if absent.name not in (name, "seedloom.llm"):
+            raise
+        return None
+
+
+_llm = _optional("seedloom.llm.queries")
+_pipeline = _optional("corpus_pipeline") if _llm else None
+
+
+def core_queries() -> dict[str, Query]:
+    """The queries without those of the optional subpackage."""
     return dict(_QUERIES)
 
 
+def queries() -> dict[str, Query]:
+    more = dict(_llm.QUERIES) if _llm else {}
+    if _pipeline:
+        more["pipeline"] = _pipeline.run
+    return core_queries() | more
+
+
 def oracle_sql() -> dict[str, str]:
-    return oracles.build()
+    more = dict(_llm.SQL) if _llm else {}
+    if _pipeline and _pipeline.ORACLE_SQL:
+        more["pipeline"] = _pipeline.ORACLE_SQL
+    return oracles.build() | more
 
 
 # --- seed rows ---------------------------------------------------------------

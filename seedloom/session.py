@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,7 +41,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get(SCRATCH_CONF, None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError(f"set {SCRATCH_CONF} to a folder all executors share")
         app = spark.conf.get("spark.app.id", "")
         if app not in _local_roots:
