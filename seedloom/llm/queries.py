@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedloom.llm import bpe, packing, token_counts
+from seedloom.llm import bpe, packing, quality_classifier, quality_rules, token_counts
 from seedloom.llm.frames import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,15 @@ def query(make):
     return make
 
 
+@query
+def op1_quality_rules(spark, sf):
+    judged = quality_rules.judge(read(spark, sf, "documents").select("doc_id", "text"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select(
+        "doc_id", *[f"quality.{count}" for count in counts], "quality.base_failed", "quality.kept", "quality.posterior"
+    )
+
+
 @query
 def op3_token_counts(spark, sf):
     documents = read(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -42,6 +51,17 @@ def op5_bpe(spark, sf):
     )
 
 
+@query
+def op8_quality_classifier(spark, sf):
+    documents = read(spark, sf, "documents").select("doc_id", "text")
+    labelled = quality_classifier.labelled_rows(documents, read(spark, sf, "labels"))
+    scored = quality_classifier.score_texts(documents, quality_classifier.fit(labelled))
+    return scored.select(
+        "doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op10_packing(spark, sf):
     pieces = packing.pack_texts(read(spark, sf, "documents"), public_tokenizers.path(TOKENIZER), end_id=1)
