@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedloom.llm import bpe, packing, quality_classifier, quality_rules, token_counts
+from seedloom.llm import bpe, packing, quality_classifier, quality_rules, token_counts, topk
 from seedloom.llm.frames import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,26 @@ def op8_quality_classifier(spark, sf):
     )
 
 
+@query
+def op9_exact_topk(spark, sf):
+    return topk.top_k(read(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+SQL["op9_exact_topk"] = """
+    WITH rows AS MATERIALIZED (
+        SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256.0)) AS v
+        FROM embeddings
+        WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) = len(embedding)
+    ), scored AS (
+        SELECT q.row AS query_row, q.vec_id AS query_id, c.row AS row, c.vec_id AS vec_id,
+               list_inner_product(q.v, c.v)::BIGINT AS score
+        FROM rows q JOIN rows c ON q.vec_id % 50 = 0 AND q.row <> c.row
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id NULLS LAST, row) AS rank FROM scored
+    )
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
 @query
 def op10_packing(spark, sf):
     pieces = packing.pack_texts(read(spark, sf, "documents"), public_tokenizers.path(TOKENIZER), end_id=1)
