@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedloom.llm import bpe, packing, quality_classifier, quality_rules, token_counts, topk
+from seedloom.llm import bpe, packing, pii, quality_classifier, quality_rules, token_counts, topk
 from seedloom.llm.frames import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,17 @@ def op5_bpe(spark, sf):
     )
 
 
+#: For tests and queries only: a real run takes its key from a secret store.
+EXAMPLE_KEY = b"an example key, not a secret"
+
+
+@query
+def op6_pii(spark, sf):
+    done = pii.pseudonymize(read(spark, sf, "documents").select("doc_id", "text"), EXAMPLE_KEY)
+    counts = [F.col(f"found.{kind.name}").alias(f"n_{kind.name}") for kind in pii.KINDS]
+    return done.select("doc_id", "text", *counts)
+
+
 @query
 def op8_quality_classifier(spark, sf):
     documents = read(spark, sf, "documents").select("doc_id", "text")
