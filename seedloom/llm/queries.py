@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedloom.llm import bpe, packing, pii, quality_classifier, quality_rules, token_counts, topk
+from seedloom.llm import bpe, chat_views, packing, pii, quality_classifier, quality_rules, token_counts, topk, url_filter
 from seedloom.llm.frames import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,88 @@ def op1_quality_rules(spark, sf):
     )
 
 
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+@query
+def op2_url_filter(spark, sf):
+    judged = url_filter.judge(read(spark, sf, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "judged.*")
+
+
+SQL["op2_url_filter"] = r"""
+    WITH parsed AS MATERIALIZED (
+        SELECT row_number() OVER () AS row, page_id,
+               translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+               coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '') AS query
+        FROM pages
+    ), ruled AS MATERIALIZED (
+        SELECT *, CASE
+            WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+            WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+            WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+            WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+        FROM parsed
+    ), given AS MATERIALIZED (
+        SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS given FROM ruled
+    ), tok AS MATERIALIZED (
+        SELECT DISTINCT row, given, token FROM (
+            SELECT row, given, 'host:' || x AS token FROM (SELECT row, given, unnest(string_split(host, '.')) AS x FROM given) WHERE x <> ''
+            UNION ALL
+            SELECT row, given, 'path:' || regexp_replace(x, '[0-9]+', '0', 'g') FROM (SELECT row, given, unnest(string_split(path, '/')) AS x FROM given) WHERE x <> ''
+            UNION ALL
+            SELECT row, given, 'key:' || regexp_extract(x, '^[^=]*') FROM (SELECT row, given, unnest(string_split(query, '&')) AS x FROM given) WHERE regexp_extract(x, '^[^=]*') <> '')
+    ), combos AS MATERIALIZED (
+        SELECT row, given, 1 AS size, token AS name FROM tok
+        UNION ALL
+        SELECT a.row, a.given, 2, a.token || ' ' || b.token FROM tok a JOIN tok b ON a.row = b.row AND a.token < b.token
+        UNION ALL
+        SELECT a.row, a.given, 3, a.token || ' ' || b.token || ' ' || c.token
+        FROM tok a JOIN tok b ON a.row = b.row AND a.token < b.token JOIN tok c ON b.row = c.row AND b.token < c.token
+    ), examples AS (SELECT count(*) AS n FROM given WHERE given IS NOT NULL
+    ), rules AS (
+        SELECT name, size, verdict, n_both, n_both::DOUBLE / n_all::DOUBLE AS confidence FROM (
+            SELECT name, size, count(*) AS n_all, count(*) FILTER (given = 'block') AS n_block, count(*) FILTER (given = 'allow') AS n_allow
+            FROM combos WHERE given IS NOT NULL GROUP BY ALL
+        ), LATERAL (SELECT 'block' AS verdict, n_block AS n_both UNION ALL SELECT 'allow', n_allow)
+        WHERE n_both >= ceil(0.01 * (SELECT n FROM examples)) AND n_both > 0 AND n_both::DOUBLE / n_all::DOUBLE >= 0.8
+    ), mined AS (
+        SELECT row, verdict FROM combos JOIN rules USING (name, size) WHERE given IS NULL
+        QUALIFY row_number() OVER (PARTITION BY row ORDER BY confidence DESC, n_both DESC, size DESC, name, verdict) = 1
+    )
+    SELECT page_id, host, path, rule, coalesce(given, verdict, 'allow') AS verdict FROM given LEFT JOIN mined USING (row)"""
+
+
+@query
+def op4_chat_views(spark, sf):
+    return chat_views.views(read(spark, sf, "conversations")).withColumnRenamed("conversation", "conv_id")
+
+
+SQL["op4_chat_views"] = """
+    WITH turns AS MATERIALIZED (
+        SELECT row_number() OVER () AS row, conv_id, turn, role AS speaker, coalesce(text, '') AS text FROM conversations
+    ), people AS (
+        SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE coalesce(speaker <> 'system', true)
+    ), rendered AS (
+        SELECT t.*, p.perspective, t.speaker IS NOT DISTINCT FROM p.perspective AS own,
+               '<|im_start|>' || CASE WHEN t.speaker IS NOT DISTINCT FROM p.perspective THEN 'assistant'
+                                      WHEN t.speaker = 'system' THEN 'system'
+                                      ELSE 'user' || coalesce(' name=' || t.speaker, '') END || chr(10) AS head
+        FROM turns t JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+    ), placed AS (
+        SELECT *, head || text || '<|im_end|>' || chr(10) AS segment,
+               coalesce(sum(length(head) + length(text) + 11) OVER (
+                   PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker NULLS FIRST, text, row
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+        FROM rendered
+    )
+    SELECT conv_id, perspective, turn, speaker, segment, start::BIGINT AS start, length(segment) AS length,
+           CASE WHEN own THEN (start + length(head))::BIGINT END AS loss_start,
+           CASE WHEN own THEN length(text) + 10 ELSE 0 END AS loss_length
+    FROM placed"""
+
+
 @query
 def op3_token_counts(spark, sf):
     documents = read(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
