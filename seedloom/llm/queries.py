@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedloom.llm import bpe, chat_views, packing, pii, quality_classifier, quality_rules, token_counts, topk, url_filter
+from seedloom.llm import bpe, chat_views, jaccard_join, packing, pii, quality_classifier, quality_rules, token_counts, topk, url_filter
 from seedloom.llm.frames import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,6 +144,39 @@ def op6_pii(spark, sf):
     return done.select("doc_id", "text", *counts)
 
 
+@query
+def op7_jaccard_join(spark, sf):
+    joined = jaccard_join.JaccardJoin(read(spark, sf, "documents")).components()
+    return joined.select(
+        F.col("key").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
+    )
+
+
+SQL["op7_jaccard_join"] = r"""
+    WITH RECURSIVE words AS MATERIALIZED (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), sets AS MATERIALIZED (
+        SELECT DISTINCT doc_id, shingle FROM (
+            SELECT doc_id, unnest(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' ')) END) AS shingle
+            FROM words WHERE len(w) > 0)
+    ), sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+    ), links AS MATERIALIZED (
+        SELECT a.doc_id AS a, b.doc_id AS b FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+        JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+        GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))
+    ), reach(doc_id, other) AS (
+        SELECT doc_id, doc_id FROM documents
+        UNION
+        SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+    )
+    SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+    FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+    JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id"""
+
+
 @query
 def op8_quality_classifier(spark, sf):
     documents = read(spark, sf, "documents").select("doc_id", "text")
