@@ -34,6 +34,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ from pyspark.sql.types import (
 )
 
 from seedloom.llm.components import components
-from seedloom.llm.frames import stored
+from seedloom.llm.frames import free_name, stored
 
 RANK_BITS, HASH_BITS = 5, 59
 SKETCH_BITS, N_HASHES = 1024, 3
@@ -235,6 +236,7 @@ class JaccardJoin:
     """One self-join: the texts, their sets, links between sets, and components."""
 
     def __init__(self, df: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = 3, threshold: Threshold = Threshold()):
+        self.df, self.key, self.text = df, key, text
         self.texts = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
         self.size, self.threshold = size, threshold
         self.ranks = df.sparkSession.sparkContext.broadcast(frequent_words(self.texts))
@@ -325,8 +327,9 @@ class JaccardJoin:
         expanded = pairs.join(a, ["group_a", "label_a"]).join(b, ["group_b", "label_b"])
         return expanded.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
-    def components(self) -> DataFrame:
-        """``key, n, component`` per row of the input: its set's size and the smallest key in reach."""
+    @cached_property
+    def labels(self) -> DataFrame:
+        """``node, label`` of the sets that have links; the label is the component's smallest node."""
         nodes = stored(self.nodes(), "nodes")
         near = self.verified(stored(self.hub_pairs(nodes), "pairs"), nodes)
         labels = components(near)
@@ -335,16 +338,49 @@ class JaccardJoin:
         )
         far = self.verified(stored(self.group_pairs(labelled), "pairs"), labelled)
         stars = labels.where(F.col("node") != F.col("label")).select(F.col("node").alias("a"), F.col("label").alias("b"))
-        final = components(stars.union(far.select("a", "b")))
-        of_set = self.sets.select("key", "n", "node").join(final, "node", "left")
-        of_set = of_set.select("key", "n", F.coalesce("label", "node").alias("label"))
-        smallest = of_set.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("key").alias("smallest"))
-        alone = F.col("label").isNull()
-        return of_set.join(smallest, "label", "left").select(
+        return components(stars.union(far.select("a", "b")))
+
+    def labelled_rows(self) -> DataFrame:
+        """The input's rows by key and text hash with size and label; no label without words."""
+        rows = self.sets.select("key", "text_hash", "n", "node").join(self.labels, "node", "left")
+        return rows.withColumn("label", F.coalesce("label", "node")).drop("node")
+
+    def components(self) -> DataFrame:
+        """``key, n, component`` per row of the input: its set's size and the smallest key in reach."""
+        rows = self.labelled_rows()
+        smallest = rows.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("key").alias("smallest"))
+        return rows.join(smallest, "label", "left").select(
             "key", F.coalesce("n", F.lit(0)).cast("long").alias("n"),
-            F.when(alone, F.col("key")).otherwise(F.col("smallest")).alias("component"),
+            F.when(F.col("label").isNull(), F.col("key")).otherwise(F.col("smallest")).alias("component"),
         )
 
+    def representatives(self) -> DataFrame:
+        """The input's rows with one row per component: the smallest key's, null keys last.
+
+        Rows that share key and text count as one, whatever their other columns; any of them
+        stays. Rows without words have no links, so all of them stay.
+        """
+        rows = self.labelled_rows().where(F.col("label").isNotNull())
+        order = F.struct(F.col("key").isNull(), "key", "text_hash")
+        best = rows.groupBy("label").agg(F.min(order).alias("best"))
+        marked = rows.join(best, "label").groupBy("key", "text_hash").agg(
+            F.max(order == F.col("best")).alias("stays"), F.count(F.lit(1)).alias("rows")
+        )
+        changed = stored(marked.where(~F.col("stays") | (F.col("rows") > 1)), "changed").select(
+            F.col("key").alias("of_key"), F.col("text_hash").alias("of_text"), "stays"
+        )
+        few = changed.count() <= BROADCAST_ROWS
+        name = free_name(self.df, "text_hash")
+        hashed = self.df.withColumn(name, F.xxhash64(F.col(self.text).cast("string")))
+
+        def having(some: DataFrame, kind: str) -> DataFrame:
+            same = (F.col(name) == F.col("of_text")) & F.col(self.key).eqNullSafe(F.col("of_key"))
+            some = some.select(F.col("of_key"), F.col("of_text"))
+            return hashed.join(F.broadcast(some) if few else some, same, kind)
+
+        once = having(changed.where("stays"), "left_semi").dropDuplicates([self.key, name])
+        return having(changed, "left_anti").unionByName(once).drop(name)
+
 
 @F.arrow_udf(BinaryType())
 def _digest(contents: pa.Array) -> pa.Array:

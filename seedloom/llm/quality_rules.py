@@ -173,11 +173,11 @@ def fit_votes(combinations: np.ndarray, documents: np.ndarray, rounds: int = ROU
     return VoteModel(float(np.log(share / (1 - share))), tuple(map(tuple, weights.tolist())))
 
 
-def judge(df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows with a struct column ``quality``: the counts, ``base_failed``, ``posterior`` and ``kept``.
+def judge(df: DataFrame, text: str = "text", out: str = "quality", threshold: float = 0.5) -> DataFrame:
+    """The rows with a struct column ``out``: the counts, ``base_failed``, ``posterior`` and ``kept``.
 
     A row is kept if it passes the base rules and its posterior probability of being good
-    is at least ``threshold``. A column named ``quality`` is replaced.
+    is at least ``threshold``. A column named like ``out`` is replaced.
     """
     counted, name = with_new(df, "counts", text_counts(F.col(text).cast("string")))
     votes = list(rules(lambda count: F.col(f"{name}.{count}")).values())
@@ -199,4 +199,4 @@ def judge(df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFram
         (~failed & (F.col(probability) >= threshold)).alias("kept"),
     )
     result, new = with_new(rated, "verdict", verdict)
-    return result.withColumn("quality", F.col(new)).drop(*{name, probability, new} - {"quality"})
+    return result.withColumn(out, F.col(new)).drop(name, probability, new)

@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB text of the queries that SQL can express.
 SQL: dict[str, str] = {}
 TOKENIZER = "byte_bpe_50k.json"
+LEAST_SCORE = 0.3
 
 
 def query(make):
@@ -184,7 +185,7 @@ def op8_quality_classifier(spark, sf):
     scored = quality_classifier.score_texts(documents, quality_classifier.fit(labelled))
     return scored.select(
         "doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"), "score",
-        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        (F.col("score") >= LEAST_SCORE).cast("int").alias("predicted"),
     )
 
 
