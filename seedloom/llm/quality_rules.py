@@ -150,12 +150,12 @@ class VoteModel:
 #: Shares of bad, absent and good votes by class as they are taken to be before any is seen,
 #: and the weight of that belief as a share of the documents.
 BELIEF = {"good": (0.002, 0.498, 0.5), "bad": (0.3, 0.35, 0.35)}
-BELIEF_WEIGHT, GOOD_SHARE, ROUNDS = 0.1, 0.85, 100
+BELIEF_WEIGHT, GOOD_SHARE, ROUNDS = 0.02, 0.85, 100
 
 
 def fit_votes(combinations: np.ndarray, documents: np.ndarray, rounds: int = ROUNDS) -> VoteModel:
     """EM over combinations of votes (rows of -1, 0, 1) and the number of documents with each."""
-    n_rules = combinations.shape[1] if combinations.size else 0
+    n_rules = combinations.shape[1]
     shown = np.stack([combinations == value for value in (-1, 0, 1)], axis=2).astype(float)
     total = float(documents.sum())
     belief = np.stack([np.tile(BELIEF[name], (n_rules, 1)) for name in ("good", "bad")])

@@ -1,0 +1,165 @@
+"""The Jaccard join against all pairs, on families of copies and odd rows."""
+
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from seedloom.llm import jaccard_join
+from seedloom.llm.components import components
+from seedloom.llm.jaccard_join import JaccardJoin, Threshold
+
+
+def plain_set(text, size=3):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def plain_components(rows, over=90, under=100, size=3, root=False):
+    sets = [plain_set(text, size) for _, text in rows]
+    label = list(range(len(rows)))
+
+    def top(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if shared and under * shared >= over * len(sets[i] | sets[j]):
+                label[top(i)] = top(j)
+    members = defaultdict(list)
+    for i, (key, _) in enumerate(rows):
+        members[top(i)].append(key)
+    smallest = {r: min((k for k in keys if k is not None), default=None) for r, keys in members.items()}
+    if root:
+        return [top(i) if sets[i] else None for i in range(len(rows))]
+    return [(key, len(sets[i]), smallest[top(i)]) for i, (key, _) in enumerate(rows)]
+
+
+def families(seed, n=12, copies=12):
+    """Texts with copies that differ in a share of words around the threshold, and common passages."""
+    draw = random.Random(seed)
+    words = [f"w{i}" for i in range(300)] + ["the"] * 60
+    passage = [draw.choice(words) for _ in range(60)]
+    rows = []
+    for _ in range(n):
+        base = [draw.choice(words) for _ in range(draw.choice([1, 2, 3, 9, 10, 11, 20, 60, 150, 400]))]
+        if draw.random() < 0.5:
+            base += passage
+        for _ in range(draw.randint(1, copies)):
+            text = list(base)
+            for _ in range(draw.choice([0, 0, 1, 2, 3, len(text) // 60])):
+                text[draw.randrange(len(text))] = draw.choice(words)
+            if draw.random() < 0.2:
+                text = text[: max(1, int(len(text) * draw.choice([0.9, 0.95])))]
+            rows.append((len(rows), draw.choice([" ", "\n", "  "]).join(text)))
+    draw.shuffle(rows)
+    return rows
+
+
+def found(df, **options):
+    rows = JaccardJoin(df, **options).components().collect()
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_components_as_all_pairs(spark, seed):
+    rows = families(seed)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(df) == sorted(plain_components(rows), key=repr)
+
+
+def test_without_hubs_nothing_is_lost(spark, monkeypatch):
+    """Step 2 only spares work: with no pairs from it the result is the same."""
+    rows = families(11)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(JaccardJoin, "hub_pairs", lambda self, nodes: spark.createDataFrame([], "a binary, b binary"))
+    assert found(df) == sorted(plain_components(rows), key=repr)
+
+
+def test_texts_by_join_instead_of_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 0)
+    rows = families(12)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(df) == sorted(plain_components(rows), key=repr)
+    kept = sorted(r["doc_id"] for r in JaccardJoin(df).representatives().collect())
+    assert kept == sorted({c for _, _, c in plain_components(rows)})
+
+
+def test_other_threshold_and_size(spark):
+    rows = families(13)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    threshold = Threshold(4, 5)
+    assert found(df, size=5, threshold=threshold) == sorted(plain_components(rows, 4, 5, 5), key=repr)
+
+
+def test_word_order_does_not_matter_for_the_result(spark, monkeypatch):
+    rows = families(14)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = sorted(plain_components(rows), key=repr)
+    for one_in in (3, 10**9):
+        monkeypatch.setattr(jaccard_join.frequent_words, "__defaults__", (one_in,))
+        assert found(df) == expected
+
+
+def test_odd_rows(odd_documents, no_documents):
+    rows = [tuple(r) for r in odd_documents.select("doc_id", "text").collect()]
+    assert found(odd_documents) == sorted(plain_components(rows), key=repr)
+    assert found(no_documents) == []
+    assert JaccardJoin(no_documents).representatives().count() == 0
+    kept = JaccardJoin(odd_documents).representatives()
+    assert kept.columns == odd_documents.columns
+    texts = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    roots = dict(zip(rows, plain_components(rows, root=True)))
+    with_words = [row for row in texts if plain_set(row[1])]
+    assert sorted(roots[row] for row in with_words) == sorted({r for r in roots.values() if r is not None})
+    assert (None, rows[3][1]) not in with_words, "rows with an id go first"
+    assert len(texts) - len(with_words) == sum(not plain_set(t) for _, t in rows)
+
+
+def test_large_family_is_not_joined_pair_by_pair(spark, prose):
+    """Copies that all differ: pairs grow with the family's size, not with its square."""
+    draw, base = random.Random(3), prose(200, 99).split(" ")
+    rows = []
+    for i in range(600):
+        text = list(base)
+        text[draw.randrange(200)] = f"new{i}"
+        rows.append((i, " ".join(text)))
+    join = JaccardJoin(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["component"] for r in join.components().collect()} == {0}
+    assert join.hub_pairs(join.nodes()).count() < 5 * len(rows)
+
+
+@pytest.mark.parametrize("over, under", [(90, 100), (4, 5), (1, 2), (1, 1)])
+def test_prefixes_and_needed_overlap(spark, over, under):
+    threshold = Threshold(over, under)
+    sizes = spark.range(1, 60).withColumnRenamed("id", "n").crossJoin(spark.range(1, 60).withColumnRenamed("id", "m"))
+    rows = sizes.select("n", "m", threshold.needed(sizes["n"], sizes["m"]).alias("o"), threshold.sizes_fit(sizes["n"], sizes["m"]).alias("fit")).collect()
+    for n, m, needed, fit in rows:
+        least = next((o for o in range(min(n, m) + 1) if under * o >= over * (n + m - o)), None)
+        assert fit or least is None
+        if least is not None:
+            assert needed == least and least >= n - threshold.prefix(n) + 1
+
+
+def test_sketches_differ_at_most_as_sets():
+    draw = np.random.default_rng(1)
+    for size in (1, 10, 200, 3000):
+        a = np.unique(draw.integers(0, 2**63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: size - size // 10], draw.integers(0, 2**63, size // 10 + 1).astype(np.uint64)]))
+        bits = sum(bin(int(x) & (2**64 - 1) ^ int(y) & (2**64 - 1)).count("1") for x, y in zip(jaccard_join.sketch_of(a), jaccard_join.sketch_of(b)))
+        assert bits <= len(np.setxor1d(a, b))
+
+
+def test_components_of_paths_stars_and_cycles(spark):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(200, 201), (201, 202), (202, 200)]
+    random.Random(2).shuffle(edges)
+    labels = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert labels == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)} | {i: 200 for i in (200, 201, 202)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
