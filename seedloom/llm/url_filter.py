@@ -122,8 +122,11 @@ def judge(df: DataFrame, rules: dict[str, str], url: str = "url", mining: Mining
     mined = match(narrow.where(F.col("rule").isNull()).select("tokens").distinct(), mine(examples, mining))
 
     key, found = free_name(parsed, "tokens"), free_name(parsed, "verdict")
-    asked = F.when(F.col(f"{name}.rule").isNull(), F.col(f"{name}.tokens"))
-    joined = parsed.withColumn(key, asked).join(mined.select(F.col("tokens").alias(key), F.col("verdict").alias(found)), key, "left")
-    verdict = F.coalesce(given[F.col(f"{name}.rule")], F.col(found), F.lit("allow"))
-    judged = F.struct(f"{name}.host", f"{name}.path", f"{name}.rule", verdict.alias("verdict"))
-    return joined.withColumn(name, judged).drop(key, found, "judged").withColumnRenamed(name, "judged")
+    # Stored, so that the join below reads it through an exchange of its own and hot token sets can be split.
+    mined = stored(mined, "url-verdicts").select(F.col("tokens").alias(key), F.col("verdict").alias(found))
+    asked = parsed.where(F.col(f"{name}.rule").isNull()).withColumn(key, F.col(f"{name}.tokens"))
+    asked = asked.join(mined, key, "left").withColumn(found, F.coalesce(found, F.lit("allow"))).drop(key)
+    ruled = parsed.where(F.col(f"{name}.rule").isNotNull()).withColumn(found, given[F.col(f"{name}.rule")])
+    both = ruled.unionByName(asked)
+    judged = F.struct(f"{name}.host", f"{name}.path", f"{name}.rule", F.col(found).alias("verdict"))
+    return both.withColumn(name, judged).drop(found, "judged").withColumnRenamed(name, "judged")
