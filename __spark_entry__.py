@@ -12,6 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 
 import oracles  # noqa: E402
 from seedloom import fixed  # noqa: E402
@@ -22,7 +23,6 @@ from seedloom.operators import (  # noqa: E402
     compare,
     enrich,
     examples,
-    execute,
     prepare,
     ranking,
     reports,
@@ -31,8 +31,8 @@ from seedloom.operators import (  # noqa: E402
 from seedloom.plans import steps  # noqa: E402
 from seedloom.session import scratch  # noqa: E402
 from seedloom.sources import files  # noqa: E402
-from seedloom.streaming.batches import file_stream, run_batches  # noqa: E402
-from workload import stored_path, table  # noqa: E402
+from seedloom.streaming.batches import file_stream, run_batches, write_batches  # noqa: E402
+from workload import stored_frame, stored_path, table  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -225,6 +225,20 @@ def stratified_topup_by_key(spark, sf):
     return sampling.stratified_sample(_good_seed(spark, sf), 9000, top_up_by="key").select("ex_id", "complexity")
 
 
+@query
+def stratified_many_levels(spark, sf):
+    """More levels than pass through the driver: one per customer of the orders."""
+    cases = table(spark, sf, "cases").select("ex_id", "cust")
+    return sampling.stratified_sample(cases, 5000, "cust", top_up_by="key")
+
+
+@query
+def keyless_sample(spark, sf):
+    """An exact sample of rows that have no key, most of them equal to others."""
+    rows = table(spark, sf, "labels").select("quality", "toxic")
+    return sampling.exact_sample(prepare.with_row_keys(rows, scratch(spark, "keyed")), 100)
+
+
 @query
 def stratum_report(spark, sf):
     return reports.stratum_report(table(spark, sf, "documents"), 400, "lang")
@@ -270,7 +284,13 @@ def mix_ratio(spark, sf):
 
 
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.split_rows(mix_ratio(spark, sf))
+    """The mix with its splits, stored once: the reports and files below start from it."""
+
+    def make():
+        drawn = sampling.draw_mix(seed_examples(spark, sf), expand_examples(spark, sf))
+        return sampling.split_rows(drawn.rows, keys=drawn.keys)
+
+    return stored_frame(spark, sf, "labelled", make)
 
 
 def _train(spark: SparkSession, sf: str) -> DataFrame:
@@ -279,7 +299,8 @@ def _train(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def mix_split(spark, sf):
-    return _labelled(spark, sf).select("example_id", "source", "split")
+    drawn = sampling.draw_mix(seed_examples(spark, sf), expand_examples(spark, sf))
+    return sampling.split_rows(drawn.rows, keys=drawn.keys).select("example_id", "source", "split")
 
 
 @query
@@ -346,9 +367,23 @@ def stream_requests(spark, sf):
     )
 
 
+@query
+def stream_batches(spark, sf):
+    """Rows that come in batches of 20, with the number of rows in each row's batch."""
+    items = table(spark, sf, "benchmark")
+    path, out = scratch(spark, "batches"), scratch(spark, "stream-batches")
+    write_batches(items, path, key="item_id")
+    rows = file_stream(spark, path, T.StructType([*items.schema.fields, T.StructField("batch_idx", T.LongType())]))
+    run_batches(rows, lambda batch: batch, out, scratch(spark, "batches-checkpoint"), pause_seconds=None).awaitTermination()
+    done = spark.read.schema(rows.schema).parquet(out)
+    sizes = done.groupBy("batch_idx").agg(F.count(F.lit(1)).alias("n"))
+    return done.join(sizes, "batch_idx").select("item_id", "batch_idx", "n")
+
+
 @query
 def contract_check(spark, sf):
-    return prepare.check_contract(table(spark, sf, "doc_rows")).groupBy("complexity").agg(
+    rows = prepare.check_keys(prepare.check_contract(table(spark, sf, "doc_rows")))
+    return rows.groupBy("complexity").agg(
         F.count(F.lit(1)).alias("n")
     )
 
@@ -486,15 +521,13 @@ def canonical_documents(spark, sf):
 
 def _aligned(spark: SparkSession, sf: str) -> DataFrame:
     cases = table(spark, sf, "cases")
-    tests = cases.select(
-        "ex_id", F.lit("").alias("question"), F.lit("").alias("schema"), F.col("gold").alias("sql"), "complexity"
-    )
+    tests = cases.select("ex_id", "question", "schema", F.col("gold").alias("sql"), "complexity")
     return compare.align_predictions(tests, table(spark, sf, "predictions"))
 
 
 @query
 def align_predictions(spark, sf):
-    return _aligned(spark, sf).select("ex_id", "gold_sql", "pred_sql", "complexity")
+    return _aligned(spark, sf)
 
 
 @query
@@ -533,8 +566,8 @@ def bag_difference(spark, sf):
 
 @query
 def eval_report(spark, sf):
-    results = compare.with_exact_match(_aligned(spark, sf)).join(result_match(spark, sf), "ex_id")
-    return reports.eval_report(results)
+    aligned = compare.with_exact_match(_aligned(spark, sf))
+    return reports.eval_report(compare.with_execution_match(aligned, result_match(spark, sf)))
 
 
 @query
@@ -542,18 +575,6 @@ def eval_ordered(spark, sf):
     return reports.ordered_report(eval_report(spark, sf))
 
 
-@query
-def execute_pairs(spark, sf):
-    return execute.execute_pairs(table(spark, sf, "runs"))
-
-
-@query
-def execution_report(spark, sf):
-    runs = table(spark, sf, "runs")
-    matched = compare.match_results(execute.execute_pairs(runs))
-    return reports.eval_report(compare.with_exact_match(runs).join(matched, "ex_id"))
-
-
 # --- files -------------------------------------------------------------------
 
 
@@ -584,7 +605,7 @@ def jsonl_lenient_stats(spark, sf):
 @query
 def split_files(spark, sf):
     path = scratch(spark, "splits")
-    files.write_splits(_labelled(spark, sf), path)
+    files.write_splits(sampling.shuffled(_labelled(spark, sf), "example_id"), path)
     return files.read_split(spark, path, "test")
 
 
@@ -635,7 +656,10 @@ def sql_functions(spark, sf):
     return spark.sql(
         """SELECT ex_id, canonical_sql(upgraded_sql) AS upgraded, sql_feature_count(upgraded_sql) AS features,
                   plausible_sql(upgraded_sql) AS plausible, trace_keywords(reasoning_trace) AS keywords,
-                  trace_steps(reasoning_trace) AS steps, py_strip(reasoning_trace) AS trace
+                  trace_steps(reasoning_trace) AS steps, py_strip(reasoning_trace) AS trace,
+                  trace_score(reasoning_trace) AS trace_score,
+                  quality_score(sql, upgraded_sql, variant_sql, upgraded_question, variant_question, reasoning_trace)
+                  AS quality_score
            FROM {enriched}""",
         enriched=table(spark, sf, "enriched"),
     )

@@ -167,17 +167,38 @@ def tag(name: str, x: str = "content") -> str:
     return strip(rf"regexp_extract({x}, '(?s)\[{name}\](.*?)\[/{name}\]', 1)")
 
 
-def of_stage(stage: str, name: str) -> str:
-    return f"coalesce(max(CASE WHEN stage = {q(stage)} THEN {tag(name)} END), '')"
+FIELD_NAMES = [c for _, _, _, parsers in fixed.STAGES.values() for c in parsers]
 
 
-FIELDS = ", ".join(
-    f"{of_stage(stage, name)} AS {column}"
-    for stage, (_, _, _, parsers) in fixed.STAGES.items()
-    for column, name in parsers.items()
-)
-FIELD_NAMES = [c for _, _, _, parsers in fixed.STAGES.values() for c in parsers]
-PARSED = f", choices AS ({CHOICES}), parsed AS (SELECT ex_id, choice_idx, {FIELDS} FROM choices GROUP BY ALL)"
+def parsed_sql() -> str:
+    """One row per key and choice: own answers first, else the key's first of the stage; repeats numbered on top."""
+    tags = ", ".join(
+        f"CASE WHEN stage = {q(stage)} THEN {tag(name)} END AS {column}"
+        for stage, (_, _, _, parsers) in fixed.STAGES.items()
+        for column, name in parsers.items()
+    )
+    has = ", ".join(f"bool_or(stage = {q(stage)}) AS has_{stage}" for stage in fixed.STAGES)
+    own = ", ".join(f"max({c}) AS {c}" for c in FIELD_NAMES)
+    chosen = ", ".join(
+        f"coalesce(CASE WHEN s.has_{stage} THEN s.{c} ELSE f_{stage}.{c} END, '') AS {c}"
+        for stage, (_, _, _, parsers) in fixed.STAGES.items()
+        for c in parsers
+    )
+    joins = " ".join(
+        f"LEFT JOIN firsts f_{stage} ON f_{stage}.ex_id = s.ex_id AND f_{stage}.stage = {q(stage)}" for stage in fixed.STAGES
+    )
+    return f""", choices AS ({CHOICES}), tagged AS (
+        SELECT ex_id, stage, choice_idx,
+               row_number() OVER (PARTITION BY ex_id, stage, choice_idx ORDER BY content) - 1 AS again, {tags}
+        FROM choices),
+    slots AS (SELECT ex_id, choice_idx, again, {has}, {own} FROM tagged GROUP BY ex_id, choice_idx, again),
+    firsts AS (SELECT * FROM tagged QUALIFY row_number() OVER (PARTITION BY ex_id, stage ORDER BY choice_idx, again) = 1),
+    lasts AS (SELECT ex_id, max(choice_idx) AS last FROM tagged GROUP BY ex_id),
+    parsed AS (SELECT s.ex_id, s.choice_idx + s.again * (l.last + 1) AS choice_idx, {chosen}
+               FROM slots s JOIN lasts l ON l.ex_id = s.ex_id {joins})"""
+
+
+PARSED = parsed_sql()
 ATTACHED = PARSED + f""", attached AS (
     SELECT d.*, coalesce(p.choice_idx, 0) AS choice_idx,
            {', '.join(f"coalesce(p.{c}, '') AS {c}" for c in FIELD_NAMES)}
@@ -209,13 +230,14 @@ def canonical(x: str) -> str:
 
 
 ALIGNED = f""", aligned AS (
-    SELECT c.ex_id, c.gold AS gold_sql, coalesce({THINK_FREE}, '') AS pred_sql, c.complexity
+    SELECT c.ex_id, c.question, c.schema, c.gold AS gold_sql, coalesce({THINK_FREE}, '') AS pred_sql, c.complexity
     FROM cases c LEFT JOIN predictions p USING (ex_id))"""
 MATCHED = """, sides AS (
         SELECT ex_id, row_repr, sum(CASE side WHEN 'pred' THEN 1 ELSE -1 END) AS surplus FROM result_rows GROUP BY ALL),
     wrong AS (SELECT DISTINCT ex_id FROM sides WHERE surplus <> 0),
-    matched AS (SELECT ex_id, bool_and(ok) AND ex_id NOT IN (SELECT ex_id FROM wrong) AS execution_match
-                FROM run_status GROUP BY ex_id)"""
+    matched AS (SELECT ex_id, count(*) FILTER (ok) = 2 AND ex_id NOT IN (SELECT ex_id FROM wrong) AS execution_match
+                FROM (SELECT ex_id, ok FROM run_status UNION ALL SELECT DISTINCT ex_id, FALSE FROM result_rows)
+                GROUP BY ex_id)"""
 
 
 def accuracy(flag: str) -> str:
@@ -223,8 +245,9 @@ def accuracy(flag: str) -> str:
 
 
 RESULTS = ALIGNED + MATCHED + f""", results AS (
-    SELECT a.*, {canonical('pred_sql')} = {canonical('gold_sql')} AS exact_match, m.execution_match
-    FROM aligned a JOIN matched m USING (ex_id))"""
+    SELECT a.*, {canonical('pred_sql')} = {canonical('gold_sql')} AS exact_match,
+           coalesce(m.execution_match, false) AS execution_match
+    FROM aligned a LEFT JOIN matched m USING (ex_id))"""
 REPORT = f""", report AS (
     SELECT CASE WHEN grouping(complexity) = 1 THEN 'overall' ELSE complexity END AS level,
            grouping(complexity) = 1 AS is_overall, count(*) AS n,
@@ -235,32 +258,6 @@ ORDERED = f"""
            repeat('█', CAST(floor(execution_accuracy * 20) AS BIGINT)) AS bar
     FROM report LEFT JOIN {LEVELS} USING (level) WHERE NOT is_overall"""
 
-# What the queries of the "runs" table give, worked out from the order itself.
-RUN_ROWS = """, found AS (
-        SELECT r.ex_id, s.side, CASE s.side WHEN 'gold' THEN r.gold_sql ELSE r.pred_sql END AS sql, c.cust, c.priority
-        FROM runs r JOIN cases c USING (ex_id) JOIN (VALUES ('gold'), ('pred')) s(side) ON TRUE),
-    executed AS (
-        SELECT ex_id, side, sql NOT LIKE '%missing%' AS ok,
-               CASE WHEN sql LIKE '%missing%' THEN 'no such column: missing' END AS error,
-               CAST(NULL AS VARCHAR) AS row_repr FROM found
-        UNION ALL
-        SELECT ex_id, side, NULL, NULL,
-               CASE WHEN sql LIKE '%o_orderpriority%' THEN '(' || ex_id || ', ''' || priority || ''')'
-                    WHEN sql LIKE '%COUNT%' THEN '(1,)' ELSE '(' || cust || ',)' END
-        FROM found WHERE sql <> '' AND sql NOT LIKE '%missing%' AND sql NOT LIKE '%< 0%'
-        UNION ALL
-        SELECT ex_id, side, NULL, NULL, '(' || cust || ',)' FROM found WHERE sql LIKE '%UNION ALL%')"""
-RUN_MATCH = RUN_ROWS + """, sides AS (
-        SELECT ex_id, row_repr, sum(CASE side WHEN 'pred' THEN 1 ELSE -1 END) AS surplus
-        FROM executed WHERE row_repr IS NOT NULL GROUP BY ALL),
-    wrong AS (SELECT DISTINCT ex_id FROM sides WHERE surplus <> 0),
-    results AS (
-        SELECT ex_id, any_value(complexity) AS complexity, bool_and(canonical_same) AS exact_match,
-               bool_and(ok) AND ex_id NOT IN (SELECT ex_id FROM wrong) AS execution_match
-        FROM executed JOIN (SELECT ex_id, complexity, lower(pred_sql) = lower(gold_sql) AS canonical_same FROM runs) USING (ex_id)
-        WHERE ok IS NOT NULL GROUP BY ex_id)"""
-
-
 def stratified(table: str, level: str, n: int, columns: str | None) -> str:
     """Equal quotas, then a top-up by value (``columns``) or by key, then a cut back."""
     same = "r.ex_id = t.ex_id" if columns is None else " AND ".join(
@@ -282,6 +279,10 @@ SEED_VALUE = "question schema sql explanation domain complexity task_type source
 DOCS = "documents_keyed AS (SELECT doc_id AS ex_id, lang, source, n_chars, text FROM documents)"
 
 
+def bar() -> str:
+    return "repeat('█', CAST(floor(n * 40 / CAST(max(n) OVER () AS DOUBLE)) AS BIGINT))"
+
+
 def build() -> dict[str, str]:
     o: dict[str, str] = {}
     # seed rows
@@ -291,8 +292,8 @@ def build() -> dict[str, str]:
         f"""SELECT count(*) AS rows_before, count(*) FILTER ({GOOD_SEED}) AS rows_after,
             count(*) FILTER ({GOOD_SEED}) / CAST(count(*) AS DOUBLE) AS kept FROM raw_examples""", "raw_examples")
     o["seed_level_report"] = with_tables(
-        f""", good AS ({GOOD}) SELECT ord, level, count(good.ex_id) AS n, repeat('█', count(good.ex_id) // 5) AS bar
-        FROM {LEVELS} LEFT JOIN good ON complexity = level GROUP BY ord, level""", "raw_examples")
+        f""", good AS ({GOOD}) SELECT ord, level, n, {bar()} AS bar FROM (
+            SELECT ord, level, count(good.ex_id) AS n FROM {LEVELS} LEFT JOIN good ON complexity = level GROUP BY ord, level)""", "raw_examples")
     o["doc_length_filter"] = """
         SELECT doc_id, lang, n_chars FROM documents
         WHERE length(text) BETWEEN 200 AND 5000 AND length(source) >= 4 AND contains(upper(text), 'THE ')
@@ -335,6 +336,13 @@ def build() -> dict[str, str]:
     o["stratified_topup_by_key"] = with_tables(
         f", good AS ({GOOD}), {stratified('good', 'complexity', 9000, None)} SELECT ex_id, complexity FROM sampled",
         "raw_examples")
+    o["stratified_many_levels"] = with_tables(
+        f", {stratified('cases', 'cust', 5000, None)} SELECT ex_id, cust FROM sampled", "cases")
+    o["keyless_sample"] = f"""
+        WITH keyed AS (SELECT row_number() OVER (
+            ORDER BY sha256('{{"quality":' || quality || ',"toxic":' || toxic || '}}')) AS ex_id, quality, toxic FROM labels)
+        SELECT ex_id, quality, toxic FROM (SELECT *, row_number() OVER (ORDER BY {key('ex_id', 'sample')}) AS rn FROM keyed)
+        WHERE rn <= 100"""
     o["stratum_report"] = """
         SELECT lang AS level, least(greatest(1, 400 // (SELECT count(DISTINCT lang) FROM documents)), count(*)) AS sampled,
                count(*) AS available FROM documents GROUP BY lang"""
@@ -352,13 +360,14 @@ def build() -> dict[str, str]:
     o["mix_ratio"] = with_tables(MIXED + " SELECT * FROM mixed", "raw_examples", "enriched")
     o["mix_split"] = with_tables(SPLIT + " SELECT example_id, source, split FROM labelled", "raw_examples", "enriched")
     o["mix_split_sizes"] = with_tables(
-        SPLIT + " SELECT split, count(*) AS n FROM labelled GROUP BY split", "raw_examples", "enriched")
+        SPLIT + """ SELECT k.split, count(l.split) AS n FROM (VALUES ('train'), ('eval'), ('test')) k(split)
+        LEFT JOIN labelled l ON l.split = k.split GROUP BY k.split""", "raw_examples", "enriched")
     o["mix_source_shares"] = with_tables(
         SPLIT + f""" SELECT source, count(*) AS n,
         count(*) / CAST((SELECT count(*) FROM train) AS DOUBLE) * {dbl(100)} AS pct FROM train GROUP BY source""",
         "raw_examples", "enriched")
     o["mix_complexity_bars"] = with_tables(
-        SPLIT + " SELECT complexity, count(*) AS n, repeat('█', count(*) // 20) AS bar FROM train GROUP BY complexity",
+        SPLIT + f" SELECT *, {bar()} AS bar FROM (SELECT complexity, count(*) AS n FROM train GROUP BY complexity)",
         "raw_examples", "enriched")
     o["thinking_share"] = with_tables(
         SPLIT + """ SELECT count(*) FILTER (thinking <> '') AS with_thinking, count(*) AS n,
@@ -373,6 +382,9 @@ def build() -> dict[str, str]:
             {fill(fixed.PROMPTS[stage][1][1], r'{{ (\w+) }}')} AS user_text FROM doc_rows"""
             for stage, (tokens, heat, _, _) in fixed.STAGES.items()), "doc_rows")
     o["stream_requests"] = o["stage_requests"]
+    o["stream_batches"] = f"""
+        SELECT item_id, batch_idx, count(*) OVER (PARTITION BY batch_idx) AS n FROM (
+            SELECT item_id, (row_number() OVER (ORDER BY {key('item_id', 'batch')}) - 1) // 20 AS batch_idx FROM benchmark)"""
     o["contract_check"] = with_tables("SELECT complexity, count(*) AS n FROM doc_rows GROUP BY complexity", "doc_rows")
     o["explode_choices"] = with_tables(CHOICES, "answers")
     o["parse_tags"] = with_tables(PARSED + " SELECT * FROM parsed", "answers")
@@ -451,8 +463,6 @@ def build() -> dict[str, str]:
         RESULTS + REPORT + " SELECT * FROM report", "cases", "predictions", "result_rows", "run_status")
     o["eval_ordered"] = with_tables(
         RESULTS + REPORT + ORDERED, "cases", "predictions", "result_rows", "run_status")
-    o["execute_pairs"] = with_tables(RUN_ROWS + " SELECT * FROM executed", "runs", "cases")
-    o["execution_report"] = with_tables(RUN_MATCH + REPORT + " SELECT * FROM report", "runs", "cases")
     # files
     o["jsonl_roundtrip"] = "SELECT page_id, url, html FROM pages"
     o["jsonl_lenient_stats"] = f"""
@@ -472,5 +482,7 @@ def build() -> dict[str, str]:
     o["sql_functions"] = with_tables(
         f"""SELECT ex_id, {canonical('upgraded_sql')} AS upgraded, {features('upgraded_sql')} AS features,
         {plausible('upgraded_sql')} AS plausible, {keywords('reasoning_trace')} AS keywords,
-        {steps('reasoning_trace')} AS steps, {strip('reasoning_trace')} AS trace FROM enriched""", "enriched")
+        {steps('reasoning_trace')} AS steps, {strip('reasoning_trace')} AS trace,
+        {trace_score('reasoning_trace')} AS trace_score, quality_score
+        FROM (SELECT * EXCLUDE (quality_score) FROM enriched) JOIN (SELECT ex_id, {SCORE} AS quality_score FROM ({PARTS})) USING (ex_id)""", "enriched")
     return o

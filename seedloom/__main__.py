@@ -7,13 +7,15 @@ import argparse
 from pyspark.sql import DataFrame
 
 from seedloom import fixed
-from seedloom.operators import enrich
+from seedloom.operators import enrich, prepare
 from seedloom.plans import steps
 from seedloom.session import build_session, scratch
 from seedloom.sources import files
 
 COMPLETION_SCHEMA = "ex_id long, stage string, choice_idx int, content string"
 PREDICTION_SCHEMA = "example_id string, pred_sql string"
+RESULT_SCHEMA = "example_id string, side string, row_repr string"
+STATUS_SCHEMA = "example_id string, side string, ok boolean, error string"
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -54,13 +56,15 @@ def _parser() -> argparse.ArgumentParser:
     command = step.add_parser("evaluate", help="exact match and execution accuracy")
     command.add_argument("--tests", required=True)
     command.add_argument("--predictions", required=True)
+    command.add_argument("--result-rows", required=True, help="rows that gold and predicted queries gave")
+    command.add_argument("--run-status", required=True, help="whether each query ran")
     command.add_argument("--out", required=True)
     command.add_argument("--n-samples", type=int)
     return parser
 
 
-def _keyed(df: DataFrame, name: str) -> DataFrame:
-    return files.ensure_row_keys(df, scratch(df.sparkSession, name))
+def _keyed(df: DataFrame, name: str, key: str = "ex_id") -> DataFrame:
+    return prepare.ensure_row_keys(df, scratch(df.sparkSession, name), key)
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -72,7 +76,7 @@ def main(arguments: list[str] | None = None) -> None:
         done = steps.prepare_seed(raw, args.n_samples, args.out, args.seed)
         reports = [done.kept, done.levels]
     elif args.step == "request":
-        rows = files.read_jsonl(spark, args.seed_rows, files.SEED)
+        rows = _keyed(files.read_jsonl(spark, args.seed_rows, files.SEED), "seed")
         if args.dry_run:
             mock = enrich.dry_run(rows)
             files.write_jsonl(mock, args.out)
@@ -81,7 +85,7 @@ def main(arguments: list[str] | None = None) -> None:
             steps.request_completions(rows, args.n_samples, args.out, args.seed)
             reports = []
     elif args.step == "enrich":
-        rows = files.read_jsonl(spark, args.seed_rows, files.SEED)
+        rows = _keyed(files.read_jsonl(spark, args.seed_rows, files.SEED), "seed")
         completions = spark.read.schema(COMPLETION_SCHEMA).option("mode", "FAILFAST").json(args.completions)
         done = steps.collect_completions(rows, completions, args.out, args.score)
         reports = [done.kept, done.summary]
@@ -98,9 +102,16 @@ def main(arguments: list[str] | None = None) -> None:
         rows = files.read_jsonl_lenient(spark, args.input, files.EXAMPLE)
         reports = [steps.format_examples(rows, args.output).stats]
     else:
-        tests = files.read_tests(spark, args.tests)
-        predictions = spark.read.schema(PREDICTION_SCHEMA).option("mode", "FAILFAST").json(args.predictions)
-        done = steps.evaluate(tests, predictions, args.out, "example_id", args.n_samples, args.seed)
+        tests = _keyed(files.read_tests(spark, args.tests), "tests", "example_id")
+        predictions, results, status = (
+            spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+            for schema, path in (
+                (PREDICTION_SCHEMA, args.predictions), (RESULT_SCHEMA, args.result_rows), (STATUS_SCHEMA, args.run_status)
+            )
+        )
+        done = steps.evaluate(
+            tests, predictions, results, status, args.out, "example_id", args.n_samples, args.seed
+        )
         reports = [done.report, done.ordered]
     for report in reports:
         report.show(50, truncate=80)

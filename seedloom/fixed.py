@@ -91,10 +91,7 @@ BATCH_PAUSE_SECONDS = 15
 
 MOCK_ROWS = 5
 MOCK_QUESTION = "[MOCK] Harder version of: {question}"
-MOCK_SQL = (
-    "SELECT t1.*, COUNT(t2.id) FROM ({sql}) t1 "
-    "LEFT JOIN orders t2 ON t1.id = t2.user_id GROUP BY t1.id"
-)
+MOCK_SQL = "SELECT t1.*, COUNT(t2.id) FROM ({sql}) t1 LEFT JOIN orders t2 ON t1.id = t2.user_id GROUP BY t1.id"
 MOCK_CONSTANTS = {
     "upgraded_complexity": "multiple joins",
     "variant_schema": "CREATE TABLE mock_table (id INT, value TEXT);",
@@ -132,15 +129,9 @@ Think through the problem step by step before writing the SQL:
 
 Output your reasoning in <think>...</think> tags, then the SQL query."""
 
-EVAL_SYSTEM = (
-    "You are an expert SQL query writer. Given a natural language question and a database "
-    "schema, write the correct SQL query. Output ONLY the SQL query."
-)
+EVAL_SYSTEM = "You are an expert SQL query writer. Given a natural language question and a database schema, write the correct SQL query. Output ONLY the SQL query."
 
-SERVE_SYSTEM = (
-    "You are an expert SQL query writer. Given a database schema and a natural language "
-    "question, write the correct SQL query. Output ONLY the SQL query, nothing else."
-)
+SERVE_SYSTEM = "You are an expert SQL query writer. Given a database schema and a natural language question, write the correct SQL query. Output ONLY the SQL query, nothing else."
 SERVE_MODEL, SERVE_MAX_TOKENS, SERVE_TEMPERATURE = "text2sql", 256, 0.1
 
 RAW_TRAINING_TEXT = "### Schema:\n{schema}\n\n### Frage:\n{question}\n\n### SQL:\n{sql}"

@@ -1,4 +1,4 @@
-"""Rounding that agrees with Python's ``round`` on doubles between 0 and 999."""
+"""Rounding that agrees with Python's ``round`` on doubles."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ def round_exactly(value: Column, digits: int) -> Column:
     of at least one unit in the last place. It names ``value`` only once, which
     keeps the generated code small.
     """
-    return F.format_number(value, digits).cast("double")
+    return F.replace(F.format_number(value, digits), F.lit(",")).cast("double")
 
 
 def share(part: Column, whole: Column, digits: int = 4) -> Column:

@@ -25,6 +25,35 @@ def _mark_test(column: str, marks: tuple[str, ...]) -> str:
     return "(" + " OR ".join(f"contains({column}, {quoted(mark)})" for mark in marks) + ")"
 
 
+def _trace_score() -> str:
+    parts = " + ".join(
+        (
+            f"least({fixed.LENGTH_CAP}D, CAST(length(coalesce(trace, '')) AS DOUBLE) / {float(fixed.LENGTH_DIVISOR)}D)",
+            f"least({fixed.KEYWORD_CAP}D, CAST(trace_keywords(trace) AS DOUBLE) * {fixed.KEYWORD_GAIN}D)",
+            f"least({fixed.STEP_CAP}D, CAST(trace_steps(trace) AS DOUBLE) * {fixed.STEP_GAIN}D)",
+        )
+    )
+    return f"CASE WHEN length(py_strip(trace)) >= {fixed.TRACE_MIN_LEN} THEN least(1.0D, {parts}) ELSE 0.0D END"
+
+
+def _weighted() -> str:
+    """The four parts of the overall score with their weights, added from left to right."""
+
+    def question(name: str) -> str:
+        long_enough = f"length(coalesce({name}, '')) > {fixed.QUESTION_MIN_LEN}"
+        return f"CASE WHEN {long_enough} THEN {fixed.QUESTION_GAIN}D ELSE 0.0D END"
+
+    gain = "sql_feature_count(upgraded_sql) - sql_feature_count(sql_text)"
+    parts = (
+        f"CASE WHEN NOT plausible_sql(upgraded_sql) THEN {fixed.IMPLAUSIBLE}D WHEN {gain} > 0 THEN {fixed.HARDER}D "
+        f"WHEN {gain} = 0 THEN {fixed.EQUAL}D ELSE {fixed.SIMPLER}D END",
+        f"CASE WHEN plausible_sql(variant_sql) THEN {fixed.VARIANT_OK}D ELSE {fixed.VARIANT_BAD}D END",
+        f"{question('upgraded_question')} + {question('variant_question')}",
+        "trace_score(trace)",
+    )
+    return " + ".join(f"({part}) * {weight}D" for part, weight in zip(parts, fixed.WEIGHTS))
+
+
 def definitions() -> dict[str, tuple[str, str, str]]:
     """name -> (parameters, return type, body)."""
     spaces = "concat(" + ", ".join(f"chr({ord(c)})" for c in WHITESPACE if ord(c) < 256) + ", " + ", ".join(
@@ -68,6 +97,12 @@ def definitions() -> dict[str, tuple[str, str, str]]:
             "trace STRING", "INT",
             f"regexp_count(coalesce(trace, ''), {quoted(score.STEP_PATTERN)})",
         ),
+        "trace_score": ("trace STRING", "DOUBLE", _trace_score()),
+        "quality_score": (
+            "sql_text STRING, upgraded_sql STRING, variant_sql STRING, upgraded_question STRING, "
+            "variant_question STRING, trace STRING", "DOUBLE",
+            f"CAST(replace(format_number({_weighted()}, 3), ',', '') AS DOUBLE)",
+        ),
     }
 
 

@@ -54,6 +54,13 @@ def match_results(executions: DataFrame, key: str = "ex_id", empty_is_match: boo
     return per_row.groupBy(key).agg(same.alias("execution_match"))
 
 
+def with_execution_match(aligned: DataFrame, matched: DataFrame, key: str = "ex_id") -> DataFrame:
+    """Every aligned row with ``execution_match``; false where nothing is known of its execution."""
+    found = matched.select(key, F.col("execution_match").alias("_match"))
+    joined = aligned.join(found, key, "left")
+    return joined.withColumn("execution_match", F.coalesce("_match", F.lit(False))).drop("_match")
+
+
 def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that occur more often on one side, with ``surplus`` = left count − right count."""
     columns = left.columns

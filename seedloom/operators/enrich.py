@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from seedloom import fixed
 from seedloom.functions import chat, score
 from seedloom.functions.text import fill_template, filled, tagged, text
+from seedloom.session import scratch
+from seedloom.sources.files import store
 
 FIELDS = {
     column: (stage, tag)
@@ -46,17 +49,43 @@ def expand_choices(responses: DataFrame, choices: str = "choices") -> DataFrame:
 def parse_completions(completions: DataFrame, key: str = "ex_id") -> DataFrame:
     """Completions ``(key, stage, choice_idx, content)`` as one row per key and choice.
 
-    Tags are read before the shuffle, each only in the stage it belongs to.
+    An answer's fields stay together. Answers of one choice number make one row, and
+    where a stage has none of that number the key's first answer of that stage stands
+    in, as all stages are asked about the same seed row: two upgrades and one trace make
+    two rows with that trace. Further answers of the same key, stage and choice (a
+    request sent twice) get numbers of their own above those given, so none is lost.
+
+    Tags are read before anything is shuffled, each only in the stage it belongs to, and
+    the fields are stored once for the passes that follow.
     """
-    parsed = completions.select(
+    stages = list(fixed.STAGES)
+    answers = [
+        F.when(
+            F.col("stage") == stage,
+            F.struct(*[tagged("content", tag).alias(column) for column, tag in fixed.STAGES[stage][3].items()]),
+        ).alias(stage)
+        for stage in stages
+    ]
+    parsed = completions.where(F.col("stage").isin(*stages)).select(key, "stage", "choice_idx", "content", *answers)
+    again = Window.partitionBy(key, "stage", "choice_idx").orderBy("content")
+    parsed = parsed.withColumn("_again", F.row_number().over(again) - 1).drop("content", "stage")
+    parsed = store(parsed, scratch(completions.sparkSession, "answers"))
+    # Maxima of one struct per slot, and minima by (choice, repeat): partial sums go first, so no key is hot.
+    slots = parsed.groupBy(key, "choice_idx", "_again").agg(*[F.max(stage).alias(stage) for stage in stages])
+    place = F.struct("choice_idx", "_again")
+    firsts = parsed.groupBy(F.col(key).alias("_of")).agg(
+        F.max("choice_idx").alias("_last"),
+        *[F.min_by(stage, F.when(F.col(stage).isNotNull(), place)).alias(f"_{stage}") for stage in stages],
+    )
+    # Both sides of the join come through exchanges of their own, which lets it be split.
+    firsts = store(firsts, scratch(completions.sparkSession, "first-answers"))
+    joined = slots.join(firsts, F.col(key) == F.col("_of"))
+    whole = {stage: F.coalesce(stage, f"_{stage}") for stage in stages}
+    return joined.select(
         key,
-        "choice_idx",
-        *[
-            F.when(F.col("stage") == stage, tagged("content", tag)).alias(column)
-            for column, (stage, tag) in FIELDS.items()
-        ],
+        (F.col("choice_idx") + F.col("_again") * (F.col("_last") + 1)).alias("choice_idx"),
+        *[whole[stage][column].alias(column) for column, (stage, _) in FIELDS.items()],
     )
-    return parsed.groupBy(key, "choice_idx").agg(*[F.max(column).alias(column) for column in FIELDS])
 
 
 def attach_completions(
@@ -64,16 +93,18 @@ def attach_completions(
 ) -> DataFrame:
     """Seed rows with the fields of their completions, one row per choice.
 
-    Answers of one choice number belong together. Rows without any completion
+    See :func:`parse_completions` for what makes a choice. Rows without any completion
     stay with empty fields, unless ``keep_missing`` is off. They are added by an
     anti join and not by an outer join, because only the inner join lets adaptive
     execution split a seed row with very many choices.
     """
     fields = parse_completions(completions, key)
+    if keep_missing:
+        fields = store(fields, scratch(rows.sparkSession, "choices"))
     found = rows.join(fields, key)
     if keep_missing:
         found = found.unionByName(
-            rows.join(completions.select(key).distinct(), key, "left_anti"), allowMissingColumns=True
+            rows.join(fields.select(key).distinct(), key, "left_anti"), allowMissingColumns=True
         )
     return found.select(
         *rows.columns,
@@ -130,10 +161,10 @@ def score_enriched(
 
 
 def dry_run(rows: DataFrame, key: str = "ex_id", n: int = fixed.MOCK_ROWS) -> DataFrame:
-    """The first rows by key with mock enrichment columns, to try the next steps."""
-    return rows.orderBy(key).limit(n).select(
-        "*",
-        fill_template(fixed.MOCK_QUESTION, question="question").alias("upgraded_question"),
-        fill_template(fixed.MOCK_SQL, sql="sql").alias("upgraded_sql"),
-        *[F.lit(value).alias(name) for name, value in fixed.MOCK_CONSTANTS.items()],
-    )
+    """The first rows by key with mock enrichment columns, to try the next steps; columns there are replaced."""
+    made = {
+        "upgraded_question": fill_template(fixed.MOCK_QUESTION, question="question"),
+        "upgraded_sql": fill_template(fixed.MOCK_SQL, sql="sql"),
+    }
+    constants = {name: F.lit(value) for name, value in fixed.MOCK_CONSTANTS.items()}
+    return rows.orderBy(key).limit(n).withColumns(made | constants)

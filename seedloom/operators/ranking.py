@@ -62,13 +62,12 @@ class KeyOrder:
     def __init__(self, df: DataFrame, key: Column, by: Column | None = None) -> None:
         level = F.lit("") if by is None else by.cast("string")
         self._keyed = df.select(level.alias("level"), key.alias("key"))
-        counts = self._prefix_counts(self._keyed, PREFIX_STEP).orderBy("level", "prefix")
-        rows = counts.limit(MAX_LEVELS * FANOUT + 1).collect()
+        # Only then are the counts few enough to collect: MAX_LEVELS x FANOUT.
+        if by is not None and self._keyed.select("level").distinct().limit(MAX_LEVELS + 1).count() > MAX_LEVELS:
+            raise TooManyLevels
         self._counts: dict[str, dict[str, int]] = {} if by is not None else {"": {}}
-        for row in rows:
+        for row in self._prefix_counts(self._keyed, PREFIX_STEP).collect():
             self._counts.setdefault(row.level, {})[row.prefix] = row.n
-        if len(self._counts) > MAX_LEVELS or len(rows) > MAX_LEVELS * FANOUT:
-            raise TooManyLevels
         self.sizes = {name: sum(counts.values()) for name, counts in self._counts.items()}
 
     @property
@@ -193,10 +192,34 @@ def global_rank(df: DataFrame, key: Column, name: str = "rank", rows: int | None
     return _numbered(df, key, [], digits, name, bounded=True)
 
 
-def level_rank(df: DataFrame, key: Column, by: Column, name: str = "rank") -> DataFrame:
+def level_rank(df: DataFrame, key: Column, by: Column, name: str = "rank", rows: int | None = None) -> DataFrame:
     """Number rows 1, 2, … within each level, for any number and size of levels.
 
-    Levels are cut into hash buckets as well, so one that holds a third of all
-    rows is spread like the others.
+    Levels are cut into hash buckets as well, as many as all rows in one level would
+    need, so one that holds a third of them is spread like the others.
+    """
+    digits = bucket_digits(df.count() if rows is None else rows)
+    return _numbered(df, key, [by.cast("string")], digits, name, bounded=False)
+
+
+def value_rank(df: DataFrame, value: Column, name: str = "rank") -> DataFrame:
+    """Number rows 1, 2, … in the order of a hash that equal rows share.
+
+    Which of the equal rows gets which number depends on the partitions; the numbers of
+    a value do not. Distinct values are summed up in hash buckets, and equal rows, which
+    may be a third of all, are numbered in buckets of their own.
     """
-    return _numbered(df, key, [by.cast("string")], 3, name, bounded=False)
+    valued = df.withColumn("_value", value)
+    counts = valued.groupBy("_value").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = counts.agg(F.count(F.lit(1)).alias("values"), F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).first()
+    bucket = F.substring("_value", 1, bucket_digits(sizes["values"]))
+    counts = counts.withColumn("_bucket", bucket)
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.groupBy("_bucket").agg(F.sum("_n").alias("_total"))
+    totals = totals.select("_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counts.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    firsts = firsts.join(F.broadcast(totals), "_bucket").select("_value", (F.col("_offset") + F.col("_inside")).alias("_first"))
+    copy = F.md5(F.monotonically_increasing_id().cast("string"))
+    numbered = level_rank(valued, copy, F.col("_value"), "_copy", sizes["rows"])
+    return numbered.join(firsts, "_value").withColumn(name, F.col("_first") + F.col("_copy")).drop("_value", "_first", "_copy")

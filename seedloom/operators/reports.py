@@ -42,27 +42,26 @@ def stratum_report(df: DataFrame, n: int, level: str = "complexity") -> DataFram
 
 
 def level_report(
-    df: DataFrame, level: str = "complexity", step: int = 5, levels: tuple[str, ...] = fixed.LEVELS
+    df: DataFrame, level: str = "complexity", width: int = 40, levels: tuple[str, ...] = fixed.LEVELS
 ) -> DataFrame:
     """Rows of each fixed level, zeros included, with a bar; other levels are not shown."""
     counted = df.groupBy(default(level, fixed.UNKNOWN).alias("level")).agg(F.count(F.lit(1)).alias("n"))
-    n = F.coalesce("n", F.lit(0))
-    return (
-        levels_table(df, levels)
-        .join(counted, "level", "left")
-        .select("ord", "level", n.alias("n"), _bar(n, step).alias("bar"))
-        .orderBy("ord")
-    )
+    shown = levels_table(df, levels).join(counted, "level", "left")
+    shown = shown.select("ord", "level", F.coalesce("n", F.lit(0)).alias("n"))
+    return _with_bar(shown, width).select("ord", "level", "n", "bar").orderBy("ord")
 
 
-def _bar(n: Column, step: int) -> Column:
-    return F.repeat(F.lit(BLOCK), F.floor(n / F.lit(step)).cast("int"))
+def _with_bar(counted: DataFrame, width: int) -> DataFrame:
+    """Adds a bar of at most ``width`` signs, as a share of the largest ``n``."""
+    largest = counted.agg(F.max("n")).scalar()
+    signs = F.when(largest > 0, F.floor(F.col("n") * F.lit(width) / largest)).otherwise(0)
+    return counted.withColumn("bar", F.repeat(F.lit(BLOCK), signs.cast("int")))
 
 
 def generation_summary(enriched: DataFrame, top: int = 5) -> DataFrame:
     """Total, the most frequent domains, and rows per complexity: ``(section, label, n)``.
 
-    Ties go by label. Domains and levels share one grouping of the data.
+    Sections in this order, counts falling inside each; ties go by label. Domains and levels share one grouping of the data.
     """
     pairs = enriched.groupBy(
         default("domain", fixed.UNKNOWN).alias("domain"),
@@ -78,27 +77,33 @@ def generation_summary(enriched: DataFrame, top: int = 5) -> DataFrame:
         .limit(top)
     )
     levels = pairs.groupBy(F.col("complexity").alias("label")).agg(F.sum("n").alias("n"))
-    return total.unionByName(domains.select(F.lit("domain").alias("section"), "label", "n")).unionByName(
+    rows = total.unionByName(domains.select(F.lit("domain").alias("section"), "label", "n")).unionByName(
         levels.select(F.lit("complexity").alias("section"), "label", "n")
     )
+    place = F.array_position(F.array(*map(F.lit, ("total", "domain", "complexity"))), F.col("section"))
+    return rows.orderBy(place, F.desc("n"), "label")
 
 
-def split_sizes(split_df: DataFrame) -> DataFrame:
-    return split_df.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+def split_sizes(split_df: DataFrame, splits: tuple[str, ...] = ("train", "eval", "test")) -> DataFrame:
+    """Rows of each split, in their order; one without rows shows 0."""
+    counted = split_df.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    known = small_table(split_df.sparkSession, [(name, at) for at, name in enumerate(splits)], ("split", "ord"))
+    return known.join(counted, "split", "left").orderBy("ord").select("split", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def source_shares(train: DataFrame) -> DataFrame:
-    """Rows and percentage per source."""
+    """Rows and percentage per source, the most frequent first."""
     counted = train.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     total = counted.agg(F.sum("n")).scalar()
     return counted.withColumn(
         "pct", F.col("n").cast("double") / total.cast("double") * F.lit(100.0)
-    )
+    ).orderBy(F.desc("n"), "source")
 
 
-def complexity_bars(train: DataFrame, step: int = 20) -> DataFrame:
+def complexity_bars(train: DataFrame, width: int = 40) -> DataFrame:
+    """Rows per complexity with a bar, the most frequent first."""
     counted = train.groupBy("complexity").agg(F.count(F.lit(1)).alias("n"))
-    return counted.withColumn("bar", _bar(F.col("n"), step))
+    return _with_bar(counted, width).orderBy(F.desc("n"), "complexity")
 
 
 def thinking_share(train: DataFrame) -> DataFrame:

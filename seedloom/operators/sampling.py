@@ -7,6 +7,7 @@ cluster, for any number of partitions, and after any lost executor.
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ def exact_sample(df: DataFrame, n: int, key: str = "ex_id", seed: int = 42, purp
 
 
 def shuffled(df: DataFrame, key: str = "ex_id", seed: int = 42) -> DataFrame:
-    """All rows in a seeded random order (a range-partitioned sort)."""
+    """All rows in a seeded random order (a range-partitioned sort), as the files written from them keep it."""
     return df.orderBy(order_key(key, seed, "shuffle"), key)
 
 
@@ -118,31 +119,51 @@ def union_all(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def mix(
+class Drawn(NamedTuple):
+    """Rows of a mix, and the keys of the same rows in a stored table of their own."""
+
+    rows: DataFrame
+    keys: DataFrame
+
+
+def _keys(df: DataFrame, key: str) -> DataFrame:
+    return store(df.select(key), scratch(df.sparkSession, "keys"))
+
+
+def draw_mix(
     seed_rows: DataFrame,
     synthetic_rows: DataFrame,
     seed_ratio: float = fixed.SEED_RATIO,
     synthetic_ratio: float = fixed.SYNTHETIC_RATIO,
     key: str = "example_id",
     seed: int = 42,
-) -> DataFrame:
+) -> Drawn:
     """Both kinds of rows in a ratio of their total number, each capped by what there is.
 
     The cap can skew the ratio: 2,000 seed and 2,250 synthetic rows give 1,700
-    and 2,250. Without synthetic rows all seed rows are kept.
+    and 2,250. Without synthetic rows all seed rows are kept. Each input is passed over
+    twice: once for its keys, in which all cuts are found, and once for the rows.
     """
     order = order_key(key, seed, "mix")
-    synthetic = KeyOrder(synthetic_rows, order)
+    synthetic_keys, seed_keys = _keys(synthetic_rows, key), _keys(seed_rows, key)
+    synthetic = KeyOrder(synthetic_keys, order)
     if synthetic.size == 0:
-        return seed_rows
-    seeds = KeyOrder(seed_rows, order)
+        return Drawn(seed_rows, seed_keys)
+    seeds = KeyOrder(seed_keys, order)
     total = seeds.size + synthetic.size
-    return union_all(
-        seed_rows.where(up_to(order, seeds.cut(int(total * seed_ratio)))),
-        synthetic_rows.where(up_to(order, synthetic.cut(int(total * synthetic_ratio)))),
+    of_seeds = up_to(order, seeds.cut(int(total * seed_ratio)))
+    of_synthetic = up_to(order, synthetic.cut(int(total * synthetic_ratio)))
+    return Drawn(
+        union_all(seed_rows.where(of_seeds), synthetic_rows.where(of_synthetic)),
+        union_all(seed_keys.where(of_seeds), synthetic_keys.where(of_synthetic)),
     )
 
 
+def mix(seed_rows: DataFrame, synthetic_rows: DataFrame, *args, **kwargs) -> DataFrame:
+    """The rows of :func:`draw_mix`."""
+    return draw_mix(seed_rows, synthetic_rows, *args, **kwargs).rows
+
+
 def _split(df: DataFrame, order: Column, counted: KeyOrder, train_ratio: float, eval_ratio: float) -> DataFrame:
     train = int(counted.size * train_ratio)
     evals = int(counted.size * eval_ratio)
@@ -161,10 +182,14 @@ def split_rows(
     seed: int = 42,
     train_ratio: float = fixed.TRAIN_RATIO,
     eval_ratio: float = fixed.EVAL_RATIO,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
-    """A ``split`` column: the first share of the shuffled rows is train, then eval, then test."""
+    """A ``split`` column: the first share of the shuffled rows is train, then eval, then test.
+
+    ``keys`` may give the same rows' keys in a table that is cheaper to read.
+    """
     order = order_key(key, seed, "split")
-    return _split(df, order, KeyOrder(df, order), train_ratio, eval_ratio)
+    return _split(df, order, KeyOrder(df if keys is None else keys, order), train_ratio, eval_ratio)
 
 
 def split_groups(

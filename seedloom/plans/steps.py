@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from seedloom import fixed
 from seedloom.functions.chat import inference_messages
 from seedloom.functions.text import filled
-from seedloom.operators import compare, enrich, examples, execute, prepare, reports, sampling
+from seedloom.operators import compare, enrich, examples, prepare, reports, sampling
 from seedloom.session import scratch
 from seedloom.sources import files
 
@@ -33,6 +33,7 @@ def answer_chain(
     """What happens to seed rows once their answers are there, as parts for :func:`chain`."""
     parts = [
         prepare.check_contract,
+        prepare.check_keys,
         partial(enrich.attach_completions, completions=completions, keep_missing=False),
         enrich.required_fields,
     ]
@@ -51,11 +52,13 @@ class Prepared(NamedTuple):
 def prepare_seed(raw: DataFrame, n: int, out: str | None = None, seed: int = 42) -> Prepared:
     """Filter and normalise raw rows, draw ``n`` with equal shares per level.
 
+    Rows need unique keys, ``ex_id``; see :func:`prepare.ensure_row_keys` for rows without.
     With ``out`` the two tables are written as JSON lines to ``seed_full`` and
     ``seed_sample`` below it.
     """
     spark = raw.sparkSession
     full = files.store(prepare.normalize_seed(prepare.seed_filter(raw)), scratch(spark, "seed-full"))
+    prepare.check_keys(full)
     sample = files.store(sampling.stratified_sample(full, n, seed=seed), scratch(spark, "seed-sample"))
     if out:
         files.write_jsonl(full, f"{out}/seed_full")
@@ -69,7 +72,7 @@ def request_completions(
     seed_rows: DataFrame, n: int | None = None, out: str | None = None, seed: int = 42
 ) -> DataFrame:
     """Prompts of all stages for ``n`` (or all) seed rows, for an inference service to answer."""
-    rows = prepare.check_contract(seed_rows)
+    rows = prepare.check_keys(prepare.check_contract(seed_rows))
     if n:
         rows = files.store(rows, scratch(rows.sparkSession, "seed-rows"))
         rows = sampling.exact_sample(rows, n, seed=seed, purpose="enrich")
@@ -97,7 +100,7 @@ def collect_completions(
     ``build_examples`` then leaves out; without it they all count as good.
     Seed rows for which no request was made have no answer and drop out.
     """
-    attached = enrich.attach_completions(seed_rows, completions, keep_missing=False)
+    attached = enrich.attach_completions(prepare.check_keys(seed_rows), completions, keep_missing=False)
     attached = files.store(attached, scratch(seed_rows.sparkSession, "attached"))
     rows = enrich.required_fields(attached)
     if score:
@@ -130,18 +133,21 @@ def build_examples(
     """Mix seed and enriched rows by ratio, split them, and report on the training split.
 
     An original row can end up in another split than its copy with reasoning;
-    ``split_by="question"`` keeps rows with the same question together.
+    ``split_by="question"`` keeps rows with the same question together. The written
+    files hold their rows in a random order, as do the rows returned.
     """
     spark = seed_rows.sparkSession
-    mixed = files.store(examples.seed_examples(seed_rows), scratch(spark, "seed-examples"))
+    rows, keys = examples.seed_examples(seed_rows), None
     if enriched is not None:
-        made = files.store(examples.expand_enriched(enriched), scratch(spark, "made-examples"))
-        mixed = sampling.mix(mixed, made, seed_ratio, synthetic_ratio, seed=seed)
-        mixed = files.store(mixed, scratch(spark, "mixed"))
+        rows, keys = sampling.draw_mix(
+            rows, examples.expand_enriched(enriched), seed_ratio, synthetic_ratio, seed=seed
+        )
+    prepare.check_keys(rows if keys is None else keys, "example_id")
     if split_by:
-        rows = sampling.split_groups(mixed, split_by, seed=seed)
+        rows = sampling.split_groups(files.store(rows, scratch(spark, "mixed")), split_by, seed=seed)
     else:
-        rows = sampling.split_rows(mixed, seed=seed)
+        rows = sampling.split_rows(rows, seed=seed, keys=keys)
+    rows = files.store(sampling.shuffled(rows, "example_id", seed), scratch(spark, "shuffled"))
     if out:
         files.write_splits(rows, out)
     train = rows.where(F.col("split") == "train")
@@ -188,6 +194,8 @@ class Evaluated(NamedTuple):
 def evaluate(
     tests: DataFrame,
     predictions: DataFrame,
+    result_rows: DataFrame,
+    run_status: DataFrame,
     out: str | None = None,
     key: str = "ex_id",
     n: int | None = None,
@@ -196,17 +204,20 @@ def evaluate(
 ) -> Evaluated:
     """Exact match and execution accuracy of predictions, overall and per complexity.
 
-    The queries run once: their outcome is stored before it is compared and
-    counted. With ``out`` the report and the per-example table are written below it.
+    Queries are run elsewhere, as models are: ``result_rows`` holds ``(key, side, row_repr)``
+    and ``run_status`` ``(key, side, ok, error)`` (see :func:`compare.match_results`). Every
+    test counts; one without a status on both sides is no execution match. With ``out`` the
+    report and the per-example table are written below it.
     """
     spark = tests.sparkSession
+    prepare.check_keys(tests, key)
     if n:
         tests = files.store(tests, scratch(spark, "tests"))
         tests = sampling.exact_sample(tests, n, key, seed, "evaluate")
     aligned = compare.with_exact_match(compare.align_predictions(tests, predictions, key))
-    executions = files.store(execute.execute_pairs(aligned, key), scratch(spark, "executions"))
+    executions = compare.executions_from_tables(result_rows, run_status)
     matched = compare.match_results(executions, key, empty_is_match)
-    results = files.store(aligned.join(matched, key), scratch(spark, "results"))
+    results = files.store(compare.with_execution_match(aligned, matched, key), scratch(spark, "results"))
     report = reports.eval_report(results)
     if out:
         files.write_report(report, f"{out}/report")

@@ -93,22 +93,6 @@ def store(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_row_keys(df: DataFrame, path: str) -> DataFrame:
-    """The rows with a unique ``ex_id``, written to ``path`` once and read back.
-
-    The number depends on the partitions of this one run, so it must not be
-    computed again later; the written table keeps it fixed.
-    """
-    return store(df.withColumn("ex_id", F.monotonically_increasing_id()), path)
-
-
-def ensure_row_keys(df: DataFrame, path: str, key: str = "ex_id") -> DataFrame:
-    """The rows as they are where all have a key, else with new ones stored at ``path``."""
-    if key in df.columns and df.where(F.col(key).isNull()).isEmpty():
-        return df
-    return with_row_keys(df.drop(key), path)
-
-
 def read_tests(spark: SparkSession, path: str) -> DataFrame:
     """Test examples; rows that are in chat form already are left out."""
     both = T.StructType(EXAMPLE.fields + [T.StructField("messages", MESSAGES)])

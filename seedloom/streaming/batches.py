@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from seedloom import fixed
+from seedloom.operators import sampling
 
 
 def file_stream(
@@ -32,6 +33,17 @@ def file_stream(
     return reader.load(path)
 
 
+def write_batches(rows: DataFrame, path: str, size: int = fixed.BATCH_SIZE, key: str = "ex_id", seed: int = 42) -> None:
+    """The rows as JSON files of ``size`` shuffled rows each, the last with the rest.
+
+    A stream of one file per batch then takes so many rows at a time. Batches are dealt to
+    tasks by number; a task writes its batches one after the other.
+    """
+    numbered = sampling.assign_batches(rows, size, key, seed)
+    parts = numbered.repartition("batch_idx").sortWithinPartitions("batch_idx")
+    parts.write.option("ignoreNullFields", "false").partitionBy("batch_idx").json(path)
+
+
 def run_batches(
     rows: DataFrame,
     step: Callable[[DataFrame], DataFrame],

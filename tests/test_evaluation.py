@@ -1,12 +1,12 @@
-"""Result comparison and query execution."""
+"""Result comparison and the evaluation step."""
 
 import pytest
 from conftest import plan_of, rows_of
 
-from seedloom.operators import compare, execute, reports
+from seedloom.operators import compare, reports
 from seedloom.plans import steps
 
-DDL = "CREATE TABLE t (a INT, b TEXT); INSERT INTO t VALUES (1, 'x'); INSERT INTO t VALUES (2, 'y'); CREATE BROKEN;"
+DDL = "CREATE TABLE t (a INT, b TEXT); INSERT INTO t VALUES (1, 'x');"
 
 
 def executions(values, rows):
@@ -54,57 +54,6 @@ def test_bags(values):
     assert rows_of(compare.bag_difference(left, right)) == [(1, "x", 1)]
 
 
-@pytest.mark.parametrize(
-    "pred, gold, match",
-    [
-        ("SELECT a FROM t", "SELECT a FROM t ORDER BY a DESC", True),
-        ("SELECT a AS z FROM t", "SELECT a FROM t", True),
-        ("SELECT a * 1.0 FROM t", "SELECT a FROM t", False),
-        ("SELECT 1 FROM t", "SELECT DISTINCT 1 FROM t", False),
-        ("", "SELECT a FROM t WHERE a > 5", True),
-        ("", "SELECT a FROM t", False),
-        ("SELECT nope FROM t", "SELECT nope FROM t", False),
-        ("SELECT a FROM t; SELECT a FROM t", "SELECT a FROM t", False),
-        ("DELETE FROM t", "UPDATE t SET a = 3", True),
-        ("DELETE FROM t", "SELECT a FROM t", False),
-        ("DELETE FROM t RETURNING a", "SELECT a FROM t", True),
-        ("DROP TABLE t", "SELECT a FROM t", False),
-        ("SELECT b, NULL, x'00' FROM t", "SELECT b, NULL, x'00' FROM t", True),
-        ("ATTACH '/tmp/away.db' AS x", "SELECT a FROM t WHERE 0", False),
-        ("VACUUM INTO '/tmp/away.db'", "SELECT a FROM t WHERE 0", False),
-        ("PRAGMA writable_schema = 1", "SELECT a FROM t WHERE 0", False),
-        ("PRAGMA table_info(t)", "SELECT 0, 'a', 'INT', 0, NULL, 0 UNION ALL SELECT 1, 'b', 'TEXT', 0, NULL, 0", True),
-        ("WITH RECURSIVE c(x) AS (SELECT 1 UNION ALL SELECT x + 1 FROM c) SELECT count(*) FROM c", "SELECT 1", False),
-    ],
-)
-def test_execution(values, pred, gold, match):
-    runs = values("ex_id long, schema string, pred_sql string, gold_sql string", [(1, DDL, pred, gold)])
-    ran = execute.execute_pairs(runs, max_steps=3_000_000, partitions=2)
-    assert rows_of(compare.match_results(ran)) == [(1, match)]
-
-
-def test_second_query_sees_a_fresh_database():
-    rows = list(execute.pair_rows(DDL, "DELETE FROM t", "SELECT count(*) FROM t"))
-    assert rows == [("pred", True, None, None), ("gold", None, None, "(2,)"), ("gold", True, None, None)]
-
-
-def test_failures_are_rows(values):
-    runs = values("ex_id string, schema string, pred_sql string, gold_sql string",
-                  [("a", None, "SELECT nope", None), ("b", "CREATE; \x00", "SELECT (", "SELECT 1")])
-    got = rows_of(execute.execute_pairs(runs, partitions=1))
-    assert ("a", "gold", True, None, None) in got
-    assert ("a", "pred", False, "no such column: nope", None) in got
-    assert [(row[1], row[2]) for row in got if row[0] == "b"] == [("gold", None), ("gold", True), ("pred", False)]
-
-
-def test_large_results_come_in_blocks(values):
-    many = "WITH RECURSIVE c(x) AS (SELECT 1 UNION ALL SELECT x + 1 FROM c WHERE x < 12345) SELECT x FROM c"
-    runs = values("ex_id long, schema string, pred_sql string, gold_sql string", [(1, "", many, many)])
-    ran = execute.execute_pairs(runs, partitions=1)
-    assert ran.where("row_repr IS NOT NULL").count() == 2 * 12345
-    assert rows_of(compare.match_results(ran)) == [(1, True)]
-
-
 def test_reports(values):
     df = values("complexity string, exact_match boolean, execution_match boolean",
                 [("CTEs", True, True), ("CTEs", False, True), ("basic SQL", False, False), ("odd", False, True)])
@@ -125,11 +74,18 @@ def test_evaluate(values, tmp_path):
                          [(1, "<think>hm</think>\nselect  a from t"), (2, "SELECT b FROM t ORDER BY a")])
     asked = steps.inference_requests(tests).first().messages
     assert [m.role for m in asked] == ["system", "user"] and asked[1].content.endswith("\n\nQuestion: q")
-    done = steps.evaluate(tests, predictions, str(tmp_path / "eval"))
+    run_status = values("ex_id long, side string, ok boolean, error string",
+                        [row[:4] for row in status(1) + status(2)])  # nothing was run for 3
+    result_rows = values("ex_id long, side string, row_repr string",
+                         [(1, "pred", "(1,)"), (1, "gold", "(1,)"), (2, "pred", "('x',)"), (2, "gold", "('x',)")])
+    done = steps.evaluate(tests, predictions, result_rows, run_status, str(tmp_path / "eval"))
     assert rows_of(done.results.select("ex_id", "pred_sql", "exact_match", "execution_match")) == [
         (1, "select  a from t", True, True), (2, "SELECT b FROM t ORDER BY a", False, True), (3, "", False, False),
     ]
     overall = done.report.where("is_overall").first()
     assert (overall.n, overall.exact_match, overall.execution_accuracy) == (3, 0.3333, 0.6667)
     assert (tmp_path / "eval" / "report" / "_SUCCESS").exists()
-    assert steps.evaluate(tests, predictions, n=2).results.count() == 2
+    assert steps.evaluate(tests, predictions, result_rows, run_status, n=2).results.count() == 2
+    for bad in (tests.union(tests.where("ex_id = 1")), tests.selectExpr("nullif(ex_id, 2) AS ex_id", *tests.columns[1:])):
+        with pytest.raises(ValueError, match="ex_id"):
+            steps.evaluate(bad, predictions, result_rows, run_status)

@@ -1,16 +1,19 @@
 """Sources, sinks, streams, whole steps and the command line."""
 
+import hashlib
 import json
 
 import pytest
 from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seedloom.__main__ import main
-from seedloom.operators import enrich, examples, reports
+from seedloom.operators import enrich, examples, prepare, reports, sampling
+from seedloom.plans import steps
 from seedloom.session import scratch
 from seedloom.sources import files
-from seedloom.streaming.batches import file_stream, run_batches
+from seedloom.streaming.batches import file_stream, run_batches, write_batches
 
 
 def lines(path, *texts):
@@ -75,10 +78,33 @@ def test_training_text_prefers_the_chat_file(spark, tmp_path):
         files.read_training_text(spark, none, none)
 
 
-def test_row_keys_are_unique_and_stay(spark, tmp_path):
-    keyed = files.with_row_keys(spark.range(100).select(F.lit("x").alias("sql")).repartition(5), str(tmp_path / "k"))
-    assert keyed.select("ex_id").distinct().count() == 100
-    assert rows_of(keyed) == rows_of(keyed)
+def test_row_keys_follow_the_values_alone(spark):
+    rows = spark.range(300).selectExpr("CASE WHEN id < 100 THEN 'same' ELSE concat('x', id) END AS sql", "id % 2 AS n")
+    keyed = [
+        rows_of(prepare.with_row_keys(rows.repartition(parts), scratch(spark, "k"))) for parts in (1, 3, 11)
+    ]
+    assert [row[0] for row in keyed[0]] == list(range(1, 301))
+    assert keyed[0] == keyed[1] == keyed[2]
+    empty = prepare.with_row_keys(rows.limit(0), scratch(spark, "k"))
+    assert empty.count() == 0 and empty.columns == ["ex_id", "sql", "n"]
+
+
+def test_given_keys_stay(spark):
+    rows = spark.range(10, 20).selectExpr("id AS ex_id", "'a' AS sql")
+    assert prepare.ensure_row_keys(rows, scratch(spark, "k")) is rows
+    with pytest.raises(ValueError, match="1 of 10 rows have no ex_id"):
+        prepare.ensure_row_keys(rows.selectExpr("nullif(ex_id, 12) AS ex_id", "sql"), scratch(spark, "k"))
+    bare = prepare.ensure_row_keys(rows.selectExpr("cast(null AS string) AS ex_id", "sql"), scratch(spark, "k"))
+    assert sorted(r.ex_id for r in bare.collect()) == sorted(map(str, range(1, 11)))
+
+
+def test_check_keys(spark):
+    rows = spark.range(5).withColumnRenamed("id", "ex_id")
+    assert prepare.check_keys(rows) is rows
+    with pytest.raises(ValueError, match="0 rows without a key, 5 keys given more than once"):
+        prepare.check_keys(rows.union(rows))
+    with pytest.raises(ValueError, match="1 rows without a key"):
+        prepare.check_keys(rows.selectExpr("nullif(ex_id, 3) AS ex_id"))
 
 
 def test_scratch_needs_a_shared_folder(spark):
@@ -151,8 +177,47 @@ def test_command_line(spark, tmp_path, capsys):
 
     tests = files.read_split(spark, at("final"), "test")
     files.write_jsonl(tests.selectExpr("example_id", "concat(sql, ';') AS pred_sql"), at("predictions"))
-    main(["evaluate", "--tests", at("final") + "/split=test", "--predictions", at("predictions"), "--out", at("eval")])
+    sides = F.explode(F.array(F.lit("pred"), F.lit("gold"))).alias("side")
+    files.write_jsonl(tests.select("example_id", sides, F.lit("(1,)").alias("row_repr")), at("results"))
+    files.write_jsonl(tests.select("example_id", sides, F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error")), at("status"))
+    main(["evaluate", "--tests", at("final") + "/split=test", "--predictions", at("predictions"),
+          "--result-rows", at("results"), "--run-status", at("status"), "--out", at("eval")])
     report = [json.loads(line) for part in (tmp_path / "eval/report").glob("part-*") for line in part.read_text().splitlines()]
     overall = next(row for row in report if row["is_overall"])
-    assert overall["n"] == 4 and overall["exact_match"] == 1.0
+    assert overall["n"] == 4 and overall["exact_match"] == 1.0 and overall["execution_accuracy"] == 1.0
     assert "overall" in capsys.readouterr().out
+
+
+def test_batches_of_rows(spark, tmp_path):
+    """A stream over 50 rows in batches of 20 takes 20, 20 and the rest."""
+    rows = spark.range(50).selectExpr("id AS ex_id", "concat('q', id) AS question").repartition(3)
+    write_batches(rows, str(tmp_path / "in"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("batch_idx", T.LongType())])
+    stream = run_batches(
+        file_stream(spark, str(tmp_path / "in"), schema), lambda batch: batch, str(tmp_path / "out"),
+        str(tmp_path / "state"), pause_seconds=None,
+    )
+    stream.awaitTermination()
+    assert sorted(p.numInputRows for p in stream.recentProgress if p.numInputRows) == [10, 20, 20]
+    done = spark.read.schema(schema).parquet(str(tmp_path / "out"))
+    assert rows_of(done.select("ex_id", "question")) == rows_of(rows)
+    expected = {r.ex_id: r.batch_idx for r in sampling.assign_batches(rows).collect()}
+    assert {r.ex_id: r.batch_idx for r in done.collect()} == expected
+
+
+def test_split_files_are_shuffled(spark, tmp_path):
+    """The written files hold seed and made rows in hash order."""
+    seed = spark.range(400).selectExpr(
+        "id AS ex_id", "concat('q', id) AS question", "'s' AS schema", "'SELECT 12345' AS sql", "'CTEs' AS complexity",
+        "'d' AS domain", "'seed' AS source",
+    )
+    made = seed.selectExpr(
+        "*", "'u' AS upgraded_question", "'' AS upgraded_sql", "'' AS upgraded_complexity", "'' AS variant_schema",
+        "'' AS variant_question", "'' AS variant_sql", "'why' AS reasoning_trace", "1.0D AS quality_score",
+    )
+    steps.build_examples(seed, made, str(tmp_path / "final"))
+    parts = sorted((tmp_path / "final" / "split=train").glob("part-*"))
+    files_of = [[json.loads(line)["example_id"] for line in part.read_text().splitlines()] for part in parts]
+    for part in files_of:
+        keys = [hashlib.md5(f"42|shuffle|{key}".encode()).hexdigest() for key in part]
+        assert keys == sorted(keys) and len({key.split("/")[0] for key in part}) == 2

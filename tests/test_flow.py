@@ -94,7 +94,8 @@ def test_attach(values):
     assert (rows[0].upgraded_question, rows[0].upgraded_sql, rows[0].upgraded_complexity) == ("harder", "SELECT 1", "CTEs")
     assert (rows[0].variant_schema, rows[0].variant_question, rows[0].variant_sql) == ("t", "v", "SELECT 2")
     assert rows[0].reasoning_trace == "why"
-    assert {rows[1][c] for c in enrich.FIELDS} == {rows[2][c] for c in enrich.FIELDS} == {""}
+    assert (rows[1].upgraded_sql, rows[1].variant_sql, rows[1].reasoning_trace) == ("", "SELECT 2", "why")
+    assert {rows[2][c] for c in enrich.FIELDS} == {""}
     attached = enrich.attach_completions(seeds(values), done, keep_missing=False)
     assert attached.count() == 2
     assert enrich.required_fields(attached).count() == 1
@@ -108,6 +109,8 @@ def test_hot_row_is_split(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.shuffle.partitions": "8",
+        "spark.sql.files.maxPartitionBytes": "100k",  # several tasks read what was stored
+        "spark.sql.files.openCostInBytes": "10k",
     }
     before = {name: spark.conf.get(name) for name in changed}
     try:
@@ -122,19 +125,47 @@ def test_hot_row_is_split(spark):
             "concat('[REASONING]', sha2(string(id), 512), '[/REASONING]') AS content",
         )
         total = enrich.attach_completions(base, done).agg(F.count("ex_id"), F.count_distinct("reasoning_trace"))
-        assert tuple(total.collect()[0]) == (26666, 20000)  # two answers share choice 0 of row 7
+        assert tuple(total.collect()[0]) == (26667, 20001)  # two answers share choice 0 of row 7; both stay
         assert "skew=true" in plan_of(total)
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
 
 
+def test_no_answer_is_mixed_or_lost(values):
+    done = completions(
+        values,
+        [
+            (0, "upgrade", 0, "[QUESTION]q A[/QUESTION][SQL]SELECT z[/SQL]"),
+            (0, "upgrade", 0, "[QUESTION]q B[/QUESTION][SQL]SELECT y[/SQL]"),  # the request went out twice
+            (0, "upgrade", 1, "[QUESTION]q C[/QUESTION][SQL]SELECT x[/SQL]"),
+            (0, "trace", 0, "[REASONING]why[/REASONING]"),
+            (1, "trace", 3, "[REASONING]first[/REASONING]"),
+            (1, "trace", 5, "[REASONING]second[/REASONING]"),
+            (1, "upgrade", 5, "[QUESTION]q D[/QUESTION][SQL]SELECT w[/SQL]"),
+        ],
+    )
+    rows = enrich.attach_completions(seeds(values), done).orderBy("ex_id", "choice_idx")
+    assert [(r.ex_id, r.choice_idx, r.upgraded_question, r.upgraded_sql, r.reasoning_trace) for r in rows.collect()] == [
+        (0, 0, "q A", "SELECT z", "why"), (0, 1, "q C", "SELECT x", "why"), (0, 2, "q B", "SELECT y", "why"),
+        (1, 3, "q D", "SELECT w", "first"), (1, 5, "q D", "SELECT w", "second"),
+    ]
+    assert enrich.required_fields(rows).count() == 5
+
+
 def test_required_fields_ignore_white_space(values):
     df = values("upgraded_sql string, upgraded_question string, reasoning_trace string",
                 [("a", "b", "c"), ("a", " \n", "c"), ("a", "b", None), (" ", "b", "c")])
     assert enrich.required_fields(df).count() == 1
 
 
+def test_dry_run_replaces_columns(values, tmp_path):
+    rows = seeds(values, 2).withColumn("quality_score", F.lit(0.1)).withColumn("upgraded_sql", F.lit("old"))
+    made = enrich.dry_run(rows)
+    made.write.parquet(str(tmp_path / "mock"))
+    assert {(r.quality_score, r.upgraded_sql == "old") for r in made.collect()} == {(0.85, False)}
+
+
 def test_dry_run(values):
     rows = enrich.dry_run(seeds(values, 9)).orderBy("ex_id").collect()
     assert [r.ex_id for r in rows] == [0, 1, 2, 3, 4]
@@ -246,7 +277,19 @@ def test_level_report_shows_all_fixed_levels(values):
     df = values("complexity string", [("CTEs",)] * 11 + [("other",)] + [(None,)])
     got = [(r.level, r.n, r.bar) for r in reports.level_report(df).collect()]
     assert [level for level, _, _ in got] == list(fixed.LEVELS)
-    assert got[6] == ("CTEs", 11, "██") and got[0] == ("basic SQL", 0, "")
+    assert got[6] == ("CTEs", 11, "█" * 40) and got[0] == ("basic SQL", 0, "")
+
+
+def test_bars_do_not_grow_with_the_data(spark):
+    df = spark.range(1).selectExpr("explode(array('a', 'b', 'c')) AS complexity")
+    many = spark.range(3000).selectExpr("CASE WHEN id < 2000 THEN 'a' WHEN id < 2990 THEN 'b' ELSE 'c' END AS complexity")
+    assert [tuple(r) for r in reports.complexity_bars(many).collect()] == [("a", 2000, "█" * 40), ("b", 990, "█" * 19), ("c", 10, "")]
+    assert {r.bar for r in reports.complexity_bars(df).collect()} == {"█" * 40}
+
+
+def test_an_empty_split_is_shown(values):
+    df = values("split string", [("train",)] * 3 + [("test",)])
+    assert [tuple(r) for r in reports.split_sizes(df).collect()] == [("train", 3), ("eval", 0), ("test", 1)]
 
 
 def test_generation_summary(values):

@@ -11,6 +11,7 @@ would store the input of these operators, so the queries measure the operators.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,8 @@ DERIVED = {
     "cases": """
         SELECT o.o_orderkey AS ex_id, o.o_custkey AS cust, o.o_orderpriority AS priority,
                o.o_orderstatus AS status, o.o_totalprice AS price, lower(c.c_mktsegment) AS domain,
+               'Which orders did customer ' || c.c_name || ' place with priority ' || o.o_orderpriority || '?' AS question,
+               'CREATE TABLE orders (o_orderkey INT, o_custkey INT, o_orderpriority TEXT);' AS schema,
                CASE WHEN o.o_orderkey % 20 < 10 THEN 'basic SQL'
                     WHEN o.o_orderkey % 20 < 13 THEN 'single join'
                     WHEN o.o_orderkey % 20 < 15 THEN 'aggregation'
@@ -100,14 +103,16 @@ DERIVED = {
         FROM {cases}""",
     # documents as seed rows of the enrichment
     "doc_rows": """
-        SELECT doc_id AS ex_id, 'Which passages of ' || source || ' are written in ' || lang || '?' AS question,
+        SELECT doc_id AS ex_id,
+               'Which passages of ' || source || ' are written in ' || lang || ' like this one? ' || text AS question,
                'CREATE TABLE documents (doc_id INT, source TEXT, lang TEXT);' AS schema,
                'SELECT doc_id FROM documents WHERE lang = {{ lang }} AND n_chars = ' || n_chars || ';' AS sql,
                CASE lang WHEN 'en' THEN 'basic SQL' WHEN 'fr' THEN 'aggregation'
                          WHEN 'de' THEN 'window functions' ELSE 'CTEs' END AS complexity,
                source AS domain, lang AS task_type
         FROM {documents}""",
-    # model answers per document and stage, whole texts inside; a second answer for long documents
+    # model answers per document and stage, whole texts inside; a second answer of two stages for long
+    # documents, and a request sent again for others
     "answers": """
         SELECT d.doc_id AS ex_id, 'upgrade' AS stage,
                'Sure.' || chr(10) || '[QUESTION]' || chr(10)
@@ -128,6 +133,11 @@ DERIVED = {
         FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id
         WHERE l.doc_id IS NOT NULL OR d.lang <> 'es'
         UNION ALL
+        SELECT d.doc_id, 'upgrade',
+               '[QUESTION]Asked once more?[/QUESTION][SQL]SELECT text FROM documents WHERE doc_id = ' || d.doc_id || '[/SQL]',
+               CAST(NULL AS STRING)
+        FROM {documents} d JOIN {labels} l ON l.doc_id = d.doc_id WHERE d.lang = 'fr' OR l.toxic = 1
+        UNION ALL
         SELECT d.doc_id, 'trace', '[REASONING]' || chr(10) || d.text || chr(10) || '[/REASONING]',
                CASE WHEN d.n_chars > 3000 THEN '[REASONING]' || d.text END
         FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id
@@ -164,10 +174,11 @@ DERIVED = {
         FROM {lineitem} WHERE l_returnflag = 'R' OR (l_returnflag = 'A' AND l_quantity > 40)""",
     "run_status": """
         SELECT o_orderkey AS ex_id, 'gold' AS side, TRUE AS ok, CAST(NULL AS STRING) AS error FROM {orders}
+        WHERE o_orderstatus <> 'P' OR o_orderpriority <> '1-URGENT'
         UNION ALL
         SELECT o_orderkey, 'pred', NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW'),
                CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'no such column' END
-        FROM {orders}""",
+        FROM {orders} WHERE o_orderstatus <> 'P' OR o_orderpriority <> '1-URGENT'""",
 }
 
 _SLOT = re.compile(r"(?<!\{)\{(\w+)\}(?!\})")
@@ -182,9 +193,10 @@ _stored: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """The rows over all cores where the input has fewer parts than that.
+    """The rows over all cores where the input has fewer parts than that; the rows are the same either way.
 
-    A large input has more parts than cores and comes back as it is, unshuffled.
+    Only the small test tables are dealt anew: a large input has more parts than cores
+    and comes back as it is, unshuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
@@ -208,6 +220,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def stored_frame(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A frame stored once per session under a name, for queries that share it."""
+    place = (spark.conf.get("spark.app.id", ""), sf_dir, name)
+    if place not in _stored:
+        frame, path = make(), scratch(spark, name)
+        store(frame, path)
+        _stored[place] = path, frame.schema
+    path, schema = _stored[place]
+    return spark.read.schema(schema).parquet(path)
+
+
 def stored_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Folder of a stored derived table, for queries that read files themselves."""
     table(spark, sf_dir, name)
