@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 import os
 import sys
@@ -67,11 +68,25 @@ def core_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+def _with_modules(make: Query) -> Query:
+    """The query in a session whose Python workers find this folder's modules, wherever they were started."""
+
+    @functools.wraps(make)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        here, environment = os.path.dirname(os.path.abspath(__file__)), spark.sparkContext.environment
+        known = environment.get("PYTHONPATH", "").split(os.pathsep)
+        if here not in known:
+            environment["PYTHONPATH"] = os.pathsep.join([here, *filter(None, known)])
+        return make(spark, sf)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     more = dict(_llm.QUERIES) if _llm else {}
     if _pipeline:
         more["pipeline"] = _pipeline.run
-    return core_queries() | more
+    return core_queries() | {name: _with_modules(make) for name, make in more.items()}
 
 
 def oracle_sql() -> dict[str, str]:
