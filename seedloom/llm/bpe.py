@@ -2,8 +2,8 @@
 
 A tokenizer file in JSON gives the vocabulary, the merges and the special strings.
 
-*Encoding.* An Aho-Corasick automaton over the vocabulary finds the longest token at
-every byte. Tokens are placed from left to right, longest first; a token may stand
+*Encoding.* An Aho-Corasick automaton over the vocabulary finds the longest token at a
+byte. Tokens are placed from left to right, longest first; a token may stand
 after another only if the two are compatible, i.e. if merging the bytes of both gives
 just these two tokens. Where nothing fits, the last token is taken back and a shorter
 one tried, and the position is never tried again, so the work stays linear. A row of
@@ -46,8 +46,8 @@ PRE_TOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 PRINTABLE_BYTES = ((0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF))
 # ------------------------------------------------------------------------------
 
-UNIT_CACHE, PIECE_CACHE, PAIR_CACHE = 600_000, 300_000, 1_000_000
-LONG_UNIT, LONG_TEXT, BLOCK = 256, 1 << 20, 1 << 16
+UNIT_CACHE, PIECE_CACHE, PAIR_CACHE = 1_200_000, 100_000, 500_000
+LONG_UNIT, LONG_TEXT, BLOCK = 48, 1 << 20, 1 << 16
 NEVER = 1 << 62
 #: Letters below are letters in every version of Unicode.
 SETTLED = "\u0530"
@@ -112,16 +112,6 @@ class BytePairCodec:
         self.tokens = {"".join(chr(to_byte[c]) for c in text): i for text, i in model["vocab"].items()}
         self.text_of = {i: text for text, i in self.tokens.items()}
         self.width = {i: len(text) for text, i in self.tokens.items()}
-        #: ranks by pair of tokens; for merged tokens the rank and the two parts
-        self.merges: dict[tuple[int, int], int] = {}
-        self.formed: dict[int, int] = {}
-        self.parts: dict[int, tuple[int, int]] = {}
-        for rank, merge in enumerate(model["merges"]):
-            left, right = merge if isinstance(merge, list) else merge.split(" ")
-            a, b, whole = model["vocab"][left], model["vocab"][right], model["vocab"][left + right]
-            self.merges.setdefault((a, b), rank)
-            self.formed.setdefault(whole, rank)
-            self.parts.setdefault(whole, (a, b))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]):
             raise ValueError(f"{path}: special strings with conditions are not supported")
@@ -129,13 +119,33 @@ class BytePairCodec:
         self._special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.special else None
         self._pieces = regex.compile(PRE_TOKENS)
         self._edge = regex.compile(r"^\s|\s$")
-        self._library = Tokenizer.from_file(path).pre_tokenizer
+        self._path = path
         self._shorter: dict[int, int | None] = {}
         self._pairs: dict[tuple[int, int], bool] = {}
         self._known = _Units(self._encode_piece, PIECE_CACHE)
         self.first = _Units(self._encode_unit, UNIT_CACHE // 10)
         self.spaced = _Units(lambda unit: self._encode_unit(" " + unit), UNIT_CACHE)
 
+    @cached_property
+    def _rules(self) -> tuple[dict[tuple[int, int], int], dict[int, int], dict[int, tuple[int, int]]]:
+        """Ranks of the merges by pair of tokens; the rank and the two parts of each merged token."""
+        with open(self._path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        merges: dict[tuple[int, int], int] = {}
+        formed: dict[int, int] = {}
+        parts: dict[int, tuple[int, int]] = {}
+        for rank, merge in enumerate(model["merges"]):
+            left, right = merge if isinstance(merge, list) else merge.split(" ")
+            a, b, whole = model["vocab"][left], model["vocab"][right], model["vocab"][left + right]
+            merges.setdefault((a, b), rank)
+            formed.setdefault(whole, rank)
+            parts.setdefault(whole, (a, b))
+        return merges, formed, parts
+
+    @cached_property
+    def _library(self):
+        return Tokenizer.from_file(self._path).pre_tokenizer
+
     @cached_property
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
@@ -167,7 +177,7 @@ class BytePairCodec:
         known = self._pairs.get(pair)
         if known is not None:
             return known
-        merges, formed, parts = self.merges, self.formed, self.parts
+        merges, formed, parts = self._rules
         until_left = until_right = formed_left = formed_right = NEVER
         known = True
         while True:
@@ -187,36 +197,48 @@ class BytePairCodec:
         self._pairs[pair] = known
         return known
 
-    def shorter(self, token: int) -> int | None:
-        """The longest token that is a proper prefix of a token."""
-        if token not in self._shorter:
-            text = self.text_of[token]
+    @cached_property
+    def shorter(self) -> list[int | None]:
+        """By token the longest token that is a proper prefix of it."""
+        found: list[int | None] = [None] * (max(self.text_of) + 1)
+        for text, token in self.tokens.items():
             prefixes = (self.tokens.get(text[:size]) for size in range(len(text) - 1, 0, -1))
-            self._shorter[token] = next((p for p in prefixes if p is not None), None)
-        return self._shorter[token]
+            found[token] = next((p for p in prefixes if p is not None), None)
+        return found
 
     def backtrack(self, text: str) -> list[int]:
         """Token ids of one pre-token, given as one character per byte."""
-        longest = {end - before: token for end, (token, before) in self.automaton.iter(text)}
-        size = len(text)
-        width, pairs, compatible, shorter = self.width, self._pairs, self.compatible, self.shorter
+        longest, width, shorter = self.automaton.iter_long, self.width, self.shorter
+        pairs, compatible = self._pairs, self.compatible
         dead: set[int] = set()
         ids: list[int] = []
-        at, last, token = 0, None, longest.get(0)
-        while at < size:
-            if token is None:  # nothing fits here after the tokens before
-                dead.add(at)
-                token = shorter(ids.pop())
-                at -= width[last]
-                last = ids[-1] if ids else None
-                continue
-            end = at + width[token]
-            if end not in dead and (last is None or pairs.get((last, token)) or compatible(last, token)):
+        last = None
+        scan = longest(text)
+        while True:
+            for end, (token, before) in scan:  # longest tokens as long as they go together
+                if end in dead or last is not None and not (pairs.get((last, token)) or compatible(last, token)):
+                    break
                 ids.append(token)
-                at, last, token = end, token, longest.get(end)
+                last = token
             else:
-                token = shorter(token)
-        return ids
+                return ids
+            at = end - before
+            token = shorter[token]
+            while True:
+                if token is None:  # nothing fits here after the tokens before
+                    dead.add(at - 1)
+                    token = ids.pop()
+                    at -= width[token]
+                    token = shorter[token]
+                    last = ids[-1] if ids else None
+                    continue
+                end = at + width[token]
+                if end - 1 not in dead and (last is None or pairs.get((last, token)) or compatible(last, token)):
+                    break
+                token = shorter[token]
+            ids.append(token)
+            last = token
+            scan = longest(text, end) if end < len(text) else ()
 
     # --- texts ---------------------------------------------------------------
 
@@ -228,9 +250,9 @@ class BytePairCodec:
         """Of a first unit, or of another one with its space; mostly a word, maybe with one sign after it."""
         word = unit[1:] if unit[:1] == " " else unit
         if word.isalpha() and (word.isascii() or max(word) < SETTLED):
-            return self._known[unit]
+            return self._encode_piece(unit)
         if word[:-1].isalpha() and word[-1] in ",." and (word.isascii() or max(word) < SETTLED):
-            return self._known[unit[:-1]] + self._known[word[-1]]
+            return (self._known[word[:-1]] if word is unit else self.spaced[word[:-1]]) + self._known[word[-1]]
         if not word or self._edge.search(word):
             raise Unsafe
         return b"".join(map(self._known.__getitem__, self.pieces(unit)))
