@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from seedloom.llm.bpe import codec
 
-#: Examples that wait together, and places for sequence numbers below a task's number.
-BLOCK_EXAMPLES, SEQUENCE_BITS = 4096, 33
+#: Examples that wait together and bytes of their ids; places for sequence numbers below a task's number.
+BLOCK_EXAMPLES, BLOCK_BYTES, SEQUENCE_BITS = 4096, 64 << 20, 33
 
 
 @dataclass(frozen=True)
@@ -151,9 +151,10 @@ class _Block:
 
     def __init__(self, limits: Limits, first_sequence: int):
         self.limits, self.sequence = limits, first_sequence
-        self.keys, self.ids, self.loss = [], [], []
+        self.keys, self.ids, self.loss, self.size = [], [], [], 0
 
     def add(self, key, ids: bytes, loss_start: int) -> None:
+        self.size += len(ids)
         self.keys.append(key)
         self.ids.append(ids)
         self.loss.append(loss_start)
@@ -168,7 +169,7 @@ class _Block:
                 yield self.keys[p.example], p.start, p.length, ids, lengths[p.example], self.sequence, offset, loss
                 offset += p.length
             self.sequence += 1
-        self.keys, self.ids, self.loss = [], [], []
+        self.keys, self.ids, self.loss, self.size = [], [], [], 0
 
 
 def pack_texts(
@@ -197,7 +198,7 @@ def pack_texts(
             for row_key, row_text, row_prompt in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 loss_start = len(own.encode(row_text[:row_prompt])) // 4 if row_prompt and row_text else 0
                 waiting.add(row_key, own.encode(row_text) + end, loss_start)
-                if len(waiting.keys) >= block:
+                if len(waiting.keys) >= block or waiting.size >= BLOCK_BYTES:
                     yield _batch(list(waiting.packed()))
         yield _batch(list(waiting.packed()))
 
