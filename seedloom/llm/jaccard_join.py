@@ -58,7 +58,7 @@ SKETCH_BITS, N_HASHES = 1024, 3
 FREQUENT_ONE_IN = 1000
 #: Ids of texts to verify are broadcast up to this many (16 bytes each), and joined otherwise.
 BROADCAST_ROWS = 200_000
-WORD_CACHE = 500_000
+WORD_CACHE = 200_000
 _MASK = np.uint64((1 << HASH_BITS) - 1)
 
 
@@ -108,14 +108,15 @@ def frequent_words(texts: DataFrame, one_in: int = FREQUENT_ONE_IN) -> dict[int,
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[bytes] = Counter()
-        rows, pruned_at = 0, 0
+        rows, room = 0, WORD_CACHE
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 found.update(set(words_of(text)))
                 rows += 1
-            if len(found) > 4 * WORD_CACHE:  # lossy counting: what is rare so far goes
-                pruned_at = max(rows // (4 * one_in), pruned_at + 1)
-                found = Counter({word: n for word, n in found.items() if n > pruned_at})
+                if len(found) > room:  # lossy counting: what is rare so far goes
+                    least = max(1, rows // (2 * one_in))
+                    found = Counter({word: n for word, n in found.items() if n > least})
+                    room = len(found) + WORD_CACHE
         often = [(xxhash.xxh3_64_intdigest(word), n) for word, n in found.items() if n * one_in >= rows]
         hashes = np.array([h for h, _ in often], dtype=np.uint64).view(np.int64)
         yield pa.record_batch(
@@ -183,37 +184,60 @@ def minima(found: np.ndarray) -> list[int]:
     return [int((h & ~np.uint64(3) | np.uint64(k)).view(np.int64)) for k, h in enumerate(hashes)]
 
 
-def set_row(found: np.ndarray, threshold: Threshold) -> tuple | None:
-    if not len(found):
-        return None
-    prefix = found[: threshold.prefix(len(found))]
-    group = xxhash.xxh3_128_digest(prefix.tobytes() + len(found).to_bytes(8, "little"))
-    return (
-        xxhash.xxh3_128_digest(found.tobytes()), len(found), prefix.view(np.int64).tolist(), group,
-        sketch_of(found).tolist(), minima(found),
-    )
+def list_array(parts: list[np.ndarray]) -> pa.Array:
+    """One list per part, built without a Python object per number."""
+    ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
+    values = np.concatenate([*parts, np.empty(0, dtype=np.int64)]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+
+def set_rows(texts: pa.Array, words: Words, size: int, threshold: Threshold) -> pa.Array:
+    """The structs of :data:`_SET` for texts, null where there are no words."""
+    nodes, sizes, prefixes, groups, sketches, hashes = [], [], [], [], [], []
+    none = np.empty(0, dtype=np.int64)
+    for text in texts:
+        found = elements(text.as_py(), words, size)
+        sizes.append(len(found))
+        if len(found):
+            prefix = found[: threshold.prefix(len(found))]
+            nodes.append(xxhash.xxh3_128_digest(found.tobytes()))
+            prefixes.append(prefix.view(np.int64).copy())
+            groups.append(xxhash.xxh3_128_digest(prefix.tobytes() + len(found).to_bytes(8, "little")))
+            sketches.append(sketch_of(found))
+            hashes.append(np.array(minima(found), dtype=np.int64))
+        else:
+            nodes.append(None)
+            groups.append(None)
+            for lists in (prefixes, sketches, hashes):
+                lists.append(none)
+    columns = [
+        pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), list_array(prefixes), pa.array(groups, pa.binary()),
+        list_array(sketches), list_array(hashes),
+    ]
+    return pa.StructArray.from_arrays(columns, names=[f.name for f in _SET], mask=pa.array([n is None for n in nodes]))
 
 
 def _sets_udf(ranks, size: int, threshold: Threshold):
     @F.arrow_udf(_SET)
     def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = Words(ranks.value)
-        types = [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        fields = [pa.field(f.name, t) for f, t in zip(_SET, types)]
         for texts in batches:
-            rows = [set_row(elements(text.as_py(), words, size), threshold) for text in texts]
-            columns = [pa.array([row and row[i] for row in rows], t) for i, t in enumerate(types)]
-            yield pa.StructArray.from_arrays(columns, fields=fields, mask=pa.array([row is None for row in rows]))
+            yield set_rows(texts, words, size, threshold)
 
     return sets
 
 
+_CONTENTS = StructType([StructField("node", BinaryType()), StructField("contents", BinaryType())])
+
+
 def _contents_udf(ranks, size: int):
-    @F.arrow_udf(BinaryType())
+    @F.arrow_udf(_CONTENTS)
     def contents(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = Words(ranks.value)
         for texts in batches:
-            yield pa.array([elements(text.as_py(), words, size).tobytes() for text in texts], pa.binary())
+            sets = [elements(text.as_py(), words, size).tobytes() for text in texts]
+            nodes = pa.array([xxhash.xxh3_128_digest(found) for found in sets], pa.binary())
+            yield pa.StructArray.from_arrays([nodes, pa.array(sets, pa.binary())], names=["node", "contents"])
 
     return contents
 
@@ -263,8 +287,8 @@ class JaccardJoin:
             (F.col("text_hash") == F.col("of_text")) & F.col("key").eqNullSafe(F.col("of_key")), "left_semi",
         )
         rows = rows.groupBy("text_hash", "key").agg(F.first("text").alias("text"))
-        contents = rows.select(_contents_udf(self.ranks, self.size)(F.col("text")).alias("contents"))
-        contents = contents.select(_digest(F.col("contents")).alias("node"), "contents").dropDuplicates(["node"])
+        contents = rows.select(_contents_udf(self.ranks, self.size)(F.col("text")).alias("set"))
+        contents = contents.select("set.*").dropDuplicates(["node"])
         left = contents.select(F.col("node").alias("a"), F.col("contents").alias("in_a"))
         right = contents.select(F.col("node").alias("b"), F.col("contents").alias("in_b"))
         compared = pairs.select("a", "b").join(left, "a").join(right, "b")
@@ -380,8 +404,3 @@ class JaccardJoin:
 
         once = having(changed.where("stays"), "left_semi").dropDuplicates([self.key, name])
         return having(changed, "left_anti").unionByName(once).drop(name)
-
-
-@F.arrow_udf(BinaryType())
-def _digest(contents: pa.Array) -> pa.Array:
-    return pa.array([xxhash.xxh3_128_digest(c.as_py()) for c in contents], pa.binary())
