@@ -19,8 +19,6 @@ query's own row alone is left out. Equal scores go by the smaller id, null ids l
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
