@@ -16,13 +16,13 @@ Step 2 only spares work: step 3 looks at every pair of sets that may be similar
 not connected already, so no link between components is lost.
 
 The order is by the document frequency of an n-gram's rarest word. Words that at least one
-document in a thousand has are counted; their number is bounded by a thousand times the
-mean number of words in a document, and only these are broadcast, as hashes. So the n-grams of a
+document in 4,000 has are counted; their number is bounded by 8,000 times the mean number
+of words in a document, and only these are broadcast, as hashes. So the n-grams of a
 passage that a large share of the corpus holds come last and enter few prefixes. Any order
 gives the same result.
 
-Sketches are the parities of 1,024 hash buckets: two sets differ in at least as many
-elements as their sketches in bits.
+Sketches are the parities of 1,024 hash buckets, and of 16,384 for large sets: two sets
+differ in at least as many elements as their sketches in bits.
 
 Null texts, and texts without words, have empty sets and link with nothing. Ids may be null
 or repeated: rows are told apart by their sets. A component of null ids only is null. Extra
@@ -54,8 +54,10 @@ from seedloom.llm.frames import free_name, stored
 
 RANK_BITS, HASH_BITS = 5, 59
 SKETCH_BITS, N_HASHES = 1024, 3
+#: Sets above this size have a second, wider sketch; the first is full for them.
+WIDE_FROM, WIDE_BITS = 1800, 16384
 #: A word is frequent if one document in so many has it.
-FREQUENT_ONE_IN = 1000
+FREQUENT_ONE_IN = 4000
 #: Ids of texts to verify are broadcast up to this many (16 bytes each), and joined otherwise.
 BROADCAST_ROWS = 200_000
 WORD_CACHE = 200_000
@@ -102,22 +104,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def frequent_words(texts: DataFrame, one_in: int = FREQUENT_ONE_IN) -> dict[int, int]:
     """Ranks 1 to 31 by word hash: how often, in powers of two, a frequent word is found in documents.
 
-    A task reports the words that the wanted share of its own rows has; a word that is
-    frequent on the whole is frequent in some task, so it is reported.
+    A task reports the words that the wanted share of its own rows has, two at least; a word
+    that is frequent on the whole is frequent in some task, so it is reported.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[bytes] = Counter()
         rows, room = 0, WORD_CACHE
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found.update(set(words_of(text)))
+            for text in batch.column(0):
+                found.update(set(words_of(text.as_py())))
                 rows += 1
                 if len(found) > room:  # lossy counting: what is rare so far goes
                     least = max(1, rows // (2 * one_in))
                     found = Counter({word: n for word, n in found.items() if n > least})
                     room = len(found) + WORD_CACHE
-        often = [(xxhash.xxh3_64_intdigest(word), n) for word, n in found.items() if n * one_in >= rows]
+        often = [(xxhash.xxh3_64_intdigest(word), n) for word, n in found.items() if n >= max(2, rows / one_in)]
         hashes = np.array([h for h, _ in often], dtype=np.uint64).view(np.int64)
         yield pa.record_batch(
             [pa.array(hashes), pa.array([n for _, n in often], pa.int64()), pa.array([rows] * len(often), pa.int64())],
@@ -168,12 +170,13 @@ def elements(text: str | None, words: Words, size: int) -> np.ndarray:
 _SET = StructType([
     StructField("node", BinaryType()), StructField("n", LongType()), StructField("prefix", ArrayType(LongType())),
     StructField("group", BinaryType()), StructField("sketch", ArrayType(LongType())),
-    StructField("hashes", ArrayType(LongType())),
+    StructField("hashes", ArrayType(LongType())), StructField("wide", ArrayType(LongType())),
 ])
 
 
-def sketch_of(found: np.ndarray) -> np.ndarray:
-    odd = np.bincount((found & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+def sketch_of(found: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Whether each of so many hash buckets holds an odd number of elements, as 64-bit numbers."""
+    odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
@@ -193,7 +196,7 @@ def list_array(parts: list[np.ndarray]) -> pa.Array:
 
 def set_rows(texts: pa.Array, words: Words, size: int, threshold: Threshold) -> pa.Array:
     """The structs of :data:`_SET` for texts, null where there are no words."""
-    nodes, sizes, prefixes, groups, sketches, hashes = [], [], [], [], [], []
+    nodes, sizes, prefixes, groups, sketches, hashes, wide = [], [], [], [], [], [], []
     none = np.empty(0, dtype=np.int64)
     for text in texts:
         found = elements(text.as_py(), words, size)
@@ -205,14 +208,15 @@ def set_rows(texts: pa.Array, words: Words, size: int, threshold: Threshold) ->
             groups.append(xxhash.xxh3_128_digest(prefix.tobytes() + len(found).to_bytes(8, "little")))
             sketches.append(sketch_of(found))
             hashes.append(np.array(minima(found), dtype=np.int64))
+            wide.append(sketch_of(found, WIDE_BITS) if len(found) > WIDE_FROM else none)
         else:
             nodes.append(None)
             groups.append(None)
-            for lists in (prefixes, sketches, hashes):
+            for lists in (prefixes, sketches, hashes, wide):
                 lists.append(none)
     columns = [
         pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), list_array(prefixes), pa.array(groups, pa.binary()),
-        list_array(sketches), list_array(hashes),
+        list_array(sketches), list_array(hashes), list_array(wide),
     ]
     return pa.StructArray.from_arrays(columns, names=[f.name for f in _SET], mask=pa.array([n is None for n in nodes]))
 
@@ -272,11 +276,12 @@ class JaccardJoin:
         """One row per distinct set, with a row of the input that has it."""
         return self.sets.where(F.col("node").isNotNull()).groupBy("node").agg(
             F.min(F.struct("key", "text_hash")).alias("sample"), F.first("n").alias("n"), F.first("group").alias("group"),
-            F.first("sketch").alias("sketch"), F.first("hashes").alias("hashes"),
+            F.first("sketch").alias("sketch"), F.first("hashes").alias("hashes"), F.first("wide").alias("wide"),
         )
 
     def verified(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """The pairs ``a, b`` of sets that are linked, by their whole contents; stored."""
+        pairs = stored(self.by_wide_sketch(pairs, nodes), "pairs")
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         asked = stored(nodes.join(ends, "node", "left_semi").select("node", "sample"), "asked").select(
             F.col("sample.key").alias("of_key"), F.col("sample.text_hash").alias("of_text")
@@ -297,6 +302,18 @@ class JaccardJoin:
         linked = self.threshold.linked(F.col("shared"), F.col("n"), F.col("m"))
         return stored(compared.where(linked).select("a", "b", "shared"), "links")
 
+    def by_wide_sketch(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The pairs without those of two large sets whose wide sketches differ too much."""
+        large = nodes.where(F.size("wide") > 0)
+        left = large.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("wide").alias("wide_a"))
+        right = large.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("wide").alias("wide_b"))
+        both = pairs.join(left, "a", "left").join(right, "b", "left")
+        bits = F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        apart = F.aggregate(bits, F.lit(0), lambda total, x: total + x)
+        n, m = F.col("n_a"), F.col("n_b")
+        too_far = apart > n + m - 2 * self.threshold.needed(n, m)
+        return both.where(~F.coalesce(too_far, F.lit(False))).select("a", "b")
+
     def may_link(self, sketches: tuple[str, str], n: Column, m: Column) -> Column:
         """Filters on size and sketch: similar sets differ in at most n + m - 2 needed elements."""
         allowed = n + m - 2 * self.threshold.needed(n, m)
@@ -326,12 +343,14 @@ class JaccardJoin:
         prefixes = self.sets.where(F.col("node").isNotNull()).groupBy("group").agg(
             F.first("prefix").alias("prefix"), F.first("n").alias("n")
         )
-        index = stored(prefixes.join(parts.select("group", "label"), "group"), "groups").select(
-            "group", "label", "n", F.posexplode("prefix").alias("at", "gram")
-        )
-        met = index.groupBy("gram").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+        # Parts travel as 64-bit hashes; should two ever share one, both are looked at.
+        part = F.xxhash64("group", "label").alias("part")
+        indexed = stored(prefixes.join(parts, "group").select(part, "label", "group", "n", "sketch", "prefix"), "groups")
+        grams = indexed.select("label", F.explode("prefix").alias("gram"))
+        met = grams.groupBy("gram").agg(F.min("label").alias("least"), F.max("label").alias("most"))
         met = met.where(F.col("least") != F.col("most")).select("gram")
-        shared = stored(index.join(met, "gram").join(parts, ["group", "label"]), "shared")
+        index = indexed.select("part", F.posexplode("prefix").alias("at", "gram")).join(met, "gram")
+        shared = stored(index.join(indexed.drop("prefix"), "part"), "shared")
         columns = ("group", "label", "n", "at", "sketch")
         left = shared.select("gram", *[F.col(c).alias(f"{c}_a") for c in columns])
         right = shared.select("gram", *[F.col(c).alias(f"{c}_b") for c in columns])
@@ -355,12 +374,12 @@ class JaccardJoin:
     def labels(self) -> DataFrame:
         """``node, label`` of the sets that have links; the label is the component's smallest node."""
         nodes = stored(self.nodes(), "nodes")
-        near = self.verified(stored(self.hub_pairs(nodes), "pairs"), nodes)
+        near = self.verified(self.hub_pairs(nodes), nodes)
         labels = components(near)
         labelled = stored(
             nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).drop("hashes"), "labelled"
         )
-        far = self.verified(stored(self.group_pairs(labelled), "pairs"), labelled)
+        far = self.verified(self.group_pairs(labelled), labelled)
         stars = labels.where(F.col("node") != F.col("label")).select(F.col("node").alias("a"), F.col("label").alias("b"))
         return components(stars.union(far.select("a", "b")))
 
