@@ -392,6 +392,7 @@ class JaccardJoin:
         """``key, n, component`` per row of the input: its set's size and the smallest key in reach."""
         rows = self.labelled_rows()
         smallest = rows.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("key").alias("smallest"))
+        smallest = stored(smallest, "smallest")  # read through an exchange of its own, so a hot label can be split
         return rows.join(smallest, "label", "left").select(
             "key", F.coalesce("n", F.lit(0)).cast("long").alias("n"),
             F.when(F.col("label").isNull(), F.col("key")).otherwise(F.col("smallest")).alias("component"),
@@ -405,7 +406,7 @@ class JaccardJoin:
         """
         rows = self.labelled_rows().where(F.col("label").isNotNull())
         order = F.struct(F.col("key").isNull(), "key", "text_hash")
-        best = rows.groupBy("label").agg(F.min(order).alias("best"))
+        best = stored(rows.groupBy("label").agg(F.min(order).alias("best")), "best")
         marked = rows.join(best, "label").groupBy("key", "text_hash").agg(
             F.max(order == F.col("best")).alias("stays"), F.count(F.lit(1)).alias("rows")
         )
