@@ -39,14 +39,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seedloom.llm.frames import with_new
+from seedloom.llm.frames import in_parts, with_new
 
 # --- fixed values: they must equal those of byte-level BPE tokenizers ---------
 PRE_TOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PRINTABLE_BYTES = ((0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF))
 # ------------------------------------------------------------------------------
 
-UNIT_CACHE, PIECE_CACHE, PAIR_CACHE = 1_200_000, 100_000, 500_000
+UNIT_CACHE, PIECE_CACHE, PAIR_CACHE = 800_000, 60_000, 300_000
 LONG_UNIT, LONG_TEXT, BLOCK = 48, 1 << 20, 1 << 16
 NEVER = 1 << 62
 #: Letters below are letters in every version of Unicode.
@@ -318,9 +318,7 @@ def codec(path: str) -> BytePairCodec:
 def _encoded(path: str):
     @F.arrow_udf("binary")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = codec(path)
-        for texts in batches:
-            yield pa.array([own.encode(text.as_py()) for text in texts], pa.binary())
+        return in_parts(batches, codec(path).encode, pa.binary())
 
     return encode
 
@@ -329,8 +327,7 @@ def _decoded(path: str):
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(path)
-        for rows in batches:
-            yield pa.array([None if ids is None else own.decode(ids) for ids in rows.to_pylist()], pa.string())
+        return in_parts(batches, lambda ids: None if ids is None else own.decode(ids), pa.string())
 
     return decode
 

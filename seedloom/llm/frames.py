@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from seedloom.session import scratch
@@ -38,3 +39,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def quoted(columns: Iterable[str]) -> list[str]:
     """Names as column references, whatever characters they hold."""
     return ["`" + column.replace("`", "``") + "`" for column in columns]
+
+
+#: Bytes of results a task gathers before it hands them on.
+PART_BYTES = 4 << 20
+
+
+def in_parts(batches: Iterator[pa.Array], result: Callable, kind: pa.DataType) -> Iterator[pa.Array]:
+    """The results of an Arrow function of one column, in arrays of a few megabytes.
+
+    ``result`` gives text, bytes or None for one value. Input batches may be much larger,
+    and so would be the results of one.
+    """
+    for batch in batches:
+        part, size = [], 0
+        for value in batch:
+            found = result(value.as_py())
+            part.append(found)
+            size += len(found or "")
+            if size >= PART_BYTES:
+                yield pa.array(part, kind)
+                part, size = [], 0
+        if part:
+            yield pa.array(part, kind)

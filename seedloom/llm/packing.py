@@ -195,7 +195,8 @@ def pack_texts(
         own, end = codec(path), end_id.to_bytes(4, "little")
         waiting = _Block(limits, TaskContext.get().partitionId() << SEQUENCE_BITS)
         for batch in batches:
-            for row_key, row_text, row_prompt in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for row in zip(*(batch.column(i) for i in range(3))):
+                row_key, row_text, row_prompt = (value.as_py() for value in row)
                 loss_start = len(own.encode(row_text[:row_prompt])) // 4 if row_prompt and row_text else 0
                 waiting.add(row_key, own.encode(row_text) + end, loss_start)
                 if len(waiting.keys) >= block or waiting.size >= BLOCK_BYTES:
