@@ -37,6 +37,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 from tokenizers import Tokenizer
 
 from seedloom.llm.frames import in_parts, with_new
@@ -332,6 +333,26 @@ def _decoded(path: str):
     return decode
 
 
+def _round_trip(path: str):
+    @F.arrow_udf(StructType([StructField("ids", BinaryType()), StructField("decoded", StringType())]))
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = codec(path)
+        for batch in batches:
+            for ids in in_parts(iter([batch]), own.encode, pa.binary()):
+                decoded = pa.array([own.decode(row.as_py()) for row in ids], pa.string())
+                yield pa.StructArray.from_arrays([ids, decoded], names=["ids", "decoded"])
+
+    return code
+
+
+def encode_and_decode(
+    df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """:func:`encode_texts` and :func:`decode_ids` of its ids in one pass through the workers."""
+    coded, name = with_new(df, "coded", _round_trip(path)(F.col(text).cast("string")))
+    return coded.withColumn(ids, F.col(f"{name}.ids")).withColumn(decoded, F.col(f"{name}.decoded")).drop(name)
+
+
 def encode_texts(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """The rows with their token ids, a binary of little-endian unsigned 32-bit integers.
 

@@ -127,8 +127,8 @@ def op3_token_counts(spark, sf):
 @query
 def op5_bpe(spark, sf):
     path = public_tokenizers.path(TOKENIZER)
-    encoded = bpe.encode_texts(read(spark, sf, "documents").select("doc_id", "text"), path).drop("text")
-    return bpe.decode_ids(encoded, path).select(
+    coded = bpe.encode_and_decode(read(spark, sf, "documents").select("doc_id", "text"), path)
+    return coded.select(
         "doc_id", bpe.n_tokens().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )

@@ -83,6 +83,11 @@ def test_encode_and_decode_frames(odd_documents, no_documents):
         assert (bytes(row["ids"]), row["m"]) == (packed(ids_of(row["text"])), len(ids_of(row["text"])))
         assert row["decoded"] == (row["text"] or "")
     assert bpe.encode_texts(no_documents, PATH).count() == 0
+    columns = ["doc_id", "text", "ids", "decoded"]
+    both = bpe.encode_and_decode(odd_documents, PATH).select(*columns).collect()
+    apart = bpe.decode_ids(encoded, PATH).select(*columns).collect()
+    assert sorted(map(repr, both)) == sorted(map(repr, apart))
+    assert bpe.encode_and_decode(no_documents, PATH).count() == 0
 
 
 def test_count_tokens(odd_documents, no_documents, prose):
