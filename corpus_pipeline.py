@@ -33,8 +33,11 @@ def keep_good_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id, any one of equal rows with it."""
-    return jaccard_join.JaccardJoin(docs).representatives()
+    """One document of each group of near copies: the one with the smallest id, any one of equal rows with it.
+
+    Near copies share four fifths of their five-word n-grams; ``op7`` has a contract of its own.
+    """
+    return jaccard_join.JaccardJoin(docs, size=5, threshold=jaccard_join.Threshold(80, 100)).representatives()
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

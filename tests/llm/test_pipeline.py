@@ -1,6 +1,7 @@
 """The pipeline's stages on odd rows and given tables, and the registered queries."""
 
 import os
+import random
 import struct
 import zlib
 from collections import defaultdict
@@ -105,6 +106,32 @@ def test_stages_against_plain_python(spark, texts):
     assert sum(good) >= 0.97 * len(good)
 
 
+def test_near_copies_as_all_pairs_of_five_words(spark):
+    """The stage against brute force at five words and 0.8, on copies between its bar and op7's."""
+    draw = random.Random(21)
+    words = [f"w{i}" for i in range(5000)]
+    rows = []
+    for _ in range(8):
+        base = draw.sample(words, 200)
+        rows.append((len(rows), " ".join(base)))
+        for n in (170, 155):  # 15 and 22.5 % cut off
+            rows.append((len(rows), " ".join(base[:n])))
+        for at in ([50, 150], [20, 60, 100, 140], [20, 50, 80, 110, 140, 170]):
+            rows.append((len(rows), " ".join(draw.choice(words) if i in at else w for i, w in enumerate(base))))
+    rows += [(len(rows) + i, text) for i, text in enumerate(["one two three four", "one two three four", "", "one two"])]
+    grams = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := text.split()) else set() for _, text in rows]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if grams[i] and 100 * len(grams[i] & grams[j]) >= 80 * len(grams[i] | grams[j]):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [r["doc_id"] for r in corpus_pipeline.keep_one_of_near_copies(spark, docs, SF).collect()]
+    assert sorted(kept) == sorted(set(label))
+    assert len(kept) < jaccard_join.JaccardJoin(docs).representatives().count()
+
+
 def test_stages_take_odd_rows(spark, odd_documents, no_documents):
     for name, stage in corpus_pipeline.STAGES:
         for docs in (odd_documents, no_documents):
