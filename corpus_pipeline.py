@@ -25,8 +25,12 @@ def keep_good_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def keep_good_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose probability of being good reaches the threshold; learnt from the labels of ``docs``."""
-    labelled = quality_classifier.labelled_rows(docs, read(spark, sf_dir, "labels"))
+    """Documents whose probability of being good reaches the threshold.
+
+    The model learns, as in ``op8``, from the labels of all given documents: those that stage 1
+    has taken out are nearly all of the bad ones.
+    """
+    labelled = quality_classifier.labelled_rows(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     score = free_name(docs, "score")
     scored = quality_classifier.score_texts(docs, quality_classifier.fit(labelled), out=score)
     return scored.where(F.col(score) >= LEAST_SCORE).select(*quoted(docs.columns))

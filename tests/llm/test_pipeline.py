@@ -132,6 +132,19 @@ def test_near_copies_as_all_pairs_of_five_words(spark):
     assert len(kept) < jaccard_join.JaccardJoin(docs).representatives().count()
 
 
+def test_classifier_learns_from_labels_of_rejected_documents(spark):
+    """On stage 1's output, and bad documents without a label that slipped past it, op8's model decides."""
+    documents, labels = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
+    first = corpus_pipeline.keep_good_by_rules(spark, documents, SF)
+    bad = documents.join(labels.where("quality = 0").select("doc_id").distinct(), "doc_id", "left_semi")
+    slipped = bad.withColumn("doc_id", bad["doc_id"] + 10**9).select(first.columns)
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_good_by_classifier(spark, first.unionByName(slipped), SF).collect()}
+    good = {r["doc_id"] for r in QUERIES["op8_quality_classifier"](spark, SF).collect() if r["predicted"]}
+    slipped, first = ({r["doc_id"] for r in df.collect()} for df in (slipped, first))
+    assert kept == (first & good) | {i for i in slipped if i - 10**9 in good}
+    assert slipped and len(kept & slipped) < 0.2 * len(slipped)
+
+
 def test_stages_take_odd_rows(spark, odd_documents, no_documents):
     for name, stage in corpus_pipeline.STAGES:
         for docs in (odd_documents, no_documents):
