@@ -163,3 +163,15 @@ def test_components_of_paths_stars_and_cycles(spark):
     labels = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert labels == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)} | {i: 200 for i in (200, 201, 202)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("in_order", [True, False])
+def test_components_of_a_long_shuffled_path(spark, in_order):
+    draw = random.Random(5)
+    nodes = list(range(2000))
+    if not in_order:
+        draw.shuffle(nodes)
+    edges = list(zip(nodes, nodes[1:])) + [(5000, 5000)]
+    draw.shuffle(edges)
+    labels = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect())
+    assert labels == dict.fromkeys(range(2000), 0) | {5000: 5000}
