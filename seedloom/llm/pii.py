@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from datetime import date
 from functools import lru_cache
@@ -126,6 +126,19 @@ def new_card(permute: Permutation, value: str) -> str:
 # --- bank accounts -----------------------------------------------------------
 
 
+#: Lengths of account numbers by country, check digits and country code included.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
+
 def iban_rest(country: str, check: str, account: str) -> int:
     return int("".join(str(int(char, 36)) for char in account + country + check)) % 97
 
@@ -140,6 +153,28 @@ def valid_iban(match: re.Match) -> bool:
     return 11 <= len(account) <= 30 and iban_rest(country, check, account) == 1
 
 
+def own_length(match: re.Match) -> int:
+    """Where the number ends by its country's length; words after it may look like a part of it."""
+    value, length = match.group(), IBAN_LENGTHS.get(match.group()[:2], 0)
+    breaks = [at for at, char in enumerate(value) if char == " "] + [len(value)]
+    return match.start() + next((at for at in breaks if at - value.count(" ", 0, at) == length), 0)
+
+
+def find_ibans(pattern: re.Pattern, text: str) -> list[re.Match]:
+    """Valid numbers of their country's length, and between these whatever else passes the check as a whole."""
+    found: list[re.Match] = []
+    for end_of in (own_length, re.Match.end):
+        spans = [(m.start(), m.end(), "\0" * (m.end() - m.start())) for m in found]
+        left, at = splice(text, spans), 0
+        while match := pattern.search(left, at):
+            part = pattern.fullmatch(left, match.start(), end_of(match))
+            valid = part and valid_iban(part)
+            if valid:
+                found.append(part)
+            at = part.end() if valid else match.start() + 1  # an invalid match may cover a valid one
+    return sorted(found, key=re.Match.start)
+
+
 def new_iban(permute: Permutation, value: str) -> str:
     country, _, account = iban_parts(value)
     account = permute_text(permute, f"iban|{country}", account, (DIGITS, LETTERS))
@@ -263,6 +298,11 @@ class Kind:
     hint: re.Pattern
     valid: Callable[[re.Match], bool]
     new: Callable[[Permutation, str], str]
+    #: Finds the valid matches where one pass over the pattern's matches is not enough.
+    find: Callable[[re.Pattern, str], list[re.Match]] | None = None
+
+    def values(self, text: str) -> Iterable[re.Match]:
+        return self.find(self.pattern, text) if self.find else filter(self.valid, self.pattern.finditer(text))
 
 
 _DIGIT, _AT = re.compile("[0-9]"), re.compile("@")
@@ -280,7 +320,7 @@ KINDS = (
     Kind("email", re.compile(r"[\w.+%-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"), _AT, valid_always, new_email),
     Kind(
         "iban", re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"), _DIGIT, valid_iban,
-        new_iban,
+        new_iban, find_ibans,
     ),
     Kind(
         "address", re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9])"), _DIGIT, valid_address,
@@ -329,10 +369,9 @@ class Pseudonyms:
             if not kind.hint.search(text):
                 continue
             spans = []
-            for match in kind.pattern.finditer(masked):
-                if kind.valid(match):
-                    group = next((name for name, value in match.groupdict().items() if value), 0)
-                    spans.append(match.span(group))
+            for match in kind.values(masked):
+                group = next((name for name, value in match.groupdict().items() if value), 0)
+                spans.append(match.span(group))
             found += [(begin, end, self.new(at, text[begin:end])) for begin, end in spans]
             if spans:
                 masked = splice(masked, [(begin, end, "\0" * (end - begin)) for begin, end in spans])

@@ -131,3 +131,25 @@ def test_frames(spark, odd_documents, no_documents):
 def test_very_long_text():
     text = ("word " * 100_000) + "el.01@mail8.example.com " + "9" * 100_000 + "@" * 1000
     assert kinds(text) == {"email": 1}
+
+
+IBANS = [
+    "BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "ES9121000418450200051332",
+    "SE45 5000 0000 0583 9825 7466", "PL61109010140000071219812874", "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00",
+]
+
+
+@pytest.mark.parametrize("value", IBANS)
+@pytest.mark.parametrize("after", ["", " BIC GKCCBEBB", " EUR 50", " 2024", " NEXT WORD 1234", f" {IBANS[1]}", " AB12 CODE THEN"])
+def test_accounts_before_upper_case_words_and_digits(value, after):
+    changed = new(f"AB12 CODE {value}{after}")
+    same = changed.removeprefix("AB12 CODE ")[: len(value)]
+    assert kinds(f"AB12 CODE {value}{after}") == {"iban": 1 + after.count(IBANS[1])}
+    assert same != value and same == new(value) and kinds(same) == {"iban": 1}
+    assert changed.endswith(new(after))
+
+
+def test_accounts_of_other_countries_and_lengths_stay_found():
+    for country, account in (("ZZ", "12345678901234"), ("DE", "12345678901234567890")):
+        value = f"{country}{98 - pii.iban_rest(country, '00', account):02d}{account}"
+        assert kinds(f"to {value}, and") == {"iban": 1}
