@@ -10,6 +10,9 @@ key, and different values different ones. Without the key nothing leads back.
 A permutation may map a value to itself, with a chance of one in the size of the set
 (tens of thousands of dates, billions of addresses).
 
+Dates are yyyy-mm-dd, yyyy/mm/dd, dd/mm/yyyy, mm/dd/yyyy and dd.mm.yyyy, days and months
+with one digit or two; a time may follow after a T and stays.
+
 Nulls stay null and empty texts empty. Text outside the values found is left as it is.
 Repeated rows stay. Letters keep their case; values that differ only in case stay linked.
 """
@@ -240,16 +243,16 @@ def read_date(value: str) -> tuple[str, str, date] | None:
     """Separator, order of parts and day; day before month where both would do."""
     sign = next(char for char in value if char not in DIGITS)
     parts = value.split(sign)
-    for order in ORDERS[sign]:
+    for order in ("ymd",) if len(parts[0]) == 4 else ORDERS[sign]:
         day = day_of(parts, order)
         if day:
             return sign, order, day
     return None
 
 
-def write_date(sign: str, order: str, day: date) -> str:
-    named = {"y": f"{day.year:04d}", "m": f"{day.month:02d}", "d": f"{day.day:02d}"}
-    return sign.join(named[part] for part in order)
+def write_date(sign: str, order: str, day: date, widths: list[int]) -> str:
+    named = {"y": day.year, "m": day.month, "d": day.day}
+    return sign.join(f"{named[part]:0{width}d}" for part, width in zip(order, widths))
 
 
 def valid_date(match: re.Match) -> bool:
@@ -257,13 +260,14 @@ def valid_date(match: re.Match) -> bool:
 
 
 def new_date(permute: Permutation, value: str) -> str:
-    """Another day of 1900 to 2099 that reads in the same order of parts."""
+    """Another day of 1900 to 2099 that reads in the same order of parts, each as wide as before."""
     sign, order, day = read_date(value)
+    widths = [len(part) for part in value.split(sign)]
     number = day.toordinal() - FIRST_DAY
     while True:
         number = permute("date", number, LAST_DAY - FIRST_DAY + 1)
-        new = write_date(sign, order, date.fromordinal(FIRST_DAY + number))
-        if read_date(new)[1] == order:
+        new = write_date(sign, order, date.fromordinal(FIRST_DAY + number), widths)
+        if len(new) == len(value) and read_date(new)[1] == order:
             return new
 
 
@@ -330,8 +334,8 @@ KINDS = (
     Kind(
         "date",
         re.compile(
-            r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})"
-            r"(?![\w/-]|\.[0-9])"
+            r"(?<![\w./-])(?:[0-9]{4}([-/])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([/.])[0-9]{1,2}\2[0-9]{4})"
+            r"(?:(?=T[0-9]{2})|(?![\w/-]|\.[0-9]))"
         ),
         _DIGIT, valid_date, new_date,
     ),

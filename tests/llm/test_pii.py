@@ -153,3 +153,24 @@ def test_accounts_of_other_countries_and_lengths_stay_found():
     for country, account in (("ZZ", "12345678901234"), ("DE", "12345678901234567890")):
         value = f"{country}{98 - pii.iban_rest(country, '00', account):02d}{account}"
         assert kinds(f"to {value}, and") == {"iban": 1}
+
+
+@pytest.mark.parametrize(
+    ("text", "form"),
+    [
+        ("1984-03-12T00:00:00", r"\d{4}-\d\d-\d\dT00:00:00"), ("1984/03/12", r"\d{4}/\d\d/\d\d"),
+        ("3/4/1984", r"\d/\d/\d{4}"), ("12/31/1984", r"\d\d/\d\d/\d{4}"), ("12.3.1984", r"\d\d\.\d\.\d{4}"),
+        ("3.12.1984", r"\d\.\d\d\.\d{4}"), ("1984-3-2", r"\d{4}-\d-\d"),
+    ],
+)
+def test_other_forms_of_dates(text, form):
+    changed = new(f"on {text}.")
+    assert kinds(f"on {text}.") == kinds(changed) == {"date": 1}
+    assert re.fullmatch(rf"on {form}\.", changed) and changed != f"on {text}."
+
+
+def test_dates_linked_across_forms_and_apart():
+    assert new("1984-03-12T10:00") == new("1984-03-12") + "T10:00" and new("1984/03/12") == new("1984-03-12").replace("-", "/")
+    days = [f"{d}/{m}/{y}" for d in range(1, 10) for m in range(1, 10) for y in range(1980, 1990)]
+    assert len({new(day) for day in days}) == len(days)
+    assert [new(t) for t in ("31/2/1984", "3/4/84", "1984-03/12", "/1984/03/12")] == ["31/2/1984", "3/4/84", "1984-03/12", "/1984/03/12"]
