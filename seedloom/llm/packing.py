@@ -5,8 +5,9 @@ sequence has room for so many tokens, segments and loss-bearing tokens at once.
 sequences' worth of a long example are cut off first and stand alone; what is left over
 is placed by the dot-product heuristic: into the open sequence goes the waiting example
 whose needs, weighed by the sequence's remaining room, add up to most. Where no whole
-example fits any more, one is cut to fill the gap, as examples may be cut freely. What
-remains at the end of a block is cut into parts of a power of two, which need no padding.
+example fits any more, one is cut to fill the gap, as examples may be cut freely. A sequence
+that stays underfull, as the last of a block or because its segments or loss-bearing tokens
+are used up, is cut into parts of a power of two, which need no padding.
 
 Each task packs the rows it reads, block by block, so nothing is shuffled, a block's size
 bounds memory, and a task that runs again gives the same sequences. Sequence numbers
@@ -71,7 +72,7 @@ def place(lengths: list[int], loss_starts: list[int], limits: Limits) -> list[li
         if length > start:
             waiting.append(Piece(example, start, length - start))
     if not waiting:
-        return done
+        return [part for pieces in done for part in powers_of_two(pieces, limits)]
 
     example = np.array([p.example for p in waiting])
     start = np.array([p.start for p in waiting])
@@ -106,8 +107,7 @@ def place(lengths: list[int], loss_starts: list[int], limits: Limits) -> list[li
             tokens[at] -= size
             open_[at] = tokens[at] > 0
         done.append(pieces)
-    last = done.pop()
-    return done + powers_of_two(last, limits)
+    return [part for pieces in done for part in powers_of_two(pieces, limits)]
 
 
 def powers_of_two(pieces: list[Piece], limits: Limits) -> list[list[Piece]]:

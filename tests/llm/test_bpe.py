@@ -172,3 +172,15 @@ def test_pack_instruction_rows(spark, prose):
 def test_room_is_needed(no_documents):
     with pytest.raises(ValueError):
         packing.pack_texts(no_documents, PATH, end_id=1, limits=packing.Limits(tokens=0))
+
+
+@pytest.mark.parametrize("loss_start, limits", [(0, packing.Limits()), (0, packing.Limits(512, 256, 200)), (2, packing.Limits(512, 40, 30))])
+def test_every_underfull_sequence_is_cut_into_powers_of_two(loss_start, limits):
+    """Very short texts use up the segments, or loss-bearing tokens run out, long before a sequence is full."""
+    lengths = [3] * 2000 + [900]
+    places = packing.place(lengths, [loss_start] * len(lengths), limits)
+    sizes = [sum(p.length for p in sequence) for sequence in places]
+    assert sum(sizes) == sum(lengths) and all(n == limits.tokens or n & (n - 1) == 0 for n in sizes)
+    assert all(len(sequence) <= limits.segments for sequence in places)
+    held = sorted((p.example, p.start + i) for sequence in places for p in sequence for i in range(p.length))
+    assert held == [(example, i) for example, n in enumerate(lengths) for i in range(n)]
