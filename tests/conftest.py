@@ -3,7 +3,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+_HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(_HERE), _HERE]
 
 from seedloom.session import build_session  # noqa: E402
 
@@ -34,12 +35,3 @@ def values(spark):
         return spark.createDataFrame(rows, schema)
 
     return make
-
-
-def rows_of(df):
-    rows = [tuple(row) for row in df.collect()]
-    return sorted(rows, key=lambda row: [(value is not None, value) for value in row])
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,7 +1,7 @@
 """Result comparison and the evaluation step."""
 
 import pytest
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 
 from seedloom.operators import compare, reports
 from seedloom.plans import steps

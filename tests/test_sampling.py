@@ -2,7 +2,7 @@ import hashlib
 from collections import Counter
 
 import pytest
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 from pyspark.sql import functions as F
 
 from seedloom.functions.keys import order_key
