@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedloom.llm import bpe, chat_views, jaccard_join, packing, pii, quality_classifier, quality_rules, token_counts, topk, url_filter
+from seedloom.llm import bpe, chat_views, jaccard_join, packing, pii, quality_classifier, quality_rules, token_counts, topk, url_filter, whitening
 from seedloom.llm.frames import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,3 +216,13 @@ def op10_packing(spark, sf):
         F.col("key").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset",
     )
+
+
+@query
+def op13_whitening(spark, sf):
+    rows = whitening.whiten(read(spark, sf, "embeddings").select("vec_id", "embedding"))
+    components = rows.select("vec_id", "white.n", "white.deviation", "white.identity_error", F.explode("white.components").alias("of"))
+    return components.select(
+        "vec_id", "of.component", "n", F.col("deviation").try_cast("long").alias("deviation"), "of.whitened", "of.explained",
+        "identity_error",
+    )
