@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedloom.llm import bpe, chat_views, jaccard_join, packing, pii, quality_classifier, quality_rules, token_counts, topk, url_filter, whitening
+from seedloom.llm import alignment, bpe, chat_views, jaccard_join, packing, pii, quality_classifier, quality_rules, token_counts, topk, url_filter, whitening
 from seedloom.llm.frames import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,6 +218,16 @@ def op10_packing(spark, sf):
     )
 
 
+PIECES = "piece_bpe_32k.model"
+
+
+@query
+def op11_alignment(spark, sf):
+    documents = read(spark, sf, "documents")
+    paths = public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES)
+    return alignment.align(documents, *paths, keep_groups=False)[0].drop("groups").withColumnRenamed("key", "doc_id")
+
+
 @query
 def op13_whitening(spark, sf):
     rows = whitening.whiten(read(spark, sf, "embeddings").select("vec_id", "embedding"))
