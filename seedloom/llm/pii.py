@@ -11,10 +11,17 @@ A permutation may map a value to itself, with a chance of one in the size of the
 (tens of thousands of dates, billions of addresses).
 
 Dates are yyyy-mm-dd, yyyy/mm/dd, dd/mm/yyyy, mm/dd/yyyy and dd.mm.yyyy, days and months
-with one digit or two; a time may follow after a T and stays.
+with one digit or two, of the years 1900 to 2099; a time may follow after a T and stays.
+Dates of other years stay as they are.
 
-Nulls stay null and empty texts empty. Text outside the values found is left as it is.
-Repeated rows stay. Letters keep their case; values that differ only in case stay linked.
+Values of any length are permuted. Beyond 64 letters and digits they are taken in blocks of
+64, each under a key that depends on all blocks before it, and then once more from the end,
+so every character of the pseudonym depends on every one of the value, in linear time. Patterns
+pass over a text without going back, so very long texts, words and runs take linear time too.
+
+Nulls stay null and empty texts empty; an empty table gives an empty one. Text outside the
+values found is left as it is. Repeated rows stay, and so do other columns, whatever their
+names. Letters keep their case; values that differ only in case stay linked.
 """
 
 from __future__ import annotations
@@ -63,7 +70,7 @@ class Permutation:
     def _rounds(self, kind: str, number: int, width: int, size: int) -> int:
         mask, n_bytes = (1 << width) - 1, (width + 7) // 8
         left, right = number >> width, number & mask
-        tweak = self.key + f"{kind}|{size}|".encode()
+        tweak = self.key + f"{kind}|".encode() + size.to_bytes((size.bit_length() + 7) // 8, "big") + b"|"
         for turn in range(ROUNDS):
             mixed = hashlib.shake_256(tweak + bytes([turn]) + right.to_bytes(n_bytes, "big")).digest(n_bytes)
             left, right = right, left ^ (int.from_bytes(mixed, "big") & mask)
@@ -74,21 +81,51 @@ def alphabet_of(char: str, alphabets: tuple[str, ...]) -> str | None:
     return next((a for a in alphabets if char in a), None)
 
 
+#: Characters that are permuted as one number; longer values are taken block by block.
+PLACES = 64
+
+
+def permute_block(permute: Permutation, kind: str, indexes: list[int], bases: list[int]) -> list[int]:
+    """The indexes, each below its base, permuted together as one number."""
+    number, size = 0, 1
+    for index, base in zip(indexes, bases):
+        number = number * base + index
+        size *= base
+    number, out = permute(kind, number, size), []
+    for base in reversed(bases):
+        number, index = divmod(number, base)
+        out.append(index)
+    return out[::-1]
+
+
+def permute_indexes(permute: Permutation, kind: str, indexes: list[int], bases: list[int]) -> list[int]:
+    """The indexes permuted together; many of them block by block, forwards and then backwards."""
+    if len(indexes) <= PLACES:
+        return permute_block(permute, kind, indexes, bases)
+    starts = range(0, len(indexes), PLACES)
+    for turn, order in enumerate((starts, reversed(starts))):
+        before = hashlib.sha256(f"{kind}|{turn}|{len(indexes)}|".encode())
+        for at in order:
+            block = slice(at, at + PLACES)
+            indexes[block] = permute_block(permute, f"{kind}|{before.hexdigest()}", indexes[block], bases[block])
+            before.update(bytes(indexes[block]))
+    return indexes
+
+
 def permute_text(permute: Permutation, kind: str, value: str, alphabets: tuple[str, ...]) -> str:
-    """Each character replaced within its alphabet, all of them together as one number; others stay."""
+    """Each character replaced within its alphabet, all of them together; others stay."""
     lower = [char.lower() if len(char.lower()) == 1 else char for char in value]
     places = [(at, alphabet_of(char, alphabets)) for at, char in enumerate(lower)]
     places = [(at, alphabet) for at, alphabet in places if alphabet]
-    number, size = 0, 1
-    for at, alphabet in places:
-        number = number * len(alphabet) + alphabet.index(lower[at])
-        size *= len(alphabet)
-    form = "".join("?" if alphabet_of(char, alphabets) else char for char in lower)
+    taken = {at for at, _ in places}
+    form = "".join("?" if at in taken else char for at, char in enumerate(lower))
     shape = "".join(str(alphabets.index(alphabet)) for _, alphabet in places)
-    number = permute(f"{kind}|{form}|{shape}", number, size)
+    if len(value) > PLACES:  # the form is part of every block's key
+        form, shape = hashlib.sha256(form.encode()).hexdigest(), hashlib.sha256(shape.encode()).hexdigest()
+    indexes = [alphabet.index(lower[at]) for at, alphabet in places]
+    indexes = permute_indexes(permute, f"{kind}|{form}|{shape}", indexes, [len(alphabet) for _, alphabet in places])
     out, all_upper = list(value), value.isupper()
-    for at, alphabet in reversed(places):
-        number, index = divmod(number, len(alphabet))
+    for (at, alphabet), index in zip(places, indexes):
         new = alphabet[index]
         out[at] = new.upper() if (all_upper or value[at].isupper()) and len(new.upper()) == 1 else new
     return "".join(out)
@@ -116,14 +153,28 @@ def luhn_digit(body: str) -> str:
     return str(-total % 10)
 
 
+def has_issuer(digits: str) -> bool:
+    """Numbers of payment cards begin with 3 to 6, or with 2221 to 2720."""
+    return digits[0] in "3456" or "2221" <= digits[:4] <= "2720"
+
+
+def card_like(digits: str) -> bool:
+    return has_issuer(digits) and len(set(digits)) > 1
+
+
 def valid_card(match: re.Match) -> bool:
     digits = only_digits(match.group())
-    return 13 <= len(digits) <= 19 and luhn_digit(digits[:-1]) == digits[-1] and len(set(digits)) > 1
+    return 13 <= len(digits) <= 19 and card_like(digits) and luhn_digit(digits[:-1]) == digits[-1]
 
 
 def new_card(permute: Permutation, value: str) -> str:
-    body = permute_text(permute, "card", only_digits(value)[:-1], (DIGITS,))
-    return fill_digits(value, body + luhn_digit(body))
+    """Another number that a card can have, walked to as numbers below a size are; others stay others."""
+    body = only_digits(value)[:-1]
+    like = card_like(body + luhn_digit(body))
+    while True:
+        body = permute_text(permute, "card", body, (DIGITS,))
+        if card_like(body + luhn_digit(body)) == like:
+            return fill_digits(value, body + luhn_digit(body))
 
 
 # --- bank accounts -----------------------------------------------------------
@@ -310,6 +361,8 @@ class Kind:
 
 
 _DIGIT, _AT = re.compile("[0-9]"), re.compile("@")
+#: Every secret follows one of these signs, begins with a known mark, or is a run of 40 hexadecimal digits.
+_SECRET = re.compile(r"[:=]|AKIA|gh[pousr]_|sk-|[0-9a-f]{40}|[0-9A-F]{40}")
 #: In order of precedence: what an earlier kind has taken is out of reach of a later one.
 KINDS = (
     Kind(
@@ -319,9 +372,11 @@ KINDS = (
             r"(?P<value>[A-Za-z0-9_+/-]{16,})|\b(?P<hex>(?:[0-9a-f]{40}|[0-9A-F]{40}|[0-9a-f]{64}|[0-9A-F]{64}))\b"
             r"|\b(?P<known>(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}))\b"
         ),
-        _DIGIT, valid_always, new_secret,
+        _SECRET, valid_always, new_secret,
+    ),
+    Kind(
+        "email", re.compile(r"(?<![\w.+%-])[\w.+%-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}"), _AT, valid_always, new_email
     ),
-    Kind("email", re.compile(r"[\w.+%-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"), _AT, valid_always, new_email),
     Kind(
         "iban", re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"), _DIGIT, valid_iban,
         new_iban, find_ibans,

@@ -1,6 +1,8 @@
 """Format-preserving pseudonyms: validity, linking, bijections, and texts left alone."""
 
+import random
 import re
+import time
 from datetime import date
 
 import pytest
@@ -116,6 +118,62 @@ def test_social_numbers_stay_valid(area, group, serial):
     assert kinds(new(f"{area:03d}-{group:02d}-{serial:04d}")) == {"social": 1}
 
 
+@pytest.mark.parametrize(
+    "before, value, after",
+    [
+        ('token="', "aB3" * 33_334, '" x'), ("", "q" * 100_000, "@example.com"), ("", "A1" * 50_000, "@ex-ample.org"),
+        ("password: ", "correcthorse" * 9_000, ""), ("secret=", "0f" * 50_000, " z"),
+    ],
+)
+def test_long_values_in_linear_time(before, value, after):
+    start = time.process_time()
+    new, found = OWN.replace(before + value + after)
+    assert time.process_time() - start < 2 and sum(found) == 1
+    assert len(new) == len(before + value + after) and new.startswith(before) and value not in new
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "a" * 200_000 + " x@y", "a." * 100_000 + " b@c", "x@" + "a." * 100_000 + "1", "@" * 200_000, "token" + " " * 200_000 + "x",
+        "token " * 40_000, "DE89 " * 20_000, "1-" * 100_000, "+1 " * 60_000, "abcdef0123" * 20_000, "=" * 200_000,
+    ],
+)
+def test_long_runs_without_values_in_linear_time(text):
+    start = time.process_time()
+    assert OWN.replace(text)[0] == text
+    assert time.process_time() - start < 2
+
+
+def test_every_character_of_a_long_value_counts():
+    base = "ab01" * 50
+    own = {pii.new_secret(OWN.permute, base)}
+    for at in (0, 70, 199):
+        other = base[:at] + "z" + base[at + 1 :]
+        new = pii.new_secret(OWN.permute, other)
+        own.add(new)
+        assert sum(a == b for a, b in zip(new, pii.new_secret(OWN.permute, base))) < 40
+    assert len(own) == 4
+    draw = random.Random(3)
+    many = {"".join(draw.choice("xy01") for _ in range(130)) for _ in range(500)}
+    assert len({pii.permute_text(OWN.permute, "x", value, (pii.DIGITS, pii.LETTERS)) for value in many}) == len(many)
+
+
+def test_secrets_do_not_depend_on_digits_elsewhere():
+    plain = OWN.replace("password: correcthorsebatterystaple")[0]
+    assert "correcthorse" not in plain
+    assert OWN.replace("password: correcthorsebatterystaple 7")[0] == plain + " 7"
+
+
+def test_numbers_of_no_issuer_stay():
+    for body in ("753678412781305", "987654321012345", "184516811440732"):
+        number = body + pii.luhn_digit(body)
+        assert OWN.replace(f"x {number} y")[0] == f"x {number} y"
+    body = "222100000000000"
+    new = OWN.replace(body + pii.luhn_digit(body))[0]
+    assert pii.has_issuer(new) and pii.luhn_digit(new[:-1]) == new[-1]
+
+
 def test_frames(spark, odd_documents, no_documents):
     done = pii.pseudonymize(odd_documents, KEY)
     assert set(done.columns) == set(odd_documents.columns) | {"found"}
