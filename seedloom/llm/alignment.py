@@ -41,7 +41,7 @@ from seedloom.llm.frames import quoted
 from seedloom.session import scratch
 
 #: Units a worker keeps, units tokenized at once, bytes of text in a block, pairs broadcast, distinct pairs a task gathers.
-UNITS, AT_ONCE, BLOCK, COMMON, GATHERED = 400_000, 400, 4 << 20, 1 << 20, 2_000_000
+UNITS, AT_ONCE, BLOCK, COMMON, GATHERED = 600_000, 400, 4 << 20, 1 << 20, 2_000_000
 _SPACE = "▁"
 _LOOSE = re.compile(r" \s|\s |\A | \Z")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -92,6 +92,7 @@ class Aligner:
         self.width_a = np.array(list(map(len, self.bytes_a)))
         self.width_b = np.array(list(map(len, self.bytes_b)))
         self.n_b = len(pieces)
+        self.names = list(map(str, range(max(len(self.bytes_a), self.n_b))))
         self.cuts = splitter.get("use_regex", True) and not any(_SPACE in piece.lstrip(_SPACE) for piece in pieces)
         self.clear()
 
@@ -125,16 +126,16 @@ class Aligner:
         text = " ".join(units)
         whole = (" " + text).encode("utf-8")
         coded = self.a.encode(" " + text, add_special_tokens=False)
-        ids_a = np.array(coded.ids, dtype=np.int64)
-        pieces = [(piece.id, piece.end) for piece in self.b.encode(text, return_type="proto").pieces]
-        ids_b = np.array([i for i, _ in pieces], dtype=np.int64)
-        same = b"".join(map(self.bytes_a.__getitem__, ids_a)) == whole == b"".join(map(self.bytes_b.__getitem__, ids_b))
+        pieces = list(self.b.encode(text, return_type="proto").pieces)
+        list_a, list_b = coded.ids, [piece.id for piece in pieces]
+        same = b"".join(map(self.bytes_a.__getitem__, list_a)) == whole == b"".join(map(self.bytes_b.__getitem__, list_b))
+        ids_a, ids_b = np.array(list_a, dtype=np.int64), np.array(list_b, dtype=np.int64)
         ends_a, ends_b = np.cumsum(self.width_a[ids_a]), np.cumsum(self.width_b[ids_b])
         bounds = np.cumsum([1 + len(unit.encode("utf-8")) for unit in units])
         if same and len(units) > 1:  # the spans, as coarse cuts, must put all tokens into the units that the bytes do
             characters = np.cumsum([1 + len(unit) for unit in units])
             spans_a = np.array([end for _, end in coded.offsets])
-            spans_b = np.array([end for _, end in pieces])
+            spans_b = np.array([piece.end for piece in pieces])
             same = np.array_equal(np.searchsorted(characters, spans_a), np.searchsorted(bounds, ends_a)) and np.array_equal(
                 np.searchsorted(bounds - 1, spans_b), np.searchsorted(bounds, ends_b)
             )
@@ -145,17 +146,18 @@ class Aligner:
             else:
                 self._keep([b""], np.array([[-1, 0, 0]]), np.empty(0, dtype=np.int64), np.zeros(1, dtype=np.int64))
             return
-        both = np.intersect1d(ends_a, ends_b)
-        cuts = np.union1d(ends_a, ends_b)
+        common = ends_b[np.searchsorted(ends_b, ends_a)] == ends_a  # both end with the last byte
+        both = ends_a[common]
+        cuts = np.sort(np.concatenate([ends_a[~common], ends_b]), kind="stable")
         links = ids_a[np.searchsorted(ends_a, cuts)] * self.n_b + ids_b[np.searchsorted(ends_b, cuts)]
         n = len(units)
         per_unit = [np.bincount(np.searchsorted(bounds, ends), minlength=n) for ends in (ends_a, ends_b, both)]
         n_links = np.bincount(np.searchsorted(bounds, cuts), minlength=n)
-        names_a, names_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
+        names_a, names_b = (list(map(self.names.__getitem__, ids)) for ids in (list_a, list_b))
         to_a = (np.searchsorted(ends_a, both) + 1).tolist()
         to_b = (np.searchsorted(ends_b, both) + 1).tolist()
         groups = [
-            ",".join(names_a[i:j]) + "|" + ",".join(names_b[k:m])
+            f"{names_a[i] if j - i == 1 else ','.join(names_a[i:j])}|{names_b[k] if m - k == 1 else ','.join(names_b[k:m])}"
             for i, j, k, m in zip([0, *to_a], to_a, [0, *to_b], to_b)
         ]
         last = np.cumsum(per_unit[2]).tolist()
@@ -318,6 +320,7 @@ _SPARK_SUMS = (
 
 def _sums(table):
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        aligner.cache_clear()  # a worker of the first pass no longer needs its units
         pairs, counts, best = table.value
         for batch in batches:
             for row in range(len(batch)):
