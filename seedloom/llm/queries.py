@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedloom.llm import alignment, bpe, chat_views, jaccard_join, packing, pii, quality_classifier, quality_rules, token_counts, topk, url_filter, whitening
+from seedloom.llm import alignment, bpe, chat_views, jaccard_join, packing, pii, quality_classifier, quality_rules, repeats, token_counts, topk, url_filter, whitening
 from seedloom.llm.frames import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -228,6 +228,31 @@ def op11_alignment(spark, sf):
     return alignment.align(documents, *paths, keep_groups=False)[0].drop("groups").withColumnRenamed("key", "doc_id")
 
 
+@query
+def op12_repeats(spark, sf):
+    done, _ = repeats.remove_repeats(read(spark, sf, "documents"), keep_text=False)
+    return done.select(F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+SQL["op12_repeats"] = r"""
+    WITH texts AS MATERIALIZED (
+        SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), words AS MATERIALIZED (SELECT row, generate_subscripts(w, 1) AS at, unnest(w) AS word FROM texts
+    ), windows AS MATERIALIZED (
+        SELECT row, doc_id, at, array_to_string(w[at:at+12], ' ') AS words
+        FROM (SELECT *, unnest(range(1, len(w) - 11)) AS at FROM texts WHERE len(w) >= 13)
+    ), firsts AS (SELECT words, min(doc_id) AS first FROM windows GROUP BY words
+    ), covered AS (
+        SELECT DISTINCT row, at + unnest(range(0, 13)) AS at, true AS gone FROM windows JOIN firsts USING (words)
+        WHERE first < coalesce(doc_id, 9223372036854775807)
+    ), left_over AS (
+        SELECT row, count(gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY at) FILTER (gone IS NULL), '') AS kept
+        FROM words LEFT JOIN covered USING (row, at) GROUP BY row
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM texts LEFT JOIN left_over USING (row)"""
+
+
 @query
 def op13_whitening(spark, sf):
     rows = whitening.whiten(read(spark, sf, "embeddings").select("vec_id", "embedding"))
