@@ -27,11 +27,13 @@ from seedloom.operators import (  # noqa: E402
     prepare,
     ranking,
     reports,
+    responses,
     sampling,
 )
 from seedloom.plans import steps  # noqa: E402
 from seedloom.session import scratch  # noqa: E402
 from seedloom.sources import files  # noqa: E402
+from seedloom.streaming.answers import first_deliveries, join_answers  # noqa: E402
 from seedloom.streaming.batches import file_stream, run_batches, write_batches  # noqa: E402
 from workload import stored_frame, stored_path, table  # noqa: E402
 
@@ -395,6 +397,33 @@ def stream_batches(spark, sf):
     return done.join(sizes, "batch_idx").select("item_id", "batch_idx", "n")
 
 
+@query
+def stream_answers(spark, sf):
+    """Requests with the answers that come while they go out: four stretches of time, the query started again for each."""
+    asked, came = table(spark, sf, "asked"), table(spark, sf, "came")
+    ends = asked.agg(F.min("sent_at").alias("first"), F.max("sent_at").alias("last")).first()
+    step = (ends["last"] - ends["first"]) / 4
+    folders = [scratch(spark, name) for name in ("asked-stream", "came-stream")]
+    out, checkpoint = scratch(spark, "stream-answers"), scratch(spark, "stream-answers-checkpoint")
+    # Rows far in the future close the stretch before: what has no answer by then gets none.
+    later = F.lit(ends["last"]) + F.expr("INTERVAL 1 YEAR")
+    closing = asked.limit(1).select(F.lit(None).cast("long").alias("ex_id"), F.lit("end").alias("stage"), later.alias("sent_at"))
+    closed = closing.select("ex_id", "stage", F.lit(0).alias("choice_idx"), F.lit("").alias("content"), F.col("sent_at").alias("came_at"))
+    for at in range(5):
+        low, high = F.lit(ends["first"] + at * step), F.lit(ends["first"] + (at + 1) * step) if at < 3 else later
+        parts = [(asked, "sent_at", closing), (came, "came_at", closed)]
+        for (rows, time, last), folder in zip(parts, folders):
+            part = rows.where((F.col(time) >= low) & (F.col(time) < high)) if at < 4 else last
+            part.write.mode("append").parquet(folder)
+        streams = [file_stream(spark, folder, rows.schema, 1000, "parquet") for (rows, _, _), folder in zip(parts, folders)]
+        run_batches(
+            streams[0], lambda requests: join_answers(requests, first_deliveries(streams[1])), out, checkpoint, pause_seconds=None,  # noqa: B023
+        ).awaitTermination()
+    schema = "ex_id long, stage string, sent_at timestamp, choice_idx int, content string, came_at timestamp"
+    waited = (F.unix_timestamp("came_at") - F.unix_timestamp("sent_at")).alias("waited")
+    return spark.read.schema(schema).parquet(out).where(F.col("ex_id").isNotNull()).select("ex_id", "stage", "choice_idx", "content", waited)
+
+
 @query
 def contract_check(spark, sf):
     rows = prepare.check_keys(prepare.check_contract(table(spark, sf, "doc_rows")))
@@ -422,6 +451,23 @@ def explode_choices(spark, sf):
     return _completions(spark, sf)
 
 
+@query
+def raw_responses(spark, sf):
+    """Answers out of response bodies as text, some in batch result lines, some in parts."""
+    return responses.read_responses(table(spark, sf, "bodies")).completions
+
+
+@query
+def raw_response_errors(spark, sf):
+    return responses.read_responses(table(spark, sf, "bodies"), cut_off=False).errors
+
+
+@query
+def attach_raw_responses(spark, sf):
+    answers = responses.read_responses(table(spark, sf, "bodies")).completions
+    return enrich.attach_completions(table(spark, sf, "doc_rows"), answers)
+
+
 @query
 def parse_tags(spark, sf):
     parsed = enrich.parse_completions(_completions(spark, sf))

@@ -167,6 +167,22 @@ def tag(name: str, x: str = "content") -> str:
     return strip(rf"regexp_extract({x}, '(?s)\[{name}\](.*?)\[/{name}\]', 1)")
 
 
+READ_BODIES = """, lines AS (
+        SELECT ex_id, stage, CASE WHEN json_valid(body) THEN body::JSON END AS line FROM bodies),
+    bodies_read AS (
+        SELECT ex_id, stage, coalesce(json_extract(line, '$.response.body'), line) AS body FROM lines),
+    choices_read AS (
+        SELECT *, generate_subscripts(list, 1) - 1 AS place, unnest(list) AS choice
+        FROM (SELECT *, CAST(json_extract(body, '$.choices') AS JSON[]) AS list FROM bodies_read WHERE json_extract(body, '$.error') IS NULL)),
+    contents AS (
+        SELECT ex_id, stage, coalesce(CAST(json_extract_string(choice, '$.index') AS INT), place) AS choice_idx, json_extract_string(choice, '$.finish_reason') AS finish,
+               CASE json_type(choice, '$.message.content')
+                    WHEN 'VARCHAR' THEN json_extract_string(choice, '$.message.content')
+                    WHEN 'ARRAY' THEN array_to_string(list_transform(
+                        CAST(json_extract(choice, '$.message.content') AS JSON[]), lambda p: coalesce(json_extract_string(p, '$.text'), '')), '')
+                    ELSE json_extract_string(choice, '$.text') END AS content
+        FROM choices_read)"""
+
 FIELD_NAMES = [c for _, _, _, parsers in fixed.STAGES.values() for c in parsers]
 
 
@@ -298,6 +314,26 @@ def build() -> dict[str, str]:
         SELECT doc_id, lang, n_chars FROM documents
         WHERE length(text) BETWEEN 200 AND 5000 AND length(source) >= 4 AND contains(upper(text), 'THE ')
           AND NOT contains(text, 'tion ') AND NOT contains(text, '###')"""
+    o["stream_answers"] = with_tables("""
+        SELECT r.ex_id, r.stage, a.choice_idx, a.content,
+               CAST(epoch(a.came_at) - epoch(r.sent_at) AS BIGINT) AS waited
+        FROM asked r LEFT JOIN (SELECT DISTINCT * FROM came) a ON a.ex_id = r.ex_id AND a.stage = r.stage
+             AND a.came_at BETWEEN r.sent_at AND r.sent_at + INTERVAL '1' HOUR""", "asked", "came")
+    # response bodies
+    o["raw_responses"] = with_tables(
+        READ_BODIES + " SELECT ex_id, stage, choice_idx, content FROM contents WHERE content IS NOT NULL", "bodies")
+    o["raw_response_errors"] = with_tables(
+        READ_BODIES + """
+        SELECT ex_id, stage, choice_idx, CASE WHEN content IS NULL THEN 'no content' ELSE 'cut off' END AS error
+        FROM contents WHERE content IS NULL OR finish = 'length'
+        UNION ALL
+        SELECT ex_id, stage, NULL, CASE WHEN body IS NULL THEN 'not JSON' ELSE 'service error: ' || json_extract_string(body, '$.error.message') END
+        FROM bodies_read WHERE body IS NULL OR json_extract(body, '$.error') IS NOT NULL
+        UNION ALL
+        SELECT ex_id, stage, NULL, 'no choices' FROM bodies_read WHERE json_array_length(body, '$.choices') = 0""", "bodies")
+    o["attach_raw_responses"] = with_tables(
+        READ_BODIES + ", raw AS (SELECT ex_id, stage, choice_idx, content FROM contents WHERE content IS NOT NULL)"
+        + ATTACHED.replace(CHOICES, "SELECT * FROM raw") + " SELECT * FROM attached", "bodies", "doc_rows")
     # scores
     o["sql_feature_count"] = with_tables(
         f"SELECT ex_id, {features('sql')} AS gold_features, {features('upgraded_sql')} AS upgraded_features FROM enriched",

@@ -7,11 +7,12 @@ import argparse
 from pyspark.sql import DataFrame
 
 from seedloom import fixed
-from seedloom.operators import enrich, prepare
+from seedloom.operators import enrich, prepare, responses
 from seedloom.plans import steps
 from seedloom.session import build_session, scratch
 from seedloom.sources import files
 
+BODY_SCHEMA = "ex_id long, stage string, body string"
 COMPLETION_SCHEMA = "ex_id long, stage string, choice_idx int, content string"
 PREDICTION_SCHEMA = "example_id string, pred_sql string"
 RESULT_SCHEMA = "example_id string, side string, row_repr string"
@@ -37,7 +38,10 @@ def _parser() -> argparse.ArgumentParser:
 
     command = step.add_parser("enrich", help="attach completions to seed rows")
     command.add_argument("--seed-rows", required=True)
-    command.add_argument("--completions", required=True)
+    answers = command.add_mutually_exclusive_group(required=True)
+    answers.add_argument("--completions", help="JSON lines of key, stage, choice_idx and content")
+    answers.add_argument("--responses", help="JSON lines of key, stage and the body a service sent, as text")
+    command.add_argument("--errors", help="where bodies without an answer go, with --responses")
     command.add_argument("--out", required=True)
     command.add_argument("--score", action="store_true")
 
@@ -86,7 +90,13 @@ def main(arguments: list[str] | None = None) -> None:
             reports = []
     elif args.step == "enrich":
         rows = _keyed(files.read_jsonl(spark, args.seed_rows, files.SEED), "seed")
-        completions = spark.read.schema(COMPLETION_SCHEMA).option("mode", "FAILFAST").json(args.completions)
+        if args.responses:
+            bodies = spark.read.schema(BODY_SCHEMA).option("mode", "FAILFAST").json(args.responses)
+            completions, errors = responses.read_responses(bodies)
+            if args.errors:
+                files.write_jsonl(errors, args.errors)
+        else:
+            completions = spark.read.schema(COMPLETION_SCHEMA).option("mode", "FAILFAST").json(args.completions)
         done = steps.collect_completions(rows, completions, args.out, args.score)
         reports = [done.kept, done.summary]
     elif args.step == "mix":

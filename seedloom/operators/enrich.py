@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -56,7 +59,8 @@ def parse_completions(completions: DataFrame, key: str = "ex_id") -> DataFrame:
     request sent twice) get numbers of their own above those given, so none is lost.
 
     Tags are read before anything is shuffled, each only in the stage it belongs to, and
-    the fields are stored once for the passes that follow.
+    the fields are stored once for the passes that follow. Whole answers travel only where a
+    slot (key, stage and choice) is repeated: slots are counted first, without any text.
     """
     stages = list(fixed.STAGES)
     answers = [
@@ -66,10 +70,16 @@ def parse_completions(completions: DataFrame, key: str = "ex_id") -> DataFrame:
         ).alias(stage)
         for stage in stages
     ]
-    parsed = completions.where(F.col("stage").isin(*stages)).select(key, "stage", "choice_idx", "content", *answers)
-    again = Window.partitionBy(key, "stage", "choice_idx").orderBy("content")
-    parsed = parsed.withColumn("_again", F.row_number().over(again) - 1).drop("content", "stage")
-    parsed = store(parsed, scratch(completions.sparkSession, "answers"))
+    spark, slot = completions.sparkSession, (key, "stage", "choice_idx")
+    asked = completions.where(F.col("stage").isin(*stages))
+    repeated = asked.groupBy(*slot).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    repeated = store(repeated.select(*[F.col(name).alias(f"_{name}") for name in slot]), scratch(spark, "repeated"))
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in slot])
+    parsed = asked.select(*slot, "content", *answers)
+    single = parsed.drop("content").join(repeated, same, "left_anti").withColumn("_again", F.lit(0))
+    order = Window.partitionBy(*slot).orderBy("content")
+    several = parsed.join(repeated, same, "left_semi").withColumn("_again", F.row_number().over(order) - 1)
+    parsed = store(single.unionByName(several.drop("content")).drop("stage"), scratch(spark, "answers"))
     # Maxima of one struct per slot, and minima by (choice, repeat): partial sums go first, so no key is hot.
     slots = parsed.groupBy(key, "choice_idx", "_again").agg(*[F.max(stage).alias(stage) for stage in stages])
     place = F.struct("choice_idx", "_again")

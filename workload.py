@@ -25,6 +25,23 @@ GIVEN = frozenset(
     "embeddings pages benchmark labels conversations".split()
 )
 
+
+
+def json_text(text: str) -> str:
+    """SQL for a piece of JSON: quotes and braces by number, as both engines and the slots read them otherwise."""
+    for sign in '"{}':
+        text = text.replace(sign, f"\0{ord(sign)}\0")
+    parts = [f"chr({part})" if at % 2 else f"'{part}'" for at, part in enumerate(text.split("\0")) if at % 2 or part]
+    return " || ".join(parts)
+
+
+def json_escaped(column: str) -> str:
+    """SQL for a text inside the quotes of a JSON string."""
+    for code, name in ((92, "chr(92)"), (34, "chr(34)"), (10, "'n'"), (9, "'t'"), (13, "'r'")):
+        column = f"replace({column}, chr({code}), chr(92) || {name})"
+    return column
+
+
 DERIVED = {
     # one text-to-SQL case per order
     "cases": """
@@ -142,6 +159,41 @@ DERIVED = {
                CASE WHEN d.n_chars > 3000 THEN '[REASONING]' || d.text END
         FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id
         WHERE l.doc_id IS NOT NULL OR d.lang <> 'es'""",
+    # the answers as the bodies a service sends, some in the line of a batch result: texts as strings and as lists of
+    # parts, choices without content, errors, and bodies that were cut off
+    "bodies": f"""
+        SELECT a.ex_id, a.stage,
+               CASE WHEN d.source = 'src1' THEN {json_text('{"response":{"body":')} ELSE '' END
+               || CASE WHEN l.quality = 0 AND a.stage = 'trace' THEN {json_text('{"error":{"message":"busy ')} || d.lang || {json_text('"}}')}
+                       WHEN l.quality = 0 AND a.stage = 'variant' THEN {json_text('{"choices":[]}')}
+                       ELSE {json_text('{"choices":[{"message":{"content":')}
+                            || CASE WHEN d.lang = 'de' THEN {json_text('[{"text":"')} || a.first_text || {json_text('"},{"text":"."}]')}
+                                    ELSE {json_text('"')} || a.first_text || {json_text('"')} END
+                            || {json_text('},"index":3,"finish_reason":"')} || CASE WHEN d.n_chars > 5000 THEN 'length' ELSE 'stop' END
+                            || {json_text('"}')}
+                            || CASE WHEN a.second_text IS NOT NULL THEN {json_text(',{"text":"')} || a.second_text || {json_text('"}')} ELSE '' END
+                            || CASE WHEN d.lang = 'fr' THEN {json_text(',{"message":{"content":null}}')} ELSE '' END
+                            || {json_text(']}')} END
+               || CASE WHEN d.source = 'src1' THEN {json_text('}}')} ELSE '' END
+               || CASE WHEN l.toxic = 1 THEN ',' WHEN d.source = 'src2' AND l.quality = 1 THEN {json_text('"cut ')} ELSE '' END AS body
+        FROM (SELECT ex_id, stage, {json_escaped('first_answer')} AS first_text, {json_escaped('second_answer')} AS second_text
+              FROM {{answers}}) a
+        JOIN {{documents}} d ON d.doc_id = a.ex_id LEFT JOIN {{labels}} l ON l.doc_id = a.ex_id""",
+    # when requests went out, and when answers came: some too late, some delivered twice
+    "asked": """
+        SELECT ex_id, stage, CAST('2024-01-01 00:00:00' AS TIMESTAMP) + ex_id * INTERVAL '7' SECOND AS sent_at
+        FROM (SELECT ex_id, 'upgrade' AS stage FROM {doc_rows} UNION ALL SELECT ex_id, 'variant' FROM {doc_rows}
+              UNION ALL SELECT ex_id, 'trace' FROM {doc_rows})""",
+    "came": """
+        SELECT ex_id, stage, choice_idx, content,
+               CAST('2024-01-01 00:00:00' AS TIMESTAMP) + (ex_id * 7 + length(content) % 5000) * INTERVAL '1' SECOND AS came_at
+        FROM (SELECT ex_id, stage, CASE WHEN first_answer LIKE '[QUESTION]Asked once more%' THEN 7 ELSE 0 END AS choice_idx,
+                     first_answer AS content FROM {answers}
+              UNION ALL
+              SELECT ex_id, stage, 1, second_answer FROM {answers} WHERE second_answer IS NOT NULL
+              UNION ALL
+              SELECT a.ex_id, a.stage, 0, a.first_answer FROM {answers} a JOIN {documents} d ON d.doc_id = a.ex_id
+              WHERE d.lang = 'de' AND a.stage = 'trace')""",
     # predictions that differ from the gold query in spelling or in meaning; some orders have none
     "predictions": """
         SELECT ex_id,
