@@ -120,6 +120,14 @@ def seed_kept_ratio(spark, sf):
     return reports.kept_ratio(table(spark, sf, "raw_examples"), prepare.seed_quality())
 
 
+@query
+def seed_kept_ratio_written(spark, sf):
+    """The same counts, made while the good rows are stored."""
+    seen = reports.watched(table(spark, sf, "raw_examples"), **reports.kept_counts(prepare.seed_quality()))
+    files.store(prepare.normalize_seed(prepare.seed_filter(seen.rows)), scratch(spark, "good-seed"))
+    return reports.with_ratio(seen.report())
+
+
 @query
 def seed_level_report(spark, sf):
     return reports.level_report(_good_seed(spark, sf))
@@ -531,6 +539,12 @@ def format_stats(spark, sf):
     return reports.format_stats(examples.flag_chat(expand_examples(spark, sf)))
 
 
+@query
+def format_stats_written(spark, sf):
+    """The same counts, made while the chat rows are written."""
+    return steps.format_examples(expand_examples(spark, sf), scratch(spark, "chat")).stats
+
+
 @query
 def training_text(spark, sf):
     rows = expand_examples(spark, sf)
@@ -596,6 +610,29 @@ def exact_match(spark, sf):
     return compare.with_exact_match(_aligned(spark, sf)).select("ex_id", "exact_match")
 
 
+@query
+def align_by_position(spark, sf):
+    """Tests and predictions as JSON lines without keys, in the order of their orders."""
+    found = table(spark, sf, "predictions")
+    cases = table(spark, sf, "cases").join(found.select("ex_id"), "ex_id", "left_semi")
+    tests = cases.select("ex_id", "question", "schema", F.col("gold").alias("sql"), "complexity")
+    parts = []
+    for name, rows in (("tests", tests), ("predictions", found)):
+        path = scratch(spark, f"{name}-in-order")
+        files.write_jsonl(rows.orderBy("ex_id").drop("ex_id"), path)
+        parts.append(files.with_positions(files.read_jsonl(spark, path, rows.drop("ex_id").schema)))
+    return compare.align_by_position(*parts)
+
+
+@query
+def align_stored_by_key(spark, sf):
+    """The alignment of tables that lie in buckets by key: no exchange."""
+    cases = table(spark, sf, "cases")
+    tests = cases.select("ex_id", "question", "schema", F.col("gold").alias("sql"), "complexity")
+    stored = [files.store_by_key(rows, "ex_id", 8, name) for name, rows in (("tests", tests), ("predictions", table(spark, sf, "predictions")))]
+    return compare.align_predictions(*stored)
+
+
 @query
 def ddl_statements(spark, sf):
     return table(spark, sf, "runs").select(
@@ -617,6 +654,16 @@ def result_match_nonempty(spark, sf):
     return compare.match_results(_executions(spark, sf), empty_is_match=False)
 
 
+@query
+def result_match_fingerprints(spark, sf):
+    return compare.match_fingerprints(_executions(spark, sf))
+
+
+@query
+def result_match_verified(spark, sf):
+    return compare.match_fingerprints(_executions(spark, sf), empty_is_match=False, verify=True)
+
+
 @query
 def bag_difference(spark, sf):
     rows = table(spark, sf, "result_rows")

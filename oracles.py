@@ -521,4 +521,14 @@ def build() -> dict[str, str]:
         {steps('reasoning_trace')} AS steps, {strip('reasoning_trace')} AS trace,
         {trace_score('reasoning_trace')} AS trace_score, quality_score
         FROM (SELECT * EXCLUDE (quality_score) FROM enriched) JOIN (SELECT ex_id, {SCORE} AS quality_score FROM ({PARTS})) USING (ex_id)""", "enriched")
+    # the same rows by other ways
+    o["align_by_position"] = with_tables(
+        ALIGNED + """ SELECT row_number() OVER (ORDER BY ex_id) - 1 AS position, * EXCLUDE (ex_id) FROM aligned
+        WHERE ex_id IN (SELECT ex_id FROM predictions)""", "cases", "predictions")
+    for name, same in (
+        ("align_stored_by_key", "align_predictions"), ("result_match_fingerprints", "result_match"),
+        ("result_match_verified", "result_match_nonempty"), ("format_stats_written", "format_stats"),
+        ("seed_kept_ratio_written", "seed_kept_ratio"),
+    ):
+        o[name] = o[same]
     return o

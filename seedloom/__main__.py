@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from seedloom import fixed
 from seedloom.operators import enrich, prepare, responses
@@ -112,13 +113,16 @@ def main(arguments: list[str] | None = None) -> None:
         rows = files.read_jsonl_lenient(spark, args.input, files.EXAMPLE)
         reports = [steps.format_examples(rows, args.output).stats]
     else:
-        tests = _keyed(files.read_tests(spark, args.tests), "tests", "example_id")
         predictions, results, status = (
             spark.read.schema(schema).option("mode", "FAILFAST").json(path)
             for schema, path in (
                 (PREDICTION_SCHEMA, args.predictions), (RESULT_SCHEMA, args.result_rows), (STATUS_SCHEMA, args.run_status)
             )
         )
+        tests = files.read_tests(spark, args.tests)
+        if tests.where("example_id IS NOT NULL").isEmpty():  # in order, as are the predictions; ids elsewhere are positions
+            tests, predictions = files.read_tests_in_order(spark, args.tests), files.with_positions(predictions)
+            results, status = (df.withColumn("position", F.col("example_id").cast("long")) for df in (results, status))
         done = steps.evaluate(
             tests, predictions, results, status, args.out, "example_id", args.n_samples, args.seed
         )

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seedloom import fixed
 from seedloom.functions.text import default, drop_reasoning, exact_match, text
+from seedloom.session import scratch
+from seedloom.sources.files import store
 
 
 def align_predictions(
     tests: DataFrame, predictions: DataFrame, key: str = "ex_id", strip_reasoning: bool = True
 ) -> DataFrame:
-    """Test rows with their prediction; a missing one is the empty string."""
+    """Test rows with their prediction; a missing one is the empty string.
+
+    Each test has one prediction at most: several would make several rows (``prepare.check_keys``).
+    """
     answer = drop_reasoning("pred_sql") if strip_reasoning else text("pred_sql")
     return tests.join(predictions.select(key, answer.alias("pred_sql")), key, "left").select(
         key,
@@ -24,6 +29,18 @@ def align_predictions(
     )
 
 
+def align_by_position(tests: DataFrame, predictions: DataFrame, strip_reasoning: bool = True) -> DataFrame:
+    """Tests and predictions without keys, both in order: the n-th prediction belongs to the n-th test.
+
+    Both have a ``position`` (see ``files.with_positions``). Sides of unequal length are refused, as
+    from the first missing row on every pair would be wrong.
+    """
+    sizes = tests.count(), predictions.count()
+    if sizes[0] != sizes[1]:
+        raise ValueError(f"{sizes[0]} tests and {sizes[1]} predictions have no common order")
+    return align_predictions(tests, predictions, "position", strip_reasoning)
+
+
 def with_exact_match(aligned: DataFrame) -> DataFrame:
     return aligned.withColumn("exact_match", exact_match("pred_sql", "gold_sql"))
 
@@ -54,6 +71,48 @@ def match_results(executions: DataFrame, key: str = "ex_id", empty_is_match: boo
     return per_row.groupBy(key).agg(same.alias("execution_match"))
 
 
+def row_sums(row: str) -> list[Column]:
+    """A fingerprint of a bag of row texts: sums of the halves of two hashes of each, 128 bits and more.
+
+    Sums don't depend on the order of rows, and what a row adds can't cancel another's. Halves keep
+    the sums of two billion rows below 64 bits.
+    """
+    hashes = [F.xxhash64(F.lit(mark), row) for mark in ("first", "second")]
+    halves = [half for h in hashes for half in (h.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h, 32))]
+    known = F.col(row).isNotNull()
+    return [F.coalesce(F.sum(F.when(known, half)), F.lit(0)).alias(f"_sum{i}") for i, half in enumerate(halves)]
+
+
+def match_fingerprints(
+    executions: DataFrame, key: str = "ex_id", empty_is_match: bool = True, verify: bool = False
+) -> DataFrame:
+    """What :func:`match_results` gives, by fingerprints of each side's rows.
+
+    Row texts stay where they are: each task sums up its rows by ``(key, side)``, and only the sums
+    travel. ``verify`` compares the rows of the pairs that agree as :func:`match_results` does;
+    without it, two different results agree by chance with a probability below 2^-100.
+    """
+    per_side = executions.groupBy(key, "side").agg(
+        F.count("row_repr").alias("_rows"), *row_sums("row_repr"),
+        F.count_if(~F.col("ok")).alias("_failed"), F.count_if(F.col("ok")).alias("_ran"),
+    )
+    is_pred = F.col("side") == "pred"
+    sums = ["_rows", *(f"_sum{i}" for i in range(4))]
+    signed = [F.sum(F.when(is_pred, F.col(name)).otherwise(-F.col(name))) for name in sums]
+    same = (F.sum("_failed") == 0) & (F.sum("_ran") == 2)
+    for surplus in signed:
+        same = same & (surplus == 0)
+    if not empty_is_match:
+        same = same & (F.sum("_rows") > 0)
+    found = per_side.groupBy(key).agg(same.alias("execution_match"))
+    if not verify:
+        return found
+    found = store(found, scratch(executions.sparkSession, "agreeing"))
+    agreeing = found.where("execution_match").select(F.col(key).alias("_key"))
+    suspects = executions.join(agreeing, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    return match_results(suspects, key, empty_is_match).unionByName(found.where(~F.col("execution_match")))
+
+
 def with_execution_match(aligned: DataFrame, matched: DataFrame, key: str = "ex_id") -> DataFrame:
     """Every aligned row with ``execution_match``; false where nothing is known of its execution."""
     found = matched.select(key, F.col("execution_match").alias("_match"))

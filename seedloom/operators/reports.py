@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from seedloom import fixed
@@ -19,11 +21,40 @@ def levels_table(like: DataFrame, levels: tuple[str, ...] = fixed.LEVELS) -> Dat
     return small_table(like.sparkSession, rows, ("level", "ord"))
 
 
+class Watched(NamedTuple):
+    """Rows that are counted while they are written, and the counts once they are."""
+
+    rows: DataFrame
+    seen: Observation
+    names: tuple[str, ...]
+
+    def report(self) -> DataFrame:
+        """The counts as a table of one row; waits for the first action on ``rows``."""
+        found = self.seen.get
+        return small_table(self.rows.sparkSession, [tuple(found[name] for name in self.names)], self.names)
+
+
+def watched(df: DataFrame, **counts: Column) -> Watched:
+    """The rows with counts that the next pass over them makes on its way, so a report costs none of its own.
+
+    Counts are those of the finished tasks of a pass that writes its rows without a shuffle in
+    between: a task that runs again counts once.
+    """
+    seen = Observation()
+    return Watched(df.observe(seen, *[count.alias(name) for name, count in counts.items()]), seen, tuple(counts))
+
+
+def kept_counts(condition: Column) -> dict[str, Column]:
+    return {"rows_before": F.count(F.lit(1)), "rows_after": F.count_if(condition)}
+
+
 def kept_ratio(df: DataFrame, condition: Column) -> DataFrame:
     """Rows before and after a filter and their ratio, in one pass over the unfiltered rows."""
-    counted = df.agg(
-        F.count(F.lit(1)).alias("rows_before"), F.count_if(condition).alias("rows_after")
-    )
+    return with_ratio(df.agg(*[count.alias(name) for name, count in kept_counts(condition).items()]))
+
+
+def with_ratio(counted: DataFrame) -> DataFrame:
+    """``rows_before, rows_after`` with their ratio; of no rows it is null."""
     ratio = F.when(
         F.col("rows_before") > 0,
         F.col("rows_after").cast("double") / F.col("rows_before").cast("double"),
@@ -115,19 +146,24 @@ def thinking_share(train: DataFrame) -> DataFrame:
     return counted.withColumn("thinking_ratio", F.when(F.col("n") > 0, ratio))
 
 
+def format_counts(corrupt: str | None = None) -> dict[str, Column]:
+    """What :func:`format_stats` counts, by name."""
+    good = F.col("valid") if corrupt is None else F.col("valid") & F.col(corrupt).isNull()
+    return {
+        "total": F.count(F.lit(1)),
+        "converted": F.count_if(good),
+        "skipped": F.count_if(~good),
+        "with_thinking": F.count_if(good & F.col("has_thinking")),
+    }
+
+
 def format_stats(flagged: DataFrame, corrupt: str | None = None) -> DataFrame:
     """Total, converted, skipped and with-reasoning counts of flagged examples.
 
     ``corrupt`` names the column a lenient read keeps bad lines in; those count
     as skipped.
     """
-    good = F.col("valid") if corrupt is None else F.col("valid") & F.col(corrupt).isNull()
-    return flagged.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(good).alias("converted"),
-        F.count_if(~good).alias("skipped"),
-        F.count_if(good & F.col("has_thinking")).alias("with_thinking"),
-    )
+    return flagged.agg(*[count.alias(name) for name, count in format_counts(corrupt).items()])
 
 
 def eval_report(results: DataFrame) -> DataFrame:

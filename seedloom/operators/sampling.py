@@ -11,6 +11,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from seedloom import fixed
 from seedloom.functions.keys import order_key, value_key
@@ -28,6 +29,8 @@ from seedloom.sources.files import store
 
 # A table of this many hashes (about 20 MB) may be broadcast; a longer one is not.
 BROADCAST_ROWS = 200_000
+# Spark's own bound (windowGroupLimitThreshold) for keeping the first rows of groups before a shuffle.
+GROUP_LIMIT = 1000
 
 
 def exact_sample(df: DataFrame, n: int, key: str = "ex_id", seed: int = 42, purpose: str = "sample") -> DataFrame:
@@ -65,6 +68,21 @@ def exclude(
     return pool.withColumn("_value", value_key(*columns)).join(values, "_value", "left_anti").drop("_value")
 
 
+def first_of_levels(keyed: DataFrame, quota: int) -> DataFrame:
+    """The first ``quota`` rows by ``_key`` of each ``_level``, of narrow rows and for any number of levels.
+
+    Each task keeps its own first rows of a level before anything is shuffled, so a level that holds
+    a third of all rows sends no more than others. That holds for quotas Spark limits groups for;
+    larger ones are found by numbering all rows in buckets.
+    """
+    if quota < GROUP_LIMIT:
+        order = Window.partitionBy("_level").orderBy("_key")
+        ranked = keyed.withColumn("_rank", F.row_number().over(order))
+    else:
+        ranked = level_rank(keyed, F.col("_key"), F.col("_level"), "_rank")
+    return ranked.where(F.col("_rank") <= quota).drop("_rank", "_key", "_level")
+
+
 def stratified_sample(
     df: DataFrame,
     n: int,
@@ -91,9 +109,10 @@ def stratified_sample(
         drawn = sum(min(quota, size) for size in order.sizes.values())
     except TooManyLevels:
         quota = max(1, n // df.agg(F.count_distinct(by)).first()[0])
-        base = level_rank(df, first, by, "_rank")
-        taken = F.col("_rank") <= quota
-        drawn = base.where(taken).count()
+        keys = store(first_of_levels(df.select(key, by.alias("_level"), first.alias("_key")), quota), scratch(df.sparkSession, "firsts"))
+        base = df.join(keys.select(key, F.lit(True).alias("_taken")), key, "left")
+        taken = F.coalesce("_taken", F.lit(False))
+        drawn = keys.count()
     sampled = base.where(taken)
     if drawn > n:
         sampled = exact_sample(sampled, n, key, seed, "cut back")

@@ -57,15 +57,14 @@ def prepare_seed(raw: DataFrame, n: int, out: str | None = None, seed: int = 42)
     ``seed_sample`` below it.
     """
     spark = raw.sparkSession
-    full = files.store(prepare.normalize_seed(prepare.seed_filter(raw)), scratch(spark, "seed-full"))
+    seen = reports.watched(raw, **reports.kept_counts(prepare.seed_quality()))
+    full = files.store(prepare.normalize_seed(prepare.seed_filter(seen.rows)), scratch(spark, "seed-full"))
     prepare.check_keys(full)
     sample = files.store(sampling.stratified_sample(full, n, seed=seed), scratch(spark, "seed-sample"))
     if out:
         files.write_jsonl(full, f"{out}/seed_full")
         files.write_jsonl(sampling.shuffled(sample, seed=seed), f"{out}/seed_sample")
-    return Prepared(
-        full, sample, reports.kept_ratio(raw, prepare.seed_quality()), reports.level_report(sample)
-    )
+    return Prepared(full, sample, reports.with_ratio(seen.report()), reports.level_report(sample))
 
 
 def request_completions(
@@ -101,16 +100,17 @@ def collect_completions(
     Seed rows for which no request was made have no answer and drop out.
     """
     attached = enrich.attach_completions(prepare.check_keys(seed_rows), completions, keep_missing=False)
-    attached = files.store(attached, scratch(seed_rows.sparkSession, "attached"))
+    complete = F.lit(True)
+    for name in fixed.REQUIRED_FIELDS:
+        complete = complete & filled(name)
+    seen = reports.watched(attached, **reports.kept_counts(complete))
+    attached = files.store(seen.rows, scratch(seed_rows.sparkSession, "attached"))
     rows = enrich.required_fields(attached)
     if score:
         rows = enrich.score_enriched(rows)
     if out:
         files.write_jsonl(rows, out)
-    complete = F.lit(True)
-    for name in fixed.REQUIRED_FIELDS:
-        complete = complete & filled(name)
-    return Enriched(rows, reports.kept_ratio(attached, complete), reports.generation_summary(rows))
+    return Enriched(rows, reports.with_ratio(seen.report()), reports.generation_summary(rows))
 
 
 class Mixed(NamedTuple):
@@ -169,15 +169,21 @@ def format_examples(rows: DataFrame, out: str | None = None) -> Formatted:
     """Examples as chat rows with the counts of what was kept.
 
     ``rows`` may come from a lenient read; its bad lines count as skipped. A
-    ``split`` column is kept and makes one output folder per split.
+    ``split`` column is kept and makes one output folder per split. With ``out`` the
+    rows are counted while they are written.
     """
     corrupt = files.CORRUPT if files.CORRUPT in rows.columns else None
     keep = ("split",) if "split" in rows.columns else ()
-    good = rows.where(F.col(corrupt).isNull()) if corrupt else rows
-    chat = examples.chat_rows(good, keep)
-    if out:
-        (files.write_splits if keep else files.write_jsonl)(chat, out)
-    return Formatted(chat, reports.format_stats(examples.flag_chat(rows), corrupt))
+
+    def formatted(flagged: DataFrame) -> DataFrame:
+        return examples.chat_rows(flagged.where(F.col(corrupt).isNull()) if corrupt else flagged, keep)
+
+    flagged = examples.flag_chat(rows)
+    if not out:
+        return Formatted(formatted(rows), reports.format_stats(flagged, corrupt))
+    seen = reports.watched(flagged, **reports.format_counts(corrupt))
+    (files.write_splits if keep else files.write_jsonl)(formatted(seen.rows), out)
+    return Formatted(formatted(rows), seen.report())
 
 
 def inference_requests(tests: DataFrame, key: str = "ex_id") -> DataFrame:
@@ -206,15 +212,21 @@ def evaluate(
 
     Queries are run elsewhere, as models are: ``result_rows`` holds ``(key, side, row_repr)``
     and ``run_status`` ``(key, side, ok, error)`` (see :func:`compare.match_results`). Every
-    test counts; one without a status on both sides is no execution match. With ``out`` the
-    report and the per-example table are written below it.
+    test counts; one without a status on both sides is no execution match. A test has one prediction
+    at most; repeated ones are refused. With ``out`` the report and the per-example table are written
+    below it. Tests and predictions without keys are aligned by their order if both have a ``position``
+    (``files.with_positions``), which then is the key of the other tables too.
     """
     spark = tests.sparkSession
+    by_position = "position" in tests.columns and "position" in predictions.columns
+    key = "position" if by_position else key
     prepare.check_keys(tests, key)
+    prepare.check_keys(predictions, key)
     if n:
         tests = files.store(tests, scratch(spark, "tests"))
         tests = sampling.exact_sample(tests, n, key, seed, "evaluate")
-    aligned = compare.with_exact_match(compare.align_predictions(tests, predictions, key))
+    align = compare.align_by_position if by_position and not n else partial(compare.align_predictions, key=key)
+    aligned = compare.with_exact_match(align(tests, predictions))
     executions = compare.executions_from_tables(result_rows, run_status)
     matched = compare.match_results(executions, key, empty_is_match)
     results = files.store(compare.with_execution_match(aligned, matched, key), scratch(spark, "results"))

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from seedloom.functions.chat import training_text
+from seedloom.session import scratch
 
 CORRUPT = "_corrupt"
 
@@ -93,10 +95,53 @@ def store(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_by_key(df: DataFrame, key: str, buckets: int, name: str = "by_key") -> DataFrame:
+    """The rows as an external table in the scratch folder, in ``buckets`` files by key and sorted by it.
+
+    Joins and groupings by ``key`` of tables with as many buckets then need no exchange. One
+    bucket should hold what a task can sort: a hundred megabytes or a few.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    parts = df.repartition(buckets, key)
+    parts.write.option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return spark.table(table)
+
+
+def with_positions(df: DataFrame, keep: Column | None = None) -> DataFrame:
+    """The rows of a file read with ``position``, their place from 0 on in the files' order.
+
+    Files are ordered by folder, part number and name, rows as they stand in them; with ``keep``
+    only rows that fulfil it count and stay. Rows are numbered inside the piece of a file that one
+    task reads, and pieces by running sums over their row counts, so no task sees all rows. The rows
+    are stored once, as a second read might cut the files otherwise.
+    """
+    placed = df.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+    )
+    placed = placed.where(keep) if keep is not None else placed
+    placed = store(placed.withColumn("_id", F.monotonically_increasing_id()), scratch(df.sparkSession, "placed"))
+    pieces = placed.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_least"))
+    number = F.regexp_extract("_file", r"part-([0-9]+)[^/]*$", 1).try_cast("long")
+    order = Window.orderBy(F.regexp_extract("_file", "^(.*)/", 1), number, "_file", "_block")
+    before = F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pieces = pieces.select("_file", "_block", (before - F.col("_least")).alias("_shift"))
+    numbered = placed.join(pieces, ["_file", "_block"])
+    return numbered.select(*df.columns, (F.col("_id") + F.col("_shift")).alias("position"))
+
+
+_TESTS = T.StructType(EXAMPLE.fields + [T.StructField("messages", MESSAGES)])
+
+
 def read_tests(spark: SparkSession, path: str) -> DataFrame:
     """Test examples; rows that are in chat form already are left out."""
-    both = T.StructType(EXAMPLE.fields + [T.StructField("messages", MESSAGES)])
-    return read_jsonl(spark, path, both).where(F.col("messages").isNull()).drop("messages")
+    return read_jsonl(spark, path, _TESTS).where(F.col("messages").isNull()).drop("messages")
+
+
+def read_tests_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """The same with each test's ``position`` among those that stay."""
+    return with_positions(read_jsonl(spark, path, _TESTS), F.col("messages").isNull()).drop("messages")
 
 
 def read_training_text(spark: SparkSession, chat_path: str, raw_path: str) -> DataFrame:

@@ -36,12 +36,14 @@ def file_stream(
 def write_batches(rows: DataFrame, path: str, size: int = fixed.BATCH_SIZE, key: str = "ex_id", seed: int = 42) -> None:
     """The rows as JSON files of ``size`` shuffled rows each, the last with the rest.
 
-    A stream of one file per batch then takes so many rows at a time. Batches are dealt to
-    tasks by number; a task writes its batches one after the other.
+    A stream of one file per batch then takes so many rows at a time; ``batch_idx`` is a column of
+    them. Batches are dealt to tasks by number. A task writes its batches one after the other into one
+    folder and starts a file every ``size`` rows: all batches are full but the last of all, which
+    comes last in its task.
     """
     numbered = sampling.assign_batches(rows, size, key, seed)
     parts = numbered.repartition("batch_idx").sortWithinPartitions("batch_idx")
-    parts.write.option("ignoreNullFields", "false").partitionBy("batch_idx").json(path)
+    parts.write.option("ignoreNullFields", "false").option("maxRecordsPerFile", size).json(path)
 
 
 def run_batches(
