@@ -15,9 +15,9 @@ these two properties whole texts are units). So a text is cut there, and each wo
 a unit once, many at a time, and keeps its groups and links until its cache is full.
 
 *Counts.* How many links of the corpus hold a pair of ids is counted by task, then summed by
-pair. Documents need these counts back: tasks store their documents as numbers of units, with
-the links of each unit once per block, so nothing is tokenized twice. The commonest pairs (at
-most 2^20) are broadcast with their counts; links of the others are looked up by a join.
+pair. Documents need these counts back: each is stored with its pairs and how many links hold
+them, so nothing is tokenized twice. The commonest pairs (at most 2^20) are broadcast with their
+counts; the others are looked up by a join.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ from seedloom.llm.frames import quoted
 from seedloom.session import scratch
 
 #: Units a worker keeps, units tokenized at once, bytes of text in a block, pairs broadcast, distinct pairs a task gathers.
-UNITS, AT_ONCE, BLOCK, COMMON, GATHERED = 600_000, 400, 4 << 20, 1 << 20, 2_000_000
+UNITS, AT_ONCE, BLOCK, COMMON, GATHERED = 500_000, 400, 2 << 20, 1 << 20, 500_000
 _SPACE = "▁"
 _LOOSE = re.compile(r" \s|\s |\A | \Z")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -176,12 +176,12 @@ class Aligner:
         self.links[self.n_links : self.n_links + len(links)] = links
         self.n_links += len(links)
 
-    def links_of(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The links of each of the slots one after another, and where those of each end."""
+    def links_of(self, slots: np.ndarray) -> np.ndarray:
+        """The links of each of the slots one after another."""
         begin = np.where(slots > 0, self.ends[slots - 1], 0)
         n = self.ends[slots] - begin
         ends = np.cumsum(n)
-        return self.links[np.repeat(begin - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)], ends
+        return self.links[np.repeat(begin - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 @cache
@@ -190,20 +190,27 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-# --- first pass: documents as units ----------------------------------------------
+# --- first pass: documents, each with its pairs ----------------------------------
 
+NAMES = ("key", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "groups")
+_DOC = "key long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, groups string"
 _ROWS = pa.schema([
-    ("block", pa.int64()), ("docs", pa.list_(pa.struct([
-        ("key", pa.int64()), ("n_units", pa.int32()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
-        ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("groups", pa.string()),
-    ]))),
-    ("units", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("links", pa.list_(pa.int64())),
+    ("row", pa.int64()), ("key", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
+    ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("groups", pa.string()), ("own", pa.binary()), ("times", pa.binary()),
     ("pairs", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())),
 ])
-_SPARK_ROWS = (
-    "block long, docs array<struct<key long, n_units int, n_a long, n_b long, n_groups long, n_links long, "
-    "groups_sha256 string, groups string>>, units array<int>, ends array<int>, links array<long>, pairs array<long>, n array<long>"
-)
+_SPARK_ROWS = f"row long, {_DOC}, own binary, times binary, pairs array<long>, n array<long>"
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Sorted numbers as the steps between them, in as few bytes each as they all need."""
+    steps = np.diff(values, prepend=0)
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or int(steps.max(initial=0)) < 1 << (8 * w))
+    return bytes([width]) + steps.astype(f"<u{width}").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, dtype=f"<u{data[0]}", offset=1).astype(np.int64))
 
 
 class _Pairs:
@@ -229,46 +236,45 @@ class _Pairs:
         self.merge()
         for pairs, counts in self.parts:
             for at in range(0, len(pairs), 1 << 18):
-                row = {name: None for name in _ROWS.names} | {"pairs": pairs[at : at + (1 << 18)], "n": counts[at : at + (1 << 18)]}
+                row = dict.fromkeys(_ROWS.names) | {"pairs": pairs[at : at + (1 << 18)], "n": counts[at : at + (1 << 18)]}
                 yield pa.record_batch([pa.array([row[f.name]], f.type) for f in _ROWS], schema=_ROWS)
         self.__init__()
 
 
-def block_row(own: Aligner, keys: list, texts: list[str], block: int, keep_groups: bool) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
-    """A block's row, and its pairs of ids with their counts."""
+def block_rows(own: Aligner, keys: list, texts: list[str], row: int, keep_groups: bool, total: _Pairs) -> pa.RecordBatch:
+    """The rows of some documents, numbered from ``row`` on; their pairs are added to ``total``."""
     if len(own.slots) > UNITS:
         own.clear()
     lists = [own.units(text) if text else [] for text in texts]
     slots = own.numbered([unit for units in lists for unit in units])
-    docs, kept, at = [], [], 0
+    docs, at = [], 0
     for key, units in zip(keys, lists):
         mine = slots[at : at + len(units)]
         at += len(units)
         counts = own.counts[mine]
+        doc = {"row": row, "key": key, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": "", "groups": "" if keep_groups else None}
+        row += 1
+        docs.append(doc)
         if not len(mine) or (counts[:, 0] < 0).any():
-            docs.append((key, 0, 0, 0, 0, 0, "", "" if keep_groups else None))
             continue
         groups = b";".join(map(own.groups.__getitem__, mine.tolist()))
-        n_links = int((own.ends[mine] - np.where(mine > 0, own.ends[mine - 1], 0)).sum())
-        sums = counts.sum(axis=0, dtype=np.int64).tolist()
-        docs.append((key, len(mine), *sums, n_links, sha256(groups).hexdigest(), groups.decode("ascii") if keep_groups else None))
-        kept.append(mine)
-    used, numbers, times = np.unique(np.concatenate([*kept, np.empty(0, np.int64)]), return_inverse=True, return_counts=True)
-    links, ends = own.links_of(used)
-    pairs, which = np.unique(links, return_inverse=True)
-    counts = np.bincount(which, weights=np.repeat(times, np.diff(ends, prepend=0)), minlength=len(pairs)).astype(np.int64)
-    names = [f.name for f in _ROWS.field("docs").type.value_type]
-    row = {
-        "block": block, "docs": [dict(zip(names, doc)) for doc in docs], "units": numbers.astype(np.int32),
-        "ends": ends.astype(np.int32), "links": links, "pairs": None, "n": None,
-    }
-    return pa.record_batch([pa.array([row[f.name]], f.type) for f in _ROWS], schema=_ROWS), pairs, counts
-
-
-def _blocks(path_a: str, path_b: str, keep_groups: bool):
+        links = own.links_of(mine)
+        pairs, times = np.unique(links, return_counts=True)
+        total.add(pairs, times)
+        doc |= dict(zip(("n_a", "n_b", "n_groups"), counts.sum(axis=0, dtype=np.int64).tolist()))
+        doc |= {
+            "n_links": len(links), "groups_sha256": sha256(groups).hexdigest(), "own": packed(pairs),
+            "times": packed(np.cumsum(times)),
+        }
+        if keep_groups:
+            doc["groups"] = groups.decode("ascii")
+    return pa.record_batch([pa.array([doc.get(f.name) for doc in docs], f.type) for f in _ROWS], schema=_ROWS)
+
+
+def _documents(path_a: str, path_b: str, keep_groups: bool):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, total = aligner(path_a, path_b), _Pairs()
-        block = TaskContext.get().partitionId() << 33
+        row = TaskContext.get().partitionId() << 33
         keys, texts, size = [], [], 0
         for batch in batches:
             for key, text in zip(batch.column(0), batch.column(1)):
@@ -276,13 +282,9 @@ def _blocks(path_a: str, path_b: str, keep_groups: bool):
                 texts.append(text.as_py() or "")
                 size += len(texts[-1]) + 100
                 if size >= BLOCK:
-                    row, pairs, counts = block_row(own, keys, texts, block, keep_groups)
-                    yield row
-                    total.add(pairs, counts)
-                    block, keys, texts, size = block + 1, [], [], 0
-        row, pairs, counts = block_row(own, keys, texts, block, keep_groups)
-        yield row
-        total.add(pairs, counts)
+                    yield block_rows(own, keys, texts, row, keep_groups, total)
+                    row, keys, texts, size = row + len(keys), [], [], 0
+        yield block_rows(own, keys, texts, row, keep_groups, total)
         yield from total.rows()
 
     return read
@@ -308,50 +310,32 @@ def common_pairs(counts: DataFrame, most: int = COMMON) -> tuple[np.ndarray, np.
     return pairs[order], n[order], best[order].astype(bool)
 
 
-_SUMS = pa.schema([
-    ("block", pa.int64()), ("at", pa.int32()), ("doc", _ROWS.field("docs").type.value_type), ("n_best", pa.int64()), ("count_sum", pa.int64()),
-    ("rare", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())),
+_SUMS = pa.struct([
+    ("n_best", pa.int64()), ("count_sum", pa.int64()), ("rare", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())),
 ])
-_SPARK_SUMS = (
-    "block long, at int, doc struct<key long, n_units int, n_a long, n_b long, n_groups long, n_links long, "
-    "groups_sha256 string, groups string>, n_best long, count_sum long, rare array<long>, times array<long>"
-)
 
 
 def _sums(table):
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("n_best long, count_sum long, rare array<long>, times array<long>")
+    def add(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         aligner.cache_clear()  # a worker of the first pass no longer needs its units
         pairs, counts, best = table.value
-        for batch in batches:
-            for row in range(len(batch)):
-                links, ends, units = (batch.column(name)[row].values.to_numpy() for name in ("links", "ends", "units"))
-                docs = batch.column("docs")[row].values
-                place = np.minimum(np.searchsorted(pairs, links), max(0, len(pairs) - 1))
-                known = pairs[place] == links if len(pairs) else np.zeros(len(links), bool)
-                begin = np.r_[0, ends][:-1]
-                of = lambda values: np.add.reduceat(np.r_[values, 0], begin) if len(begin) else np.empty(0, np.int64)  # noqa: E731, B023
-                score = of(np.where(known, counts[place], 0) if len(pairs) else np.zeros(len(links), np.int64))
-                top = of((known & best[place]).astype(np.int64) if len(pairs) else np.zeros(len(links), np.int64))
-                unknown = of((~known).astype(np.int64))
-                n_units = docs.field("n_units").to_numpy()
-                stop = np.cumsum(n_units)
-                n_best, count_sum, rare, times = [], [], [], []
-                for first, last in zip(stop - n_units, stop):
-                    mine = units[first:last]
-                    n_best.append(int(top[mine].sum()))
-                    count_sum.append(int(score[mine].sum()))
-                    odd = mine[unknown[mine] > 0]
-                    seen = [links[begin[u] : ends[u]][~known[begin[u] : ends[u]]] for u in odd]
-                    found, n = np.unique(np.concatenate([*seen, np.empty(0, np.int64)]), return_counts=True)
-                    rare.append(found)
-                    times.append(n)
-                columns = [
-                    pa.array([batch.column("block")[row].as_py()] * len(docs), pa.int64()), pa.array(range(len(docs)), pa.int32()), docs,
-                    pa.array(n_best, pa.int64()), pa.array(count_sum, pa.int64()),
-                    pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64())),
-                ]
-                if len(docs):
-                    yield pa.record_batch(columns, schema=_SUMS)
+        # One entry past the end, which no pair equals, so that every place can be looked at.
+        pairs, counts, best = np.r_[pairs, -1], np.r_[counts, 0], np.r_[best, False]
+        for owns, times in batches:
+            found = []
+            for own, n in zip(owns, times):
+                if not own.is_valid:
+                    found.append({"n_best": 0, "count_sum": 0, "rare": [], "times": []})
+                    continue
+                own, n = unpacked(own.as_py()), np.diff(unpacked(n.as_py()), prepend=0)
+                place = np.searchsorted(pairs[:-1], own)
+                known = pairs[place] == own
+                found.append({
+                    "n_best": int(n[known & best[place]].sum()), "count_sum": int((counts[place] * n)[known].sum()),
+                    "rare": own[~known], "times": n[~known],
+                })
+            yield pa.array(found, _SUMS)
 
     return add
 
@@ -362,9 +346,9 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def pair_counts(blocks: DataFrame, n_b: int) -> DataFrame:
+def pair_counts(documents: DataFrame, n_b: int) -> DataFrame:
     """``pair, n, best``: the links of the corpus per pair of ids, and whether no pair of the same B id has more."""
-    found = blocks.where(F.col("pairs").isNotNull()).select(F.explode(F.arrays_zip("pairs", "n")).alias("of"))
+    found = documents.where(F.col("pairs").isNotNull()).select(F.explode(F.arrays_zip("pairs", "n")).alias("of"))
     counts = _stored(found.groupBy(F.col("of.pairs").alias("pair")).agg(F.sum("of.n").alias("n")), "pairs")
     by_b = counts.groupBy((F.col("pair") % n_b).alias("b")).agg(F.max("n").alias("most"))
     joined = counts.join(by_b, F.col("pair") % n_b == F.col("b"))
@@ -390,23 +374,21 @@ def align(
     """
     spark = df.sparkSession
     rows = df.select(F.col(quoted([key])[0]).cast("long").alias("key"), F.col(quoted([text])[0]).cast("string").alias("text"))
-    blocks = _stored(rows.mapInArrow(_blocks(path_a, path_b, keep_groups), _SPARK_ROWS), "blocks")
+    documents = _stored(rows.mapInArrow(_documents(path_a, path_b, keep_groups), _SPARK_ROWS), "aligned")
     n_b = sentencepiece.SentencePieceProcessor(model_file=path_b).get_piece_size()
-    counts = pair_counts(blocks, n_b)
+    counts = pair_counts(documents, n_b)
     table = spark.sparkContext.broadcast(common_pairs(counts, common))
-    docs = blocks.where(F.col("docs").isNotNull()).select("block", "docs", "units", "ends", "links")
-    sums = _stored(docs.mapInArrow(_sums(table), _SPARK_SUMS), "sums")
-    rare = sums.where(F.size("rare") > 0).select("block", "at", F.explode(F.arrays_zip("rare", "times")).alias("of"))
-    rare = rare.select("block", "at", F.col("of.rare").alias("pair"), F.col("of.times").alias("times"))
-    found = rare.join(counts, "pair").groupBy("block", "at").agg(
+    docs = documents.where(F.col("row").isNotNull()).select("row", *NAMES, _sums(table)("own", "times").alias("sums"))
+    sums = _stored(docs.select("row", *NAMES, "sums.*"), "sums")
+    rare = sums.where(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "times")).alias("of"))
+    rare = rare.select("row", F.col("of.rare").alias("pair"), F.col("of.times").alias("times"))
+    found = rare.join(counts, "pair").groupBy("row").agg(
         F.sum(F.col("times") * F.col("n")).alias("more_sum"), F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("more_best")
     )
-    joined = sums.drop("rare", "times").join(found, ["block", "at"], "left")
+    joined = sums.drop("rare", "times").join(found, "row", "left")
     total = lambda name, more: (F.col(name) + F.coalesce(F.col(more), F.lit(0))).alias(name)
-    names = ("n_a", "n_b", "n_groups", "n_links")
     result = joined.select(
-        F.col("doc.key").alias("key"), *[F.col(f"doc.{name}") for name in names], total("n_best", "more_best"),
-        total("count_sum", "more_sum"), "doc.groups_sha256", "doc.groups",
+        "key", "n_a", "n_b", "n_groups", "n_links", total("n_best", "more_best"), total("count_sum", "more_sum"), "groups_sha256", "groups"
     )
     pair = F.col("pair")
     return result, counts.select(F.floor(pair / n_b).cast("int").alias("a"), (pair % n_b).cast("int").alias("b"), "n", "best")

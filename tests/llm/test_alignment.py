@@ -125,9 +125,11 @@ def test_empty_tables_and_small_caches(spark, no_documents, prose, monkeypatch):
     monkeypatch.setattr(alignment, "UNITS", 50)
     monkeypatch.setattr(alignment, "AT_ONCE", 7)
     for i, text in enumerate(texts):
-        batch, pairs, counts = alignment.block_row(own, [i], [text], 0, True)
-        doc = batch.to_pylist()[0]["docs"][0]
-        assert (doc["n_a"], doc["n_b"], doc["n_groups"], doc["n_links"]) == rows[i][:4] and int(counts.sum()) == rows[i][3]
+        total = alignment._Pairs()
+        doc = alignment.block_rows(own, [i], [text], 5, True, total).to_pylist()[0]
+        counts = [n for batch in total.rows() for n in batch.to_pylist()[0]["n"]]
+        assert (doc["n_a"], doc["n_b"], doc["n_groups"], doc["n_links"]) == rows[i][:4] and sum(counts) == rows[i][3]
+        assert doc["row"] == 5
         assert doc["groups"] == (rows[i][6] if rows[i][0] else "")
 
 
@@ -139,4 +141,6 @@ def test_tasks_merge_their_pairs(monkeypatch):
     for _ in range(7):
         total.add(np.array([1, 5, 9]), np.array([1, 2, 3]))
     rows = [r for batch in total.rows() for r in batch.to_pylist()]
-    assert [(r["pairs"], r["n"], r["docs"]) for r in rows] == [([1, 5, 9], [7, 14, 21], None)]
+    assert [(r["pairs"], r["n"], r["row"]) for r in rows] == [([1, 5, 9], [7, 14, 21], None)]
+    for numbers in ([], [0], [3, 3, 400, 70_000, 1 << 40]):
+        assert alignment.unpacked(alignment.packed(np.array(numbers, dtype=np.int64))).tolist() == numbers
