@@ -2,15 +2,16 @@
 
 Random Fourier features approximate a Gaussian kernel over standardised statistics of a
 text, so a linear model on them is a kernel machine. Its normal equations are sums over
-rows: each of ``FIT_TASKS`` tasks streams its share of the labelled rows and returns one
-matrix of fixed size, the driver adds these and solves the ridge system. Isotonic
+rows: each task streams its share of the labelled rows and makes one matrix of fixed size;
+these are added up in the cluster, and the driver solves the ridge system of the sum. Isotonic
 regression then maps raw scores to probabilities: labels are counted per narrow bin of
 the raw score, and neighbouring bins that fall are pooled.
 
 Statistics cover whole texts. Null and empty texts have all statistics zero and get the
-score of such a text. Labels other than 0 and 1 and rows without a label teach nothing;
+score of such a text; very long ones are read whole. Labels other than 0 and 1 and rows without a label teach nothing;
 a document with several labels teaches each. Repeated rows stay. Without any usable label
-every score is 0.5. An empty frame gives an empty frame.
+every score is 0.5. An empty frame gives an empty frame. Other columns pass unchanged, but
+for one named like the score.
 """
 
 from __future__ import annotations
@@ -26,10 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from seedloom.llm.frames import stored, with_new
+from seedloom.llm.matrices import MATRIX, added, matrix_rows
 from seedloom.llm.quality_rules import SPACES, SYMBOLS, ascii_letters
 
 N_FOURIER, WIDTH, RIDGE, SEED = 256, 3.0, 1e-3, 20
-FIT_TASKS, BINS = 24, 512
+BINS = 512
 LOWEST, HIGHEST = -0.5, 1.5
 DIGITS, ENDS = b"0123456789", b".!?"
 
@@ -157,10 +159,9 @@ def fit(labelled: DataFrame) -> Model:
             features = fourier(matrix(batch.column(0)), mean, scale)
             good = batch.column(1).to_numpy(zero_copy_only=False)
             total += features.T @ np.column_stack([features, good])
-        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["total"])
+        yield matrix_rows(total)
 
-    found = labelled.repartition(FIT_TASKS).mapInArrow(sums, "total binary").collect()
-    total = sum(np.frombuffer(row["total"]).reshape(N_FOURIER + 1, N_FOURIER + 2) for row in found)
+    total = added(labelled.mapInArrow(sums, MATRIX), N_FOURIER + 2)
     weights = solve(total[:, :-1], total[:, -1], float(parts["n"]))
 
     def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

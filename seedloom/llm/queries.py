@@ -42,7 +42,7 @@ def op2_url_filter(spark, sf):
 
 
 SQL["op2_url_filter"] = r"""
-    WITH parsed AS MATERIALIZED (
+    WITH RECURSIVE parsed AS MATERIALIZED (
         SELECT row_number() OVER () AS row, page_id,
                translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
@@ -64,13 +64,11 @@ SQL["op2_url_filter"] = r"""
             SELECT row, given, 'path:' || regexp_replace(x, '[0-9]+', '0', 'g') FROM (SELECT row, given, unnest(string_split(path, '/')) AS x FROM given) WHERE x <> ''
             UNION ALL
             SELECT row, given, 'key:' || regexp_extract(x, '^[^=]*') FROM (SELECT row, given, unnest(string_split(query, '&')) AS x FROM given) WHERE regexp_extract(x, '^[^=]*') <> '')
-    ), combos AS MATERIALIZED (
-        SELECT row, given, 1 AS size, token AS name FROM tok
+    ), combos AS (
+        SELECT row, given, 1 AS size, token AS last, token AS name FROM tok
         UNION ALL
-        SELECT a.row, a.given, 2, a.token || ' ' || b.token FROM tok a JOIN tok b ON a.row = b.row AND a.token < b.token
-        UNION ALL
-        SELECT a.row, a.given, 3, a.token || ' ' || b.token || ' ' || c.token
-        FROM tok a JOIN tok b ON a.row = b.row AND a.token < b.token JOIN tok c ON b.row = c.row AND b.token < c.token
+        SELECT c.row, c.given, c.size + 1, t.token, c.name || ' ' || t.token
+        FROM combos c JOIN tok t ON t.row = c.row AND t.token > c.last
     ), examples AS (SELECT count(*) AS n FROM given WHERE given IS NOT NULL
     ), rules AS (
         SELECT name, size, verdict, n_both, n_both::DOUBLE / n_all::DOUBLE AS confidence FROM (

@@ -5,8 +5,9 @@ or a few whole ones, and its number of tokens does not depend on its neighbours.
 first tier is a table of the corpus's most frequent units and their lengths, broadcast
 to every task. Units outside it go through the second tier, a cache in each worker that
 encodes what it has not seen. No unit is shuffled: the frequent units come from a
-heavy-hitter sketch over all texts, of which each task sends one of fixed size. The
-table changes only the time, never a count.
+heavy-hitter sketch over all texts, of which each task sends one of fixed size; sketches are
+merged by 64 at a time until one is left. The table changes only the time, never a count.
+Very long texts are cut at their spaces like all others.
 """
 
 from __future__ import annotations
@@ -18,19 +19,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seedloom.llm.bpe import Unsafe, codec
-from seedloom.llm.frames import with_new
+from seedloom.llm.frames import stored, with_new
 
 #: Units in the broadcast table, and counters in a task's sketch (about 16 bytes of text each).
 FREQUENT, TRACKED = 4096, 16384
-LONGEST = 64
+#: Longest unit in the table, in characters; sketches merged in one step.
+LONGEST, FAN = 64, 64
 
 
 def frequent_units(df: DataFrame, text: str = "text", n: int = FREQUENT, tracked: int = TRACKED) -> list[str]:
     """The most frequent units of all texts, at most ``n``, each at most 64 characters."""
     units = df.select(F.explode(F.split(F.col(text).cast("string"), " ")).alias("unit"))
     units = units.where((F.length("unit") > 0) & (F.length("unit") <= LONGEST))
-    found = units.agg(F.expr(f"approx_top_k(unit, {n}, {tracked})").alias("top")).head()
-    return [row["item"] for row in found["top"] or []]
+    sketches = units.groupBy(F.spark_partition_id().cast("long").alias("part")).agg(
+        F.expr(f"approx_top_k_accumulate(unit, {tracked})").alias("sketch")
+    )
+    sketches = stored(sketches, "sketches")
+    while (sketches.agg(F.max("part")).head()[0] or 0) > 0:
+        merged = F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")
+        sketches = stored(sketches.groupBy(F.floor(F.col("part") / FAN).alias("part")).agg(merged), "sketches")
+    found = sketches.select(F.expr(f"approx_top_k_estimate(sketch, {n})").alias("top")).head()
+    return [row["item"] for row in found["top"] or []] if found else []
 
 
 def pack_table(lengths: dict[str, int]) -> tuple[bytes, bytes]:

@@ -13,8 +13,10 @@ Everything is DataFrame code. URLs with equal token sets are matched once, so a
 holds a third of all pages costs one set or few. Mined rules name tokens that a fixed share
 of all examples has, so their number does not grow with the corpus.
 
-A null URL, or one without ``://``, has an empty host and path and no tokens. Repeated rows
-and null ids stay. Without labelled examples nothing is mined and all is allowed.
+A null URL, or one without ``://``, has an empty host and path and no tokens. Very long URLs
+have as many tokens as they have; repeated rows and null ids stay. Without labelled examples
+nothing is mined and all is allowed; an empty table gives an empty one. Other columns pass
+unchanged, but for one named ``judged``.
 """
 
 from __future__ import annotations
@@ -34,11 +36,10 @@ VERDICT = "verdict:"
 
 @dataclass(frozen=True)
 class Mining:
-    """Least share of the examples behind a rule, least confidence, and most tokens of a rule."""
+    """Least share of the examples behind a rule, and least confidence; a rule may have any number of tokens."""
 
     support: float = 0.01
     confidence: float = 0.8
-    tokens: int = 3
 
 
 def part_of(url: Column, part: int) -> Column:
@@ -80,9 +81,7 @@ def mine(examples: DataFrame, mining: Mining = Mining()) -> DataFrame:
     """Rules ``tokens, verdict, confidence, support`` from rows ``tokens, verdict``, stored once."""
     items = examples.select(F.array_append("tokens", F.concat(F.lit(VERDICT), "verdict")).alias("items"))
     model = FPGrowth(minSupport=mining.support, minConfidence=mining.confidence, itemsCol="items").fit(items)
-    rules = model.associationRules.where(
-        F.element_at("consequent", 1).startswith(VERDICT) & (F.size("antecedent") <= mining.tokens)
-    )
+    rules = model.associationRules.where(F.element_at("consequent", 1).startswith(VERDICT))
     verdict = F.substring(F.element_at("consequent", 1), len(VERDICT) + 1, 100)
     return stored(
         rules.select(F.array_sort("antecedent").alias("tokens"), verdict.alias("verdict"), "confidence", "support"),

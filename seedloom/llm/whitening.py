@@ -21,14 +21,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seedloom.llm.frames import stored, with_new
+from seedloom.llm.matrices import MATRIX, added, matrix_rows, numbers
 
-#: Matrices added in one step; eigenvalues closer than this share of the matrix's norm are one cluster.
-FAN, CLUSTER = 64, 1e-3
+#: Eigenvalues closer than this share of the matrix's norm are one cluster.
+CLUSTER = 1e-3
 EPSILON = float(np.finfo(np.float64).eps)
 
 
@@ -159,11 +159,6 @@ def leading_eigen(matrix: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarr
 # --- distributed sums ------------------------------------------------------------
 
 
-def numbers(column: pa.Array, size: int) -> np.ndarray:
-    """The vectors of an Arrow column as rows."""
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), size)
-
-
 def centred(x: np.ndarray, n: int, sums: list[int]) -> np.ndarray:
     """``n * x - sums``, exact: as 64-bit integers where they fit, as Python integers otherwise."""
     most = max((abs(int(bound)) for bound in (x.max(initial=0), x.min(initial=0))), default=0)
@@ -172,31 +167,6 @@ def centred(x: np.ndarray, n: int, sums: list[int]) -> np.ndarray:
     return n * x.astype(object) - np.array(sums, dtype=object)
 
 
-def added(parts: DataFrame, wide: int) -> np.ndarray:
-    """The sum of matrices given as rows ``part, row, entries``; ``part`` numbers the matrices from 0.
-
-    Added in the order of their numbers, so the same parts give the same sum to the last bit.
-    """
-
-    def add(table: pa.Table) -> pa.Table:
-        table = table.sort_by("part")
-        total = np.zeros(wide)
-        for entries in numbers(table.column("entries").combine_chunks(), wide):
-            total += entries
-        return table.slice(0, 1).set_column(2, "entries", pa.array([total], pa.list_(pa.float64())))
-
-    schema = "part long, row int, entries array<double>"
-    parts = stored(parts, "matrices")
-    while (last := parts.agg(F.max("part")).head()[0] or 0) > 0:
-        grouped = parts.withColumn("block", F.floor(F.col("part") / FAN)).groupBy("block", "row")
-        parts = grouped.applyInArrow(lambda table: add(table.select(["part", "row", "entries"])), schema)
-        parts = stored(parts.withColumn("part", F.floor(F.col("part") / FAN)), "matrices")
-        if last < FAN:
-            break
-    rows = sorted(parts.collect(), key=lambda row: row["row"])
-    return np.array([row["entries"] for row in rows]).reshape(-1, wide)
-
-
 def sums_of_products(fit: DataFrame, size: int, rows_of, wide: int) -> np.ndarray:
     """Sum over the fit list of the outer products that ``rows_of(x)`` gives, one square matrix."""
 
@@ -205,13 +175,9 @@ def sums_of_products(fit: DataFrame, size: int, rows_of, wide: int) -> np.ndarra
         for batch in batches:
             rows = rows_of(numbers(batch.column(0), size))
             total += rows.T @ rows
-        columns = [
-            pa.array([TaskContext.get().partitionId()] * wide, pa.int64()), pa.array(range(wide), pa.int32()),
-            pa.array(list(total), pa.list_(pa.float64())),
-        ]
-        yield pa.record_batch(columns, names=["part", "row", "entries"])
+        yield matrix_rows(total)
 
-    return added(fit.mapInArrow(products, "part long, row int, entries array<double>"), wide)
+    return added(fit.mapInArrow(products, MATRIX), wide)
 
 
 def whole_sums(fit: DataFrame, size: int) -> tuple[int, list[int]]:

@@ -66,10 +66,25 @@ def test_support_and_confidence_prune(spark):
     assert mined(support=0.02, confidence=0.8) == {
         (("a",), "block", 0.8), (("b",), "block", 1.0), (("a", "b"), "block", 1.0), (("d",), "allow", 1.0)
     }
-    assert mined(support=0.02, confidence=0.9, tokens=1) == {(("b",), "block", 1.0), (("d",), "allow", 1.0)}
+    assert mined(support=0.02, confidence=0.9) == {(("b",), "block", 1.0), (("a", "b"), "block", 1.0), (("d",), "allow", 1.0)}
     assert (("c",), "block", 1.0) in mined(support=0.01, confidence=0.8)
 
 
+def test_rules_of_any_number_of_tokens(spark):
+    """Five tokens together decide what no four of them do."""
+    five = ["a", "b", "c", "d", "e"]
+    rows = [(five, "block")] * 20 + [([t for t in five if t != left], "allow") for left in five for _ in range(30)]
+    examples = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    rules = url_filter.mine(examples, Mining(support=0.05, confidence=0.8))
+    sets = spark.createDataFrame([(five,), (five[:4],), ([*five, "f"],)], "tokens array<string>")
+    found = {tuple(r["tokens"]): r["verdict"] for r in url_filter.match(sets, rules).collect()}
+    assert {len(r["tokens"]) for r in rules.where("verdict = 'block'").collect()} <= {5}
+    assert found.get(tuple(five[:4])) in (None, "allow")
+    rules = url_filter.mine(examples.where("verdict = 'block' OR size(tokens) < 4"), Mining(support=0.05, confidence=0.8))
+    assert max(len(r["tokens"]) for r in rules.collect()) == 5
+    assert url_filter.match(sets, rules).where("tokens = array('a', 'b', 'c', 'd', 'e')").first()["verdict"] == "block"
+
+
 def test_odd_rows(spark):
     rows = [(None, "http://a.net/"), (1, "http://b.net/x"), (1, "http://b.net/x"), (2, None), (3, ""), (4, "http://" + "a." * 50_000 + "net/")]
     rows = [(i, u, "x", "y", "z") for i, u in rows]

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from seedloom.llm import whitening
+from seedloom.llm import matrices, whitening
 from seedloom.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -58,10 +58,10 @@ def test_clusters_of_equal_eigenvalues():
 
 
 def test_matrices_are_added_in_levels(spark, monkeypatch):
-    monkeypatch.setattr(whitening, "FAN", 3)
+    monkeypatch.setattr(matrices, "FAN", 3)
     parts = [(part, row, [float(part), float(row)]) for part in range(20) for row in range(2)]
     frame = spark.createDataFrame(parts, "part long, row int, entries array<double>").repartition(5)
-    assert whitening.added(frame, 2).tolist() == [[190.0, 0.0], [190.0, 20.0]]
+    assert matrices.added(frame, 2).tolist() == [[190.0, 0.0], [190.0, 20.0]]
 
 
 def test_odd_rows(spark):
