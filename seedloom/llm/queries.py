@@ -235,17 +235,17 @@ def op12_repeats(spark, sf):
 SQL["op12_repeats"] = r"""
     WITH texts AS MATERIALIZED (
         SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
-    ), words AS MATERIALIZED (SELECT row, generate_subscripts(w, 1) AS at, unnest(w) AS word FROM texts
+    ), words AS MATERIALIZED (SELECT row, generate_subscripts(w, 1) AS place, unnest(w) AS word FROM texts
     ), windows AS MATERIALIZED (
-        SELECT row, doc_id, at, array_to_string(w[at:at+12], ' ') AS words
-        FROM (SELECT *, unnest(range(1, len(w) - 11)) AS at FROM texts WHERE len(w) >= 13)
+        SELECT row, doc_id, place, array_to_string(w[place:place+12], ' ') AS words
+        FROM (SELECT *, unnest(range(1, len(w) - 11)) AS place FROM texts WHERE len(w) >= 13)
     ), firsts AS (SELECT words, min(doc_id) AS first FROM windows GROUP BY words
     ), covered AS (
-        SELECT DISTINCT row, at + unnest(range(0, 13)) AS at, true AS gone FROM windows JOIN firsts USING (words)
+        SELECT DISTINCT row, place + unnest(range(0, 13)) AS place, true AS gone FROM windows JOIN firsts USING (words)
         WHERE first < coalesce(doc_id, 9223372036854775807)
     ), left_over AS (
-        SELECT row, count(gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY at) FILTER (gone IS NULL), '') AS kept
-        FROM words LEFT JOIN covered USING (row, at) GROUP BY row
+        SELECT row, count(gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY place) FILTER (gone IS NULL), '') AS kept
+        FROM words LEFT JOIN covered USING (row, place) GROUP BY row
     )
     SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
     FROM texts LEFT JOIN left_over USING (row)"""
