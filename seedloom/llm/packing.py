@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seedloom.llm.bpe import codec
+from seedloom.llm.rank_ids import rank_encoder
 
 #: Examples that wait together and bytes of their ids; places for sequence numbers below a task's number.
 BLOCK_EXAMPLES, BLOCK_BYTES, SEQUENCE_BITS = 4096, 64 << 20, 33
@@ -74,18 +75,81 @@ def place(lengths: list[int], loss_starts: list[int], limits: Limits) -> list[li
     if not waiting:
         return [part for pieces in done for part in powers_of_two(pieces, limits)]
 
+    loss_bears = [loss_starts[p.example] for p in waiting]
+    pack = pack_by_length if not any(loss_bears) else pack_by_product
+    done += pack(waiting, loss_bears, limits)
+    return [part for pieces in done for part in powers_of_two(pieces, limits)]
+
+
+def pack_by_length(waiting: list[Piece], loss_starts: list[int], limits: Limits) -> list[list[Piece]]:
+    """The heuristic where every token bears loss: the dot product grows with the length, so the longest fits best.
+
+    Waiting pieces lie by length, and the bits of one number tell which lengths there are.
+    """
+    order = sorted(waiting, key=lambda p: -p.length)
+    by_length: dict[int, list[int]] = {}
+    for at, piece in enumerate(order):
+        by_length.setdefault(piece.length, []).append(at)  # rising, so a heap already
+    there, first, closed, done = 0, 0, bytearray(len(order)), []
+    for length in by_length:
+        there |= 1 << length
+
+    def taken(length: int) -> int:
+        nonlocal there
+        at = heappop(by_length[length])
+        if not by_length[length]:
+            del by_length[length]
+            there ^= 1 << length
+        return at
+
+    while there:
+        pieces: list[Piece] = []
+        left, segments = min(limits.tokens, limits.loss_tokens), limits.segments
+        while left > 0 and segments > 0 and there:
+            fits = (there & ((2 << left) - 1)).bit_length() - 1
+            if fits > 0:
+                at = taken(fits)
+                pieces.append(order[at])
+                closed[at] = True
+                left -= fits
+            else:  # cut the first, i.e. longest, one
+                while closed[first]:
+                    first += 1
+                piece = order[first]
+                by_length[piece.length].remove(first)
+                heapify(by_length[piece.length])
+                if not by_length[piece.length]:
+                    del by_length[piece.length]
+                    there ^= 1 << piece.length
+                pieces.append(Piece(piece.example, piece.start, left))
+                rest = order[first] = Piece(piece.example, piece.start + left, piece.length - left)
+                heappush(by_length.setdefault(rest.length, []), first)
+                there |= 1 << rest.length
+                left = 0
+            segments -= 1
+        done.append(pieces)
+    return done
+
+
+def pack_by_product(waiting: list[Piece], loss_starts: list[int], limits: Limits) -> list[list[Piece]]:
+    """The heuristic in three dimensions, over arrays of what still waits."""
+    done: list[list[Piece]] = []
     example = np.array([p.example for p in waiting])
     start = np.array([p.start for p in waiting])
     tokens = np.array([p.length for p in waiting])
-    loss_start = np.array(loss_starts, dtype=np.int64)[example]
+    loss_start = np.array(loss_starts, dtype=np.int64)
     room = np.array([limits.tokens, limits.segments, max(1, limits.loss_tokens)], dtype=np.float64)
     open_ = np.ones(len(waiting), dtype=bool)
     order = np.argsort(-tokens, kind="stable")
     example, start, tokens, loss_start = example[order], start[order], tokens[order], loss_start[order]
-    while open_.any():
+    n_open = len(order)
+    while n_open:
+        if n_open < len(open_) // 2:  # what is closed is looked at no more
+            example, start, tokens, loss_start = (a[open_] for a in (example, start, tokens, loss_start))
+            open_ = np.ones(n_open, dtype=bool)
         pieces: list[Piece] = []
         left = [limits.tokens, limits.segments, limits.loss_tokens]
-        while left[0] > 0 and left[1] > 0 and open_.any():
+        while left[0] > 0 and left[1] > 0 and n_open:
             loss = np.maximum(0, start + tokens - np.maximum(start, loss_start))
             fits = open_ & (tokens <= left[0]) & (loss <= left[2])
             if fits.any():
@@ -105,9 +169,11 @@ def place(lengths: list[int], loss_starts: list[int], limits: Limits) -> list[li
             left = [left[0] - size, left[1] - 1, left[2] - own_loss]
             start[at] += size
             tokens[at] -= size
-            open_[at] = tokens[at] > 0
+            if not tokens[at]:
+                open_[at] = False
+                n_open -= 1
         done.append(pieces)
-    return [part for pieces in done for part in powers_of_two(pieces, limits)]
+    return done
 
 
 def powers_of_two(pieces: list[Piece], limits: Limits) -> list[list[Piece]]:
@@ -183,8 +249,9 @@ def pack_texts(
     ``key``, ``start``, ``length``, ``ids`` (little-endian unsigned 32-bit), ``doc_tokens``,
     ``sequence_id``, ``offset``, ``loss_tokens``.
 
-    A null or empty text is the end id alone; null keys and repeated rows stay, each row an
-    example of its own; an empty frame gives none. Other columns are not read.
+    A null or empty text is the end id alone; a very long one fills sequences of its own first; null
+    keys and repeated rows stay, each row an example of its own; an empty frame gives none. Ties go to
+    the example that came first. Other columns are not read.
     """
     if min(limits.tokens, limits.segments, limits.loss_tokens) < 1:
         raise ValueError("a sequence needs room for a token, a segment and a loss-bearing token")
@@ -192,11 +259,12 @@ def pack_texts(
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"), prompt.alias("prompt"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, end = codec(path), end_id.to_bytes(4, "little")
+        own, end = rank_encoder(path), end_id.to_bytes(4, "little")
         waiting = _Block(limits, TaskContext.get().partitionId() << SEQUENCE_BITS)
         for batch in batches:
-            for row in zip(*(batch.column(i) for i in range(3))):
-                row_key, row_text, row_prompt = (value.as_py() for value in row)
+            keys, prompts = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for row_key, value, row_prompt in zip(keys, batch.column(1), prompts):
+                row_text = value.as_py()
                 loss_start = len(own.encode(row_text[:row_prompt])) // 4 if row_prompt and row_text else 0
                 waiting.add(row_key, own.encode(row_text) + end, loss_start)
                 if len(waiting.keys) >= block or waiting.size >= BLOCK_BYTES:
