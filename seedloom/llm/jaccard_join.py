@@ -6,11 +6,13 @@ share an n-gram among the first few of each (the prefix), and differ in size by
 than the threshold allows. The join
 
 1. keeps one set per group of equal texts;
-2. links sets to a hub they share a minimum hash with, so a family of near copies becomes
-   one component at a cost that is linear in its size;
+2. links sets to a few hubs they share a minimum hash with, so a family of near copies becomes
+   one component at a cost that is linear in its size. Rounds with other hubs go on among sets of
+   different components until a round links little of what it compares;
 3. collapses sets with identical prefixes and size into groups and indexes the prefixes;
    only n-grams that sets of *different* components have in common are joined. Group pairs
-   pass filters on size, position and sketch, are expanded, and members verified exactly.
+   pass filters on size, position and sketch, are expanded, members are filtered in the same way,
+   and what is left is verified exactly.
 
 Step 2 only spares work: step 3 looks at every pair of sets that may be similar and is
 not connected already, so no link between components is lost.
@@ -25,8 +27,9 @@ Sketches are the parities of 1,024 hash buckets, and of 16,384 for large sets: t
 differ in at least as many elements as their sketches in bits.
 
 Null texts, and texts without words, have empty sets and link with nothing. Ids may be null
-or repeated: rows are told apart by their sets. A component of null ids only is null. Extra
-columns are not read; an empty frame gives an empty frame.
+or repeated: rows are told apart by their sets. A component of null ids only is null. Very long
+texts have large sets, which are verified whole like all others. Extra columns are not read; an
+empty frame gives an empty frame.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +57,12 @@ from seedloom.llm.frames import free_name, stored
 
 RANK_BITS, HASH_BITS = 5, 59
 SKETCH_BITS, N_HASHES = 1024, 3
+#: Hubs per shared minimum hash; a further round is worth its cost if this share of the compared pairs were links.
+HUBS, WORTH = 3, 0.05
+#: 64-bit numbers of a sketch that travel with every n-gram; folded, it still differs in no more bits than the sets do.
+NARROW = 4
+#: Texts whose sets are handed on at once.
+SLICE = 500
 #: Sets above this size have a second, wider sketch; the first is full for them.
 WIDE_FROM, WIDE_BITS = 1800, 16384
 #: A word is frequent if one document in so many has it.
@@ -101,8 +110,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 # --- frequent words ----------------------------------------------------------
 
 
-def frequent_words(texts: DataFrame, one_in: int = FREQUENT_ONE_IN) -> dict[int, int]:
-    """Ranks 1 to 31 by word hash: how often, in powers of two, a frequent word is found in documents.
+def frequent_words(texts: DataFrame, one_in: int = FREQUENT_ONE_IN) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted word hashes and their ranks 1 to 31, 9 bytes a word: how often, in powers of two, a frequent word is found in documents.
 
     A task reports the words that the wanted share of its own rows has, two at least; a word
     that is frequent on the whole is frequent in some task, so it is reported.
@@ -130,19 +139,26 @@ def frequent_words(texts: DataFrame, one_in: int = FREQUENT_ONE_IN) -> dict[int,
     total = texts.count()
     kept = counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") * (2 * one_in) >= total)
     ranks = kept.select("word", F.least(F.lit(31), 1 + F.floor(F.log2(F.col("n") * (2.0 * one_in) / max(total, 1)))).alias("rank"))
-    return {row["word"] & (2**64 - 1): int(row["rank"]) for row in ranks.collect()}
+    table = ranks.select("word", F.col("rank").cast("int").alias("rank")).toArrow()
+    words, order = table.column("word").to_numpy().view(np.uint64), table.column("rank").to_numpy()
+    by_hash = np.argsort(words)
+    return words[by_hash], order[by_hash].astype(np.uint8)
 
 
 class Words(dict):
     """Hash and rank of a word as one number, by word; forgets when full."""
 
-    def __init__(self, ranks: dict[int, int]):
+    def __init__(self, ranks: tuple[np.ndarray, np.ndarray]):
         super().__init__()
-        self.ranks = ranks
+        self.hashes, self.ranks = ranks
+
+    def rank(self, digest: int) -> int:
+        at = int(np.searchsorted(self.hashes, np.uint64(digest)))
+        return int(self.ranks[at]) if at < len(self.hashes) and int(self.hashes[at]) == digest else 0
 
     def __missing__(self, word: bytes) -> int:
         digest = xxhash.xxh3_64_intdigest(word)
-        value = self.ranks.get(digest, 0) << HASH_BITS | digest & (1 << HASH_BITS) - 1
+        value = self.rank(digest) << HASH_BITS | digest & (1 << HASH_BITS) - 1
         if len(self) >= WORD_CACHE:
             self.clear()
         self[word] = value
@@ -226,7 +242,8 @@ def _sets_udf(ranks, size: int, threshold: Threshold):
     def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = Words(ranks.value)
         for texts in batches:
-            yield set_rows(texts, words, size, threshold)
+            for at in range(0, len(texts), SLICE):
+                yield set_rows(texts.slice(at, SLICE), words, size, threshold)
 
     return sets
 
@@ -238,10 +255,11 @@ def _contents_udf(ranks, size: int):
     @F.arrow_udf(_CONTENTS)
     def contents(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = Words(ranks.value)
-        for texts in batches:
-            sets = [elements(text.as_py(), words, size).tobytes() for text in texts]
-            nodes = pa.array([xxhash.xxh3_128_digest(found) for found in sets], pa.binary())
-            yield pa.StructArray.from_arrays([nodes, pa.array(sets, pa.binary())], names=["node", "contents"])
+        for batch in batches:
+            for at in range(0, len(batch), SLICE):
+                sets = [elements(text.as_py(), words, size).tobytes() for text in batch.slice(at, SLICE)]
+                nodes = pa.array([xxhash.xxh3_128_digest(found) for found in sets], pa.binary())
+                yield pa.StructArray.from_arrays([nodes, pa.array(sets, pa.binary())], names=["node", "contents"])
 
     return contents
 
@@ -255,9 +273,15 @@ def n_shared(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(counts, pa.int64())
 
 
-def differ(left: str, right: str) -> Column:
+def differ(left: str, right: str, words: int = SKETCH_BITS // 64) -> Column:
     """Bits in which two sketches differ."""
-    return sum((F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    return sum((F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(words)), F.lit(0))
+
+
+def folded(sketch: str) -> Column:
+    """The sketch of a quarter of the buckets: parities of buckets that are taken together."""
+    n = SKETCH_BITS // 64
+    return F.array(*[reduce(Column.bitwiseXOR, [F.col(sketch)[j] for j in range(i, n, NARROW)]) for i in range(NARROW)])
 
 
 class JaccardJoin:
@@ -319,26 +343,60 @@ class JaccardJoin:
         allowed = n + m - 2 * self.threshold.needed(n, m)
         return self.threshold.sizes_fit(n, m) & (differ(*sketches) <= allowed)
 
-    def hub_pairs(self, nodes: DataFrame) -> DataFrame:
-        """Step 2: each set with the first set of those that share a minimum hash or a group."""
-        group = F.xxhash64("group")
-        keyed = nodes.select("node", F.explode(F.array_append("hashes", group)).alias("shared"))
-        hubs = keyed.groupBy("shared").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-        hubs = hubs.where(F.col("hub") != F.col("last")).select("shared", "hub")
-        pairs = keyed.join(hubs, "shared").where(F.col("hub") != F.col("node")).select("hub", "node").distinct()
+    def by_sketch(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The pairs ``a, b`` of sets that size and sketch allow."""
         side = nodes.select("node", "n", "sketch")
         left = side.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
         right = side.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-        both = pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")).join(left, "a").join(right, "b")
+        both = pairs.join(left, "a").join(right, "b")
         return both.where(self.may_link(("sketch_a", "sketch_b"), F.col("n_a"), F.col("n_b"))).select("a", "b")
 
+    #: Number of the round of step 2.
+    turn = 0
+
+    def hub_pairs(self, nodes: DataFrame) -> DataFrame:
+        """A round of step 2: each set with a few of those that share a minimum hash or a group, but not its label.
+
+        Hubs are the first sets in as many orders, other ones in each round. Sets without labels are
+        each their own.
+        """
+        nodes = nodes if "label" in nodes.columns else nodes.withColumn("label", F.col("node"))
+        turn, group = self.turn, F.xxhash64("group")
+        keyed = nodes.select("node", "label", F.explode(F.array_append("hashes", group)).alias("shared"))
+        first = [
+            F.min(F.struct(F.xxhash64("node", F.lit(turn * HUBS + i)).alias("order"), "node", "label")).alias(f"hub{i}") for i in range(HUBS)
+        ]
+        hubs = keyed.groupBy("shared").agg(F.min("label").alias("least"), F.max("label").alias("most"), *first)
+        hubs = hubs.where(F.col("least") != F.col("most"))
+        # Stored, so that the join reads it through an exchange of its own and a hot minimum can be split.
+        hubs = stored(hubs.select("shared", F.array_distinct(F.array(*[F.struct(f"hub{i}.node", f"hub{i}.label") for i in range(HUBS)])).alias("hubs")), "hubs")
+        met = keyed.join(hubs, "shared").select("node", "label", F.explode("hubs").alias("hub"))
+        met = met.where(F.col("label") != F.col("hub.label"))
+        ends = F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")
+        return self.by_sketch(met.select(*ends).distinct(), nodes)
+
+    def near_labels(self, nodes: DataFrame) -> DataFrame:
+        """Step 2: ``node, label`` of the sets that rounds of hubs link."""
+        stars, labelled, self.turn = None, nodes, 0
+        while True:
+            pairs = stored(self.hub_pairs(labelled), "hub-pairs")
+            links = self.verified(pairs, nodes)
+            n_pairs, n_links = pairs.count(), links.count()
+            found = links.select("a", "b") if stars is None else stars.union(links.select("a", "b"))
+            labels = components(found)
+            if n_links <= WORTH * n_pairs or not n_links:
+                return labels
+            stars = labels.where(F.col("node") != F.col("label")).select(F.col("node").alias("a"), F.col("label").alias("b"))
+            labelled = stored(nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+            self.turn += 1
+
     def group_pairs(self, labelled: DataFrame) -> DataFrame:
         """Step 3: pairs of sets of different components whose groups' prefixes meet."""
-        labels = labelled.select("node", "group", "sketch", F.xxhash64("label").alias("label"))
+        labels = labelled.select("node", "group", folded("sketch").alias("sketch"), F.xxhash64("label").alias("label"))
         parts = labels.groupBy("group", "label").agg(
             F.min("node").alias("first"), F.max("node").alias("last"), F.first("sketch").alias("sketch")
         )
-        # A part of one set has that set's sketch; a part of several has none and passes.
+        # A part of one set has that set's sketch, folded; a part of several has none and passes.
         parts = parts.select("group", "label", F.when(F.col("first") == F.col("last"), F.col("sketch")).alias("sketch"))
         prefixes = self.sets.where(F.col("node").isNotNull()).groupBy("group").agg(
             F.first("prefix").alias("prefix"), F.first("n").alias("n")
@@ -350,8 +408,8 @@ class JaccardJoin:
         met = grams.groupBy("gram").agg(F.min("label").alias("least"), F.max("label").alias("most"))
         met = met.where(F.col("least") != F.col("most")).select("gram")
         index = indexed.select("part", F.posexplode("prefix").alias("at", "gram")).join(met, "gram")
-        shared = stored(index.join(indexed.drop("prefix"), "part"), "shared")
-        columns = ("group", "label", "n", "at", "sketch")
+        shared = stored(index.join(indexed.drop("prefix", "group"), "part"), "shared")
+        columns = ("part", "label", "n", "at", "sketch")
         left = shared.select("gram", *[F.col(c).alias(f"{c}_a") for c in columns])
         right = shared.select("gram", *[F.col(c).alias(f"{c}_b") for c in columns])
         n, m, i, j = (F.col(c) for c in ("n_a", "n_b", "at_a", "at_b"))
@@ -360,22 +418,21 @@ class JaccardJoin:
         fits = (
             (F.col("label_a") < F.col("label_b")) & self.threshold.sizes_fit(n, m)
             & (reach >= self.threshold.needed(n, m))
-            & (unknown | self.may_link(("sketch_a", "sketch_b"), n, m))
+            & (unknown | (differ("sketch_a", "sketch_b", NARROW) <= n + m - 2 * self.threshold.needed(n, m)))
         )
         pairs = left.join(right, (left["gram"] == right["gram"]) & fits)
-        pairs = pairs.select("group_a", "label_a", "group_b", "label_b").distinct()
-        members = labels.select("group", "label", "node", "sketch")
-        a = members.select(*[F.col(c).alias(f"{c}_a") for c in members.columns])
-        b = members.select(*[F.col(c).alias(f"{c}_b") for c in members.columns])
-        expanded = pairs.join(a, ["group_a", "label_a"]).join(b, ["group_b", "label_b"])
-        return expanded.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+        pairs = pairs.select("part_a", "part_b").distinct()
+        members = labels.select("node", F.xxhash64("group", "label").alias("part"))
+        a = members.select(F.col("node").alias("a"), F.col("part").alias("part_a"))
+        b = members.select(F.col("node").alias("b"), F.col("part").alias("part_b"))
+        expanded = pairs.join(a, "part_a").join(b, "part_b").select("a", "b").distinct()
+        return self.by_sketch(expanded, labelled)
 
     @cached_property
     def labels(self) -> DataFrame:
         """``node, label`` of the sets that have links; the label is the component's smallest node."""
         nodes = stored(self.nodes(), "nodes")
-        near = self.verified(self.hub_pairs(nodes), nodes)
-        labels = components(near)
+        labels = self.near_labels(nodes)
         labelled = stored(
             nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).drop("hashes"), "labelled"
         )
