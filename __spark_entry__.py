@@ -30,7 +30,7 @@ from seedloom.operators import (  # noqa: E402
     responses,
     sampling,
 )
-from seedloom.plans import steps  # noqa: E402
+from seedloom.plans import blocks, steps  # noqa: E402
 from seedloom.session import scratch  # noqa: E402
 from seedloom.sources import files  # noqa: E402
 from seedloom.streaming.answers import first_deliveries, join_answers  # noqa: E402
@@ -510,6 +510,27 @@ def enrichment_chain(spark, sf):
     return scored.select(row.alias("ex_id"), "quality_score")
 
 
+#: The enrichment after its answers, as data; listed out of order.
+DECLARED = [
+    {"kind": "score", "inputs": ["upgraded_sql", "variant_sql", "reasoning_trace"], "outputs": ["quality_score"], "after": ["required"]},
+    {"kind": "required", "name": "required", "inputs": list(fixed.REQUIRED_FIELDS)},
+    {
+        "kind": "answers", "name": "answers", "inputs": list(fixed.REQUIRED_COLUMNS), "outputs": ["choice_idx", *enrich.FIELDS],
+        "params": {"completions": "$completions", "keep_missing": False},
+    },
+]
+KINDS = {"answers": enrich.attach_completions, "required": enrich.required_fields, "score": enrich.score_enriched}
+
+
+@query
+def declared_chain(spark, sf):
+    """The enrichment chain from its declaration."""
+    declared = blocks.declared(DECLARED, KINDS, completions=_completions(spark, sf))
+    scored = blocks.run_blocks(table(spark, sf, "doc_rows"), declared)
+    row = F.concat_ws("/", F.col("ex_id").cast("string"), F.col("choice_idx").cast("string"))
+    return scored.select(row.alias("ex_id"), "quality_score")
+
+
 @query
 def generation_summary(spark, sf):
     return reports.generation_summary(required_fields(spark, sf))
@@ -771,3 +792,37 @@ def sql_functions(spark, sf):
            FROM {enriched}""",
         enriched=table(spark, sf, "enriched"),
     )
+
+
+@query
+def sql_training_examples(spark, sf):
+    """The expansion as a table function, joined laterally."""
+    register_sql_functions(spark)
+    return spark.sql(
+        """SELECT made.* FROM {enriched} e, LATERAL training_examples(
+               string(e.ex_id), e.question, e.schema, e.sql, e.complexity, e.domain, e.reasoning_trace, e.upgraded_question,
+               e.upgraded_sql, e.upgraded_complexity, e.variant_schema, e.variant_question, e.variant_sql, e.quality_score) made""",
+        enriched=table(spark, sf, "enriched"),
+    )
+
+
+@query
+def sql_tagged_texts(spark, sf):
+    """All texts of a tag as a table function."""
+    register_sql_functions(spark)
+    return spark.sql(
+        """SELECT c.ex_id, c.stage, c.choice_idx, t.pos, t.body AS sql
+           FROM {completions} c, LATERAL tagged_texts(c.content, 'SQL') t""",
+        completions=_completions(spark, sf),
+    )
+
+
+@query
+def sql_answer_fields(spark, sf):
+    """The fields of every answer as rows, by a table function that knows each stage's tags."""
+    register_sql_functions(spark)
+    return spark.sql(
+        """SELECT c.ex_id, c.stage, c.choice_idx, md5(c.content) AS answer, f.field, f.value
+           FROM {completions} c, LATERAL answer_fields(c.stage, c.content) f""",
+        completions=_completions(spark, sf),
+    )

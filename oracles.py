@@ -521,6 +521,12 @@ def build() -> dict[str, str]:
         {steps('reasoning_trace')} AS steps, {strip('reasoning_trace')} AS trace,
         {trace_score('reasoning_trace')} AS trace_score, quality_score
         FROM (SELECT * EXCLUDE (quality_score) FROM enriched) JOIN (SELECT ex_id, {SCORE} AS quality_score FROM ({PARTS})) USING (ex_id)""", "enriched")
+    o["sql_answer_fields"] = with_tables(
+        f", choices AS ({CHOICES}) " + " UNION ALL ".join(
+            f"SELECT ex_id, stage, choice_idx, md5(content) AS answer, {q(column)} AS field, {tag(name)} AS value FROM choices WHERE stage = {q(stage)}"
+            for stage, (_, _, _, parsers) in fixed.STAGES.items()
+            for column, name in parsers.items()
+        ), "answers")
     # the same rows by other ways
     o["align_by_position"] = with_tables(
         ALIGNED + """ SELECT row_number() OVER (ORDER BY ex_id) - 1 AS position, * EXCLUDE (ex_id) FROM aligned
@@ -528,7 +534,8 @@ def build() -> dict[str, str]:
     for name, same in (
         ("align_stored_by_key", "align_predictions"), ("result_match_fingerprints", "result_match"),
         ("result_match_verified", "result_match_nonempty"), ("format_stats_written", "format_stats"),
-        ("seed_kept_ratio_written", "seed_kept_ratio"),
+        ("seed_kept_ratio_written", "seed_kept_ratio"), ("sql_training_examples", "expand_examples"),
+        ("sql_tagged_texts", "parse_tags_all"), ("declared_chain", "enrichment_chain"),
     ):
         o[name] = o[same]
     return o

@@ -1,7 +1,8 @@
-"""The scalar functions under SQL names, for ``spark.sql`` users.
+"""The functions under SQL names, for ``spark.sql`` users: scalar ones, and table functions for what makes rows.
 
 They are temporary SQL functions: Catalyst puts their bodies in place, so a query
-that uses them has the plan of the same expressions written out.
+that uses them has the plan of the same expressions written out. Table functions are
+joined laterally: ``FROM rows, LATERAL training_examples(…)``.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from seedloom import fixed
 from seedloom.functions import score
-from seedloom.functions.text import THINK_BLOCK, WHITESPACE, WHITESPACE_RUN
+from seedloom.functions.text import THINK_BLOCK, WHITESPACE, WHITESPACE_RUN, tag_pattern
 
 
 def quoted(value: str) -> str:
@@ -106,9 +107,80 @@ def definitions() -> dict[str, tuple[str, str, str]]:
     }
 
 
+def _candidate(source: str, keep: str, question: str, schema: str, sql: str, thinking: str, complexity: str) -> str:
+    values = {
+        "keep": keep, "example_id": f"concat_ws('/', {quoted(source)}, row_key)", "question": f"coalesce({question}, '')", "schema": f"coalesce({schema}, '')", "sql": f"coalesce({sql}, '')",
+        "thinking": thinking, "complexity": f"coalesce({complexity}, {quoted(fixed.UNKNOWN)})",
+        "domain": f"coalesce(of_domain, {quoted(fixed.UNKNOWN)})", "source": quoted(source),
+        "quality_score": f"coalesce(score, {fixed.DEFAULT_QUALITY}D)",
+    }
+    return f"named_struct({', '.join(f'{quoted(name)}, {value}' for name, value in values.items())})"
+
+
+def _expansion() -> str:
+    """Up to three examples of an enriched row, as :func:`seedloom.operators.examples.expand_enriched` makes them."""
+
+    def some(*names: str) -> str:
+        return " AND ".join(["accepted", *(f"coalesce({name}, '') <> ''" for name in names)])
+
+    def real(name: str) -> str:
+        return f" AND NOT startswith(coalesce({name}, ''), {quoted(fixed.MOCK_PREFIX)})"
+
+    accepted = f"coalesce(score, {fixed.DEFAULT_QUALITY}D) >= 0"
+    candidates = (
+        _candidate(fixed.WITH_REASONING, some("of_question", "of_sql"), "of_question", "of_schema", "of_sql", "coalesce(trace, '')", "of_complexity"),
+        _candidate(
+            fixed.UPGRADED, some("upgraded_question", "upgraded_sql") + real("upgraded_sql"), "upgraded_question", "of_schema",
+            "upgraded_sql", "''", "upgraded_complexity",
+        ),
+        _candidate(
+            fixed.VARIANT, some("variant_question", "variant_sql", "variant_schema") + real("variant_sql"), "variant_question",
+            "variant_schema", "variant_sql", "''", "of_complexity",
+        ),
+    )
+    made = f"array({', '.join(candidates)})".replace("accepted", accepted)
+    columns = "example_id, question, schema, sql, thinking, complexity, domain, source, quality_score"
+    return f"SELECT {columns} FROM inline(filter({made}, made -> made.keep))"
+
+
+def table_definitions() -> dict[str, tuple[str, str, str]]:
+    """name -> (parameters, columns, query).
+
+    A query is a projection of one generator, whose conditions lie in its array: Spark turns that into a
+    generator over the joined rows, and anything more into a join with them.
+    """
+    fields = ", ".join(
+        f"named_struct('name', {quoted(column)}, 'value', CASE WHEN stage = {quoted(stage)} "
+        f"THEN regexp_extract(coalesce(content, ''), {quoted(tag_pattern(tag))}, 1) END)"
+        for stage, (_, _, _, parsers) in fixed.STAGES.items()
+        for column, tag in parsers.items()
+    )
+    return {
+        "tagged_texts": (
+            "content STRING, tag STRING", "pos INT, body STRING",
+            "SELECT pos, py_strip(col) FROM posexplode(regexp_extract_all(coalesce(content, ''), "
+            r"concat(r'(?s)\[', tag, r'\](.*?)\[/', tag, r'\]'), 1))",
+        ),
+        "answer_fields": (
+            "stage STRING, content STRING", "field STRING, value STRING",
+            f"SELECT name, py_strip(value) FROM inline(filter(array({fields}), f -> f.value IS NOT NULL))",
+        ),
+        "training_examples": (
+            "row_key STRING, of_question STRING, of_schema STRING, of_sql STRING, of_complexity STRING, of_domain STRING, "
+            "trace STRING, upgraded_question STRING, upgraded_sql STRING, upgraded_complexity STRING, variant_schema STRING, "
+            "variant_question STRING, variant_sql STRING, score DOUBLE",
+            "example_id STRING, question STRING, schema STRING, sql STRING, thinking STRING, complexity STRING, domain STRING, "
+            "source STRING, quality_score DOUBLE",
+            _expansion(),
+        ),
+    }
+
+
 def register_sql_functions(spark: SparkSession) -> list[str]:
     """Create or replace the functions in the session; returns their names."""
-    made = definitions()
+    made = definitions() | {
+        name: (parameters, f"TABLE ({columns})", query) for name, (parameters, columns, query) in table_definitions().items()
+    }
     for name, (parameters, returns, body) in made.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {returns} RETURN {body}")
     return list(made)

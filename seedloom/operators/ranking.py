@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from seedloom.sources.files import small_table
+from seedloom.session import scratch
+from seedloom.sources.files import small_table, store
 
 # At most this many levels pass through the driver and a broadcast table; beyond
 # it the callers rank in the cluster (see level_rank).
@@ -209,7 +210,9 @@ def value_rank(df: DataFrame, value: Column, name: str = "rank") -> DataFrame:
     a value do not. Distinct values are summed up in hash buckets, and equal rows, which
     may be a third of all, are numbered in buckets of their own.
     """
-    valued = df.withColumn("_value", value)
+    # Stored before they are counted: both branches below must see the same numbers for equal rows.
+    valued = df.withColumn("_value", value).withColumn("_id", F.monotonically_increasing_id())
+    valued = store(valued, scratch(df.sparkSession, "valued"))
     counts = valued.groupBy("_value").agg(F.count(F.lit(1)).alias("_n"))
     sizes = counts.agg(F.count(F.lit(1)).alias("values"), F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).first()
     bucket = F.substring("_value", 1, bucket_digits(sizes["values"]))
@@ -220,6 +223,6 @@ def value_rank(df: DataFrame, value: Column, name: str = "rank") -> DataFrame:
     inside = Window.partitionBy("_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
     firsts = firsts.join(F.broadcast(totals), "_bucket").select("_value", (F.col("_offset") + F.col("_inside")).alias("_first"))
-    copy = F.md5(F.monotonically_increasing_id().cast("string"))
+    copy = F.md5(F.col("_id").cast("string"))
     numbered = level_rank(valued, copy, F.col("_value"), "_copy", sizes["rows"])
-    return numbered.join(firsts, "_value").withColumn(name, F.col("_first") + F.col("_copy")).drop("_value", "_first", "_copy")
+    return numbered.join(firsts, "_value").withColumn(name, F.col("_first") + F.col("_copy")).drop("_value", "_first", "_copy", "_id")
