@@ -259,3 +259,21 @@ def op13_whitening(spark, sf):
         "vec_id", "of.component", "n", F.col("deviation").try_cast("long").alias("deviation"), "of.whitened", "of.explained",
         "identity_error",
     )
+
+
+#: Training sequences for dialogues: what bears loss fills up before the tokens do.
+CHAT_LIMITS = packing.Limits(tokens=2048, segments=24, loss_tokens=768)
+
+
+@query
+def chat_packing(spark, sf):
+    """Turns of all chat views as instruction data: what their speakers say bears loss, the rest is prompt."""
+    turns = chat_views.views(read(spark, sf, "conversations"))
+    prompt = F.coalesce(F.col("loss_start") - F.col("start"), F.col("length"))
+    pieces = packing.pack_texts(
+        turns.withColumn("prompt", prompt), public_tokenizers.path(TOKENIZER), end_id=1, key="conversation", text="segment",
+        loss_from="prompt", limits=CHAT_LIMITS,
+    )
+    return pieces.select(
+        F.col("key").alias("conv_id"), "start", "length", "loss_tokens", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import corpus_pipeline
 from seedloom.llm import jaccard_join, pii, quality_rules
-from seedloom.llm.queries import EXAMPLE_KEY, QUERIES, SQL
+from seedloom.llm.queries import CHAT_LIMITS, EXAMPLE_KEY, QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 GIVEN = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -82,6 +82,26 @@ def test_packing_query(spark, ids):
     assert sum(2048 - n for n in sizes if n & (n - 1)) <= 0.02 * sum(sizes)
 
 
+def test_chat_packing_query(spark):
+    """Every limit holds, loss-bearing tokens bind, and every token of every view is there once."""
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    sequences = defaultdict(list)
+    for r in QUERIES["chat_packing"](spark, SF).collect():
+        sequences[r["sequence_id"]].append(r)
+    sums = [(sum(p["length"] for p in found), len(found), sum(p["loss_tokens"] for p in found)) for found in sequences.values()]
+    for at, most in enumerate((CHAT_LIMITS.tokens, CHAT_LIMITS.segments, CHAT_LIMITS.loss_tokens)):
+        assert max(s[at] for s in sums) <= most
+    assert max(s[2] for s in sums) == CHAT_LIMITS.loss_tokens
+    for found in sequences.values():
+        at = 0
+        for piece in sorted(found, key=lambda p: p["offset"]):
+            assert piece["offset"] == at
+            at += piece["length"]
+    views = QUERIES["op4_chat_views"](spark, SF).collect()
+    whole = sum(len(library.encode(r["segment"], add_special_tokens=False).ids) + 1 for r in views)
+    assert sum(s[0] for s in sums) == whole
+
+
 def test_stages_against_plain_python(spark, texts):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = {r["doc_id"] for r in quality_rules.judge(docs).where("quality.kept").collect()}
@@ -93,7 +113,8 @@ def test_stages_against_plain_python(spark, texts):
         k: (own.replace(t)[0], len(own.replace(t)[0])) for k, t in texts.items()
     }
     single = corpus_pipeline.keep_one_of_near_copies(spark, docs, SF)
-    labels = jaccard_join.JaccardJoin(docs).components().collect()
+    join = jaccard_join.JaccardJoin(docs, size=5, threshold=jaccard_join.Threshold(80, 100))
+    labels = join.components().collect()
     expected = {r["component"] for r in labels if r["n"]} | {r["key"] for r in labels if not r["n"]}
     found = [r["doc_id"] for r in single.collect()]
     assert len(found) == len(set(found)) and set(found) == expected
