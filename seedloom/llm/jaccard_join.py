@@ -8,7 +8,7 @@ than the threshold allows. The join
 1. keeps one set per group of equal texts;
 2. links sets to a few hubs they share a minimum hash with, so a family of near copies becomes
    one component at a cost that is linear in its size. Rounds with other hubs go on among sets of
-   different components until a round links little of what it compares;
+   different components until a round finds few links beside the first;
 3. collapses sets with identical prefixes and size into groups and indexes the prefixes;
    only n-grams that sets of *different* components have in common are joined. Group pairs
    pass filters on size, position and sketch, are expanded, members are filtered in the same way,
@@ -57,8 +57,8 @@ from seedloom.llm.frames import free_name, stored
 
 RANK_BITS, HASH_BITS = 5, 59
 SKETCH_BITS, N_HASHES = 1024, 3
-#: Hubs per shared minimum hash; a further round is worth its cost if this share of the compared pairs were links.
-HUBS, WORTH = 3, 0.05
+#: Hubs per shared minimum hash; a further round is worth its cost after one with this share of the first round's links.
+HUBS, WORTH = 3, 0.25
 #: 64-bit numbers of a sketch that travel with every n-gram; folded, it still differs in no more bits than the sets do.
 NARROW = 4
 #: Texts whose sets are handed on at once.
@@ -377,14 +377,14 @@ class JaccardJoin:
 
     def near_labels(self, nodes: DataFrame) -> DataFrame:
         """Step 2: ``node, label`` of the sets that rounds of hubs link."""
-        stars, labelled, self.turn = None, nodes, 0
+        stars, labelled, self.turn, n_first = None, nodes, 0, 0
         while True:
-            pairs = stored(self.hub_pairs(labelled), "hub-pairs")
-            links = self.verified(pairs, nodes)
-            n_pairs, n_links = pairs.count(), links.count()
+            links = self.verified(self.hub_pairs(labelled), nodes)
+            n_links = links.count()
+            n_first = n_first or n_links
             found = links.select("a", "b") if stars is None else stars.union(links.select("a", "b"))
             labels = components(found)
-            if n_links <= WORTH * n_pairs or not n_links:
+            if n_links <= WORTH * n_first:
                 return labels
             stars = labels.where(F.col("node") != F.col("label")).select(F.col("node").alias("a"), F.col("label").alias("b"))
             labelled = stored(nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
