@@ -18,7 +18,8 @@ pre-tokens and encoded. Caches forget when full, which changes no result.
 gathers them block by block.
 
 Nulls: a null text encodes as the empty text, null ids decode to null. Special strings
-inside a text become their ids, as the tokenizers library does by default.
+inside a text become their ids, as the tokenizers library does by default. Very long texts and
+words take linear time. An empty table gives an empty one; other columns pass unchanged.
 """
 
 from __future__ import annotations

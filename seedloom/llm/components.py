@@ -17,7 +17,7 @@ def components(edges: DataFrame) -> DataFrame:
     rounds whatever the order of their nodes. Rounds go on until only stars around the smallest
     nodes are left, however many that takes; each is stored. Minima are formed before they are
     shuffled and stored, so a node with very many edges is no hot key there, and joins on it
-    can be split.
+    can be split. Edges with a null end are no edges; no edges give no rows, repeated ones count once.
     """
     loops = edges.where(F.col("a") == F.col("b")).select("a", "b")
     found = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))

@@ -12,8 +12,9 @@ documents at any size, and one text that fills a third of the table is one count
 estimates lean on prior votes worth a fixed share of the documents, so that rules can
 neither swap sides nor become certain.
 
-Nulls count as empty texts; empty texts, having no words, fail the base rules. Repeated
-rows stay. An empty frame gives an empty frame.
+Nulls count as empty texts; empty texts, having no words, fail the base rules. Very long
+texts are counted whole. Repeated rows stay, and so do other columns, whatever their names. An
+empty frame gives an empty frame.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ with both; no filter leaves any out.
 Vectors that are null, empty or hold a null or non-finite component take no part, neither
 as query nor as candidate, nor do queries with a null id. Vectors of other lengths count
 as ending in zeros. Repeated rows are rows of their own: each answers and is found, and a
-query's own row alone is left out. Equal scores go by the smaller id, null ids last.
+query's own row alone is left out. Equal scores go by the smaller id, null ids last. Other
+columns are not read, whatever their names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
