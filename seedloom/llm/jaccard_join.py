@@ -34,6 +34,8 @@ empty frame gives an empty frame.
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -150,11 +152,11 @@ class Words(dict):
 
     def __init__(self, ranks: tuple[np.ndarray, np.ndarray]):
         super().__init__()
-        self.hashes, self.ranks = ranks
+        self.hashes, self.ranks = array("Q", ranks[0].tobytes()), ranks[1].tobytes()
 
     def rank(self, digest: int) -> int:
-        at = int(np.searchsorted(self.hashes, np.uint64(digest)))
-        return int(self.ranks[at]) if at < len(self.hashes) and int(self.hashes[at]) == digest else 0
+        at = bisect_left(self.hashes, digest)
+        return self.ranks[at] if at < len(self.hashes) and self.hashes[at] == digest else 0
 
     def __missing__(self, word: bytes) -> int:
         digest = xxhash.xxh3_64_intdigest(word)
