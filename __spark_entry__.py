@@ -407,21 +407,20 @@ def stream_batches(spark, sf):
 
 @query
 def stream_answers(spark, sf):
-    """Requests with the answers that come while they go out: four stretches of time, the query started again for each."""
+    """Requests with the answers that come while they go out: two stretches of time, the query started again for each."""
     asked, came = table(spark, sf, "asked"), table(spark, sf, "came")
     ends = asked.agg(F.min("sent_at").alias("first"), F.max("sent_at").alias("last")).first()
-    step = (ends["last"] - ends["first"]) / 4
+    middle = ends["first"] + (ends["last"] - ends["first"]) / 2
     folders = [scratch(spark, name) for name in ("asked-stream", "came-stream")]
     out, checkpoint = scratch(spark, "stream-answers"), scratch(spark, "stream-answers-checkpoint")
     # Rows far in the future close the stretch before: what has no answer by then gets none.
     later = F.lit(ends["last"]) + F.expr("INTERVAL 1 YEAR")
     closing = asked.limit(1).select(F.lit(None).cast("long").alias("ex_id"), F.lit("end").alias("stage"), later.alias("sent_at"))
     closed = closing.select("ex_id", "stage", F.lit(0).alias("choice_idx"), F.lit("").alias("content"), F.col("sent_at").alias("came_at"))
-    for at in range(5):
-        low, high = F.lit(ends["first"] + at * step), F.lit(ends["first"] + (at + 1) * step) if at < 3 else later
+    for low, high in ((ends["first"], middle), (middle, None), (None, None)):
         parts = [(asked, "sent_at", closing), (came, "came_at", closed)]
         for (rows, time, last), folder in zip(parts, folders):
-            part = rows.where((F.col(time) >= low) & (F.col(time) < high)) if at < 4 else last
+            part = rows.where((F.col(time) >= low) & (F.col(time) < high if high else F.lit(True))) if low else last
             part.write.mode("append").parquet(folder)
         streams = [file_stream(spark, folder, rows.schema, 1000, "parquet") for (rows, _, _), folder in zip(parts, folders)]
         run_batches(
