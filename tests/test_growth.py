@@ -5,9 +5,10 @@ from __future__ import annotations
 import random
 
 from helpers import plan_of, rows_of
-from pyspark.sql import functions as F
 
-from seedloom.operators import compare
+import workload
+from seedloom.operators import compare, enrich
+from seedloom.sources import files
 
 from test_ways import RUNS, random_runs
 
@@ -28,3 +29,49 @@ def test_verified_rows_are_not_sorted(values, spark):
         assert rows_of(matched) == rows_of(compare.match_results(runs))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+ANSWERS = "ex_id long, stage string, choice_idx int, content string"
+
+
+def random_answers(draw, keys=30):
+    """Answers with repeated slots, equal texts, missing stages, null keys, choices and texts, and a stage of nobody's."""
+    rows = []
+    for _ in range(keys * 6):
+        stage = draw.choice(["upgrade", "variant", "trace", "trace", "other", None])
+        tag = {"upgrade": "SQL", "variant": "QUESTION", "trace": "REASONING"}.get(stage, "SQL")
+        content = draw.choice([None, "", f"[{tag}]{draw.randint(0, 5)}[/{tag}]", f"[{tag}] open"])
+        rows.append((draw.choice([*range(keys), None]), stage, draw.choice([0, 0, 1, 2, None]), content))
+    return rows
+
+
+def test_answers_of_few_and_of_many_give_the_same_rows(values, monkeypatch):
+    """With a bound of no answers all keys go the way of those with many, with one of four some do."""
+    answers = values(ANSWERS, random_answers(random.Random(6))).repartition(3)
+    seeds = values("ex_id long, question string", [(i, f"q{i}") for i in [*range(40), 3, 3, None]]).repartition(2)
+    found = {}
+    for many in (1000, 6, 0):
+        monkeypatch.setattr(enrich, "MANY", many)
+        found[many] = [rows_of(enrich.parse_completions(answers))] + [
+            rows_of(enrich.attach_completions(seeds, answers, keep_missing=keep)) for keep in (True, False)
+        ]
+    assert found[1000] == found[6] == found[0]
+    assert len(found[0][0]) > 30 and len(found[0][1]) > len(found[0][2]) > 30
+
+
+def test_answers_travel_once(values):
+    """Whole answers are shuffled once by key, and seed rows once to meet them."""
+    answers = values(ANSWERS, random_answers(random.Random(7)))
+    seeds = values("ex_id long, question string", [(i, f"q{i}") for i in range(40)])
+    plan = plan_of(enrich.attach_completions(seeds.hint("merge"), answers))
+    assert sum("Exchange " in line for line in plan.splitlines()) == 2
+
+
+def test_a_projection_of_a_given_table_is_not_stored(spark):
+    rows = workload.table(spark, "/root/testdata/sf0.001", "doc_rows")
+    assert all("documents.parquet" in path for path in rows.inputFiles())
+
+
+def test_stored_rows_are_compressed(spark, tmp_path):
+    files.store(spark.range(10), str(tmp_path / "rows"))
+    assert all(".zstd." in part.name for part in (tmp_path / "rows").glob("part-*"))
