@@ -90,8 +90,11 @@ def small_table(spark: SparkSession, rows: list[tuple], names: tuple[str, ...])
 
 
 def store(df: DataFrame, path: str) -> DataFrame:
-    """The rows as a Parquet table at ``path``, read back: cuts the lineage and survives executors."""
-    df.write.mode("overwrite").parquet(path)
+    """The rows as a Parquet table at ``path``, read back: cuts the lineage and survives executors.
+
+    Compressed with ``zstd``: stored texts take about half of what Spark's default leaves.
+    """
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -233,6 +233,11 @@ DERIVED = {
         FROM {orders} WHERE o_orderstatus <> 'P' OR o_orderpriority <> '1-URGENT'""",
 }
 
+#: A projection of one given table, with its texts inside: read from there, as a copy would only take its size again.
+VIEWS = frozenset({"doc_rows"})
+#: Tables with whole texts inside that, where another is derived from them, need not be stored for that.
+ON_THE_WAY = VIEWS | {"answers"}
+
 _SLOT = re.compile(r"(?<!\{)\{(\w+)\}(?!\})")
 
 
@@ -258,18 +263,22 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+def made(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The rows of a derived table, not stored."""
+    needed = {}
+    for need in needs(name):
+        on_the_way = need in ON_THE_WAY and (spark.conf.get("spark.app.id", ""), sf_dir, need) not in _stored
+        needed[need] = made(spark, sf_dir, need) if on_the_way else table(spark, sf_dir, need)
+    return spark.sql(DERIVED[name], **needed)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given or derived table as a DataFrame."""
     if name in GIVEN:
         return given(spark, sf_dir, name)
-    place = (spark.conf.get("spark.app.id", ""), sf_dir, name)
-    if place not in _stored:
-        plan = spark.sql(DERIVED[name], **{need: table(spark, sf_dir, need) for need in needs(name)})
-        path = scratch(spark, name)
-        store(plan, path)
-        _stored[place] = path, plan.schema
-    path, schema = _stored[place]
-    return spark.read.schema(schema).parquet(path)
+    if name in VIEWS:
+        return made(spark, sf_dir, name)
+    return stored_frame(spark, sf_dir, name, lambda: made(spark, sf_dir, name))
 
 
 def stored_frame(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
@@ -285,7 +294,7 @@ def stored_frame(spark: SparkSession, sf_dir: str, name: str, make: Callable[[],
 
 def stored_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Folder of a stored derived table, for queries that read files themselves."""
-    table(spark, sf_dir, name)
+    stored_frame(spark, sf_dir, name, lambda: made(spark, sf_dir, name))
     return _stored[(spark.conf.get("spark.app.id", ""), sf_dir, name)][0]
 
 
