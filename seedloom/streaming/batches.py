@@ -46,6 +46,11 @@ def write_batches(rows: DataFrame, path: str, size: int = fixed.BATCH_SIZE, key:
     parts.write.option("ignoreNullFields", "false").option("maxRecordsPerFile", size).json(path)
 
 
+def dealt(rows: DataFrame, key: str = "ex_id") -> DataFrame:
+    """Rows of a stream dealt to all cores by key, for steps that cost more than the shuffle: a batch of few files has few tasks."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def run_batches(
     rows: DataFrame,
     step: Callable[[DataFrame], DataFrame],
@@ -62,6 +67,8 @@ def run_batches(
     writer = (
         step(rows).writeStream.format(file_format).option("path", out).option("checkpointLocation", checkpoint)
     )
+    if file_format == "parquet":
+        writer = writer.option("compression", "zstd")
     if pause_seconds is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{pause_seconds} seconds").start()

@@ -267,11 +267,16 @@ def made(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The rows of a derived table, not stored."""
     needed = {}
     for need in needs(name):
-        on_the_way = need in ON_THE_WAY and (spark.conf.get("spark.app.id", ""), sf_dir, need) not in _stored
-        needed[need] = made(spark, sf_dir, need) if on_the_way else table(spark, sf_dir, need)
+        needed[need] = (passing if need in ON_THE_WAY else table)(spark, sf_dir, need)
     return spark.sql(DERIVED[name], **needed)
 
 
+def passing(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The rows of a derived table for one who stores them again: read where the table is stored, else made on the way."""
+    known = (spark.conf.get("spark.app.id", ""), sf_dir, name) in _stored
+    return table(spark, sf_dir, name) if known else made(spark, sf_dir, name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given or derived table as a DataFrame."""
     if name in GIVEN:
