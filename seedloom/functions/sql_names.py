@@ -34,7 +34,8 @@ def _trace_score() -> str:
             f"least({fixed.STEP_CAP}D, CAST(trace_steps(trace) AS DOUBLE) * {fixed.STEP_GAIN}D)",
         )
     )
-    return f"CASE WHEN length(py_strip(trace)) >= {fixed.TRACE_MIN_LEN} THEN least(1.0D, {parts}) ELSE 0.0D END"
+    # A factor and not a branch: Spark evaluates a repeated expression once only where it stands outside of branches.
+    return f"least(1.0D, {parts}) * CASE WHEN length(py_strip(trace)) >= {fixed.TRACE_MIN_LEN} THEN 1.0D ELSE 0.0D END"
 
 
 def _weighted() -> str:
@@ -45,9 +46,10 @@ def _weighted() -> str:
         return f"CASE WHEN {long_enough} THEN {fixed.QUESTION_GAIN}D ELSE 0.0D END"
 
     gain = "sql_feature_count(upgraded_sql) - sql_feature_count(sql_text)"
+    # Looked up by the sign of the gain, which so is named once and outside of branches.
+    upgrades = ", ".join(f"{value}D" for value in (fixed.IMPLAUSIBLE, fixed.SIMPLER, fixed.EQUAL, fixed.HARDER))
     parts = (
-        f"CASE WHEN NOT plausible_sql(upgraded_sql) THEN {fixed.IMPLAUSIBLE}D WHEN {gain} > 0 THEN {fixed.HARDER}D "
-        f"WHEN {gain} = 0 THEN {fixed.EQUAL}D ELSE {fixed.SIMPLER}D END",
+        f"element_at(array({upgrades}), 1 + CAST(plausible_sql(upgraded_sql) AS INT) * (2 + CAST(sign({gain}) AS INT)))",
         f"CASE WHEN plausible_sql(variant_sql) THEN {fixed.VARIANT_OK}D ELSE {fixed.VARIANT_BAD}D END",
         f"{question('upgraded_question')} + {question('variant_question')}",
         "trace_score(trace)",

@@ -13,7 +13,10 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-WHITESPACE_RUN = "[" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "]+"
+_SPACES = "".join(f"\\u{ord(c):04x}" for c in WHITESPACE)
+# What is not one plain space already: a run of two or more, or another character. The look ahead turns
+# letters away by two ranges, and is for speed only.
+WHITESPACE_RUN = rf"(?=[\x00- \x85\xa0\u1680-\u3000])(?:[{_SPACES}]{{2,}}|[{_SPACES}&&[^ ]])"
 
 THINK_BLOCK = "(?s)<think>.*?</think>"
 
@@ -66,6 +69,8 @@ def _join_parts(parts: list[str], slots: dict[str, Column | str]) -> Column:
 def canonical_sql(sql: Column | str) -> Column:
     """One spelling of a query: lower case, single spaces, no ending semicolons.
 
+    Single spaces are left as they are, so a query in that spelling is not written anew.
+
     The result is not stripped again, so ``select 1 ;`` keeps its last space.
     """
     spaced = F.regexp_replace(F.lower(strip(sql)), WHITESPACE_RUN, " ")
