@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from seedloom import fixed
 from seedloom.functions.text import as_column, default, fill_prompt, fill_template, strip
 
+Clean = Callable[[Column | str], Column]
+
 
 def message(role: str, content: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), content.alias("content"))
@@ -17,14 +21,14 @@ def user_turn(question: Column | str, schema: Column | str) -> Column:
     return fill_template(fixed.USER_TURN, schema=schema, question=question)
 
 
-def has_thinking(thinking: Column | str) -> Column:
-    return F.length(strip(thinking)) > fixed.THINKING_MIN_LEN
+def has_thinking(thinking: Column | str, clean: Clean = strip) -> Column:
+    return F.length(clean(thinking)) > fixed.THINKING_MIN_LEN
 
 
-def assistant_turn(sql: Column | str, thinking: Column | str) -> Column:
+def assistant_turn(sql: Column | str, thinking: Column | str, clean: Clean = strip) -> Column:
     """The SQL, after its reasoning block where that is long enough to show."""
-    reasoned = fill_template(fixed.THINK_TURN, thinking=strip(thinking), sql=strip(sql))
-    return F.when(has_thinking(thinking), reasoned).otherwise(strip(sql))
+    reasoned = fill_template(fixed.THINK_TURN, thinking=clean(thinking), sql=clean(sql))
+    return F.when(has_thinking(thinking, clean), reasoned).otherwise(clean(sql))
 
 
 def chat_messages(
@@ -32,15 +36,19 @@ def chat_messages(
     schema: Column | str = "schema",
     sql: Column | str = "sql",
     thinking: Column | str = "thinking",
+    clean: Clean = strip,
 ) -> Column:
-    """System, user and assistant message of one training example."""
-    system = F.when(has_thinking(thinking), F.lit(fixed.CHAT_SYSTEM_THINKING)).otherwise(
+    """System, user and assistant message of one training example.
+
+    ``clean=as_column`` is for texts that are stripped already (``examples.stripped``).
+    """
+    system = F.when(has_thinking(thinking, clean), F.lit(fixed.CHAT_SYSTEM_THINKING)).otherwise(
         F.lit(fixed.CHAT_SYSTEM)
     )
     return F.array(
         message("system", system),
-        message("user", user_turn(strip(question), strip(schema))),
-        message("assistant", assistant_turn(sql, thinking)),
+        message("user", user_turn(clean(question), clean(schema))),
+        message("assistant", assistant_turn(sql, thinking, clean)),
     )
 
 
@@ -49,12 +57,13 @@ def chat_meta(
     domain: Column | str = "domain",
     source: Column | str = "source",
     thinking: Column | str = "thinking",
+    clean: Clean = strip,
 ) -> Column:
     return F.struct(
         default(complexity, fixed.UNKNOWN).alias("complexity"),
         default(domain, fixed.UNKNOWN).alias("domain"),
         default(source, fixed.UNKNOWN).alias("source"),
-        has_thinking(thinking).alias("has_thinking"),
+        has_thinking(thinking, clean).alias("has_thinking"),
     )
 
 
@@ -62,12 +71,13 @@ def chat_valid(
     question: Column | str = "question",
     schema: Column | str = "schema",
     sql: Column | str = "sql",
+    clean: Clean = strip,
 ) -> Column:
     """Question, schema and SQL are there, and the SQL is not a stub."""
     return (
-        (strip(question) != "")
-        & (strip(schema) != "")
-        & (F.length(strip(sql)) >= fixed.CHAT_MIN_SQL_LEN)
+        (clean(question) != "")
+        & (clean(schema) != "")
+        & (F.length(clean(sql)) >= fixed.CHAT_MIN_SQL_LEN)
     )
 
 

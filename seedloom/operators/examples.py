@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from seedloom import fixed
 from seedloom.functions import chat
-from seedloom.functions.text import default, strip, text
+from seedloom.functions.text import as_column, default, strip, text
 
 COLUMNS = (
     "example_id", "question", "schema", "sql", "thinking",
@@ -91,6 +91,23 @@ def seed_examples(seed_rows: DataFrame, key: str = "ex_id") -> DataFrame:
     )
 
 
+#: The texts of an example that chat rows are made of, and their names once they are stripped.
+STRIPPED = {name: f"_stripped_{name}" for name in ("question", "schema", "sql", "thinking")}
+_QUESTION, _SCHEMA, _SQL, _THINKING = STRIPPED.values()
+
+
+def stripped(examples: DataFrame) -> DataFrame:
+    """Examples with their texts stripped in columns of their own: each is named many times further on, and made once."""
+    return examples.withColumns({made: strip(name) for name, made in STRIPPED.items()})
+
+
+def valid_messages(examples: DataFrame) -> DataFrame:
+    """Examples with their ``messages``, null where an example is not valid."""
+    messages = chat.chat_messages(*STRIPPED.values(), clean=as_column)
+    made = F.when(chat.chat_valid(_QUESTION, _SCHEMA, _SQL, clean=as_column), messages)
+    return stripped(examples).withColumn("messages", made).drop(*STRIPPED.values())
+
+
 def flag_chat(examples: DataFrame) -> DataFrame:
     """Examples with ``valid`` and ``has_thinking``, as the format report counts them."""
     return examples.withColumns(
@@ -100,6 +117,7 @@ def flag_chat(examples: DataFrame) -> DataFrame:
 
 def chat_rows(examples: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Valid examples as ``messages`` and ``_meta``; ``keep`` names columns to carry along."""
-    return examples.where(chat.chat_valid()).select(
-        *keep, chat.chat_messages().alias("messages"), chat.chat_meta().alias("_meta")
-    )
+    messages = chat.chat_messages(*STRIPPED.values(), clean=as_column)
+    meta = chat.chat_meta(thinking=_THINKING, clean=as_column)
+    valid = stripped(examples).where(chat.chat_valid(_QUESTION, _SCHEMA, _SQL, clean=as_column))
+    return valid.select(*keep, messages.alias("messages"), meta.alias("_meta"))
