@@ -34,8 +34,8 @@ from seedloom.plans import blocks, steps  # noqa: E402
 from seedloom.session import scratch  # noqa: E402
 from seedloom.sources import files  # noqa: E402
 from seedloom.streaming.answers import first_deliveries, join_answers  # noqa: E402
-from seedloom.streaming.batches import file_stream, run_batches, write_batches  # noqa: E402
-from workload import stored_frame, stored_path, table  # noqa: E402
+from seedloom.streaming.batches import dealt, file_stream, run_batches, write_batches  # noqa: E402
+from workload import passing, stored_frame, stored_path, table  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -213,7 +213,7 @@ def stream_score(spark, sf):
     out = scratch(spark, "stream-score")
     run_batches(
         rows,
-        lambda batch: enrich.score_enriched(batch).select("ex_id", "quality_score"),
+        lambda batch: enrich.score_enriched(dealt(batch)).select("ex_id", "quality_score"),
         out, scratch(spark, "stream-score-checkpoint"), pause_seconds=None,
     ).awaitTermination()
     return spark.read.schema("ex_id long, quality_score double").parquet(out)
@@ -408,7 +408,7 @@ def stream_batches(spark, sf):
 @query
 def stream_answers(spark, sf):
     """Requests with the answers that come while they go out: two stretches of time, the query started again for each."""
-    asked, came = table(spark, sf, "asked"), table(spark, sf, "came")
+    asked, came = table(spark, sf, "asked"), passing(spark, sf, "came")
     ends = asked.agg(F.min("sent_at").alias("first"), F.max("sent_at").alias("last")).first()
     middle = ends["first"] + (ends["last"] - ends["first"]) / 2
     folders = [scratch(spark, name) for name in ("asked-stream", "came-stream")]
@@ -421,7 +421,7 @@ def stream_answers(spark, sf):
         parts = [(asked, "sent_at", closing), (came, "came_at", closed)]
         for (rows, time, last), folder in zip(parts, folders):
             part = rows.where((F.col(time) >= low) & (F.col(time) < high if high else F.lit(True))) if low else last
-            part.write.mode("append").parquet(folder)
+            part.write.mode("append").option("compression", "zstd").parquet(folder)
         streams = [file_stream(spark, folder, rows.schema, 1000, "parquet") for (rows, _, _), folder in zip(parts, folders)]
         run_batches(
             streams[0], lambda requests: join_answers(requests, first_deliveries(streams[1])), out, checkpoint, pause_seconds=None,  # noqa: B023
@@ -562,14 +562,13 @@ def format_stats(spark, sf):
 @query
 def format_stats_written(spark, sf):
     """The same counts, made while the chat rows are written."""
-    return steps.format_examples(expand_examples(spark, sf), scratch(spark, "chat")).stats
+    return steps.format_examples(expand_examples(spark, sf), scratch(spark, "chat"), compression="gzip").stats
 
 
 @query
 def training_text(spark, sf):
-    rows = expand_examples(spark, sf)
-    messages = F.when(chat.chat_valid(), chat.chat_messages())
-    return rows.withColumn("messages", messages).select("example_id", chat.training_text().alias("text"))
+    rows = examples.valid_messages(expand_examples(spark, sf))
+    return rows.select("example_id", chat.training_text().alias("text"))
 
 
 @query
@@ -733,7 +732,7 @@ def jsonl_lenient_stats(spark, sf):
 @query
 def split_files(spark, sf):
     path = scratch(spark, "splits")
-    files.write_splits(sampling.shuffled(_labelled(spark, sf), "example_id"), path)
+    files.write_splits(sampling.shuffled(_labelled(spark, sf), "example_id"), path, compression="gzip")
     return files.read_split(spark, path, "test")
 
 
@@ -756,7 +755,7 @@ def raw_tests_only(spark, sf):
 @query
 def training_file_text(spark, sf):
     path = scratch(spark, "train-chat")
-    files.write_jsonl(examples.chat_rows(expand_examples(spark, sf)), path)
+    files.write_jsonl(examples.chat_rows(expand_examples(spark, sf)), path, compression="gzip")
     return files.read_training_text(spark, path, scratch(spark, "train-raw"))
 
 

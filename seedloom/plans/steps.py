@@ -165,12 +165,12 @@ class Formatted(NamedTuple):
     stats: DataFrame
 
 
-def format_examples(rows: DataFrame, out: str | None = None) -> Formatted:
+def format_examples(rows: DataFrame, out: str | None = None, compression: str = "none") -> Formatted:
     """Examples as chat rows with the counts of what was kept.
 
     ``rows`` may come from a lenient read; its bad lines count as skipped. A
     ``split`` column is kept and makes one output folder per split. With ``out`` the
-    rows are counted while they are written.
+    rows are counted while they are written; ``compression`` is that of :func:`files.write_jsonl`.
     """
     corrupt = files.CORRUPT if files.CORRUPT in rows.columns else None
     keep = ("split",) if "split" in rows.columns else ()
@@ -182,7 +182,7 @@ def format_examples(rows: DataFrame, out: str | None = None) -> Formatted:
     if not out:
         return Formatted(formatted(rows), reports.format_stats(flagged, corrupt))
     seen = reports.watched(flagged, **reports.format_counts(corrupt))
-    (files.write_splits if keep else files.write_jsonl)(formatted(seen.rows), out)
+    (files.write_splits if keep else files.write_jsonl)(formatted(seen.rows), out, compression=compression)
     return Formatted(formatted(rows), seen.report())
 
 

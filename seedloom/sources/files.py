@@ -69,9 +69,13 @@ def read_jsonl_lenient(spark: SparkSession, path: str, schema: T.StructType) ->
     )
 
 
-def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A folder of JSON lines files, null fields written out."""
-    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none") -> None:
+    """A folder of JSON lines files, null fields written out.
+
+    Examples in chat form repeat their instructions in every line: ``compression="gzip"`` leaves a small
+    part of them. The readers here see it by the files' names; one task then reads a file.
+    """
+    df.write.mode(mode).option("ignoreNullFields", "false").option("compression", compression).json(path)
 
 
 def load_table(spark: SparkSession, path: str, split: str | None = None, schema: T.StructType | None = None) -> DataFrame:
@@ -159,9 +163,10 @@ def read_training_text(spark: SparkSession, chat_path: str, raw_path: str) -> Da
     raise FileNotFoundError(f"neither {chat_path} nor {raw_path} exists")
 
 
-def write_splits(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """JSON lines with one folder per split."""
-    df.write.mode(mode).option("ignoreNullFields", "false").partitionBy("split").json(path)
+def write_splits(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none") -> None:
+    """JSON lines with one folder per split; ``compression`` as in :func:`write_jsonl`."""
+    writer = df.write.mode(mode).option("ignoreNullFields", "false").option("compression", compression)
+    writer.partitionBy("split").json(path)
 
 
 def read_split(spark: SparkSession, path: str, split: str, schema: T.StructType = EXAMPLE) -> DataFrame:

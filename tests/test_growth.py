@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import random
+import re
 
 from helpers import plan_of, rows_of
 
 import workload
-from seedloom.operators import compare, enrich
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from seedloom.functions import sql_names, text
+from seedloom.operators import compare, enrich, examples
 from seedloom.sources import files
+from seedloom.streaming import batches
 
 from test_ways import RUNS, random_runs
 
@@ -75,3 +81,52 @@ def test_a_projection_of_a_given_table_is_not_stored(spark):
 def test_stored_rows_are_compressed(spark, tmp_path):
     files.store(spark.range(10), str(tmp_path / "rows"))
     assert all(".zstd." in part.name for part in (tmp_path / "rows").glob("part-*"))
+
+
+def test_runs_of_white_space_become_one_space(values):
+    draw = random.Random(8)
+    texts = ["".join(draw.choice(["a", "é", " ", " ", *text.WHITESPACE]) for _ in range(40)) for _ in range(200)]
+    made = values("value string", [(t,) for t in texts]).select(
+        "value", F.regexp_replace("value", text.WHITESPACE_RUN, " ").alias("made"), F.regexp_count("value", F.lit(text.WHITESPACE_RUN)).alias("n")
+    )
+    for row in made.collect():
+        assert row.made == re.sub(f"[{text.WHITESPACE}]+", " ", row.value)
+        runs = re.findall(f"[{text.WHITESPACE}]+", row.value)
+        assert row.n == sum(run != " " for run in runs)
+
+
+def test_scores_in_sql_name_their_counts_outside_of_branches():
+    made = sql_names.definitions()
+    assert "trace_steps(" not in made["trace_score"][2].split("CASE")[1]
+    assert made["quality_score"][2].count("sql_feature_count(upgraded_sql)") == 1
+
+
+def test_texts_of_chat_rows_are_stripped_once(values):
+    rows = values(
+        "example_id string, question string, schema string, sql string, thinking string, complexity string, domain string, source string",
+        [("a", " q ", "s\t", "SELECT 1234567", " " * 30, None, None, "x"), ("b", " ", "s", "SELECT 1234567", None, "c", "d", "x")],
+    ).repartition(2)
+    for made in (examples.valid_messages(rows), examples.chat_rows(rows, ("example_id",))):
+        assert made._jdf.queryExecution().optimizedPlan().toString().count("trim(") <= 2 * len(examples.STRIPPED)
+    found = {row.example_id: row.messages for row in examples.valid_messages(rows).collect()}
+    assert found["b"] is None and found["a"][1].content == "Database schema:\ns\n\nQuestion: q"
+
+
+def test_json_lines_in_gzip_read_back(spark, values, tmp_path):
+    rows = values("example_id string, question string, split string", [("a", "q", "train"), ("b", None, "test")])
+    files.write_splits(rows, str(tmp_path / "splits"), compression="gzip")
+    files.write_jsonl(rows, str(tmp_path / "rows"), compression="gzip")
+    parts = [part.name for part in tmp_path.rglob("part-*")]
+    assert parts and all(name.endswith(".json.gz") for name in parts)
+    assert rows_of(files.read_jsonl(spark, str(tmp_path / "rows"), rows.schema)) == rows_of(rows)
+    assert [row.example_id for row in files.read_split(spark, str(tmp_path / "splits"), "test").collect()] == ["b"]
+
+
+def test_a_batch_of_one_file_has_more_than_one_task(spark, values, tmp_path):
+    values("ex_id long, word string", [(i, f"w{i}") for i in range(100)]).coalesce(1).write.parquet(str(tmp_path / "in"))
+    rows = batches.file_stream(spark, str(tmp_path / "in"), T.StructType().add("ex_id", "long").add("word", "string"), 1, "parquet")
+    out = str(tmp_path / "out")
+    batches.run_batches(batches.dealt(rows), lambda batch: batch, out, str(tmp_path / "state"), pause_seconds=None).awaitTermination()
+    made = [part.name for part in (tmp_path / "out").glob("part-*")]
+    assert len(made) > 1 and all(".zstd." in name for name in made)
+    assert spark.read.parquet(out).count() == 100
