@@ -1,27 +1,32 @@
-"""Exact Jaccard self-join on word n-grams by grouped prefixes, and its components.
+"""Exact Jaccard self-join on word n-grams by buckets that similar sets have in common, and its components.
 
-A text's set are the hashes of its distinct word n-grams (59 bits and a rank). All sets
-are sorted in one order, n-grams of rare words first. Two sets that are similar enough
-share an n-gram among the first few of each (the prefix), and differ in size by no more
-than the threshold allows. The join
+A text's set are the hashes of its distinct word n-grams (59 bits and a rank). Two sets that
+are similar enough differ in size by no more than the threshold allows, and in a number of
+elements that is bounded by their sizes: d at most. Dealt into more than d buckets by their hashes,
+they have a whole bucket in common. The join
 
 1. keeps one set per group of equal texts;
 2. links sets to a few hubs they share a minimum hash with, so a family of near copies becomes
    one component at a cost that is linear in its size. Rounds with other hubs go on among sets of
    different components until a round finds few links beside the first;
-3. collapses sets with identical prefixes and size into groups and indexes the prefixes;
-   only n-grams that sets of *different* components have in common are joined. Group pairs
-   pass filters on size, position and sketch, are expanded, members are filtered in the same way,
-   and what is left is verified exactly.
+3. keys each set by d + 1 of its buckets; only keys that sets of *different* components have in
+   common are joined. Pairs pass filters on size and sketch, and what is left is verified exactly.
 
 Step 2 only spares work: step 3 looks at every pair of sets that may be similar and is
 not connected already, so no link between components is lost.
 
-The order is by the document frequency of an n-gram's rarest word. Words that at least one
-document in 4,000 has are counted; their number is bounded by 8,000 times the mean number
-of words in a document, and only these are broadcast, as hashes. So the n-grams of a
-passage that a large share of the corpus holds come last and enter few prefixes. Any order
-gives the same result.
+A key stands for all n-grams of a bucket, eight or so at the threshold of 90 to 100, so two sets seldom
+share one by chance: pairs grow with the number of near copies, where single n-grams would
+meet as often as the square of their frequency.
+
+Sets of a range of sizes (a level) have the same number of buckets. A pair meets at the level of its smaller
+set, so a set near the lower end of a level is keyed for the level below as well. There are
+some buckets more than d + 1, and a set's weakest go: those whose n-grams have frequent words only, or
+few n-grams. Buckets in common are equally strong in both sets, so the strongest of them stays in both.
+
+The strength of a bucket follows the document frequency of its n-grams' rarest word. Words that at
+least one document in 4,000 has are counted; their number is bounded by 8,000 times the mean number
+of words in a document, and only these are broadcast, as hashes. Any order gives the same result.
 
 Sketches are the parities of 1,024 hash buckets, and of 16,384 for large sets: two sets
 differ in at least as many elements as their sketches in bits.
@@ -35,7 +40,7 @@ empty frame gives an empty frame.
 from __future__ import annotations
 
 from array import array
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -61,6 +66,8 @@ RANK_BITS, HASH_BITS = 5, 59
 SKETCH_BITS, N_HASHES = 1024, 3
 #: Hubs per shared minimum hash; a further round is worth its cost after one with this share of the first round's links.
 HUBS, WORTH = 3, 0.25
+#: Of so many needed buckets there is one more, so that weak ones can go.
+SPARE_ONE_IN = 4
 #: 64-bit numbers of a sketch that travel with every n-gram; folded, it still differs in no more bits than the sets do.
 NARROW = 4
 #: Texts whose sets are handed on at once.
@@ -86,6 +93,14 @@ class Threshold:
         """Elements of a set's prefix: any similar set shares one of them."""
         return n - -(-self.over * n // self.under) + 1
 
+    def differing(self, n: int) -> int:
+        """Elements in which a set of up to this size and a similar one of at least its own size may differ, at most."""
+        return (n + n * self.under // self.over) * (self.under - self.over) // (self.under + self.over)
+
+    def next_level(self, start: int) -> int:
+        """First size of the level after the one that starts here: similar sets are of one level or of neighbours."""
+        return max(start + 1, -(-start * self.under // self.over), start * self.under**2 // self.over**2)
+
     def needed(self, n: Column, m: Column) -> Column:
         """Elements that sets of these sizes must share: the least whole number of at least over (n + m) / (over + under)."""
         both = self.over + self.under
@@ -186,7 +201,7 @@ def elements(text: str | None, words: Words, size: int) -> np.ndarray:
 # --- sets --------------------------------------------------------------------
 
 _SET = StructType([
-    StructField("node", BinaryType()), StructField("n", LongType()), StructField("prefix", ArrayType(LongType())),
+    StructField("node", BinaryType()), StructField("n", LongType()), StructField("keys", ArrayType(LongType())),
     StructField("group", BinaryType()), StructField("sketch", ArrayType(LongType())),
     StructField("hashes", ArrayType(LongType())), StructField("wide", ArrayType(LongType())),
 ])
@@ -205,6 +220,45 @@ def minima(found: np.ndarray) -> list[int]:
     return [int((h & ~np.uint64(3) | np.uint64(k)).view(np.int64)) for k, h in enumerate(hashes)]
 
 
+class Levels:
+    """The levels of sizes, made as far as they are asked for."""
+
+    def __init__(self, threshold: Threshold):
+        self.threshold, self.starts = threshold, [1, threshold.next_level(1)]
+
+    def of(self, n: int) -> list[int]:
+        """Levels at which a set of ``n`` elements may meet similar ones."""
+        while self.starts[-1] <= n:
+            self.starts.append(self.threshold.next_level(self.starts[-1]))
+        own = bisect_right(self.starts, n) - 1
+        least = -(-self.threshold.over * n // self.threshold.under)
+        return [own - 1, own] if least < self.starts[own] else [own]
+
+    def differing(self, level: int) -> int:
+        return self.threshold.differing(self.starts[level + 1] - 1)
+
+
+def bucket_keys(found: np.ndarray, level: int, differing: int) -> np.ndarray:
+    """Keys of a set's strongest ``differing + 1`` buckets: similar sets of the level share one. No keys where only equal sets are similar."""
+    if not differing:
+        return np.empty(0, dtype=np.uint64)
+    n_buckets = differing + 1 + differing // SPARE_ONE_IN
+    hashes = mixed(found + np.uint64(level + 1))
+    bucket = ((hashes >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(bucket)
+    first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    which = bucket[order][first]
+    sums, sizes, ranks = np.zeros(n_buckets, dtype=np.uint64), np.bincount(bucket, minlength=n_buckets), np.full(n_buckets, 32, dtype=np.int64)
+    sums[which] = np.add.reduceat(hashes[order], first)
+    ranks[which] = np.minimum.reduceat((found >> np.uint64(HASH_BITS)).astype(np.int64)[order], first)
+    keys = mixed(sums + mixed(np.arange(n_buckets, dtype=np.uint64) + np.uint64(level + 1 << 32)))
+    return keys[np.lexsort((keys, -sizes, ranks))[: differing + 1]]
+
+
+def keys_of(found: np.ndarray, levels: Levels) -> np.ndarray:
+    return np.concatenate([bucket_keys(found, level, levels.differing(level)) for level in levels.of(len(found))])
+
+
 def list_array(parts: list[np.ndarray]) -> pa.Array:
     """One list per part, built without a Python object per number."""
     ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
@@ -214,15 +268,15 @@ def list_array(parts: list[np.ndarray]) -> pa.Array:
 
 def set_rows(texts: pa.Array, words: Words, size: int, threshold: Threshold) -> pa.Array:
     """The structs of :data:`_SET` for texts, null where there are no words."""
-    nodes, sizes, prefixes, groups, sketches, hashes, wide = [], [], [], [], [], [], []
-    none = np.empty(0, dtype=np.int64)
+    nodes, sizes, keys, groups, sketches, hashes, wide = [], [], [], [], [], [], []
+    none, levels = np.empty(0, dtype=np.int64), Levels(threshold)
     for text in texts:
         found = elements(text.as_py(), words, size)
         sizes.append(len(found))
         if len(found):
             prefix = found[: threshold.prefix(len(found))]
             nodes.append(xxhash.xxh3_128_digest(found.tobytes()))
-            prefixes.append(prefix.view(np.int64).copy())
+            keys.append(keys_of(found, levels).view(np.int64))
             groups.append(xxhash.xxh3_128_digest(prefix.tobytes() + len(found).to_bytes(8, "little")))
             sketches.append(sketch_of(found))
             hashes.append(np.array(minima(found), dtype=np.int64))
@@ -230,10 +284,10 @@ def set_rows(texts: pa.Array, words: Words, size: int, threshold: Threshold) ->
         else:
             nodes.append(None)
             groups.append(None)
-            for lists in (prefixes, sketches, hashes, wide):
+            for lists in (keys, sketches, hashes, wide):
                 lists.append(none)
     columns = [
-        pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), list_array(prefixes), pa.array(groups, pa.binary()),
+        pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), list_array(keys), pa.array(groups, pa.binary()),
         list_array(sketches), list_array(hashes), list_array(wide),
     ]
     return pa.StructArray.from_arrays(columns, names=[f.name for f in _SET], mask=pa.array([n is None for n in nodes]))
@@ -392,43 +446,34 @@ class JaccardJoin:
             labelled = stored(nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
             self.turn += 1
 
-    def group_pairs(self, labelled: DataFrame) -> DataFrame:
-        """Step 3: pairs of sets of different components whose groups' prefixes meet."""
-        labels = labelled.select("node", "group", folded("sketch").alias("sketch"), F.xxhash64("label").alias("label"))
-        parts = labels.groupBy("group", "label").agg(
-            F.min("node").alias("first"), F.max("node").alias("last"), F.first("sketch").alias("sketch")
-        )
-        # A part of one set has that set's sketch, folded; a part of several has none and passes.
-        parts = parts.select("group", "label", F.when(F.col("first") == F.col("last"), F.col("sketch")).alias("sketch"))
-        prefixes = self.sets.where(F.col("node").isNotNull()).groupBy("group").agg(
-            F.first("prefix").alias("prefix"), F.first("n").alias("n")
-        )
-        # Parts travel as 64-bit hashes; should two ever share one, both are looked at.
-        part = F.xxhash64("group", "label").alias("part")
-        indexed = stored(prefixes.join(parts, "group").select(part, "label", "group", "n", "sketch", "prefix"), "groups")
-        grams = indexed.select("label", F.explode("prefix").alias("gram"))
-        met = grams.groupBy("gram").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-        met = met.where(F.col("least") != F.col("most")).select("gram")
-        index = indexed.select("part", F.posexplode("prefix").alias("at", "gram")).join(met, "gram")
-        shared = stored(index.join(indexed.drop("prefix", "group"), "part"), "shared")
-        columns = ("part", "label", "n", "at", "sketch")
-        left = shared.select("gram", *[F.col(c).alias(f"{c}_a") for c in columns])
-        right = shared.select("gram", *[F.col(c).alias(f"{c}_b") for c in columns])
-        n, m, i, j = (F.col(c) for c in ("n_a", "n_b", "at_a", "at_b"))
-        reach = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
-        unknown = F.col("sketch_a").isNull() | F.col("sketch_b").isNull()
-        fits = (
-            (F.col("label_a") < F.col("label_b")) & self.threshold.sizes_fit(n, m)
-            & (reach >= self.threshold.needed(n, m))
-            & (unknown | (differ("sketch_a", "sketch_b", NARROW) <= n + m - 2 * self.threshold.needed(n, m)))
-        )
-        pairs = left.join(right, (left["gram"] == right["gram"]) & fits)
-        pairs = pairs.select("part_a", "part_b").distinct()
-        members = labels.select("node", F.xxhash64("group", "label").alias("part"))
-        a = members.select(F.col("node").alias("a"), F.col("part").alias("part_a"))
-        b = members.select(F.col("node").alias("b"), F.col("part").alias("part_b"))
-        expanded = pairs.join(a, "part_a").join(b, "part_b").select("a", "b").distinct()
-        return self.by_sketch(expanded, labelled)
+    def keyed(self, labels: DataFrame) -> DataFrame:
+        """``key, id, label`` of all sets; sets and labels are 64-bit hashes. Should two ever share one, both are looked at."""
+        linked = labels.where(F.col("node") != F.col("label")).select(F.xxhash64("node").alias("id"), F.xxhash64("label").alias("linked"))
+        linked = stored(linked.dropDuplicates(["id"]), "linked")
+        few = linked.count() <= BROADCAST_ROWS
+        sets = self.sets.where(F.size("keys") > 0).select(F.xxhash64("node").alias("id"), "keys")
+        sets = sets.join(F.broadcast(linked) if few else linked, "id", "left")
+        return sets.select(F.explode("keys").alias("key"), "id", F.coalesce("linked", "id").alias("label"))
+
+    def far_pairs(self, labels: DataFrame, labelled: DataFrame) -> DataFrame:
+        """Step 3: pairs of sets of different components that share a key."""
+        keyed = self.keyed(labels)
+        met = keyed.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+        met = stored(met.where(F.col("least") != F.col("most")).select("key"), "met")
+        few = met.count() <= BROADCAST_ROWS
+        index = keyed.join(F.broadcast(met) if few else met, "key", "left_semi").distinct()
+        members = labelled.select("node", "n", folded("sketch").alias("sketch"), F.xxhash64("node").alias("id"))
+        shared = stored(index.join(members.drop("node"), "id"), "shared")
+        columns = ("id", "label", "n", "sketch")
+        left = shared.select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
+        right = shared.select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
+        n, m = F.col("n_a"), F.col("n_b")
+        near = differ("sketch_a", "sketch_b", NARROW) <= n + m - 2 * self.threshold.needed(n, m)
+        fits = (F.col("label_a") < F.col("label_b")) & self.threshold.sizes_fit(n, m) & near
+        pairs = left.join(right, (left["key"] == right["key"]) & fits).select("id_a", "id_b").distinct()
+        a = members.select(F.col("node").alias("a"), F.col("id").alias("id_a"))
+        b = members.select(F.col("node").alias("b"), F.col("id").alias("id_b"))
+        return self.by_sketch(pairs.join(a, "id_a").join(b, "id_b").select("a", "b").distinct(), labelled)
 
     @cached_property
     def labels(self) -> DataFrame:
@@ -438,7 +483,7 @@ class JaccardJoin:
         labelled = stored(
             nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).drop("hashes"), "labelled"
         )
-        far = self.verified(self.group_pairs(labelled), labelled)
+        far = self.verified(self.far_pairs(labels, labelled), labelled)
         stars = labels.where(F.col("node") != F.col("label")).select(F.col("node").alias("a"), F.col("label").alias("b"))
         return components(stars.union(far.select("a", "b")))
 

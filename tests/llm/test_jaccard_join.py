@@ -175,3 +175,33 @@ def test_components_of_a_long_shuffled_path(spark, in_order):
     draw.shuffle(edges)
     labels = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect())
     assert labels == dict.fromkeys(range(2000), 0) | {5000: 5000}
+
+
+@pytest.mark.parametrize("over, under", [(90, 100), (4, 5), (1, 2)])
+def test_similar_sets_share_a_key(over, under):
+    """Pairs of sets that are just similar enough, of sizes on both sides of each level's ends."""
+    draw, threshold = np.random.default_rng(7), Threshold(over, under)
+    levels = jaccard_join.Levels(threshold)
+    for n in range(1, 250):
+        for m in {n, n + 1, (n + n * under // over) // 2, n * under // over}:
+            needed = -(-over * (n + m) // (over + under))
+            if not 0 < needed <= n <= m or (n == m == needed) or under * n < over * m:
+                continue
+            numbers = np.unique(draw.integers(0, 2**63, n + m + 20).astype(np.uint64))
+            draw.shuffle(numbers)
+            a, b = np.sort(numbers[:n]), np.sort(np.concatenate([numbers[:needed], numbers[n : n + m - needed]]))
+            keys = [set(jaccard_join.keys_of(found, levels).tolist()) for found in (a, b)]
+            assert keys[0] & keys[1], (n, m)
+
+
+def test_passages_in_common_make_no_pairs(spark):
+    """Texts of a common passage and much else share many n-grams, but no whole bucket of them: pairs don't grow with their square."""
+    draw = random.Random(8)
+    passage = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(passage + [f"own{draw.randrange(10**9)}" for _ in range(180)])) for i in range(400)]
+    join = JaccardJoin(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    labelled = join.nodes().withColumn("label", jaccard_join.F.col("node"))
+    links = spark.createDataFrame([], "node binary, label binary")
+    shared = join.keyed(links).groupBy("key").count().agg({"count": "max"}).first()[0]
+    assert shared <= 3
+    assert join.far_pairs(links, labelled).count() == 0
