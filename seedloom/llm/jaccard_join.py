@@ -60,7 +60,7 @@ from pyspark.sql.types import (
 )
 
 from seedloom.llm.components import components
-from seedloom.llm.frames import free_name, stored
+from seedloom.llm.frames import free_name, small_batches, stored
 
 RANK_BITS, HASH_BITS = 5, 59
 SKETCH_BITS, N_HASHES = 1024, 3
@@ -347,10 +347,11 @@ class JaccardJoin:
         self.df, self.key, self.text = df, key, text
         self.texts = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
         self.size, self.threshold = size, threshold
-        self.ranks = df.sparkSession.sparkContext.broadcast(frequent_words(self.texts))
-        row = F.xxhash64("text")
-        found = _sets_udf(self.ranks, size, threshold)(F.col("text")).alias("set")
-        self.sets = stored(self.texts.select("key", row.alias("text_hash"), found).select("key", "text_hash", "set.*"), "sets")
+        with small_batches(df.sparkSession):
+            self.ranks = df.sparkSession.sparkContext.broadcast(frequent_words(self.texts))
+            row = F.xxhash64("text")
+            found = _sets_udf(self.ranks, size, threshold)(F.col("text")).alias("set")
+            self.sets = stored(self.texts.select("key", row.alias("text_hash"), found).select("key", "text_hash", "set.*"), "sets")
 
     def nodes(self) -> DataFrame:
         """One row per distinct set, with a row of the input that has it."""
@@ -380,7 +381,8 @@ class JaccardJoin:
         n, m = F.octet_length("in_a") / 8, F.octet_length("in_b") / 8
         compared = compared.select("a", "b", n.cast("long").alias("n"), m.cast("long").alias("m"), n_shared("in_a", "in_b").alias("shared"))
         linked = self.threshold.linked(F.col("shared"), F.col("n"), F.col("m"))
-        return stored(compared.where(linked).select("a", "b", "shared"), "links")
+        with small_batches(self.df.sparkSession):
+            return stored(compared.where(linked).select("a", "b", "shared"), "links")
 
     def by_wide_sketch(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """The pairs without those of two large sets whose wide sketches differ too much."""

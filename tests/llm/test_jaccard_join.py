@@ -205,3 +205,24 @@ def test_passages_in_common_make_no_pairs(spark):
     shared = join.keyed(links).groupBy("key").count().agg({"count": "max"}).first()[0]
     assert shared <= 3
     assert join.far_pairs(links, labelled).count() == 0
+
+
+def test_small_batches_come_and_go(spark):
+    from seedloom.llm.frames import BATCH_BYTES, small_batches
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    with pytest.raises(ValueError), small_batches(spark):
+        assert int(spark.conf.get(name)) == BATCH_BYTES
+        raise ValueError
+    assert spark.conf.get(name, None) == before
+    sizes = []
+    df = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('x', 10000) AS text")
+
+    def rows(batches):
+        for batch in batches:
+            yield batch.slice(0, 1).select(["id"])
+
+    with small_batches(spark):
+        sizes = [r["id"] for r in df.mapInArrow(rows, "id long").collect()]
+    assert len(sizes) >= 7
