@@ -35,7 +35,7 @@ from seedloom.session import scratch  # noqa: E402
 from seedloom.sources import files  # noqa: E402
 from seedloom.streaming.answers import first_deliveries, join_answers  # noqa: E402
 from seedloom.streaming.batches import dealt, file_stream, run_batches, write_batches  # noqa: E402
-from workload import passing, stored_frame, stored_path, table  # noqa: E402
+from workload import is_stored, passing, stored_frame, stored_path, table  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -308,14 +308,17 @@ def mix_ratio(spark, sf):
     return sampling.mix(seed_examples(spark, sf), expand_examples(spark, sf))
 
 
-def _labelled(spark: SparkSession, sf: str) -> DataFrame:
-    """The mix with its splits, stored once: the reports and files below start from it."""
+def _mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """The mix with its splits, of tables with whole texts inside that need not be stored for it."""
+    good = prepare.normalize_seed(prepare.seed_filter(passing(spark, sf, "raw_examples")))
+    expanded = examples.expand_enriched(passing(spark, sf, "enriched"))
+    drawn = sampling.draw_mix(examples.seed_examples(good), expanded)
+    return sampling.split_rows(drawn.rows, keys=drawn.keys)
 
-    def make():
-        drawn = sampling.draw_mix(seed_examples(spark, sf), expand_examples(spark, sf))
-        return sampling.split_rows(drawn.rows, keys=drawn.keys)
 
-    return stored_frame(spark, sf, "labelled", make)
+def _labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """The mix with its splits, stored once: the reports and files below start from it."""
+    return stored_frame(spark, sf, "labelled", lambda: _mixed(spark, sf))
 
 
 def _train(spark: SparkSession, sf: str) -> DataFrame:
@@ -345,7 +348,10 @@ def mix_complexity_bars(spark, sf):
 
 @query
 def thinking_share(spark, sf):
-    return reports.thinking_share(_train(spark, sf))
+    """Read where the mix is stored, else counted on the way: of its texts only the reasoning is made."""
+    stored = is_stored(spark, sf, "labelled")
+    train = _train(spark, sf) if stored else _mixed(spark, sf).where(F.col("split") == "train")
+    return reports.thinking_share(train)
 
 
 # --- enrichment --------------------------------------------------------------

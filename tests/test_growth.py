@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import random
 import re
 
@@ -130,3 +131,19 @@ def test_a_batch_of_one_file_has_more_than_one_task(spark, values, tmp_path):
     made = [part.name for part in (tmp_path / "out").glob("part-*")]
     assert len(made) > 1 and all(".zstd." in name for name in made)
     assert spark.read.parquet(out).count() == 100
+
+
+def test_thinking_share_stores_no_texts_of_the_mix(spark, values, tmp_path):
+    """The share is counted on the way; where the mix is stored, it is the same."""
+    entry = importlib.import_module("__spark_entry__")
+    sf = str(tmp_path)
+    people = [(i, f"Customer#{i}", "BUILDING") for i in range(5)]
+    orders = [(i, i % 5, ("1-URGENT", "5-LOW")[i % 2], "FOP"[i % 3], 1000.0 * i) for i in [*range(200), 7, 7]]
+    values("c_custkey long, c_name string, c_mktsegment string", people).write.parquet(f"{sf}/customer.parquet")
+    schema = "o_orderkey long, o_custkey long, o_orderpriority string, o_orderstatus string, o_totalprice double"
+    values(schema, orders).write.parquet(f"{sf}/orders.parquet")
+    counted = rows_of(entry.queries()["thinking_share"](spark, sf))
+    assert {name for _, folder, name in workload._stored if folder == sf} == {"cases"}
+    assert counted[0][0] > 0
+    assert counted == rows_of(entry.reports.thinking_share(entry._train(spark, sf)))
+    assert counted == rows_of(entry.queries()["thinking_share"](spark, sf))

@@ -271,10 +271,14 @@ def made(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(DERIVED[name], **needed)
 
 
+def is_stored(spark: SparkSession, sf_dir: str, name: str) -> bool:
+    """Whether the session has stored a frame under the name."""
+    return (spark.conf.get("spark.app.id", ""), sf_dir, name) in _stored
+
+
 def passing(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The rows of a derived table for one who stores them again: read where the table is stored, else made on the way."""
-    known = (spark.conf.get("spark.app.id", ""), sf_dir, name) in _stored
-    return table(spark, sf_dir, name) if known else made(spark, sf_dir, name)
+    return table(spark, sf_dir, name) if is_stored(spark, sf_dir, name) else made(spark, sf_dir, name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
