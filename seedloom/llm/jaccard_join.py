@@ -6,14 +6,16 @@ elements that is bounded by their sizes: d at most. Dealt into more than d bucke
 they have a whole bucket in common. The join
 
 1. keeps one set per group of equal texts;
-2. links sets to a few hubs they share a minimum hash with, so a family of near copies becomes
-   one component at a cost that is linear in its size. Rounds with other hubs go on among sets of
-   different components until a round finds few links beside the first;
-3. keys each set by d + 1 of its buckets; only keys that sets of *different* components have in
-   common are joined. Pairs pass filters on size and sketch, and what is left is verified exactly.
+2. links sets to a few hubs they share a minimum hash with, at a cost that is linear in their number;
+3. keys each set by d + 1 of its buckets, and compares it with one set for each key it shares: the one
+   whose keys are the most common. The text that copies were made from has all the keys they share, so
+   the near ones of a large family become one component, at a linear cost again;
+4. joins the sets of *different* components on the keys they have in common, each pair once or nearly so.
+   Pairs pass filters on size and sketch, and what is left is verified exactly.
 
-Step 2 only spares work: step 3 looks at every pair of sets that may be similar and is
-not connected already, so no link between components is lost.
+Steps 2 and 3 only spare work: step 4 looks at every pair of sets that may be similar and is
+not connected already, so no link between components is lost. Copies too far from their center to link
+with it are still compared with one another in step 4, in the join's condition.
 
 A key stands for all n-grams of a bucket, eight or so at the threshold of 90 to 100, so two sets seldom
 share one by chance: pairs grow with the number of near copies, where single n-grams would
@@ -49,7 +51,7 @@ from functools import cached_property, reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -64,8 +66,10 @@ from seedloom.llm.frames import free_name, small_batches, stored
 
 RANK_BITS, HASH_BITS = 5, 59
 SKETCH_BITS, N_HASHES = 1024, 3
-#: Hubs per shared minimum hash; a further round is worth its cost after one with this share of the first round's links.
-HUBS, WORTH = 3, 0.25
+#: Hubs per shared minimum hash.
+HUBS = 3
+#: Keys before a shared one that are looked at for others in common.
+N_BEFORE = 4
 #: Of so many needed buckets there is one more, so that weak ones can go.
 SPARE_ONE_IN = 4
 #: 64-bit numbers of a sketch that travel with every n-gram; folded, it still differs in no more bits than the sets do.
@@ -340,6 +344,13 @@ def folded(sketch: str) -> Column:
     return F.array(*[reduce(Column.bitwiseXOR, [F.col(sketch)[j] for j in range(i, n, NARROW)]) for i in range(NARROW)])
 
 
+def two_links(links: DataFrame) -> DataFrame:
+    """``node, label`` of sets with links: a small one among those at most two links away, so equal labels are of one component."""
+    ends = links.union(links.select("b", "a")).union(links.select("a", "a")).union(links.select("b", "b"))
+    least = stored(ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")), "least")
+    return ends.join(least, F.col("b") == F.col("node")).groupBy(F.col("a").alias("node")).agg(F.min("least").alias("label"))
+
+
 class JaccardJoin:
     """One self-join: the texts, their sets, links between sets, and components."""
 
@@ -409,85 +420,104 @@ class JaccardJoin:
         both = pairs.join(left, "a").join(right, "b")
         return both.where(self.may_link(("sketch_a", "sketch_b"), F.col("n_a"), F.col("n_b"))).select("a", "b")
 
-    #: Number of the round of step 2.
-    turn = 0
-
     def hub_pairs(self, nodes: DataFrame) -> DataFrame:
-        """A round of step 2: each set with a few of those that share a minimum hash or a group, but not its label.
-
-        Hubs are the first sets in as many orders, other ones in each round. Sets without labels are
-        each their own.
-        """
-        nodes = nodes if "label" in nodes.columns else nodes.withColumn("label", F.col("node"))
-        turn, group = self.turn, F.xxhash64("group")
-        keyed = nodes.select("node", "label", F.explode(F.array_append("hashes", group)).alias("shared"))
-        first = [
-            F.min(F.struct(F.xxhash64("node", F.lit(turn * HUBS + i)).alias("order"), "node", "label")).alias(f"hub{i}") for i in range(HUBS)
-        ]
-        hubs = keyed.groupBy("shared").agg(F.min("label").alias("least"), F.max("label").alias("most"), *first)
-        hubs = hubs.where(F.col("least") != F.col("most"))
+        """Step 2: each set with a few of those that share a minimum hash or a group: the first sets in as many orders."""
+        keyed = nodes.select("node", F.explode(F.array_append("hashes", F.xxhash64("group"))).alias("shared"))
+        first = [F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("order"), "node")).alias(f"hub{i}") for i in range(HUBS)]
+        hubs = keyed.groupBy("shared").agg(F.count(F.lit(1)).alias("sets"), *first).where(F.col("sets") > 1)
         # Stored, so that the join reads it through an exchange of its own and a hot minimum can be split.
-        hubs = stored(hubs.select("shared", F.array_distinct(F.array(*[F.struct(f"hub{i}.node", f"hub{i}.label") for i in range(HUBS)])).alias("hubs")), "hubs")
-        met = keyed.join(hubs, "shared").select("node", "label", F.explode("hubs").alias("hub"))
-        met = met.where(F.col("label") != F.col("hub.label"))
-        ends = F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")
-        return self.by_sketch(met.select(*ends).distinct(), nodes)
-
-    def near_labels(self, nodes: DataFrame) -> DataFrame:
-        """Step 2: ``node, label`` of the sets that rounds of hubs link."""
-        stars, labelled, self.turn, n_first = None, nodes, 0, 0
-        while True:
-            links = self.verified(self.hub_pairs(labelled), nodes)
-            n_links = links.count()
-            n_first = n_first or n_links
-            found = links.select("a", "b") if stars is None else stars.union(links.select("a", "b"))
-            labels = components(found)
-            if n_links <= WORTH * n_first:
-                return labels
-            stars = labels.where(F.col("node") != F.col("label")).select(F.col("node").alias("a"), F.col("label").alias("b"))
-            labelled = stored(nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
-            self.turn += 1
+        hubs = stored(hubs.select("shared", F.array_distinct(F.array(*[f"hub{i}.node" for i in range(HUBS)])).alias("hubs")), "hubs")
+        met = keyed.join(hubs, "shared").select("node", F.explode("hubs").alias("hub")).where(F.col("node") != F.col("hub"))
+        return self.by_sketch(met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), nodes)
 
-    def keyed(self, labels: DataFrame) -> DataFrame:
-        """``key, id, label`` of all sets; sets and labels are 64-bit hashes. Should two ever share one, both are looked at."""
+    def linked(self, labels: DataFrame) -> DataFrame:
+        """``id, linked``: 64-bit hashes of the sets whose label is another set, and of the label; a hint where they are few."""
         linked = labels.where(F.col("node") != F.col("label")).select(F.xxhash64("node").alias("id"), F.xxhash64("label").alias("linked"))
         linked = stored(linked.dropDuplicates(["id"]), "linked")
-        few = linked.count() <= BROADCAST_ROWS
+        return F.broadcast(linked) if linked.count() <= BROADCAST_ROWS else linked
+
+    def keyed(self, labels: DataFrame) -> DataFrame:
+        """``key, id, label`` of all sets; sets and labels are 64-bit hashes. Should two ever share one, both are looked at."""
         sets = self.sets.where(F.size("keys") > 0).select(F.xxhash64("node").alias("id"), "keys")
-        sets = sets.join(F.broadcast(linked) if few else linked, "id", "left")
+        sets = sets.join(self.linked(labels), "id", "left")
         return sets.select(F.explode("keys").alias("key"), "id", F.coalesce("linked", "id").alias("label"))
 
-    def far_pairs(self, labels: DataFrame, labelled: DataFrame) -> DataFrame:
-        """Step 3: pairs of sets of different components that share a key."""
+    def shared_keys(self, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The keys that sets of different labels share, with these sets; stored.
+
+        ``before`` are the set's last few keys before this one, ``score`` says in how many rows its keys are found.
+        """
         keyed = self.keyed(labels)
-        met = keyed.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-        met = stored(met.where(F.col("least") != F.col("most")).select("key"), "met")
+        met = keyed.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("rows"))
+        met = stored(met.where(F.col("least") != F.col("most")).select("key", "rows"), "met")
         few = met.count() <= BROADCAST_ROWS
-        index = keyed.join(F.broadcast(met) if few else met, "key", "left_semi").distinct()
-        members = labelled.select("node", "n", folded("sketch").alias("sketch"), F.xxhash64("node").alias("id"))
-        shared = stored(index.join(members.drop("node"), "id"), "shared")
-        columns = ("id", "label", "n", "sketch")
+        index = keyed.join(F.broadcast(met) if few else met, "key").distinct()
+        of_set = Window.partitionBy("id")
+        before = [F.lag("key", i).over(of_set.orderBy("key")) for i in range(1, N_BEFORE + 1)]
+        index = index.withColumns({"score": F.sum("rows").over(of_set), "before": F.array_compact(F.array(*before))}).drop("rows")
+        members = nodes.select("n", folded("sketch").alias("sketch"), F.xxhash64("node").alias("id"))
+        return stored(index.join(members, "id"), "shared")
+
+    def centers(self, shared: DataFrame) -> DataFrame:
+        """``key, center``: for each key the set that has most in common with others; stored, as the hubs are."""
+        center = F.max(F.struct("score", F.col("id").alias("center")))
+        return stored(shared.groupBy("key").agg(center.alias("best")).select("key", "best.center"), "centers")
+
+    def center_pairs(self, shared: DataFrame, centers: DataFrame, nodes: DataFrame) -> DataFrame:
+        """Step 3: each set with the centers of its keys, unless they have its label."""
+        of_center = shared.select(F.col("id").alias("center"), F.col("label").alias("center_label")).distinct()
+        met = shared.select("key", "id", "label").join(centers, "key").select("id", "label", "center").distinct()
+        met = met.join(of_center, "center").where(F.col("label") != F.col("center_label"))
+        return self.of_ids(met.select(F.least("id", "center").alias("id_a"), F.greatest("id", "center").alias("id_b")), nodes)
+
+    def of_ids(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The pairs ``a, b`` of sets with these hashes that size and sketch allow."""
+        side = nodes.select(F.xxhash64("node").alias("id"), "node", "n", "sketch")
+        left, right = (side.toDF(*[f"{c}_{end}" for c in side.columns]) for end in "ab")
+        both = pairs.distinct().join(left, "id_a").join(right, "id_b")
+        fits = self.may_link(("sketch_a", "sketch_b"), F.col("n_a"), F.col("n_b"))
+        return both.where(fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+    def key_pairs(self, labels: DataFrame, shared: DataFrame, centers: DataFrame) -> DataFrame:
+        """``id_a, id_b``: pairs of sets of different labels that share a key, where size and the folded sketch allow it.
+
+        Sets that have the label of a key's center are not paired with one another there. A pair comes at
+        the first of its keys, and not at others where one of the last few keys before is shared as well.
+        """
+        linked = self.linked(labels)
+        shared = shared.drop("label").join(linked, "id", "left").withColumn("label", F.coalesce("linked", "id")).drop("linked", "score")
+        of_center = centers.join(linked, F.col("center") == F.col("id"), "left").select("key", F.coalesce("linked", "center").alias("of_center"))
+        shared = stored(shared.join(of_center, "key").withColumn("minor", F.col("label") != F.col("of_center")).drop("of_center"), "relabelled")
+        columns = ("id", "label", "n", "sketch", "before", "minor")
         left = shared.select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
-        right = shared.select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
+        right = shared.where("minor").select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
         n, m = F.col("n_a"), F.col("n_b")
+        apart = (F.col("label_a") < F.col("label_b")) | (~F.col("minor_a") & (F.col("label_a") != F.col("label_b")))
         near = differ("sketch_a", "sketch_b", NARROW) <= n + m - 2 * self.threshold.needed(n, m)
-        fits = (F.col("label_a") < F.col("label_b")) & self.threshold.sizes_fit(n, m) & near
-        pairs = left.join(right, (left["key"] == right["key"]) & fits).select("id_a", "id_b").distinct()
-        a = members.select(F.col("node").alias("a"), F.col("id").alias("id_a"))
-        b = members.select(F.col("node").alias("b"), F.col("id").alias("id_b"))
-        return self.by_sketch(pairs.join(a, "id_a").join(b, "id_b").select("a", "b").distinct(), labelled)
+        fits = apart & self.threshold.sizes_fit(n, m) & near & ~F.arrays_overlap("before_a", "before_b")
+        pairs = left.join(right, (left["key"] == right["key"]) & fits)
+        return pairs.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
+
+    def far_pairs(self, labels: DataFrame, labelled: DataFrame, shared: DataFrame | None = None, centers: DataFrame | None = None) -> DataFrame:
+        """Step 4: pairs of sets of different components that share a key."""
+        shared = self.shared_keys(labels, labelled) if shared is None else shared
+        centers = self.centers(shared) if centers is None else centers
+        return self.of_ids(self.key_pairs(labels, shared, centers), labelled)
 
     @cached_property
     def labels(self) -> DataFrame:
         """``node, label`` of the sets that have links; the label is the component's smallest node."""
         nodes = stored(self.nodes(), "nodes")
-        labels = self.near_labels(nodes)
-        labelled = stored(
-            nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).drop("hashes"), "labelled"
-        )
-        far = self.verified(self.far_pairs(labels, labelled), labelled)
+        links = self.verified(self.hub_pairs(nodes), nodes).select("a", "b")
+        shared = self.shared_keys(two_links(links), nodes)
+        centers = self.centers(shared)
+        central = self.verified(self.center_pairs(shared, centers, nodes), nodes).select("a", "b")
+        labels = components(links.union(central))
+        far = self.verified(self.far_pairs(labels, nodes, shared, centers), nodes).select("a", "b")
+        if far.isEmpty():
+            return labels
         stars = labels.where(F.col("node") != F.col("label")).select(F.col("node").alias("a"), F.col("label").alias("b"))
-        return components(stars.union(far.select("a", "b")))
+        return components(stars.union(far))
 
     def labelled_rows(self) -> DataFrame:
         """The input's rows by key and text hash with size and label; no label without words."""

@@ -226,3 +226,41 @@ def test_small_batches_come_and_go(spark):
     with small_batches(spark):
         sizes = [r["id"] for r in df.mapInArrow(rows, "id long").collect()]
     assert len(sizes) >= 7
+
+
+def copies_with_edits(base, n, most, seed=4):
+    """Copies of a text in which up to so many words are new, most of them too far from one another to link."""
+    draw, rows = random.Random(seed), []
+    for i in range(n):
+        text = list(base)
+        for at in draw.sample(range(len(text)), i % (most + 1)):
+            text[at] = f"new{i}x{at}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+def test_copies_meet_their_center_instead_of_one_another(spark, prose, monkeypatch):
+    """A family whose copies link through the text they were made from: pairs to verify grow with its size."""
+    rows, seen, verified = copies_with_edits(prose(150, 98).split(" "), 700, 6), [], JaccardJoin.verified
+    monkeypatch.setattr(JaccardJoin, "verified", lambda self, pairs, nodes: seen.append(pairs.count()) or verified(self, pairs, nodes))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(df) == sorted(plain_components(rows), key=repr)
+    assert sum(seen) < 4 * len(rows)
+
+
+def test_without_hubs_and_centers_nothing_is_lost(spark, monkeypatch, prose):
+    """Steps 2 and 3 only spare work; step 4 has each pair once or nearly so."""
+    rows = families(15) + [(i + 1000, text) for i, text in copies_with_edits(prose(150, 97).split(" "), 80, 3)]
+    none = spark.createDataFrame([], "a binary, b binary")
+    met, key_pairs = [], JaccardJoin.key_pairs
+
+    def counted(self, labels, shared, centers):
+        pairs = key_pairs(self, labels, shared, centers)
+        met.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(JaccardJoin, "hub_pairs", lambda self, nodes: none)
+    monkeypatch.setattr(JaccardJoin, "center_pairs", lambda self, shared, centers, nodes: none)
+    monkeypatch.setattr(JaccardJoin, "key_pairs", counted)
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == sorted(plain_components(rows), key=repr)
+    assert met[0][1] > 200 and met[0][0] <= 1.5 * met[0][1]
