@@ -10,12 +10,14 @@ they have a whole bucket in common. The join
 3. keys each set by d + 1 of its buckets, and compares it with one set for each key it shares: the one
    whose keys are the most common. The text that copies were made from has all the keys they share, so
    the near ones of a large family become one component, at a linear cost again;
-4. joins the sets of *different* components on the keys they have in common, each pair once or nearly so.
-   Pairs pass filters on size and sketch, and what is left is verified exactly.
+4. joins the sets of *different* components on the keys that few sets share, each pair once or nearly so, and
+   those that many share on their rarest n-grams. Pairs pass filters on size and sketch, and what is left is verified exactly.
 
 Steps 2 and 3 only spare work: step 4 looks at every pair of sets that may be similar and is
 not connected already, so no link between components is lost. Copies too far from their center to link
-with it are still compared with one another in step 4, in the join's condition.
+with it still share keys of unchanged words with one another, as many pairs as the square of their number. So sets that meet
+more than CROWD others at a key are not paired there. Their n-grams are sorted by the number of crowded sets that
+have them, rare ones first: similar sets share one of the first few, and what a far copy has of its own comes before what it shares.
 
 A key stands for all n-grams of a bucket, eight or so at the threshold of 90 to 100, so two sets seldom
 share one by chance: pairs grow with the number of near copies, where single n-grams would
@@ -70,6 +72,8 @@ SKETCH_BITS, N_HASHES = 1024, 3
 HUBS = 3
 #: Keys before a shared one that are looked at for others in common.
 N_BEFORE = 4
+#: Sets of a key that are paired there.
+CROWD = 8
 #: Of so many needed buckets there is one more, so that weak ones can go.
 SPARE_ONE_IN = 4
 #: 64-bit numbers of a sketch that travel with every n-gram; folded, it still differs in no more bits than the sets do.
@@ -101,6 +105,10 @@ class Threshold:
         """Elements in which a set of up to this size and a similar one of at least its own size may differ, at most."""
         return (n + n * self.under // self.over) * (self.under - self.over) // (self.under + self.over)
 
+    def places(self, n: Column, m: Column) -> Column:
+        """Of n elements in an order that holds for all sets, the first so many have one in common with a similar set of m."""
+        return n - self.needed(n, m) + 1
+
     def next_level(self, start: int) -> int:
         """First size of the level after the one that starts here: similar sets are of one level or of neighbours."""
         return max(start + 1, -(-start * self.under // self.over), start * self.under**2 // self.over**2)
@@ -324,6 +332,11 @@ def _contents_udf(ranks, size: int):
     return contents
 
 
+@F.arrow_udf(ArrayType(LongType()))
+def numbers(contents: pa.Array) -> pa.Array:
+    return list_array([np.frombuffer(found.as_py(), np.int64) for found in contents])
+
+
 @F.arrow_udf(LongType())
 def n_shared(left: pa.Array, right: pa.Array) -> pa.Array:
     counts = []
@@ -338,6 +351,11 @@ def differ(left: str, right: str, words: int = SKETCH_BITS // 64) -> Column:
     return sum((F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(words)), F.lit(0))
 
 
+def apart() -> Column:
+    """Labels differ, and not both are the main one where two sets meet: a pair comes once, the minor one as ``b``."""
+    return (F.col("label_a") < F.col("label_b")) | (~F.col("minor_a") & (F.col("label_a") != F.col("label_b")))
+
+
 def folded(sketch: str) -> Column:
     """The sketch of a quarter of the buckets: parities of buckets that are taken together."""
     n = SKETCH_BITS // 64
@@ -375,7 +393,19 @@ class JaccardJoin:
         """The pairs ``a, b`` of sets that are linked, by their whole contents; stored."""
         pairs = stored(self.by_wide_sketch(pairs, nodes), "pairs")
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        asked = stored(nodes.join(ends, "node", "left_semi").select("node", "sample"), "asked").select(
+        contents = self.contents(nodes.join(ends, "node", "left_semi"))
+        left = contents.select(F.col("node").alias("a"), F.col("contents").alias("in_a"))
+        right = contents.select(F.col("node").alias("b"), F.col("contents").alias("in_b"))
+        compared = pairs.select("a", "b").join(left, "a").join(right, "b")
+        n, m = F.octet_length("in_a") / 8, F.octet_length("in_b") / 8
+        compared = compared.select("a", "b", n.cast("long").alias("n"), m.cast("long").alias("m"), n_shared("in_a", "in_b").alias("shared"))
+        linked = self.threshold.linked(F.col("shared"), F.col("n"), F.col("m"))
+        with small_batches(self.df.sparkSession):
+            return stored(compared.where(linked).select("a", "b", "shared"), "links")
+
+    def contents(self, some: DataFrame) -> DataFrame:
+        """``node, contents`` of some of the sets, made anew from their texts."""
+        asked = stored(some.select("node", "sample"), "asked").select(
             F.col("sample.key").alias("of_key"), F.col("sample.text_hash").alias("of_text")
         )
         few = asked.count() <= BROADCAST_ROWS
@@ -385,15 +415,7 @@ class JaccardJoin:
         )
         rows = rows.groupBy("text_hash", "key").agg(F.first("text").alias("text"))
         contents = rows.select(_contents_udf(self.ranks, self.size)(F.col("text")).alias("set"))
-        contents = contents.select("set.*").dropDuplicates(["node"])
-        left = contents.select(F.col("node").alias("a"), F.col("contents").alias("in_a"))
-        right = contents.select(F.col("node").alias("b"), F.col("contents").alias("in_b"))
-        compared = pairs.select("a", "b").join(left, "a").join(right, "b")
-        n, m = F.octet_length("in_a") / 8, F.octet_length("in_b") / 8
-        compared = compared.select("a", "b", n.cast("long").alias("n"), m.cast("long").alias("m"), n_shared("in_a", "in_b").alias("shared"))
-        linked = self.threshold.linked(F.col("shared"), F.col("n"), F.col("m"))
-        with small_batches(self.df.sparkSession):
-            return stored(compared.where(linked).select("a", "b", "shared"), "links")
+        return contents.select("set.*").dropDuplicates(["node"])
 
     def by_wide_sketch(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """The pairs without those of two large sets whose wide sketches differ too much."""
@@ -446,13 +468,12 @@ class JaccardJoin:
         """The keys that sets of different labels share, with these sets; stored.
 
         ``before`` are the set's last few keys before this one, ``score`` says in how many rows its keys are found.
+        All keys are shuffled once. A row of the input has a key once, and many keys, so no key has a large share of them.
         """
-        keyed = self.keyed(labels)
-        met = keyed.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("rows"))
-        met = stored(met.where(F.col("least") != F.col("most")).select("key", "rows"), "met")
-        few = met.count() <= BROADCAST_ROWS
-        index = keyed.join(F.broadcast(met) if few else met, "key").distinct()
-        of_set = Window.partitionBy("id")
+        of_key, of_set = Window.partitionBy("key"), Window.partitionBy("id")
+        ends = {"least": F.min("label").over(of_key), "most": F.max("label").over(of_key), "rows": F.count(F.lit(1)).over(of_key)}
+        met = self.keyed(labels).withColumns(ends).where(F.col("least") != F.col("most"))
+        index = met.select("key", "id", "label", "rows").distinct()
         before = [F.lag("key", i).over(of_set.orderBy("key")) for i in range(1, N_BEFORE + 1)]
         index = index.withColumns({"score": F.sum("rows").over(of_set), "before": F.array_compact(F.array(*before))}).drop("rows")
         members = nodes.select("n", folded("sketch").alias("sketch"), F.xxhash64("node").alias("id"))
@@ -478,25 +499,62 @@ class JaccardJoin:
         fits = self.may_link(("sketch_a", "sketch_b"), F.col("n_a"), F.col("n_b"))
         return both.where(fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
+    def relabelled(self, labels: DataFrame, shared: DataFrame, centers: DataFrame) -> DataFrame:
+        """``shared`` with the labels of now, at keys that sets of several labels have; stored.
+
+        ``minor`` says that a set has not the label of the key's center, ``sets`` how many sets have the key.
+        """
+        linked, of_key = self.linked(labels), Window.partitionBy("key")
+        shared = shared.drop("label").join(linked, "id", "left").withColumn("label", F.coalesce("linked", "id")).drop("linked", "score")
+        of_center = centers.join(linked, F.col("center") == F.col("id"), "left").select("key", F.coalesce("linked", "center").alias("of_center"))
+        shared = shared.join(of_center, "key").withColumn("minor", F.col("label") != F.col("of_center")).drop("of_center")
+        shared = shared.withColumns({"sets": F.count(F.lit(1)).over(of_key), "any": F.max("minor").over(of_key)})
+        return stored(shared.where("any").drop("any"), "relabelled")
+
     def key_pairs(self, labels: DataFrame, shared: DataFrame, centers: DataFrame) -> DataFrame:
         """``id_a, id_b``: pairs of sets of different labels that share a key, where size and the folded sketch allow it.
 
         Sets that have the label of a key's center are not paired with one another there. A pair comes at
         the first of its keys, and not at others where one of the last few keys before is shared as well.
+        Sets that share a crowded key are paired by their n-grams.
         """
-        linked = self.linked(labels)
-        shared = shared.drop("label").join(linked, "id", "left").withColumn("label", F.coalesce("linked", "id")).drop("linked", "score")
-        of_center = centers.join(linked, F.col("center") == F.col("id"), "left").select("key", F.coalesce("linked", "center").alias("of_center"))
-        shared = stored(shared.join(of_center, "key").withColumn("minor", F.col("label") != F.col("of_center")).drop("of_center"), "relabelled")
+        shared = self.relabelled(labels, shared, centers)
         columns = ("id", "label", "n", "sketch", "before", "minor")
-        left = shared.select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
-        right = shared.where("minor").select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
+        rest = shared.where(F.col("sets") <= CROWD)
+        left = rest.select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
+        right = rest.where("minor").select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
         n, m = F.col("n_a"), F.col("n_b")
-        apart = (F.col("label_a") < F.col("label_b")) | (~F.col("minor_a") & (F.col("label_a") != F.col("label_b")))
         near = differ("sketch_a", "sketch_b", NARROW) <= n + m - 2 * self.threshold.needed(n, m)
-        fits = apart & self.threshold.sizes_fit(n, m) & near & ~F.arrays_overlap("before_a", "before_b")
+        fits = apart() & self.threshold.sizes_fit(n, m) & near & ~F.arrays_overlap("before_a", "before_b")
         pairs = left.join(right, (left["key"] == right["key"]) & fits)
-        return pairs.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
+        pairs = pairs.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
+        crowded = stored(shared.where(F.col("sets") > CROWD).select("id", "label").distinct(), "crowded")
+        return pairs if crowded.isEmpty() else pairs.union(self.crowded_pairs(crowded))
+
+    def crowded_pairs(self, crowded: DataFrame) -> DataFrame:
+        """``id_a, id_b``: pairs of these sets, of different labels, that share an n-gram among the first so many of both."""
+        few = crowded.count() <= BROADCAST_ROWS
+        rows = self.sets.select("key", "text_hash", "node", F.xxhash64("node").alias("id")).join(F.broadcast(crowded) if few else crowded, "id")
+        named = stored(rows.groupBy("node", "label").agg(F.min(F.struct("key", "text_hash")).alias("sample")), "named")
+        found = self.contents(named).select("node", numbers("contents").alias("grams")).join(named.select("node", "label"), "node")
+        each = found.select("node", "label", F.size("grams").cast("long").alias("n"), F.explode("grams").alias("gram"))
+        of_gram, of_set = Window.partitionBy("gram"), Window.partitionBy("node")
+        each = each.withColumn("sets", F.count(F.lit(1)).over(of_gram)).where(F.col("sets") > 1)
+        alone = F.col("n") - F.count(F.lit(1)).over(of_set)  # n-grams of this set only come first
+        each = each.withColumn("place", alone + F.row_number().over(of_set.orderBy("sets", "gram")))
+        n = F.col("n")
+        longest = n - F.ceil(F.lit(self.threshold.over) * n / self.threshold.under) + 1
+        each = each.where(F.col("place") <= longest).withColumn("minor", F.col("label") != F.mode("label").over(of_gram))
+        with small_batches(self.df.sparkSession):
+            each = stored(each.select("gram", "node", "label", "n", "place", "minor"), "grams")
+        columns = ("node", "label", "n", "place", "minor")
+        left = each.select("gram", *[F.col(c).alias(f"{c}_a") for c in columns])
+        right = each.where("minor").select("gram", *[F.col(c).alias(f"{c}_b") for c in columns])
+        n, m = F.col("n_a"), F.col("n_b")
+        first = (F.col("place_a") <= self.threshold.places(n, m)) & (F.col("place_b") <= self.threshold.places(m, n))
+        pairs = left.join(right, (left["gram"] == right["gram"]) & apart() & self.threshold.sizes_fit(n, m) & first)
+        a, b = F.xxhash64("node_a"), F.xxhash64("node_b")
+        return pairs.select(F.least(a, b).alias("id_a"), F.greatest(a, b).alias("id_b")).distinct()
 
     def far_pairs(self, labels: DataFrame, labelled: DataFrame, shared: DataFrame | None = None, centers: DataFrame | None = None) -> DataFrame:
         """Step 4: pairs of sets of different components that share a key."""

@@ -264,3 +264,50 @@ def test_without_hubs_and_centers_nothing_is_lost(spark, monkeypatch, prose):
     monkeypatch.setattr(JaccardJoin, "key_pairs", counted)
     assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == sorted(plain_components(rows), key=repr)
     assert met[0][1] > 200 and met[0][0] <= 1.5 * met[0][1]
+
+
+def test_far_copies_are_not_paired_with_one_another(spark, prose, monkeypatch):
+    """Copies too far from their text to link, with its unchanged words in common: pairs don't grow with their square."""
+    draw, base, rows = random.Random(6), prose(700, 96).split(" "), []
+    for i in range(80):
+        text = list(base)
+        for at in draw.sample(range(700), 20 if i % 4 else 2):
+            text[at] = f"new{i}x{at}"
+        rows.append((i, " ".join(text)))
+    met, key_pairs = [], JaccardJoin.key_pairs
+
+    def counted(self, labels, shared, centers):
+        pairs = key_pairs(self, labels, shared, centers)
+        met.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(JaccardJoin, "key_pairs", counted)
+    monkeypatch.setattr(JaccardJoin, "by_sketch", lambda self, pairs, nodes: pairs.limit(0))  # no hubs
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(df, size=5, threshold=Threshold(4, 5)) == sorted(plain_components(rows, 4, 5, 5), key=repr)
+    assert met and met[0] < 20 * len(rows)
+
+
+def test_crowded_keys_lose_nothing(spark, monkeypatch):
+    """All keys crowded, all texts by join, no hubs and centers: pairs come from n-grams alone."""
+    rows = families(16)
+    none = spark.createDataFrame([], "a binary, b binary")
+    monkeypatch.setattr(jaccard_join, "CROWD", 1)
+    monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(JaccardJoin, "hub_pairs", lambda self, nodes: none)
+    monkeypatch.setattr(JaccardJoin, "center_pairs", lambda self, shared, centers, nodes: none)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(df, size=5, threshold=Threshold(4, 5)) == sorted(plain_components(rows, 4, 5, 5), key=repr)
+
+
+def test_all_keys_are_shuffled_once(spark, monkeypatch):
+    plans, stored = [], jaccard_join.stored
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(jaccard_join, "stored", seen)
+    monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 0)
+    JaccardJoin(spark.createDataFrame(families(17, 3, 3), "doc_id long, text string")).components()
+    assert sum(plan.count("Generate explode(keys") for plan in plans) == 1
